@@ -21,6 +21,9 @@ ROWS_PER_SLICE = 1_000_000
 SAMPLE_PER_SLICE = 2_000
 SMALL_BYTES = 64 << 20
 
+# Most rows of a slice table that is broadcast.
+MAX_BROADCAST_ROWS = 1 << 18
+
 
 def looks_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
     """True when Catalyst's size estimate for the plan is at most `limit` bytes.
@@ -181,6 +184,11 @@ def quantiles_of_cells(ranked: DataFrame, keys: Sequence[str], fractions: dict[s
     )
 
 
+def _groups_within(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """True when the keys take at most `limit` distinct combinations."""
+    return not keys or df.select(*keys).distinct().limit(limit + 1).count() <= limit
+
+
 def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], digits: int = 3) -> DataFrame:
     """Exact 1-based rank inside `keys` by an evenly spread hex text such as an md5.
 
@@ -228,7 +236,9 @@ def hash_first(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[
     taken = marked.filter("_offset < _wanted").select(
         *keys, "_lead", (F.col("_wanted") - F.col("_offset")).alias("_owed"), "_n"
     )
-    reached = tagged.join(taken, [*keys, "_lead"])
+    # 16**digits rows per group; broadcast only when that product is known to be small.
+    bound = _groups_within(df, keys, MAX_BROADCAST_ROWS // 16**digits)
+    reached = tagged.join(F.broadcast(taken) if bound else taken, [*keys, "_lead"])
     whole = reached.filter("_n <= _owed").select(*columns)
     local = Window.partitionBy(*keys, "_lead").orderBy("_hex", *tie)
     cut = (

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import clip, hash_hex, ratio, round_even
 from tidemark.operators.order_stats import hash_first, hash_ranked
 from tidemark.operators.shape import active_rows, union_rows
+from tidemark.operators.temporal import check_periods, period_index
 
 # Scenario bounds of the retention rate, the monthly tenure step, the mix cap.
 SCENARIOS = ("normal", "recession", "growth")
@@ -69,19 +70,25 @@ def period_stamp(start: str, index: Column, days: int = PERIOD_DAYS) -> Column:
 def cohort_movement(df: DataFrame, entity: str, period: Column) -> DataFrame:
     """Per period: entities retained from, joined since and left after the one before.
 
-    Periods come indexed, and each (entity, period) pair meets itself one index
-    later in a join on both columns, so no entity's history is collected.
+    Each row stands for its own period and for the next one; one aggregation on
+    (entity, period) then tells who stayed, came and went. Partial aggregation
+    removes repeats before the shuffle and no entity's history is collected.
     """
-    pairs = df.select(F.col(entity).alias("entity"), period.alias("period")).distinct()
-    periods = pairs.select("period").distinct().withColumn("idx", F.dense_rank().over(Window.orderBy("period")) - 1)
-    placed = pairs.join(periods, "period").select("entity", "idx")
-    now = placed.select("entity", "idx", F.lit(1).alias("here"))
-    before = placed.select("entity", (F.col("idx") + 1).alias("idx"), F.lit(1).alias("was"))
-    moved = now.join(before, ["entity", "idx"], "full_outer").groupBy("idx").agg(
+    check_periods(df, period, 1)
+    periods = period_index(df, period)
+    # At most MAX_PERIODS rows, just checked.
+    placed = df.select(F.col(entity).alias("entity"), period.alias("period")).join(F.broadcast(periods), "period")
+    both = F.explode(F.array(
+        F.struct(F.col("idx"), F.lit(1).alias("here"), F.lit(0).alias("was")),
+        F.struct((F.col("idx") + 1).alias("idx"), F.lit(0).alias("here"), F.lit(1).alias("was")),
+    ))
+    seen = placed.filter("entity IS NOT NULL").select("entity", both.alias("p")).select("entity", "p.*")
+    seen = seen.groupBy("entity", "idx").agg(F.max("here").alias("here"), F.max("was").alias("was"))
+    moved = seen.groupBy("idx").agg(
         F.count_if("here = 1 AND was = 1").alias("retained"),
-        F.count_if("here = 1 AND was IS NULL").alias("joined"),
-        F.count_if("here IS NULL AND was = 1").alias("departed"),
-        F.count("here").alias("head_count"),
+        F.count_if("here = 1 AND was = 0").alias("joined"),
+        F.count_if("here = 0 AND was = 1").alias("departed"),
+        F.count_if("here = 1").alias("head_count"),
     )
     found = moved.join(periods, "idx").filter("idx > 0")
     earlier = F.col("retained") + F.col("departed")
