@@ -70,7 +70,7 @@ def classification_metrics(
     keys = list(keys)
     rows = scored_rows(df, keys, label, score, prediction)
     cells = rows.groupBy(*keys, "score").agg(
-        F.count_if("label = 1").alias("pos"), F.count_if("label = 0").alias("neg"), *_confusion()
+        F.expr("count_if(label = 1)").alias("pos"), F.expr("count_if(label = 0)").alias("neg"), *_confusion()
     )
     cells = with_slice(cells, "score", column_cuts(rows, "score", rows_per_slice))
     ranked = running_totals(cells, keys, "score", ["pos", "neg"])

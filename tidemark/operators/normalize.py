@@ -102,7 +102,7 @@ def column_type_table(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     cells = df.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
     found = cells.groupBy("column").agg(
         F.count_if("present").alias("n_values"),
-        F.count_if("present AND fails").alias("n_unparsed"),
+        F.expr("count_if(present AND fails)").alias("n_unparsed"),
         F.max("other").alias("other"),
     )
     kind = F.when((F.col("n_unparsed") == 0) & ~F.col("other"), "numeric").otherwise("categorical")

@@ -85,10 +85,10 @@ def cohort_movement(df: DataFrame, entity: str, period: Column) -> DataFrame:
     seen = placed.filter("entity IS NOT NULL").select("entity", both.alias("p")).select("entity", "p.*")
     seen = seen.groupBy("entity", "idx").agg(F.max("here").alias("here"), F.max("was").alias("was"))
     moved = seen.groupBy("idx").agg(
-        F.count_if("here = 1 AND was = 1").alias("retained"),
-        F.count_if("here = 1 AND was = 0").alias("joined"),
-        F.count_if("here = 0 AND was = 1").alias("departed"),
-        F.count_if("here = 1").alias("head_count"),
+        F.expr("count_if(here = 1 AND was = 1)").alias("retained"),
+        F.expr("count_if(here = 1 AND was = 0)").alias("joined"),
+        F.expr("count_if(here = 0 AND was = 1)").alias("departed"),
+        F.expr("count_if(here = 1)").alias("head_count"),
     )
     found = moved.join(periods, "idx").filter("idx > 0")
     earlier = F.col("retained") + F.col("departed")
