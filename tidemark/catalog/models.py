@@ -1,2 +1,176 @@
-QUERIES = {}
-SQL = {}
+"""Model queries. Fits have no SQL; their preparation steps and draws have."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog.bindings import order_panel, rounded, table, typed
+from tidemark.catalog.panels import draw, order_of
+from tidemark.operators import model as M
+from tidemark.operators.metrics import classification_metrics
+from tidemark.plans import comparison as X
+from tidemark.plans import report as R
+from tidemark.plans import training as T
+from tidemark.sources import runs
+from tidemark.sources.tables import new_path
+
+NUMERIC = ["balance", "n_orders", "total_price", "largest"]
+CATEGORICAL = ["nation"]
+
+
+def customer_rows(spark, d):
+    """Customers with their order history; those without orders keep NULLs.
+
+    Orders are reduced to one row per customer before the join.
+    """
+    spent = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").alias("n_orders"), F.sum("o_totalprice").alias("total_price"), F.max("o_totalprice").alias("largest")
+    )
+    customers = table(spark, d, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("balance"), F.when(F.col("c_nationkey") != 0, F.col("c_nationkey")).cast("string").alias("nation"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "Yes").otherwise("No").alias("label"),
+    )
+    return customers.join(spent, "c_custkey", "left")
+
+
+def document_rows(spark, d):
+    """Labelled documents with their size, language and source."""
+    docs = table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source")
+    return docs.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
+
+
+def numeric_fill(spark, d):
+    return rounded(M.numeric_fill(customer_rows(spark, d), NUMERIC), 4)
+
+
+def category_fill(spark, d):
+    return M.category_fill(customer_rows(spark, d), CATEGORICAL)
+
+
+def class_weights(spark, d):
+    return rounded(typed(M.class_weights(customer_rows(spark, d), "label")))
+
+
+def stratified_split(spark, d):
+    rows = customer_rows(spark, d).select("c_custkey", "label")
+    train, test = M.stratified_split(rows, "label", "c_custkey")
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+def split_column(spark, d):
+    rows = customer_rows(spark, d).select("c_custkey", "label")
+    return M.with_split(rows, "label", "c_custkey")
+
+
+def stratified_folds(spark, d):
+    rows = customer_rows(spark, d).select("c_custkey", "label")
+    return typed(M.with_folds(rows, "label", "c_custkey"))
+
+
+def forest_scores(spark, d):
+    """Fit on labelled documents and score them."""
+    rows = document_rows(spark, d)
+    model = M.fit_forest(rows, "quality", ["n_chars"], ["lang", "source"], trees=20, depth=6)
+    return M.score(model, rows, ["doc_id"])
+
+
+def grid_search(spark, d):
+    rows = document_rows(spark, d)
+    found = M.grid_search(rows, "quality", "doc_id", ["n_chars"], ["lang", "source"], {"numTrees": [10], "maxDepth": [3, 6]})
+    table_ = [
+        (int(p[k]), float(m)) for p, m in zip(found.getEstimatorParamMaps(), found.avgMetrics) for k in p if k.name == "maxDepth"
+    ]
+    return spark.createDataFrame(table_, "max_depth bigint, mean_roc_auc double")
+
+
+def training_run(spark, d):
+    """Clean, normalize, split, search, evaluate, save the model and append the run."""
+    path = new_path(spark, "runs")
+    T.train_and_record(
+        document_rows(spark, d), "quality", "doc_id", ["n_chars"], ["lang", "source"], dataset="documents",
+        runs_path=path, model_path=new_path(spark, "model"), grid={"numTrees": [10], "maxDepth": [5]}, folds=3,
+    )
+    return runs.latest_run(runs.read_runs(spark, path))
+
+
+def random_split_evaluation(spark, d):
+    scored, _ = T.random_split_evaluation(customer_rows(spark, d), "label", "c_custkey", NUMERIC, CATEGORICAL, 10, 5)
+    return classification_metrics(scored, [], "label", "probability", "prediction")
+
+
+def batch_scoring(spark, d):
+    """Score every customer, with one required feature absent and filled in."""
+    rows = customer_rows(spark, d).withColumn("extra", F.lit(1))
+    model = M.fit_forest(rows, "label", [*NUMERIC, "extra"], CATEGORICAL, trees=10, depth=5)
+    return M.score_aligned(model, rows.drop("extra"), "c_custkey", [*NUMERIC, "extra"], CATEGORICAL)
+
+
+def model_concept_drift(spark, d):
+    panel = order_panel(spark, d)
+    ref, cur = panel.filter("period = 1995"), panel.filter("period = 2001")
+    model = M.fit_forest(ref, "urgent", ["o_totalprice", "o_custkey"], ["o_orderstatus"], trees=10, depth=6)
+    return R.concept_drift_of_model(model, ref, cur, "urgent")
+
+
+def random_sample(spark, d):
+    return M.random_rows(table(spark, d, "customer").select("c_custkey"), 20, "c_custkey", seed=1)
+
+
+def perturbed_sample(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    return M.perturbed_rows(rows, 30, "c_custkey", ["c_acctbal", "absent"], seed=1)
+
+
+def panel_comparison(spark, d):
+    """Two order panels: all customers' orders, and the same with redrawn customers."""
+    rows = order_panel(spark, d).drop("o_orderpriority")
+    shape = dict(period="period", label="urgent", key="o_orderkey", numeric=["o_totalprice"], categorical=["o_orderstatus"], measure="o_totalprice")
+    a = X.Panel("original", rows, entity=None, most_splits=2, **shape)
+    b = X.Panel("continuous", rows.filter("o_orderstatus <> 'P'"), entity="o_custkey", most_splits=2, **shape)
+    facts, card = X.compare_panels(a, b, table(spark, d, "orders"), trees=5, depth=4)
+    return card
+
+
+QUERIES = {
+    "numeric_fill": numeric_fill,
+    "category_fill": category_fill,
+    "class_weights": class_weights,
+    "stratified_split": stratified_split,
+    "split_column": split_column,
+    "stratified_folds": stratified_folds,
+    "forest_scores": forest_scores,
+    "grid_search": grid_search,
+    "training_run": training_run,
+    "random_split_evaluation": random_split_evaluation,
+    "batch_scoring": batch_scoring,
+    "model_concept_drift": model_concept_drift,
+    "random_sample": random_sample,
+    "perturbed_sample": perturbed_sample,
+    "panel_comparison": panel_comparison,
+}
+
+_CUSTOMERS = """WITH c AS (SELECT c_custkey, c_acctbal AS balance, CASE WHEN c_nationkey <> 0 THEN c_nationkey::VARCHAR END AS nation,
+   CASE WHEN c_mktsegment = 'BUILDING' THEN 'Yes' ELSE 'No' END AS label, o.* EXCLUDE (k) FROM customer LEFT JOIN
+   (SELECT o_custkey AS k, count(*) AS n_orders, sum(o_totalprice) AS total_price, max(o_totalprice) AS largest FROM orders GROUP BY 1) o ON o.k = c_custkey)"""
+
+
+def _fill(column: str) -> str:
+    return f"""SELECT '{column}' AS feature, (SELECT median({column}) FROM c) AS median, avg(coalesce({column}, (SELECT median({column}) FROM c))) AS mean,
+      stddev_pop(coalesce({column}, (SELECT median({column}) FROM c))) AS std_pop, count(*) FILTER ({column} IS NULL) AS n_missing FROM c"""
+
+
+_RANKED = f"""r AS (SELECT c_custkey, label, row_number() OVER (PARTITION BY label ORDER BY {order_of("c_custkey", "42")}, c_custkey) AS k, count(*) OVER (PARTITION BY label) AS n FROM c)"""
+
+SQL = {
+    "numeric_fill": f"""{_CUSTOMERS}, f AS ({" UNION ALL ".join(_fill(c) for c in NUMERIC)})
+        SELECT feature, round(median, 4) AS median, round(mean, 4) AS mean, round(std_pop, 4) AS std_pop, n_missing FROM f""",
+    "category_fill": f"""{_CUSTOMERS} SELECT 'nation' AS feature, nation AS mode, count(*) AS n FROM c WHERE nation IS NOT NULL GROUP BY nation ORDER BY n DESC, mode LIMIT 1""",
+    "class_weights": f"""{_CUSTOMERS} SELECT CASE label WHEN 'Yes' THEN 1::BIGINT ELSE 0 END AS label, count(*) AS n, round((SELECT count(*) FROM c) / (2 * count(*)), 6) AS weight FROM c GROUP BY c.label""",
+    "stratified_split": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, CASE WHEN k <= floor(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS part FROM r""",
+    "split_column": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, k <= floor(n * 0.2::DOUBLE) AS is_test FROM r""",
+    "stratified_folds": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, k % 3 AS fold FROM r""",
+    "random_sample": f"SELECT c_custkey FROM customer ORDER BY {order_of('c_custkey', '1')}, c_custkey LIMIT 20",
+    "perturbed_sample": f"""WITH s AS (SELECT c_custkey, c_acctbal FROM customer ORDER BY {order_of("c_custkey", "1")}, c_custkey LIMIT 30)
+        SELECT c_custkey, CAST(trunc(c_acctbal + sqrt(-2 * ln(greatest({draw("c_custkey", "1c_acctbala")}, 1e-12))) * cos(2 * pi() * {draw("c_custkey", "1c_acctbalb")}) * 0.05::DOUBLE
+        * (SELECT stddev_samp(c_acctbal) FROM s)) AS BIGINT) AS c_acctbal FROM s""",
+}

@@ -134,8 +134,11 @@ SQL = {
     "normalize_frame": f"""{_MESSY} SELECT o_orderkey, o_orderstatus, mixed, round(CAST(trim(padded) AS DOUBLE), 4) AS padded, suffixed, round(price, 4) AS price,
         CASE WHEN even THEN 'True' ELSE 'False' END AS even, round(half, 4) AS half FROM m""",
     "normalize_for_ml": f"{_MESSY} SELECT o_orderkey, even, CAST(trim(padded) AS DOUBLE) AS padded, round(half, 4) AS half FROM m",
-    "consistency_issues": """SELECT * FROM (VALUES ('half', 'missing_in_second', 'float', NULL), ('extra', 'missing_in_first', NULL, 'int'),
-        ('suffixed', 'type_mismatch', 'float,int,str', 'int')) AS t("column", issue, classes1, classes2)""",
+    "consistency_issues": f"""{_MESSY}, {_CLASSES}, first_ AS (SELECT "column", string_agg(DISTINCT class, ',' ORDER BY class) AS c FROM cl WHERE class IS NOT NULL GROUP BY 1),
+        second_ AS (SELECT "column", string_agg(DISTINCT class, ',' ORDER BY class) AS c FROM (
+          SELECT * FROM cl WHERE "column" NOT IN ('half', 'suffixed') UNION ALL SELECT 'suffixed', 'int' FROM m UNION ALL SELECT 'extra', 'int' FROM m) WHERE class IS NOT NULL GROUP BY 1)
+        SELECT coalesce(a."column", b."column") AS "column", CASE WHEN b."column" IS NULL THEN 'missing_in_second' WHEN a."column" IS NULL THEN 'missing_in_first' ELSE 'type_mismatch' END AS issue,
+        a.c AS classes1, b.c AS classes2 FROM first_ a FULL JOIN second_ b ON a."column" = b."column" WHERE a.c IS DISTINCT FROM b.c""",
     "normalization_report": f"""{_MESSY} SELECT 'o_orderkey' AS "column", 'bigint' AS type_before, 'bigint' AS type_after, count(*) AS n_values, 0::BIGINT AS n_changed, 0::BIGINT AS n_lost, FALSE AS was_mixed, FALSE AS type_changed FROM m
         UNION ALL SELECT 'mixed', 'string', 'string', count(mixed), 0, 0, TRUE, FALSE FROM m
         UNION ALL SELECT 'padded', 'string', 'double', count(padded), count(padded), 0, FALSE, TRUE FROM m

@@ -1,2 +1,112 @@
-QUERIES = {}
-SQL = {}
+"""Streaming queries: file streams over the given tables, run to the end of the data."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F, types as T
+
+from tidemark.catalog.bindings import table, typed
+from tidemark.catalog.models import CATEGORICAL, NUMERIC, customer_rows
+from tidemark.operators.model import fit_forest
+from tidemark.operators.profile import category_distribution
+from tidemark.sources.contract import RecordContract
+from tidemark.sources.tables import new_path
+from tidemark.streaming import monitor as M
+from tidemark.streaming import scoring as S
+
+FIELDS = {
+    "c_custkey": T.LongType(), "balance": T.DoubleType(), "n_orders": T.LongType(), "total_price": T.DoubleType(),
+    "largest": T.DoubleType(), "nation": T.StringType(),
+}
+CUSTOMER_CONTRACT = RecordContract(FIELDS, {"n_orders": 0, "total_price": 0.0, "largest": 0.0, "nation": "Unknown"})
+REFERENCE_END = "2024-01-08"
+
+
+def event_stream(spark, d):
+    events = table(spark, d, "events")
+    return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+def reference_events(spark, d):
+    return table(spark, d, "events").filter(F.col("ts") < F.lit(REFERENCE_END).cast("timestamp_ntz"))
+
+
+def finish(query):
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def stream_scoring(spark, d):
+    """Customer records arrive as JSON text; good ones are scored and appended."""
+    rows = customer_rows(spark, d)
+    model = fit_forest(rows, "label", NUMERIC, CATEGORICAL, trees=10, depth=5)
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "scored", "checkpoint"))
+    text = F.to_json(F.struct(*FIELDS))
+    rows.select(F.when(F.col("c_custkey") % 50 == 0, "{broken").otherwise(text).alias("value")).write.text(inbox)
+    records = spark.readStream.schema("value string").text(inbox)
+    scored, _ = S.scored_stream(records, "value", CUSTOMER_CONTRACT, model, "c_custkey", NUMERIC, CATEGORICAL)
+    finish(S.append_stream(scored, out, checkpoint, available_now=True))
+    return spark.read.schema(scored.schema).parquet(out)
+
+
+def stream_quarantine(spark, d):
+    """The same records as a stream of rejects, by reason."""
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "rejected", "checkpoint"))
+    customers = table(spark, d, "customer")
+    text = F.to_json(F.struct(F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey")).alias("c_custkey"), F.col("c_acctbal").alias("balance")))
+    customers.select(F.when(F.col("c_custkey") % 50 == 0, "{broken").otherwise(text).alias("value")).write.text(inbox)
+    _, bad = CUSTOMER_CONTRACT.split(spark.readStream.schema("value string").text(inbox), "value")
+    finish(S.append_stream(bad, out, checkpoint, available_now=True))
+    stored = spark.read.schema(bad.schema).parquet(out)
+    return stored.groupBy(F.concat_ws(",", "problems").alias("reason")).agg(F.count("*").alias("n"))
+
+
+def stream_psi(spark, d):
+    """PSI per day of event values against the first week; closed days only."""
+    sketch = M.ReferenceSketch(reference_events(spark, d), ["value", "user_id"])
+    out, checkpoint = new_path(spark, "psi"), new_path(spark, "checkpoint")
+    psi = M.windowed_psi(event_stream(spark, d), sketch, "ts")
+    finish(S.append_stream(psi, out, checkpoint, available_now=True))
+    stored = spark.read.schema(psi.schema).parquet(out)
+    return typed(stored.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")))
+
+
+def stream_category_shift(spark, d):
+    """Largest share change per day of event types against the first week; closed days only."""
+    shares = category_distribution(reference_events(spark, d), ["event_type"])
+    out, checkpoint = new_path(spark, "shift"), new_path(spark, "checkpoint")
+    finish(M.start_category_monitor(event_stream(spark, d), shares, ["event_type"], "ts", out, checkpoint, available_now=True))
+    stored = spark.read.parquet(out)
+    return stored.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "feature", "max_proportion_change", "severity")
+
+
+QUERIES = {
+    "stream_scoring": stream_scoring,
+    "stream_quarantine": stream_quarantine,
+    "stream_psi": stream_psi,
+    "stream_category_shift": stream_category_shift,
+}
+
+_DAYS = "days AS (SELECT *, CAST(ts AS DATE) AS day FROM events), closed AS (SELECT * FROM days WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events))"
+
+
+def _psi(column: str) -> str:
+    return f"""(WITH ref AS (SELECT {column}::DOUBLE AS v FROM events WHERE ts < TIMESTAMP '2024-01-08'), b AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS nr FROM ref),
+      e AS (SELECT k, lo + ((hi - lo) / 10) * k AS a, CASE WHEN k = 9 THEN hi ELSE lo + ((hi - lo) / 10) * (k + 1) END AS z, nr FROM (SELECT *, unnest(range(0, 10)) AS k FROM b)),
+      rc AS (SELECT k, any_value(a) AS a, any_value(z) AS z, any_value(nr) AS nr, count(v) AS r FROM e LEFT JOIN ref ON v >= a AND (v < z OR (k = 9 AND v <= z)) GROUP BY k),
+      dn AS (SELECT day, count(*) AS nc FROM closed GROUP BY day),
+      cc AS (SELECT dn.day, rc.k, dn.nc, rc.nr, rc.r, count(c.{column}) AS c FROM dn CROSS JOIN rc LEFT JOIN closed c ON c.day = dn.day AND c.{column} >= rc.a AND (c.{column} < rc.z OR (rc.k = 9 AND c.{column} <= rc.z))
+        GROUP BY dn.day, rc.k, dn.nc, rc.nr, rc.r)
+      SELECT day, '{column}' AS feature, nc AS n_rows, sum(((c + 1e-6) / (nc + 1e-5) - (r + 1e-6) / (nr + 1e-5)) * ln(((c + 1e-6) / (nc + 1e-5)) / ((r + 1e-6) / (nr + 1e-5)))) AS psi FROM cc GROUP BY day, nc)"""
+
+
+SQL = {
+    "stream_quarantine": """SELECT CASE WHEN c_custkey % 50 = 0 THEN 'not decodable' ELSE 'missing c_custkey' END AS reason, count(*) AS n FROM customer WHERE c_custkey % 50 = 0 OR c_custkey % 7 = 0 GROUP BY 1""",
+    "stream_psi": f"""WITH {_DAYS}, p AS ({_psi("value")} UNION ALL {_psi("user_id")})
+        SELECT strftime(day, '%Y-%m-%d') AS window_start, feature, n_rows, round_even(psi, 4) AS psi, CASE WHEN psi >= 0.5 THEN 'HIGH' WHEN psi >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS severity FROM p""",
+    "stream_category_shift": f"""WITH {_DAYS}, ref AS (SELECT event_type AS k, count(*) / (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-08') AS p FROM events WHERE ts < TIMESTAMP '2024-01-08' GROUP BY 1),
+        n AS (SELECT day, count(*) AS n FROM closed GROUP BY day), ks AS (SELECT k FROM ref UNION SELECT DISTINCT event_type FROM events),
+        s AS (SELECT n.day, ks.k, coalesce(any_value(ref.p), 0) AS p, count(c.event_type) / any_value(n.n) AS q FROM n CROSS JOIN ks LEFT JOIN ref ON ref.k = ks.k LEFT JOIN closed c ON c.day = n.day AND c.event_type = ks.k GROUP BY n.day, ks.k),
+        m AS (SELECT day, max(abs(q - p)) AS m FROM s GROUP BY day)
+        SELECT strftime(day, '%Y-%m-%d') AS window_start, 'event_type' AS feature, round_even(m, 4) AS max_proportion_change, CASE WHEN m > 0.30 THEN 'HIGH' WHEN m > 0.15 THEN 'MEDIUM' ELSE 'LOW' END AS severity FROM m""",
+}

@@ -41,9 +41,9 @@ class RecordContract:
             default = self.defaults.get(name)
             value = get(name) if default is None else F.coalesce(get(name), F.lit(default).cast(dtype))
             values.append(value.alias(name))
-        broken = F.when(F.col("_parsed").isNull() | get("_corrupt").isNotNull(), F.lit("not decodable"))
+        broken = F.col("_parsed").isNull() | get("_corrupt").isNotNull()
         missing = [F.when(get(n).isNull(), F.lit(f"missing {n}")) for n in self.required]
-        problems = F.array_compact(F.array(broken, *missing))
+        problems = F.when(broken, F.array(F.lit("not decodable"))).otherwise(F.array_compact(F.array(*missing)))
         return df.withColumns({"record": F.struct(*values), "problems": problems}).drop("_parsed")
 
     def split(self, df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
