@@ -77,10 +77,8 @@ def forest_scores(spark, d):
 def grid_search(spark, d):
     rows = document_rows(spark, d)
     found = M.grid_search(rows, "quality", "doc_id", ["n_chars"], ["lang", "source"], {"numTrees": [10], "maxDepth": [3, 6]})
-    table_ = [
-        (int(p[k]), float(m)) for p, m in zip(found.getEstimatorParamMaps(), found.avgMetrics) for k in p if k.name == "maxDepth"
-    ]
-    return spark.createDataFrame(table_, "max_depth bigint, mean_roc_auc double")
+    rows = [(p["maxDepth"], float(area)) for p, area in found.candidates]
+    return spark.createDataFrame(rows, "max_depth bigint, mean_roc_auc double")
 
 
 def training_run(spark, d):

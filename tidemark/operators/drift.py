@@ -11,7 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from tidemark.functions.scalars import as_double, ratio, round_even
+from tidemark.functions.scalars import ratio
+from tidemark.functions.sqltext import name, number, per_feature, text
 from tidemark.operators.order_stats import (
     ROWS_PER_SLICE, cuts_by_feature, running_totals, with_feature_slice,
 )
@@ -26,6 +27,8 @@ CATEGORY_MEDIUM = 0.15
 CATEGORY_HIGH = 0.30
 CRITICAL_ALERTS = 5
 
+MOMENTS = ("mean_reference", "mean_current", "std_reference", "std_current")
+
 # A period column is a coarse time index; more distinct values than this is a wrong column.
 MAX_PERIODS = 10_000
 
@@ -43,24 +46,31 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[st
 
 def long_numeric(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
     """Unpivot numeric columns to (feature, value DOUBLE); missing values are dropped."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    pairs = [
-        F.struct(F.lit(c).alias("feature"), as_double(F.col(c), fields[c]).alias("value")) for c in columns
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    cells = [
+        f"named_struct('feature', {text(c)}, 'value', CAST({f'nanvl({name(c)}, NULL)' if c in floating else name(c)} AS DOUBLE))"
+        for c in columns
     ]
-    empty = F.array().cast("array<struct<feature:string,value:double>>")
-    out = df.select(*keep, F.explode(F.array(*pairs) if pairs else empty).alias("cell"))
-    return out.select(*_names(out, "cell"), "cell.feature", "cell.value").filter("value IS NOT NULL")
+    listed = f"array({', '.join(cells)})" if cells else "CAST(array() AS array<struct<feature:string,value:double>>)"
+    out = df.select(*keep, F.expr(f"inline({listed})"))
+    return out.filter("value IS NOT NULL")
 
 
 def long_categorical(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
     """Unpivot columns as text to (feature, category); booleans read True/False."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    pairs = [
-        F.struct(F.lit(c).alias("feature"), as_text(F.col(c), fields[c]).alias("category")) for c in columns
-    ]
-    empty = F.array().cast("array<struct<feature:string,category:string>>")
-    out = df.select(*keep, F.explode(F.array(*pairs) if pairs else empty).alias("cell"))
-    return out.select(*_names(out, "cell"), "cell.feature", "cell.category").filter("category IS NOT NULL")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def shown(c: str) -> str:
+        if isinstance(kinds[c], T.BooleanType):
+            return f"CASE WHEN {name(c)} THEN 'True' WHEN NOT {name(c)} THEN 'False' END"
+        if isinstance(kinds[c], (T.DoubleType, T.FloatType)):
+            return f"CAST(nanvl({name(c)}, NULL) AS STRING)"
+        return f"CAST({name(c)} AS STRING)"
+
+    cells = [f"named_struct('feature', {text(c)}, 'category', {shown(c)})" for c in columns]
+    listed = f"array({', '.join(cells)})" if cells else "CAST(array() AS array<struct<feature:string,category:string>>)"
+    out = df.select(*keep, F.expr(f"inline({listed})"))
+    return out.filter("category IS NOT NULL")
 
 
 def as_text(column: Column, dtype: T.DataType) -> Column:
@@ -71,10 +81,6 @@ def as_text(column: Column, dtype: T.DataType) -> Column:
     return column.cast("string")
 
 
-def _names(df: DataFrame, *without: str) -> list[str]:
-    return [c for c in df.columns if c not in without]
-
-
 def _both_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], unpivot) -> DataFrame:
     """Long rows of both tables with 0/1 measures n_ref and n_cur."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
@@ -85,31 +91,19 @@ def _both_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]
 
 def numeric_profile(rows: DataFrame) -> dict[str, Row]:
     """Bounds, moments and row counts per feature: one driver row per monitored column."""
-    ref = F.when(F.col("n_ref") > 0, F.col("value"))
-    cur = F.when(F.col("n_cur") > 0, F.col("value"))
-    found = rows.groupBy("feature").agg(
-        F.count("*").alias("rows"), F.min(ref).alias("lo"), F.max(ref).alias("hi"),
-        F.avg(ref).alias("mean_reference"), F.avg(cur).alias("mean_current"),
-        F.stddev_samp(ref).alias("std_reference"), F.stddev_samp(cur).alias("std_current"),
-    )
+    found = rows.groupBy("feature").agg(*[F.expr(e) for e in (
+        "count(*) AS rows",
+        "min(value) FILTER (WHERE n_ref > 0) AS lo", "max(value) FILTER (WHERE n_ref > 0) AS hi",
+        "avg(value) FILTER (WHERE n_ref > 0) AS mean_reference", "avg(value) FILTER (WHERE n_cur > 0) AS mean_current",
+        "stddev_samp(value) FILTER (WHERE n_ref > 0) AS std_reference",
+        "stddev_samp(value) FILTER (WHERE n_cur > 0) AS std_current",
+    )])
     return {r["feature"]: r for r in found.collect()}
 
 
-def looked_up(profile: dict[str, Row], name: str) -> Column:
-    """A profile entry of the row's feature as a constant."""
-    out = F.lit(None).cast("double")
-    for feature, row in profile.items():
-        out = F.when(F.col("feature") == feature, F.lit(row[name]).cast("double")).otherwise(out)
-    return out
-
-
-def binned(profile: dict[str, Row], bins: int) -> Column:
-    """Bin number of `value` in its feature's reference range."""
-    out = F.lit(None).cast("int")
-    for feature, row in profile.items():
-        if row["lo"] is not None:
-            out = F.when(F.col("feature") == feature, bin_index(F.col("value"), row["lo"], row["hi"], bins)).otherwise(out)
-    return out
+def looked_up(profile: dict[str, Row], entry: str) -> str:
+    """A profile entry of the row's feature as SQL text."""
+    return per_feature({f: number(r[entry]) for f, r in profile.items()}, "CAST(NULL AS DOUBLE)")
 
 
 def bin_edges(lo: float, hi: float, bins: int) -> list[float]:
@@ -120,35 +114,42 @@ def bin_edges(lo: float, hi: float, bins: int) -> list[float]:
     return [lo + step * k for k in range(bins)] + [hi]
 
 
-def bin_index(value: Column, lo: float, hi: float, bins: int) -> Column:
-    """Equal-width bin 0..bins-1 on [lo, hi], last bin closed; NULL outside."""
-    edges = bin_edges(lo, hi, bins)
-    found = F.lit(0)
-    for edge in edges[1:-1]:
-        found = found + (value >= F.lit(edge)).cast("int")
-    return F.when((value >= F.lit(edges[0])) & (value <= F.lit(edges[-1])), found)
+def bin_of_feature(bounds: dict[str, tuple[float, float]], bins: int) -> Column:
+    """Equal-width bin 0..bins-1 of `value` on its feature's range, last bin closed; NULL outside."""
+    found = {}
+    for feature, (lo, hi) in bounds.items():
+        edges = [number(e) for e in bin_edges(lo, hi, bins)]
+        reached = " + ".join(["0"] + [f"CAST(value >= {e} AS INT)" for e in edges[1:-1]])
+        found[feature] = f"CASE WHEN value >= {edges[0]} AND value <= {edges[-1]} THEN {reached} END"
+    return F.expr(per_feature(found, "CAST(NULL AS INT)"))
+
+
+def binned(profile: dict[str, Row], bins: int) -> Column:
+    return bin_of_feature({f: (r["lo"], r["hi"]) for f, r in profile.items() if r["lo"] is not None}, bins)
+
+
+def bin_counts(bins: int) -> list[Column]:
+    """Aggregates ref_k and cur_k: rows of each side in bin k."""
+    return [
+        F.expr(f"coalesce(sum(n_{side}) FILTER (WHERE bin = {k}), 0) AS {side}_{k}")
+        for k in range(bins) for side in ("ref", "cur")
+    ]
 
 
-def psi_terms(bins: int) -> tuple[list[Column], Column]:
-    """Bin-count aggregates and the index computed from them.
+def psi_of_counts(bins: int) -> Column:
+    """The index from ref_k, cur_k, rows_ref and rows_cur.
 
     Values outside the reference range count in the denominators only.
     """
-    aggregates, terms = [], []
-    for k in range(bins):
-        for side in ("ref", "cur"):
-            hit = F.when(F.col("bin") == k, F.col(f"n_{side}")).otherwise(0)
-            aggregates.append(F.sum(hit).alias(f"{side}_{k}"))
-        p = {
-            side: (F.col(f"{side}_{k}") + PSI_SMOOTHING) / (F.col(f"rows_{side}") + bins * PSI_SMOOTHING)
-            for side in ("ref", "cur")
-        }
-        terms.append((p["cur"] - p["ref"]) * F.ln(p["cur"] / p["ref"]))
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    both = (F.col("rows_ref") > 0) & (F.col("rows_cur") > 0)
-    return aggregates, F.when(both, total)
+    eps, spread = number(PSI_SMOOTHING), number(bins * PSI_SMOOTHING)
+    pairs = ", ".join(
+        f"named_struct('r', (ref_{k} + {eps}) / (rows_ref + {spread}), 'c', (cur_{k} + {eps}) / (rows_cur + {spread}))"
+        for k in range(bins)
+    )
+    return F.expr(
+        f"CASE WHEN rows_ref > 0 AND rows_cur > 0 THEN "
+        f"aggregate(array({pairs}), 0D, (acc, p) -> acc + (p.c - p.r) * ln(p.c / p.r)) END"
+    )
 
 
 def population_stability(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, bins: int = PSI_BINS) -> DataFrame:
@@ -156,25 +157,19 @@ def population_stability(reference: DataFrame, current: DataFrame, columns: Sequ
     columns = columns or feature_columns(reference)[0]
     rows = _both_sides(reference, current, columns, long_numeric)
     profile = numeric_profile(rows.filter("n_ref > 0"))
-    aggregates, psi = psi_terms(bins)
     counted = rows.withColumn("bin", binned(profile, bins)).groupBy("feature").agg(
-        F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"), *aggregates
+        F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"), *bin_counts(bins)
     )
-    return counted.select("feature", psi.alias("psi"))
+    return counted.select("feature", psi_of_counts(bins).alias("psi"))
 
 
-def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
+def ks_pvalue(statistic: str, n_ref: str, n_cur: str) -> Column:
     """Two-sided asymptotic p-value, the Kolmogorov series in effective size n*m/(n+m)."""
-    size = n_ref.cast("double") * n_cur.cast("double") / (n_ref + n_cur).cast("double")
-    lam = F.sqrt(size) * statistic
-    terms = F.transform(
-        F.sequence(F.lit(1), F.lit(100)),
-        lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam),
-    )
-    total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-    return F.when(statistic.isNull(), None).when(lam < 0.2, 1.0).otherwise(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total))
-    )
+    lam = f"sqrt(CAST({n_ref} AS DOUBLE) * {n_cur} / ({n_ref} + {n_cur})) * {statistic}"
+    series = "aggregate(sequence(1, 100), 0D, (acc, k) -> acc + if(k % 2 = 1, 1D, -1D) * exp(-2D * k * k * lam * lam))"
+    value = f"if(lam < 0.2D, 1D, greatest(0D, least(1D, 2D * {series})))"
+    # element_at over a one-element array names the repeated argument.
+    return F.expr(f"CASE WHEN {statistic} IS NOT NULL THEN transform(array({lam}), lam -> {value})[0] END")
 
 
 def numeric_drift(
@@ -214,30 +209,25 @@ def numeric_drift(
     sliced = with_feature_slice(cells.withColumn("bin", binned(profile, bins)), "value", cuts)
     ordered = running_totals(sliced, [*groups, "feature"], "value", ["n_ref", "n_cur"])
 
-    def gap(ref: Column, cur: Column) -> Column:
-        return F.abs(ratio(ref, F.col("total_n_ref")) - ratio(cur, F.col("total_n_cur")))
-
-    here = gap(F.col("cum_n_ref"), F.col("cum_n_cur"))
-    before = gap(F.col("cum_n_ref") - F.col("n_ref"), F.col("cum_n_cur") - F.col("n_cur"))
-    aggregates, psi = psi_terms(bins)
     measured = ordered.groupBy(*groups, "feature").agg(
-        F.max("total_n_ref").alias("rows_ref"), F.max("total_n_cur").alias("rows_cur"),
-        F.max(here).alias("ks_statistic"),
-        F.coalesce(F.sum((F.col("value") - F.col("prev_value")) * before), F.lit(0.0)).alias("area"),
-        *aggregates,
+        *[F.expr(e) for e in (
+            "max(total_n_ref) AS rows_ref", "max(total_n_cur) AS rows_cur",
+            "max(abs(try_divide(cum_n_ref, total_n_ref) - try_divide(cum_n_cur, total_n_cur))) AS ks_statistic",
+            "coalesce(sum((value - prev_value) * abs(try_divide(cum_n_ref - n_ref, total_n_ref) - try_divide(cum_n_cur - n_cur, total_n_cur))), 0D) AS area",
+        )],
+        *bin_counts(bins),
     )
     measured = measured.filter("rows_ref > 0 AND rows_cur > 0")
     if period:
         measured = measured.join(now, [period, "feature"])
-    else:
-        measured = measured.withColumns({c: looked_up(profile, c) for c in ("mean_current", "std_current")})
-    measured = measured.withColumns({c: looked_up(profile, c) for c in ("mean_reference", "std_reference")})
-    span = looked_up(profile, "hi") - looked_up(profile, "lo")
+    moments = ["mean_reference", "std_reference"] + ([] if period else ["mean_current", "std_current"])
+    span = f"({looked_up(profile, 'hi')} - {looked_up(profile, 'lo')})"
     return measured.select(
-        *groups, "feature", "rows_ref", "rows_cur", psi.alias("psi"), "ks_statistic",
-        ks_pvalue(F.col("ks_statistic"), F.col("rows_ref"), F.col("rows_cur")).alias("ks_pvalue"),
-        F.when(span > 0, F.col("area") / span).otherwise(0.0).alias("wasserstein_distance"),
-        "mean_reference", "mean_current", "std_reference", "std_current",
+        *groups, "feature", "rows_ref", "rows_cur", psi_of_counts(bins).alias("psi"), "ks_statistic",
+        ks_pvalue("ks_statistic", "rows_ref", "rows_cur").alias("ks_pvalue"),
+        F.expr(f"if({span} > 0, area / {span}, 0D) AS wasserstein_distance"),
+        *[F.expr(f"{looked_up(profile, m)} AS {m}") for m in moments],
+        *(["mean_current", "std_current"] if period else []),
     )
 
 
@@ -313,24 +303,22 @@ def covariate_shift(
         found = numeric_drift(reference, current, numeric, period=period, rows_per_slice=rows_per_slice)
         severity = numeric_severity(F.col("psi"), F.col("ks_pvalue"), threshold_psi, threshold_ks)
         parts.append(found.select(
-            *groups, "feature", F.lit("numeric").alias("type"),
-            round_even(F.col("psi"), 4).alias("psi"),
-            round_even(F.col("ks_statistic"), 4).alias("ks_statistic"),
-            round_even(F.col("ks_pvalue"), 4).alias("ks_pvalue"),
-            round_even(F.col("wasserstein_distance"), 4).alias("wasserstein_distance"),
-            F.lit(None).cast("double").alias("max_proportion_change"),
-            *[round_even(F.col(c), 2).alias(c) for c in ("mean_reference", "mean_current", "std_reference", "std_current")],
-            severity.alias("severity"),
+            *groups, "feature", *[F.expr(e) for e in (
+                "'numeric' AS type", "bround(psi, 4) AS psi", "bround(ks_statistic, 4) AS ks_statistic",
+                "bround(ks_pvalue, 4) AS ks_pvalue", "bround(wasserstein_distance, 4) AS wasserstein_distance",
+                "CAST(NULL AS DOUBLE) AS max_proportion_change",
+                *[f"bround({c}, 2) AS {c}" for c in MOMENTS],
+            )], severity.alias("severity"),
         ))
     if categorical:
         found = categorical_drift(reference, current, categorical, period=period)
-        missing = F.lit(None).cast("double")
         parts.append(found.select(
-            *groups, "feature", F.lit("categorical").alias("type"),
-            *[missing.alias(c) for c in ("psi", "ks_statistic", "ks_pvalue", "wasserstein_distance")],
-            round_even(F.col("max_proportion_change"), 4).alias("max_proportion_change"),
-            *[missing.alias(c) for c in ("mean_reference", "mean_current", "std_reference", "std_current")],
-            category_severity(F.col("max_proportion_change")).alias("severity"),
+            *groups, "feature", *[F.expr(e) for e in (
+                "'categorical' AS type",
+                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in ("psi", "ks_statistic", "ks_pvalue", "wasserstein_distance")],
+                "bround(max_proportion_change, 4) AS max_proportion_change",
+                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in MOMENTS],
+            )], category_severity(F.col("max_proportion_change")).alias("severity"),
         ))
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return table.withColumn("alert", F.col("severity") != "LOW")

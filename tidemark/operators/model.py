@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.scalars import as_double, hash_hex, label_flag, ratio
+from tidemark.functions.scalars import as_double, hash_hex, hash_uniform, label_flag
+from tidemark.functions.sqltext import name, number, text
 from tidemark.operators.drift import long_categorical, long_numeric
 from tidemark.operators.order_stats import (
     ROWS_PER_SLICE, cuts_by_feature, hash_first, hash_ranked, quantiles_of_cells, running_totals, with_feature_slice,
 )
+from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.shape import align_features
+from tidemark.sources.tables import materialized
 
 # The classifier's settings and the parameter grids.
 TREES = 100
@@ -100,24 +101,23 @@ def with_folds(df: DataFrame, label: str, key: str, folds: int = FOLDS, seed: st
 def feature_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
     """Median fill + standardization of numbers, mode fill + one-hot of categories.
 
-    A category unseen in training becomes the all-zero vector.
+    Fills and scales are constants found by two aggregations over the training
+    rows. A category unseen in training becomes the all-zero vector.
     """
-    stages, parts = [], []
+    columns, parts = [], []
     if numeric:
-        casts = ", ".join(f"cast(`{c}` AS double) AS `{c}_num`" for c in numeric)
-        stages += [
-            SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"),
-            Imputer(strategy="median", inputCols=[f"{c}_num" for c in numeric], outputCols=[f"{c}_full" for c in numeric], relativeError=0.0005),
-            VectorAssembler(inputCols=[f"{c}_full" for c in numeric], outputCol="numbers"),
-            StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        ]
-        parts.append("scaled")
+        found = {r["feature"]: r for r in numeric_fill(train, numeric).collect()}
+        for c in numeric:
+            r = found.get(c)
+            fill, mean, std = (r["median"], r["mean"], r["std_pop"]) if r else (0.0, 0.0, 1.0)
+            columns.append(f"(coalesce(nanvl(cast({name(c)} AS double), NULL), {number(fill)}) - {number(mean)}) / {number(std or 1.0)} AS {name(c + '_scaled')}")
+        parts += [f"{c}_scaled" for c in numeric]
     if categorical:
         modes = {r["feature"]: r["mode"] for r in category_fill(train, categorical).collect()}
-        quoted = {c: modes.get(c, "Unknown").replace("\\", "\\\\").replace("'", "\\'") for c in categorical}
-        fills = ", ".join(f"coalesce(cast(`{c}` AS string), '{quoted[c]}') AS `{c}_text`" for c in categorical)
+        columns += [f"coalesce(cast({name(c)} AS string), {text(modes.get(c, 'Unknown'))}) AS {name(c + '_text')}" for c in categorical]
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")]
+    if categorical:
         stages += [
-            SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"),
             StringIndexer(inputCols=[f"{c}_text" for c in categorical], outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"),
             OneHotEncoder(inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_vector" for c in categorical], dropLast=True),
         ]
@@ -133,9 +133,13 @@ def forest(trees: int = TREES, depth: int = UNLIMITED_DEPTH, min_rows: int = 1,
 
 
 def training_rows(df: DataFrame, label: str, keep: Sequence[str]) -> DataFrame:
-    """Labelled rows with columns `label` and `weight`."""
+    """Labelled rows with columns `label` and `weight`, written once.
+
+    Fitting passes over its rows many times; the written table holds only the
+    columns it needs and spares each pass the plan behind them.
+    """
     rows = df.withColumn("label", label_flag(F.col(label)).cast("double")).filter("label IS NOT NULL")
-    return with_weights(rows.select(*dict.fromkeys([*keep, "label"])), "label")
+    return with_weights(materialized(rows.select(*dict.fromkeys([*keep, "label"])), "training"), "label")
 
 
 def fit_forest(
@@ -146,22 +150,54 @@ def fit_forest(
     return Pipeline(stages=[*feature_stages(rows, numeric, categorical), forest(trees, depth, seed=seed)]).fit(rows)
 
 
+@dataclass
+class GridResult:
+    """The refitted best model, its parameters, and the mean AUC of every candidate."""
+
+    model: PipelineModel
+    params: dict[str, object]
+    candidates: list[tuple[dict[str, object], float]]
+
+
 def grid_search(
     train: DataFrame, label: str, key: str, numeric: Sequence[str], categorical: Sequence[str],
-    grid: dict[str, list] | None = None, folds: int = FOLDS, parallelism: int = 2,
-) -> CrossValidatorModel:
-    """Stratified k-fold search on exact ROC-AUC. Fills and scales are fitted per fold."""
-    rows = with_folds(training_rows(train, label, [key, *numeric, *categorical]), "label", key, folds)
+    grid: dict[str, list] | None = None, folds: int = FOLDS,
+) -> GridResult:
+    """Stratified k-fold search on exact ROC-AUC, then a fit of the best on all rows.
+
+    Fills, scales and category codes are fitted on each fold's training part
+    once; all candidates of a fold then share its written vectors, and are
+    scored and measured in one job.
+    """
+    keep = [key, *numeric, *categorical]
+    rows = materialized(with_folds(training_rows(train, label, keep), "label", key, folds), "folds")
+    names = list(grid or GRID)
+    candidates = [dict(zip(names, values)) for values in product(*(grid or GRID).values())]
+    areas: list[list[float]] = [[] for _ in candidates]
+    for k in range(folds):
+        part = rows.filter(F.col("fold") != k)
+        features = Pipeline(stages=feature_stages(part, numeric, categorical)).fit(part)
+        fitted, held = (
+            materialized(features.transform(r).select("label", "weight", "features"), "vectors")
+            for r in (part, rows.filter(F.col("fold") == k))
+        )
+        scored = None
+        for i, params in enumerate(candidates):
+            model = forest().copy(_params_of(params)).fit(fitted)
+            said = score(model, held, ["label"]).withColumn("candidate", F.lit(i))
+            scored = said if scored is None else scored.unionByName(said)
+        found = classification_metrics(scored, ["candidate"], "label", "probability", "prediction")
+        for r in found.select("candidate", "roc_auc").collect():
+            areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)
+    means = [sum(a) / len(a) if a else 0.0 for a in areas]
+    best = candidates[max(range(len(candidates)), key=means.__getitem__)]
+    stages = [*feature_stages(rows, numeric, categorical), forest().copy(_params_of(best))]
+    return GridResult(Pipeline(stages=stages).fit(rows), best, list(zip(candidates, means)))
+
+
+def _params_of(values: dict[str, object]) -> dict:
     classifier = forest()
-    builder = ParamGridBuilder()
-    for name, values in (grid or GRID).items():
-        builder = builder.addGrid(classifier.getParam(name), values)
-    return CrossValidator(
-        estimator=Pipeline(stages=[*feature_stages(rows, numeric, categorical), classifier]),
-        estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0),
-        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED,
-    ).fit(rows)
+    return {classifier.getParam(name): value for name, value in values.items()}
 
 
 def score(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -190,8 +226,6 @@ def perturbed_rows(df: DataFrame, n: int, key: str, columns: Sequence[str], seed
 
     The noise is a Box-Muller draw from the key hash, hence repeatable.
     """
-    from tidemark.functions.scalars import hash_uniform
-
     sampled = random_rows(df, n, key, seed)
     present = [c for c in columns if c in df.columns]
     spread = sampled.agg(F.struct(*[F.stddev_samp(c).alias(c) for c in present]).alias("s")).scalar()

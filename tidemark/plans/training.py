@@ -64,10 +64,8 @@ def train_and_record(
     train, test = stratified_split(rows, label, key)
     found = grid_search(train, label, key, numeric, categorical, grid, folds)
     if model_path:
-        found.bestModel.write().overwrite().save(model_path)
-    best = max(zip(found.avgMetrics, found.getEstimatorParamMaps()), key=lambda pair: pair[0])[1]
-    params = {p.name: v for p, v in best.items()}
-    scored = materialized(score(found.bestModel, test, [key, label]), "held-out")
-    record = run_record(scored, label, dataset, params)
+        found.model.write().overwrite().save(model_path)
+    scored = materialized(score(found.model, test, [key, label]), "held-out")
+    record = run_record(scored, label, dataset, found.params)
     append_run(record, runs_path)
     return scored

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import ratio, round_even
+from tidemark.functions.sqltext import per_feature
 from tidemark.operators.drift import (
-    PSI_BINS, bin_index, category_severity, long_categorical, long_numeric,
-    numeric_severity, psi_terms,
+    PSI_BINS, bin_counts, bin_of_feature, category_severity, long_categorical, long_numeric,
+    numeric_severity, psi_of_counts,
 )
 
 
@@ -30,17 +31,11 @@ class ReferenceSketch:
         )
         self.counts = {r["feature"]: (r["n"], [r[f"b{k}"] for k in range(bins)]) for r in counted.collect()}
 
-    def bin(self):
-        out = F.lit(None).cast("int")
-        for feature, (lo, hi) in self.bounds.items():
-            out = F.when(F.col("feature") == feature, bin_index(F.col("value"), lo, hi, self.bins)).otherwise(out)
-        return out
+    def bin(self) -> Column:
+        return bin_of_feature(self.bounds, self.bins)
 
-    def constant(self, pick):
-        out = F.lit(0).cast("bigint")
-        for feature, entry in self.counts.items():
-            out = F.when(F.col("feature") == feature, F.lit(pick(entry))).otherwise(out)
-        return out
+    def constant(self, pick) -> Column:
+        return F.expr(per_feature({f: f"{pick(entry)}L" for f, entry in self.counts.items()}, "0L"))
 
 
 def windowed_psi(events: DataFrame, sketch: ReferenceSketch, time: str, length: str = "1 day", late: str = "1 day") -> DataFrame:
@@ -51,14 +46,13 @@ def windowed_psi(events: DataFrame, sketch: ReferenceSketch, time: str, length:
     stamped = events.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", late)
     long = long_numeric(stamped, sketch.numeric, F.col("_time")).withColumn("bin", sketch.bin())
     counted = long.withColumn("n_cur", F.lit(1).cast("bigint")).withColumn("n_ref", F.lit(0).cast("bigint"))
-    aggregates, psi = psi_terms(sketch.bins)
     summed = counted.groupBy(F.window("_time", length).alias("window"), "feature").agg(
-        F.sum("n_cur").alias("rows_cur"), *aggregates
+        F.sum("n_cur").alias("rows_cur"), *bin_counts(sketch.bins)
     )
     reference = {"rows_ref": sketch.constant(lambda e: e[0])}
     for k in range(sketch.bins):
         reference[f"ref_{k}"] = sketch.constant(lambda e, k=k: e[1][k])
-    judged = summed.withColumns(reference).withColumn("psi", psi)
+    judged = summed.withColumns(reference).withColumn("psi", psi_of_counts(sketch.bins))
     return judged.select(
         F.col("window.start").alias("window_start"), "feature", F.col("rows_cur").alias("n_rows"),
         round_even(F.col("psi"), 4).alias("psi"),
