@@ -76,7 +76,7 @@ def forest_scores(spark, d):
 
 def grid_search(spark, d):
     rows = document_rows(spark, d)
-    found = M.grid_search(rows, "quality", "doc_id", ["n_chars"], ["lang", "source"], {"numTrees": [10], "maxDepth": [3, 6]})
+    found = M.grid_search(rows, "quality", "doc_id", ["n_chars"], ["lang", "source"], {"numTrees": [5], "maxDepth": [3, 6]})
     rows = [(p["maxDepth"], float(area)) for p, area in found.candidates]
     return spark.createDataFrame(rows, "max_depth bigint, mean_roc_auc double")
 
@@ -86,7 +86,7 @@ def training_run(spark, d):
     path = new_path(spark, "runs")
     T.train_and_record(
         document_rows(spark, d), "quality", "doc_id", ["n_chars"], ["lang", "source"], dataset="documents",
-        runs_path=path, model_path=new_path(spark, "model"), grid={"numTrees": [10], "maxDepth": [5]}, folds=3,
+        runs_path=path, model_path=new_path(spark, "model"), grid={"numTrees": [5], "maxDepth": [5]}, folds=3,
     )
     return runs.latest_run(runs.read_runs(spark, path))
 

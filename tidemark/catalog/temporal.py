@@ -52,7 +52,7 @@ def day_windows(spark, d):
     return typed(T.day_window_plan(table(spark, d, "orders"), F.col("o_orderdate"), 5))
 
 
-def _fit(trees=10, depth=5):
+def _fit(trees=5, depth=4):
     return V.forest_fit("urgent", NUMERIC, CATEGORICAL, trees, depth)
 
 
@@ -71,7 +71,7 @@ def compare_strategies(spark, d):
 def walk_forward_panel(spark, d):
     """Temporal evaluation of one panel: features exclude period and ids."""
     panel = order_panel(spark, d).drop("o_custkey")
-    fit = V.forest_fit("urgent", ["o_totalprice"], CATEGORICAL, 10, 5)
+    fit = V.forest_fit("urgent", ["o_totalprice"], CATEGORICAL, 5, 4)
     return T.metric_summary(V.walk_forward(panel, "period", "urgent", fit, 4))
 
 

@@ -154,7 +154,7 @@ def psi_of_counts(bins: int) -> Column:
 
 def population_stability(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, bins: int = PSI_BINS) -> DataFrame:
     """PSI per numeric column. Two passes and one tiny shuffle: rows never move."""
-    columns = columns or feature_columns(reference)[0]
+    columns = feature_columns(reference)[0] if columns is None else columns
     rows = _both_sides(reference, current, columns, long_numeric)
     profile = numeric_profile(rows.filter("n_ref > 0"))
     counted = rows.withColumn("bin", binned(profile, bins)).groupBy("feature").agg(
@@ -174,13 +174,14 @@ def ks_pvalue(statistic: str, n_ref: str, n_cur: str) -> Column:
 
 def numeric_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, *,
-    bins: int = PSI_BINS, period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+    bins: int = PSI_BINS, period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True,
 ) -> DataFrame:
     """PSI, KS, Wasserstein and moments of every numeric column, unrounded.
 
-    With `period`, each period of `current` is compared with the whole reference.
+    With `period`, each period of `current` is compared with the whole reference;
+    its current moments take one more pass, which period_moments=False saves.
     """
-    columns = columns or feature_columns(reference)[0]
+    columns = feature_columns(reference)[0] if columns is None else columns
     groups = [period] if period else []
     if period:
         periods = period_values(current, period)
@@ -191,11 +192,10 @@ def numeric_drift(
         # Reference values are counted before they are repeated per period.
         ref_cells = ref.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
         ref_cells = ref_cells.select(tags.alias(period), "*")
-        cur_cells = cur.groupBy(period, "feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-        cells = ref_cells.unionByName(cur_cells).groupBy(period, "feature", "value").agg(
+        cells = ref_cells.unionByName(cur).groupBy(period, "feature", "value").agg(
             F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
         )
-        rows = ref
+        rows = ref.unionByName(cur.drop(period))
         now = cur.groupBy(period, "feature").agg(
             F.avg("value").alias("mean_current"), F.stddev_samp("value").alias("std_current")
         )
@@ -218,8 +218,11 @@ def numeric_drift(
         *bin_counts(bins),
     )
     measured = measured.filter("rows_ref > 0 AND rows_cur > 0")
-    if period:
+    if period and period_moments:
+        # One row per period and feature on both sides.
         measured = measured.join(now, [period, "feature"])
+    elif period:
+        measured = measured.select("*", *[F.expr(f"CAST(NULL AS DOUBLE) AS {c}") for c in ("mean_current", "std_current")])
     moments = ["mean_reference", "std_reference"] + ([] if period else ["mean_current", "std_current"])
     span = f"({looked_up(profile, 'hi')} - {looked_up(profile, 'lo')})"
     return measured.select(
@@ -255,9 +258,8 @@ def category_shares(
         ref = long_categorical(reference, columns, one.alias("n_ref"), zero.alias("n_cur"))
         cur = long_categorical(current, columns, F.col(period), zero.alias("n_ref"), one.alias("n_cur"))
         ref_cells = ref.groupBy("feature", "category").agg(*counts).select(tags.alias(period), "*")
-        cur_cells = cur.groupBy(period, "feature", "category").agg(*counts)
         keys = [period, "feature"]
-        cells = ref_cells.unionByName(cur_cells).groupBy(*keys, "category").agg(*counts)
+        cells = ref_cells.unionByName(cur).groupBy(*keys, "category").agg(*counts)
     else:
         keys = ["feature"]
         rows = _both_sides(reference, current, columns, long_categorical)
@@ -289,7 +291,7 @@ def covariate_shift(
     reference: DataFrame, current: DataFrame, *,
     numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
     exclude: Sequence[str] = (), threshold_psi: float = PSI_ALERT, threshold_ks: float = KS_ALERT,
-    period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+    period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True,
 ) -> DataFrame:
     """The drift table: one row per feature present in both tables, rounded for reporting."""
     skip = [*exclude, *([period] if period else [])]
@@ -300,7 +302,7 @@ def covariate_shift(
     groups = [F.col(period)] if period else []
     parts = []
     if numeric or not categorical:
-        found = numeric_drift(reference, current, numeric, period=period, rows_per_slice=rows_per_slice)
+        found = numeric_drift(reference, current, numeric, period=period, rows_per_slice=rows_per_slice, period_moments=period_moments)
         severity = numeric_severity(F.col("psi"), F.col("ks_pvalue"), threshold_psi, threshold_ks)
         parts.append(found.select(
             *groups, "feature", *[F.expr(e) for e in (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import product
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -12,6 +13,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.concurrent import run_all
 from tidemark.functions.scalars import as_double, hash_hex, hash_uniform, label_flag
 from tidemark.functions.sqltext import name, number, text
 from tidemark.operators.drift import long_categorical, long_numeric
@@ -181,11 +183,12 @@ def grid_search(
             materialized(features.transform(r).select("label", "weight", "features"), "vectors")
             for r in (part, rows.filter(F.col("fold") == k))
         )
-        scored = None
-        for i, params in enumerate(candidates):
-            model = forest().copy(_params_of(params)).fit(fitted)
-            said = score(model, held, ["label"]).withColumn("candidate", F.lit(i))
-            scored = said if scored is None else scored.unionByName(said)
+
+        def scored_candidate(i: int, fitted=fitted, held=held) -> DataFrame:
+            model = forest().copy(_params_of(candidates[i])).fit(fitted)
+            return score(model, held, ["label"]).withColumn("candidate", F.lit(i))
+
+        scored = reduce(DataFrame.unionByName, run_all([partial(scored_candidate, i) for i in range(len(candidates))]))
         found = classification_metrics(scored, ["candidate"], "label", "probability", "prediction")
         for r in found.select("candidate", "roc_auc").collect():
             areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)

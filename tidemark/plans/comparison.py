@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.concurrent import run_all
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.profile import baseline_deviation, entity_continuity, label_stability
 from tidemark.operators.temporal import LEAKAGE_GAP, metric_summary
@@ -14,6 +16,7 @@ from tidemark.operators.drift import period_values
 from tidemark.plans.report import first_last_drift
 from tidemark.plans.training import random_split_evaluation
 from tidemark.plans.validation import forest_fit, walk_forward
+from tidemark.sources.tables import materialized
 
 # Points per criterion of the scorecard.
 POINTS_LEAKAGE = 2
@@ -87,7 +90,6 @@ def scorecard(facts: DataFrame, first: str, second: str) -> DataFrame:
 
 def compare_panels(a: Panel, b: Panel, baseline: DataFrame, trees: int = 100, depth: int = 10) -> tuple[DataFrame, DataFrame]:
     """(facts per panel, scorecard)."""
-    from tidemark.sources.tables import materialized
-
-    facts = materialized(panel_facts(a, baseline, trees, depth).unionByName(panel_facts(b, baseline, trees, depth)), "facts")
+    facts = run_all([partial(panel_facts, p, baseline, trees, depth) for p in (a, b)])
+    facts = materialized(facts[0].unionByName(facts[1]), "facts")
     return facts, scorecard(facts, a.name, b.name)

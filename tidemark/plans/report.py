@@ -101,7 +101,7 @@ def drift_timeline(
     """
     table = covariate_shift(
         reference, current, numeric=numeric, categorical=categorical, exclude=exclude, period=period,
-        rows_per_slice=rows_per_slice,
+        rows_per_slice=rows_per_slice, period_moments=False,
     )
     counted = table.groupBy(period).agg(
         F.count("*").alias("features"), F.count_if("alert").alias("covariate_alerts"),

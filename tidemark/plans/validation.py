@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.concurrent import run_all
 from tidemark.functions.scalars import label_flag
 from tidemark.operators.drift import period_values
 from tidemark.operators.metrics import classification_metrics
@@ -37,16 +39,17 @@ def plan_of(periods: list, n_splits: int, strategy: str) -> list[tuple[list, obj
 def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int = 5, strategy: str = "expanding") -> DataFrame:
     """One row per split: sizes and the four metrics.
 
-    The driver loops over the few splits; each fit and each scoring is a Spark
-    job. Scored test rows are written once and measured together in one job.
+    The few splits are independent, so their fits are submitted side by side.
+    Scored test rows are written once and measured together in one job.
     """
-    scored = None
-    for i, (train_periods, test_period) in enumerate(plan_of(period_values(df, period), n_splits, strategy)):
+    def scored_split(i: int, train_periods: list, test_period) -> DataFrame:
         model = fit(df.filter(F.col(period).isin(*train_periods)))
         tested = score(model, df.filter(F.col(period) == F.lit(test_period)), [period, label])
-        tested = tested.withColumns({"split": F.lit(i + 1), "train_periods": F.lit(len(train_periods))})
-        scored = tested if scored is None else scored.unionByName(tested)
-    scored = materialized(scored, "walk")
+        return tested.withColumns({"split": F.lit(i + 1), "train_periods": F.lit(len(train_periods))})
+
+    plan = plan_of(period_values(df, period), n_splits, strategy)
+    splits = run_all([partial(scored_split, i, *split) for i, split in enumerate(plan)])
+    scored = materialized(reduce(DataFrame.unionByName, splits), "walk")
     metrics = classification_metrics(scored, ["split"], label, "probability", "prediction")
     # One row per split on both sides.
     info = scored.groupBy("split").agg(
@@ -60,11 +63,12 @@ def fold_metrics(df: DataFrame, label: str, key: str, fit: Fit, folds: int) -> D
     """The random-split baseline: stratified folds, metrics per fold."""
     usable = df.filter(label_flag(F.col(label)).isNotNull())
     placed = materialized(with_folds(usable, label, key, folds), "folds")
-    scored = None
-    for k in range(folds):
+
+    def scored_fold(k: int) -> DataFrame:
         model = fit(placed.filter(F.col("fold") != k))
-        tested = score(model, placed.filter(F.col("fold") == k), ["fold", label])
-        scored = tested if scored is None else scored.unionByName(tested)
+        return score(model, placed.filter(F.col("fold") == k), ["fold", label])
+
+    scored = reduce(DataFrame.unionByName, run_all([partial(scored_fold, k) for k in range(folds)]))
     return classification_metrics(materialized(scored, "fold-scores"), ["fold"], label, "probability", "prediction")
 
 
