@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 PARALLELISM = 4
 
@@ -14,5 +15,6 @@ def run_all(jobs: Sequence[Callable[[], object]], parallelism: int = PARALLELISM
     """Results of the jobs in order. The threads only wait; the work is on the executors."""
     if len(jobs) < 2 or parallelism < 2:
         return [job() for job in jobs]
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(lambda job: inheritable_thread_target(job)(), list(jobs), chunksize=1)
+        return pool.map(lambda job: inherit(job)(), list(jobs), chunksize=1)
