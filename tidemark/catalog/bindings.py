@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.tables import read_table
@@ -46,10 +48,13 @@ def order_panel(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def scored_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with a label, a score, a class and the ship year."""
+def scored_lines(spark: SparkSession, folder: str, *years: int) -> DataFrame:
+    """Line items (of some years) with a label, a score, a class and the ship year."""
     score = F.col("l_quantity") / 50 + F.when(F.col("l_returnflag") == "R", 0.2).otherwise(0.0)
-    return table(spark, folder, "lineitem").select(
+    lines = table(spark, folder, "lineitem")
+    if years:
+        lines = reduce(DataFrame.unionByName, [in_year(lines, "l_shipdate", y) for y in years])
+    return lines.select(
         F.year("l_shipdate").cast("bigint").alias("period"),
         F.when(F.col("l_returnflag") == "R", "Yes").otherwise("No").alias("label"),
         score.alias("score"), (score >= 0.6).cast("int").alias("prediction"),

@@ -86,8 +86,7 @@ def covariate_shift_injected(spark, d):
 
 
 def concept_drift(spark, d):
-    scored = scored_lines(spark, d)
-    ref, cur = scored.filter("period = 1995"), scored.filter("period = 2001")
+    ref, cur = scored_lines(spark, d, 1995), scored_lines(spark, d, 2001)
     return R.concept_drift(ref, cur, "label", "score", "prediction")
 
 

@@ -34,7 +34,7 @@ def classification_report(spark, d):
 
 
 def metric_decay(spark, d):
-    scored = scored_lines(spark, d).filter("period IN (1995, 2000)").withColumn(
+    scored = scored_lines(spark, d, 1995, 2000).withColumn(
         "side", F.when(F.col("period") == 1995, "reference").otherwise("current")
     )
     found = M.decay_of_sides(M.classification_metrics(scored, ["side"], "label", "score", "prediction"), [])

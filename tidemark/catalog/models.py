@@ -166,7 +166,7 @@ SQL = {
     "class_weights": f"""{_CUSTOMERS} SELECT CASE label WHEN 'Yes' THEN 1::BIGINT ELSE 0 END AS label, count(*) AS n, round((SELECT count(*) FROM c) / (2 * count(*)), 6) AS weight FROM c GROUP BY c.label""",
     "stratified_split": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, CASE WHEN k <= floor(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS part FROM r""",
     "split_column": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, k <= floor(n * 0.2::DOUBLE) AS is_test FROM r""",
-    "stratified_folds": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, k % 3 AS fold FROM r""",
+    "stratified_folds": f"""{_CUSTOMERS}, {_RANKED} SELECT c_custkey, label, CASE WHEN k <= floor(n / 3) THEN 0::BIGINT WHEN k <= floor(n * 2 / 3) THEN 1 ELSE 2 END AS fold FROM r""",
     "random_sample": f"SELECT c_custkey FROM customer ORDER BY {order_of('c_custkey', '1')}, c_custkey LIMIT 20",
     "perturbed_sample": f"""WITH s AS (SELECT c_custkey, c_acctbal FROM customer ORDER BY {order_of("c_custkey", "1")}, c_custkey LIMIT 30)
         SELECT c_custkey, CAST(trunc(c_acctbal + sqrt(-2 * ln(greatest({draw("c_custkey", "1c_acctbala")}, 1e-12))) * cos(2 * pi() * {draw("c_custkey", "1c_acctbalb")}) * 0.05::DOUBLE

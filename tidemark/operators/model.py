@@ -18,7 +18,7 @@ from tidemark.functions.scalars import as_double, hash_hex, hash_uniform, label_
 from tidemark.functions.sqltext import name, number, text
 from tidemark.operators.drift import long_categorical, long_numeric
 from tidemark.operators.order_stats import (
-    ROWS_PER_SLICE, cuts_by_feature, hash_first, hash_ranked, quantiles_of_cells, running_totals, with_feature_slice,
+    ROWS_PER_SLICE, cuts_by_feature, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
 )
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.shape import align_features
@@ -81,23 +81,27 @@ def with_weights(df: DataFrame, label: str) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE, seed: str | int = SEED) -> tuple[DataFrame, DataFrame]:
     """(train, test) with exactly floor(n * share) test rows of each class, by key hash.
 
-    The test rows are cut out by hash position; the rest is found by anti join
-    on the key, which must be unique.
+    Both are filters on the table: no row is shuffled or joined to another.
     """
-    test = hash_first(df, [label], hash_hex(F.col(key), seed=seed), [key], F.floor(F.col("group_rows") * test_share))
-    return df.join(test.select(key), key, "left_anti"), test
+    marked = with_split(df, label, key, test_share, seed)
+    return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
 
 
 def with_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE, seed: str | int = SEED) -> DataFrame:
-    """The same split as a column: is_test."""
-    ranked = hash_ranked(df, [label], hash_hex(F.col(key), seed=seed), [key])
-    return ranked.withColumn("is_test", F.col("rank") <= F.floor(F.col("group_rows") * test_share)).drop("rank", "group_rows")
+    """The split as a column: is_test."""
+    placed = with_cutoffs(df, [label], hash_hex(F.col(key), seed=seed), [key], [F.floor(F.col("group_rows") * test_share)])
+    inside = F.coalesce(F.col("place") <= F.col("cut_0"), F.lit(False))
+    return placed.withColumn("is_test", inside).select(*df.columns, "is_test")
 
 
 def with_folds(df: DataFrame, label: str, key: str, folds: int = FOLDS, seed: str | int = SEED) -> DataFrame:
-    """Stratified fold number 0..folds-1 per row."""
-    ranked = hash_ranked(df, [label], hash_hex(F.col(key), seed=seed), [key])
-    return ranked.withColumn("fold", (F.col("rank") % folds).cast("int")).drop("rank", "group_rows")
+    """Stratified fold number 0..folds-1: equal stretches of each class in hash order."""
+    wanted = [F.floor(F.col("group_rows") * F.lit(k) / folds) for k in range(1, folds)]
+    placed = with_cutoffs(df, [label], hash_hex(F.col(key), seed=seed), [key], wanted)
+    passed = F.lit(0)
+    for i in range(len(wanted)):
+        passed = passed + F.when(F.col(f"cut_{i}").isNull() | (F.col("place") > F.col(f"cut_{i}")), 1).otherwise(0)
+    return placed.withColumn("fold", passed).select(*df.columns, "fold")
 
 
 def feature_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:

@@ -14,15 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Most slices one sorted column is cut into, and the rows one slice should hold.
-MAX_SLICES = 2048
+MAX_SLICES = 8192
 ROWS_PER_SLICE = 1_000_000
 
 # Rows drawn per slice to place the cuts, and the plan size that needs no cuts.
 SAMPLE_PER_SLICE = 2_000
 SMALL_BYTES = 64 << 20
 
-# Most rows of a slice table that is broadcast.
-MAX_BROADCAST_ROWS = 1 << 18
+# Most rows of a cut-off table that is broadcast.
+MAX_BROADCAST_ROWS = 1 << 16
 
 
 def looks_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
@@ -184,11 +184,6 @@ def quantiles_of_cells(ranked: DataFrame, keys: Sequence[str], fractions: dict[s
     )
 
 
-def _groups_within(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """True when the keys take at most `limit` distinct combinations."""
-    return not keys or df.select(*keys).distinct().limit(limit + 1).count() <= limit
-
-
 def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], digits: int = 3) -> DataFrame:
     """Exact 1-based rank inside `keys` by an evenly spread hex text such as an md5.
 
@@ -214,37 +209,61 @@ def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence
     )
 
 
-def hash_first(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Column, digits: int = 3) -> DataFrame:
-    """The first `wanted` rows of each key by an evenly spread hex text, exactly.
+def hash_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int = 3) -> DataFrame:
+    """Per key the position (hex, tie) of its wanted-th row by an evenly spread hex text.
 
-    `wanted` may use `group_rows`. Only the one hash slice that the limit cuts
-    through is sorted; all rows of earlier slices pass without a shuffle.
+    Columns cut_0, cut_1, ... hold structs, NULL where less than one row is
+    wanted. `wanted` may use `group_rows`. Rows are counted per leading hex
+    digits first; only the slices that a cut falls into are sorted, and of
+    those only the key columns.
     """
-    keys = list(keys)
-    columns = df.columns
-    tagged = df.withColumn("_hex", order).withColumn("_lead", F.substring("_hex", 1, digits))
-    leads = tagged.groupBy(*keys, "_lead").agg(F.count("*").alias("_n"))
+    keys, tie = list(keys), list(tie)
+    place = F.struct(F.col("_hex").alias("hex"), *tie)
+    narrow = df.select(*keys, *[t for t in tie if t not in keys], order.alias("_hex")).withColumn(
+        "_lead", F.substring("_hex", 1, digits)
+    )
+    leads = narrow.groupBy(*keys, "_lead").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_lead")
-    marked = leads.select(
-        *keys,
-        "_lead",
+    counted = leads.select(
+        *keys, "_lead", "_n",
         (F.sum("_n").over(before) - F.col("_n")).alias("_offset"),
-        F.col("_n"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias("group_rows"),
-    ).withColumn("_wanted", wanted.cast("bigint"))
-    # One row per slice that takes part: whole slices, or the cut one with what it still owes.
-    taken = marked.filter("_offset < _wanted").select(
-        *keys, "_lead", (F.col("_wanted") - F.col("_offset")).alias("_owed"), "_n"
     )
-    # 16**digits rows per group; broadcast only when that product is known to be small.
-    bound = _groups_within(df, keys, MAX_BROADCAST_ROWS // 16**digits)
-    reached = tagged.join(F.broadcast(taken) if bound else taken, [*keys, "_lead"])
-    whole = reached.filter("_n <= _owed").select(*columns)
+    asked = F.posexplode(F.array(*[w.cast("bigint") for w in wanted])).alias("_cut", "_wanted")
+    owed = counted.select("*", asked).filter("_offset < _wanted AND _wanted <= _offset + _n").select(
+        *keys, "_lead", "_cut", (F.col("_wanted") - F.col("_offset")).alias("_owed")
+    )
+    # One row per cut (and group).
+    cut_slices = owed.select(*keys, "_lead").distinct()
     local = Window.partitionBy(*keys, "_lead").orderBy("_hex", *tie)
-    cut = (
-        reached.filter("_n > _owed")
-        .withColumn("_local", F.row_number().over(local))
-        .filter("_local <= _owed")
-        .select(*columns)
+    placed = narrow.join(F.broadcast(cut_slices) if not keys else cut_slices, [*keys, "_lead"], "left_semi").withColumn(
+        "_owed", F.row_number().over(local).cast("bigint")
     )
-    return whole.unionByName(cut)
+    found = placed.join(owed, [*keys, "_lead", "_owed"])
+    cuts = [F.max(F.when(F.col("_cut") == i, place)).alias(f"cut_{i}") for i in range(len(wanted))]
+    return found.groupBy(*keys).agg(*cuts)
+
+
+def with_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int = 3) -> DataFrame:
+    """Add cut_i of the row's key and `place`, the row's own position. Rows are not shuffled.
+
+    The cut-offs are one row per key combination: a scalar subquery without
+    keys, else a join whose small side is broadcast when its rows are counted
+    to be few.
+    """
+    keys = list(keys)
+    cuts = hash_cutoffs(df, keys, order, tie, wanted, digits)
+    names = [f"cut_{i}" for i in range(len(wanted))]
+    placed = df.withColumn("_hex", order).withColumn("place", F.struct(F.col("_hex").alias("hex"), *tie)).drop("_hex")
+    if not keys:
+        return placed.withColumn("_cuts", cuts.select(F.struct(*names)).scalar()).select(
+            *placed.columns, *[F.col(f"_cuts.{n}").alias(n) for n in names]
+        )
+    few = df.select(*keys).distinct().limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return placed.join(F.broadcast(cuts) if few else cuts, keys, "left")
+
+
+def hash_first(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Column, digits: int = 3) -> DataFrame:
+    """The first `wanted` rows of each key by an evenly spread hex text, exactly."""
+    placed = with_cutoffs(df, keys, order, tie, [wanted], digits)
+    return placed.filter(F.col("place") <= F.col("cut_0")).select(*df.columns)

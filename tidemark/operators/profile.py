@@ -139,7 +139,6 @@ def period_summary(df: DataFrame, period: Column, entity: str, label: str, measu
 def entity_continuity(df: DataFrame, entity: str, period: Column) -> DataFrame:
     """How far the same entities reappear: 1 when all do, 0 when none does."""
     t = df.select(F.col(entity).alias("entity"), period.alias("period"))
-    # Pairs first: the two distinct counts then run over deduplicated rows.
     counted = t.agg(
         F.count_distinct("entity").alias("unique_entities"), F.count("*").alias("total_rows"),
         F.count_distinct("period").alias("periods"),
