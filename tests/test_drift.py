@@ -1,5 +1,6 @@
 """Drift measures against NumPy, their properties, and edge cases."""
 
+import itertools
 import math
 
 import numpy as np
@@ -7,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.ks import share_at_least
 from tidemark.operators import drift as D
 from tidemark.plans import report as R
 
@@ -188,12 +190,50 @@ def test_retrain_flag(tables):
     assert found[1]["covariate_alerts"] >= 4
 
 
-def test_pvalue_bounds(spark):
+def series(d, n, m):
+    size = max(1, round(n * m / (n + m)))
+    lam = math.sqrt(size) * d
+    lam += 1 / (6 * math.sqrt(size)) + (lam - 1) / (4 * size)
+    return min(1, max(0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101)))) if lam >= 0.2 else 1.0
+
+
+def test_series_pvalue(spark):
     df = spark.createDataFrame([(0.0, 100, 100), (0.05, 100, 100), (0.5, 100, 100), (1.0, 50, 60), (None, 0, 5)], "d double, n long, m long")
     got = [r[0] for r in df.select(D.ks_pvalue("d", "n", "m")).collect()]
-    assert got[0] == 1.0 and got[-1] is None and all(0 <= p <= 1 for p in got[:-1])
-    lam = math.sqrt(50) * 0.5
-    assert got[2] == pytest.approx(2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101)))
+    assert got[0] == 1.0 and got[-1] is None
+    assert got[:-1] == pytest.approx([series(0.0, 100, 100), series(0.05, 100, 100), series(0.5, 100, 100), series(1.0, 50, 60)])
+
+
+@pytest.mark.parametrize("m,n", [(1, 1), (3, 3), (4, 5), (2, 7), (6, 4)])
+def test_exact_pvalue_by_enumeration(m, n):
+    """All ways to merge two samples, each equally likely."""
+    stats = []
+    for places in itertools.combinations(range(m + n), m):
+        i = j = worst = 0
+        for k in range(m + n):
+            i, j = (i + 1, j) if k in places else (i, j + 1)
+            worst = max(worst, abs(i * n - j * m))
+        stats.append(worst)
+    for worst in sorted(set(stats)):
+        want = sum(s >= worst for s in stats) / len(stats)
+        assert share_at_least(worst / (m * n), m, n) == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_and_series_agree_on_large_samples():
+    for d in (0.01, 0.02, 0.03):
+        assert share_at_least(d, 8000, 7000) == pytest.approx(series(d, 8000, 7000), abs=2e-3)
+    assert share_at_least(0.0, 10, 10) == 1.0
+
+
+def test_method_switch(spark, tables):
+    (ref, dref), (cur, dcur) = tables["ref"], tables["moved"]
+    auto = {r["feature"]: r for r in D.numeric_drift(dref, dcur, NUMBERS).collect()}
+    for c in NUMBERS:
+        assert auto[c]["ks_pvalue"] == pytest.approx(share_at_least(auto[c]["ks_statistic"], len(ref), len(cur)))
+    plain = {r["feature"]: r for r in D.numeric_drift(dref, dcur, NUMBERS, pvalue="asymptotic").collect()}
+    assert plain["age"]["ks_pvalue"] == pytest.approx(series(plain["age"]["ks_statistic"], 200, 200))
+    with pytest.raises(ValueError):
+        D.numeric_drift(dref, dcur, NUMBERS, pvalue="guess")
 
 
 def test_too_many_periods_is_an_error(spark):

@@ -33,10 +33,17 @@ def two_sample_ks(spark, d):
 def ks_pvalue(spark, d):
     orders = table(spark, d, "orders")
     ref, cur = in_year(orders, "o_orderdate", 1995), in_year(orders, "o_orderdate", 2001)
-    found = D.numeric_drift(ref, cur, ["o_totalprice", "o_custkey"])
+    found = D.numeric_drift(ref, cur, ["o_totalprice", "o_custkey"], pvalue="asymptotic")
     return rounded(found.select("feature", "ks_statistic", "ks_pvalue"), 5)
 
 
+def ks_pvalue_exact(spark, d):
+    """Yearly order prices against 1995: exact p-values for years of at most 10,000 orders."""
+    panel = order_panel(spark, d)
+    found = D.numeric_drift(panel.filter("period = 1995"), panel.filter("period > 1995"), ["o_totalprice"], period="period")
+    return rounded(found.select("period", "feature", "ks_statistic", "ks_pvalue"), 5)
+
+
 def wasserstein_distance(spark, d):
     events = event_rows(spark, d)
     ref = events.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
@@ -47,13 +54,13 @@ def wasserstein_distance(spark, d):
 
 def numeric_severity(spark, d):
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=[])
+    found = D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=[], pvalue="asymptotic")
     return found.select("feature", "severity", "alert")
 
 
 def side_moments(spark, d):
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=[])
+    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=[], pvalue="asymptotic")
     return found.select("feature", "mean_reference", "mean_current", "std_reference", "std_current")
 
 
@@ -71,18 +78,18 @@ def category_shares(spark, d):
 
 def category_severity(spark, d):
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, injected(cur), numeric=[], categorical=CATEGORICAL)
+    found = D.covariate_shift(ref, injected(cur), numeric=[], categorical=CATEGORICAL, pvalue="asymptotic")
     return found.select("feature", "max_proportion_change", "severity", "alert")
 
 
 def covariate_shift(spark, d):
     ref, cur = line_years(spark, d)
-    return D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL)
+    return D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
 
 
 def covariate_shift_injected(spark, d):
     ref, cur = line_years(spark, d)
-    return D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL)
+    return D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
 
 
 def concept_drift(spark, d):
@@ -93,18 +100,18 @@ def concept_drift(spark, d):
 def drift_summary(spark, d):
     ref, cur = line_years(spark, d)
     cur = injected(cur)
-    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL)
+    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
     return typed(R.drift_summary(found, ref, cur))
 
 
 def top_drifted(spark, d):
     ref, cur = line_years(spark, d)
-    return D.top_drifted(D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL), 3)
+    return D.top_drifted(D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic"), 3)
 
 
 def first_last_drift(spark, d):
     panel = order_panel(spark, d).select("period", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    return R.first_last_drift(panel, "period")
+    return R.first_last_drift(panel, "period", pvalue="asymptotic")
 
 
 def drift_timeline(spark, d):
@@ -116,7 +123,7 @@ def drift_timeline(spark, d):
         "l_extendedprice": F.when(late, F.col("l_extendedprice") * 1.5).otherwise(F.col("l_extendedprice")),
         "l_returnflag": F.when(late & (F.col("l_quantity") > 15), "R").otherwise(F.col("l_returnflag")),
     })
-    return typed(R.drift_timeline(ref, cur, "period", numeric=NUMERIC, categorical=CATEGORICAL))
+    return typed(R.drift_timeline(ref, cur, "period", numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic"))
 
 
 def monitor_report(spark, d):
@@ -124,7 +131,7 @@ def monitor_report(spark, d):
     panel = order_panel(spark, d)
     ref, cur = edge_period(panel, "period"), edge_period(panel, "period", last=True)
     saved, _ = R.monitor(
-        ref, cur, new_path(spark, "report"), target="urgent", drop=["period", "o_orderkey", "o_custkey"],
+        ref, cur, new_path(spark, "report"), target="urgent", drop=["period", "o_orderkey", "o_custkey"], pvalue="asymptotic",
     )
     return saved
 
@@ -132,7 +139,7 @@ def monitor_report(spark, d):
 def report_text(spark, d):
     """The report as one JSON document."""
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL)
+    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
     return report_document(found, R.drift_summary(found, ref, cur))
 
 
@@ -178,9 +185,10 @@ CDF = """
  ks_ AS (SELECT feature, CAST(max(nr) AS BIGINT) AS nr, CAST(max(nc) AS BIGINT) AS nc, max(abs(fr / nr - fc / nc)) AS d,
    coalesce(sum(abs(fr / nr - fc / nc) * (nxt - value)), 0) AS area FROM cum GROUP BY feature),
  spans AS (SELECT feature, max(value) - min(value) AS span FROM long_ WHERE side = 'r' GROUP BY feature),
- lam AS (SELECT k.*, s.span, sqrt(k.nr::DOUBLE * k.nc / (k.nr + k.nc)) * k.d AS l FROM ks_ k JOIN spans s ON s.feature = k.feature),
+ lam AS (SELECT k.*, s.span, greatest(1, round_even(k.nr::DOUBLE * k.nc / (k.nr + k.nc), 0)) AS sz FROM ks_ k JOIN spans s ON s.feature = k.feature),
+ lams AS (SELECT *, sqrt(sz) * d + 1 / (6 * sqrt(sz)) + (sqrt(sz) * d - 1) / (4 * sz) AS l FROM lam),
  dist AS (SELECT feature, nr, nc, d, CASE WHEN span > 0 THEN area / span ELSE 0 END AS w, CASE WHEN l < 0.2 THEN 1.0::DOUBLE ELSE
-   greatest(0, least(1, 2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * l * l))))) END AS p FROM lam)"""
+   greatest(0, least(1, 2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * l * l))))) END AS p FROM lams)"""
 MOMENTS = """
  moments AS (SELECT feature, avg(value) FILTER (side = 'r') AS mr, avg(value) FILTER (side = 'c') AS mc,
    stddev_samp(value) FILTER (side = 'r') AS sr, stddev_samp(value) FILTER (side = 'c') AS sc FROM long_ GROUP BY feature)"""
@@ -263,6 +271,7 @@ QUERIES = {
     "population_stability_shifted": population_stability_shifted,
     "two_sample_ks": two_sample_ks,
     "ks_pvalue": ks_pvalue,
+    "ks_pvalue_exact": ks_pvalue_exact,
     "wasserstein_distance": wasserstein_distance,
     "numeric_severity": numeric_severity,
     "side_moments": side_moments,

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
+from tidemark.functions.ks import EXACT_ROWS, exact_ks_pvalue
 from tidemark.functions.scalars import ratio
 from tidemark.functions.sqltext import name, number, per_feature, text
 from tidemark.operators.order_stats import (
@@ -92,7 +93,7 @@ def _both_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]
 def numeric_profile(rows: DataFrame) -> dict[str, Row]:
     """Bounds, moments and row counts per feature: one driver row per monitored column."""
     found = rows.groupBy("feature").agg(*[F.expr(e) for e in (
-        "count(*) AS rows",
+        "count(*) AS rows", "count_if(n_ref > 0) AS rows_reference",
         "min(value) FILTER (WHERE n_ref > 0) AS lo", "max(value) FILTER (WHERE n_ref > 0) AS hi",
         "avg(value) FILTER (WHERE n_ref > 0) AS mean_reference", "avg(value) FILTER (WHERE n_cur > 0) AS mean_current",
         "stddev_samp(value) FILTER (WHERE n_ref > 0) AS std_reference",
@@ -164,20 +165,29 @@ def population_stability(reference: DataFrame, current: DataFrame, columns: Sequ
 
 
 def ks_pvalue(statistic: str, n_ref: str, n_cur: str) -> Column:
-    """Two-sided asymptotic p-value, the Kolmogorov series in effective size n*m/(n+m)."""
-    lam = f"sqrt(CAST({n_ref} AS DOUBLE) * {n_cur} / ({n_ref} + {n_cur})) * {statistic}"
+    """Two-sided p-value by the Kolmogorov series, good for large samples.
+
+    With N = round(n*m/(n+m)) and x = D*sqrt(N), the series is taken at
+    x + 1/(6*sqrt(N)) + (x-1)/(4*N), a published correction for finite N.
+    """
+    size = f"greatest(1D, rint(CAST({n_ref} AS DOUBLE) * {n_cur} / ({n_ref} + {n_cur})))"
+    moved = "transform(array(size), size -> sqrt(size) * stat + 1D / (6D * sqrt(size)) + (sqrt(size) * stat - 1D) / (4D * size))[0]"
     series = "aggregate(sequence(1, 100), 0D, (acc, k) -> acc + if(k % 2 = 1, 1D, -1D) * exp(-2D * k * k * lam * lam))"
     value = f"if(lam < 0.2D, 1D, greatest(0D, least(1D, 2D * {series})))"
-    # element_at over a one-element array names the repeated argument.
+    # transform over a one-element array names a repeated argument.
+    lam = moved.replace("array(size)", f"array({size})").replace("stat", statistic)
     return F.expr(f"CASE WHEN {statistic} IS NOT NULL THEN transform(array({lam}), lam -> {value})[0] END")
 
 
 def numeric_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, *,
     bins: int = PSI_BINS, period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True,
+    pvalue: str = "auto",
 ) -> DataFrame:
     """PSI, KS, Wasserstein and moments of every numeric column, unrounded.
 
+    pvalue: "auto" takes the exact distribution when both samples have at most
+    10,000 rows and the series beyond; "asymptotic" always takes the series.
     With `period`, each period of `current` is compared with the whole reference;
     its current moments take one more pass, which period_moments=False saves.
     """
@@ -224,10 +234,15 @@ def numeric_drift(
     elif period:
         measured = measured.select("*", *[F.expr(f"CAST(NULL AS DOUBLE) AS {c}") for c in ("mean_current", "std_current")])
     moments = ["mean_reference", "std_reference"] + ([] if period else ["mean_current", "std_current"])
+    p = ks_pvalue("ks_statistic", "rows_ref", "rows_cur")
+    if pvalue == "auto" and any(0 < r["rows_reference"] <= EXACT_ROWS for r in profile.values()):
+        p = F.coalesce(exact_ks_pvalue("ks_statistic", "rows_ref", "rows_cur"), p)
+    elif pvalue not in ("auto", "asymptotic"):
+        raise ValueError(f"unknown p-value method {pvalue!r}")
     span = f"({looked_up(profile, 'hi')} - {looked_up(profile, 'lo')})"
     return measured.select(
         *groups, "feature", "rows_ref", "rows_cur", psi_of_counts(bins).alias("psi"), "ks_statistic",
-        ks_pvalue("ks_statistic", "rows_ref", "rows_cur").alias("ks_pvalue"),
+        p.alias("ks_pvalue"),
         F.expr(f"if({span} > 0, area / {span}, 0D) AS wasserstein_distance"),
         *[F.expr(f"{looked_up(profile, m)} AS {m}") for m in moments],
         *(["mean_current", "std_current"] if period else []),
@@ -291,7 +306,7 @@ def covariate_shift(
     reference: DataFrame, current: DataFrame, *,
     numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
     exclude: Sequence[str] = (), threshold_psi: float = PSI_ALERT, threshold_ks: float = KS_ALERT,
-    period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True,
+    period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True, pvalue: str = "auto",
 ) -> DataFrame:
     """The drift table: one row per feature present in both tables, rounded for reporting."""
     skip = [*exclude, *([period] if period else [])]
@@ -302,7 +317,8 @@ def covariate_shift(
     groups = [F.col(period)] if period else []
     parts = []
     if numeric or not categorical:
-        found = numeric_drift(reference, current, numeric, period=period, rows_per_slice=rows_per_slice, period_moments=period_moments)
+        found = numeric_drift(reference, current, numeric, period=period, rows_per_slice=rows_per_slice,
+                              period_moments=period_moments, pvalue=pvalue)
         severity = numeric_severity(F.col("psi"), F.col("ks_pvalue"), threshold_psi, threshold_ks)
         parts.append(found.select(
             *groups, "feature", *[F.expr(e) for e in (

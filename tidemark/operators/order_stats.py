@@ -102,7 +102,10 @@ def running_totals(cells: DataFrame, keys: Sequence[str], value: str, measures:
             F.lag(value).over(along).alias("prev_value"),
         )
 
-    sums = [F.sum(m).alias(m) for m in measures]
+    # Carried columns are aggregated too: the slices then read the very same
+    # cells as the body, and Spark runs that exchange once.
+    carried = [c for c in cells.columns if c not in {*keys, *measures, value, "slice"}]
+    sums = [F.sum(m).alias(m) for m in measures] + [F.max(c).alias(c) for c in carried]
     slices = cells.groupBy(*keys, "slice").agg(*sums, F.max(value).alias("top"))
 
     # At most MAX_SLICES rows per key combination reach this window.
@@ -114,6 +117,7 @@ def running_totals(cells: DataFrame, keys: Sequence[str], value: str, measures:
         F.lag("top").over(before).alias(value),
         *[(F.sum(m).over(before) - F.col(m)).alias(m) for m in measures],
         *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures],
+        *carried,
         F.lit(0).alias("is_cell"),
     )
     body = cells.select("*", F.lit(1).alias("is_cell"))
