@@ -84,7 +84,16 @@ def test_grid_search_and_run_record(spark, people):
     assert run["dataset_version"] == "people_v1" and 0.5 < run["roc_auc"] <= 1
     assert sum(sum(r) for r in run["confusion_matrix"]) == scored.count() == run["class_0"]["support"] + run["class_1"]["support"]
     assert set(run["best_params"]) == {"numTrees", "maxDepth"}
-    PipelineModel.load(model_path)
+    stored = PipelineModel.load(model_path).stages[-1]
+    assert stored.getNumTrees == 5 and str(stored.getMaxDepth()) == run["best_params"]["maxDepth"]
+
+
+def test_grid_candidates_differ(people):
+    """A forest of stumps cannot do what a deep one does: each candidate has its own settings."""
+    _, df = people
+    got = M.grid_search(df, "left", "k", ["income"], ["kind"], {"numTrees": [1], "maxDepth": [0, 6]}, folds=2)
+    areas = {p["maxDepth"]: a for p, a in got.candidates}
+    assert areas[0] == 0.5 and areas[6] > 0.8 and got.params["maxDepth"] == 6
 
 
 def test_walk_forward(people):

@@ -189,7 +189,7 @@ def grid_search(
         )
 
         def scored_candidate(i: int, fitted=fitted, held=held) -> DataFrame:
-            model = forest().copy(_params_of(candidates[i])).fit(fitted)
+            model = forest().setParams(**candidates[i]).fit(fitted)
             return score(model, held, ["label"]).withColumn("candidate", F.lit(i))
 
         scored = reduce(DataFrame.unionByName, run_all([partial(scored_candidate, i) for i in range(len(candidates))]))
@@ -198,15 +198,10 @@ def grid_search(
             areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)
     means = [sum(a) / len(a) if a else 0.0 for a in areas]
     best = candidates[max(range(len(candidates)), key=means.__getitem__)]
-    stages = [*feature_stages(rows, numeric, categorical), forest().copy(_params_of(best))]
+    stages = [*feature_stages(rows, numeric, categorical), forest().setParams(**best)]
     return GridResult(Pipeline(stages=stages).fit(rows), best, list(zip(candidates, means)))
 
 
-def _params_of(values: dict[str, object]) -> dict:
-    classifier = forest()
-    return {classifier.getParam(name): value for name, value in values.items()}
-
-
 def score(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Class and probability of class 1 per row; works on tables and streams."""
     keep = list(keep or df.columns)
