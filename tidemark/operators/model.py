@@ -18,7 +18,7 @@ from tidemark.functions.scalars import as_double, hash_hex, hash_uniform, label_
 from tidemark.functions.sqltext import name, number, text
 from tidemark.operators.drift import long_categorical, long_numeric
 from tidemark.operators.order_stats import (
-    ROWS_PER_SLICE, cuts_by_feature, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
+    ROWS_PER_SLICE, cuts_by_feature, looks_small, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
 )
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.shape import align_features
@@ -39,7 +39,9 @@ def numeric_fill(df: DataFrame, columns: Sequence[str], rows_per_slice: int = RO
     """(feature, median, mean, std_pop, n_missing): exact median, and moments after filling with it."""
     long = long_numeric(df, columns)
     cells = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    counts = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    counts = {}
+    if rows_per_slice != ROWS_PER_SLICE or not looks_small(df):
+        counts = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
     cells = with_feature_slice(cells, "value", cuts_by_feature(long, counts, rows_per_slice))
     medians = quantiles_of_cells(running_totals(cells, ["feature"], "value", ["n"]), ["feature"], {"median": 0.5})
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -172,30 +174,36 @@ def grid_search(
     """Stratified k-fold search on exact ROC-AUC, then a fit of the best on all rows.
 
     Fills, scales and category codes are fitted on each fold's training part
-    once; all candidates of a fold then share its written vectors, and are
-    scored and measured in one job.
+    once; all candidates of a fold then share its written vectors. All held-out
+    scores are measured in one job.
     """
     keep = [key, *numeric, *categorical]
     rows = materialized(with_folds(training_rows(train, label, keep), "label", key, folds), "folds")
     names = list(grid or GRID)
     candidates = [dict(zip(names, values)) for values in product(*(grid or GRID).values())]
-    areas: list[list[float]] = [[] for _ in candidates]
-    for k in range(folds):
+
+    def vectors(k: int) -> tuple[DataFrame, DataFrame]:
         part = rows.filter(F.col("fold") != k)
         features = Pipeline(stages=feature_stages(part, numeric, categorical)).fit(part)
         fitted, held = (
             materialized(features.transform(r).select("label", "weight", "features"), "vectors")
             for r in (part, rows.filter(F.col("fold") == k))
         )
+        return fitted, held
 
-        def scored_candidate(i: int, fitted=fitted, held=held) -> DataFrame:
-            model = forest().setParams(**candidates[i]).fit(fitted)
-            return score(model, held, ["label"]).withColumn("candidate", F.lit(i))
+    def scored_candidate(k: int, i: int) -> DataFrame:
+        fitted, held = prepared[k]
+        model = forest().setParams(**candidates[i]).fit(fitted)
+        return score(model, held, ["label"]).withColumns({"fold": F.lit(k), "candidate": F.lit(i)})
 
-        scored = reduce(DataFrame.unionByName, run_all([partial(scored_candidate, i) for i in range(len(candidates))]))
-        found = classification_metrics(scored, ["candidate"], "label", "probability", "prediction")
-        for r in found.select("candidate", "roc_auc").collect():
-            areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)
+    prepared = run_all([partial(vectors, k) for k in range(folds)])
+    scored = run_all([partial(scored_candidate, k, i) for k in range(folds) for i in range(len(candidates))])
+    found = classification_metrics(
+        reduce(DataFrame.unionByName, scored), ["fold", "candidate"], "label", "probability", "prediction"
+    )
+    areas: list[list[float]] = [[] for _ in candidates]
+    for r in found.select("candidate", "roc_auc").collect():
+        areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)
     means = [sum(a) / len(a) if a else 0.0 for a in areas]
     best = candidates[max(range(len(candidates)), key=means.__getitem__)]
     stages = [*feature_stages(rows, numeric, categorical), forest().setParams(**best)]
