@@ -34,7 +34,9 @@ class RecordContract:
     def decode(self, df: DataFrame, column: str) -> DataFrame:
         """Add `record` (decoded, defaults filled) and `problems` (what is wrong with it)."""
         parsed = F.from_json(F.col(column), self.schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-        df = df.withColumn("_parsed", parsed)
+        # A generated column is computed once; a projected one would be parsed
+        # again for every field that a later filter looks at.
+        df = df.select("*", F.explode(F.array(parsed)).alias("_parsed"))
         get = lambda name: F.col("_parsed").getField(name)
         values = []
         for name, dtype in self.fields.items():
