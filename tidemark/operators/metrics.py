@@ -34,7 +34,7 @@ def confusion_counts(df: DataFrame, keys: Sequence[str], label: str, prediction:
 
 def _confusion() -> list[Column]:
     return [
-        F.count_if((F.col("label") == truth) & (F.col("prediction") == said)).alias(name)
+        F.expr(f"count(CASE WHEN label = {truth} AND prediction = {said} THEN 1 END) AS {name}")
         for name, truth, said in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))
     ]
 
@@ -70,7 +70,7 @@ def classification_metrics(
     keys = list(keys)
     rows = scored_rows(df, keys, label, score, prediction)
     cells = rows.groupBy(*keys, "score").agg(
-        F.expr("count_if(label = 1)").alias("pos"), F.expr("count_if(label = 0)").alias("neg"), *_confusion()
+        F.expr("count(CASE WHEN label = 1 THEN 1 END) AS pos"), F.expr("count(CASE WHEN label = 0 THEN 1 END) AS neg"), *_confusion()
     )
     cells = with_slice(cells, "score", column_cuts(rows, "score", rows_per_slice))
     ranked = running_totals(cells, keys, "score", ["pos", "neg"])

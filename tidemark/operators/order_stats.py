@@ -103,7 +103,7 @@ def running_totals(cells: DataFrame, keys: Sequence[str], value: str, measures:
         )
 
     # Carried columns are aggregated too: the slices then read the very same
-    # cells as the body, and Spark runs that exchange once.
+    # cells as the body, and Spark can run that exchange once.
     carried = [c for c in cells.columns if c not in {*keys, *measures, value, "slice"}]
     sums = [F.sum(m).alias(m) for m in measures] + [F.max(c).alias(c) for c in carried]
     slices = cells.groupBy(*keys, "slice").agg(*sums, F.max(value).alias("top"))
