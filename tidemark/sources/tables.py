@@ -7,8 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-_TEST_FOLDER: list[str] = []
-
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -22,15 +20,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, from spark.checkpoint.dir.
 
-    Only where the session names none, as in tests on one machine, a temporary
-    folder is used and set as the session's checkpoint folder.
+    A session of one machine that names none, as in tests, gets a temporary
+    folder set as its checkpoint folder. On a cluster that would scatter the
+    files over the executors' own disks, so there it is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not _TEST_FOLDER:
-        _TEST_FOLDER.append(tempfile.mkdtemp(prefix="tidemark-"))
-    return _TEST_FOLDER[0]
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
