@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import curriculum, packing, quality, secrets, simhash
 from tidemark.sources.tables import read_table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_curriculum(spark: SparkSession, folder: str) -> DataFrame:
+    return curriculum.mixture(read_table(spark, folder, "documents"))
+
+
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest_columns(secrets.find_secrets(read_table(spark, folder, "documents")))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(read_table(spark, folder, "documents"), TOKENIZER)
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = quality.scored(docs.select("doc_id", "text"), quality.learn(docs, read_table(spark, folder, "labels")))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
 
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"))
@@ -14,6 +35,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_curriculum": op4_curriculum,
+    "op5_secrets": op5_secrets,
+    "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 
