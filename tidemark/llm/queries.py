@@ -5,12 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import curriculum, packing, quality, secrets, simhash
+from tidemark.llm import ann, curriculum, ngram, packing, quality, secrets, shards, simhash, sketch, warc
 from tidemark.sources.tables import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(read_table(spark, folder, "pages")).drop("payload", "url")
+
+
+def op2_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest_neighbours(read_table(spark, folder, "embeddings"))
+
+
+def op3_ngram(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram.scored(read_table(spark, folder, "documents"))
+
+
 def op4_curriculum(spark: SparkSession, folder: str) -> DataFrame:
     return curriculum.mixture(read_table(spark, folder, "documents"))
 
@@ -19,6 +31,19 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest_columns(secrets.find_secrets(read_table(spark, folder, "documents")))
 
 
+def op6_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    text = F.coalesce(F.col("record.text"), F.lit(""))
+    return shards.sharded(docs).select(
+        "record.doc_id", shards.record_bytes("record.text").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.edited_pairs(read_table(spark, folder, "documents"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(read_table(spark, folder, "documents"), TOKENIZER)
 
@@ -35,8 +60,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_ann": op2_ann,
+    "op3_ngram": op3_ngram,
     "op4_curriculum": op4_curriculum,
     "op5_secrets": op5_secrets,
+    "op6_shards": op6_shards,
+    "op7_sketch": op7_sketch,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
