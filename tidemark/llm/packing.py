@@ -69,6 +69,16 @@ class Tokens:
         return out
 
 
+_LOADED: dict[str, Tokens] = {}
+
+
+def loaded(path: str) -> Tokens:
+    """The tokenizer of this Python worker, which keeps its table from task to task."""
+    if path not in _LOADED:
+        _LOADED[path] = Tokens(path)
+    return _LOADED[path]
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the token ids of each text and the end id, cut after every capacity ids.
 
@@ -76,7 +86,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1)
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer)
+        tokens = loaded(tokenizer)
         for batch in sliced(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text"))):
