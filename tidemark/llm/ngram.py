@@ -264,7 +264,7 @@ class Automaton:
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def scored(docs: DataFrame, order: int = 2, mu: float = 50.0, block_tokens: int = 500_000, bucket_bytes: int = 12 << 20) -> DataFrame:
+def scored(docs: DataFrame, order: int = 2, mu: float = 500.0, block_tokens: int = 500_000, bucket_bytes: int = 12 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every whole text (null: empty).
 
     All n-grams of all training texts count; none are pruned, and the model is
