@@ -92,3 +92,19 @@ def test_results_do_not_depend_on_partitions(spark):
         for n in (1, 7)
     )
     assert one == many and len(one) == 123
+
+
+def test_null_groups_and_repeated_keys_are_drawn_exactly(spark):
+    rows = [(k % 400, None if k % 10 < 3 else "a" if k % 2 else "b", k) for k in range(1000)]
+    df = spark.createDataFrame(rows, "k long, g string, n long")
+    sizes = {g: sum(r[1] == g for r in rows) for g in (None, "a", "b")}
+    got = O.hash_first(df, ["g"], hash_hex(F.col("k"), seed=2), ["k"], F.floor(F.col("group_rows") * 0.45)).collect()
+    assert {g: sum(r.g == g for r in got) for g in sizes} == {g: int(n * 0.45) for g, n in sizes.items()}
+    assert len({r.n for r in got}) == len(got)
+    assert O.hash_ranked(df, ["g"], hash_hex(F.col("n")), ["n"]).count() == 1000
+    hot = df.withColumn("k", F.lit(1))
+    assert O.hash_first(hot, [], hash_hex(F.col("k")), ["k"], F.lit(333)).count() == 333
+
+
+def test_lead_digits_follow_the_rows():
+    assert [O.lead_digits(n) for n in (0, 100_000, 100_001, 1_600_001, 10**12)] == [0, 0, 1, 2, 6]

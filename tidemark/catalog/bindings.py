@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.tables import read_table
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CATEGORICAL = ["l_returnflag", "l_linestatus"]
+SPLIT_YEAR = 1998
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,18 +16,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def line_years(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Line items shipped in 1995 (reference) and 2001 (current).
+    """Line items shipped before SPLIT_YEAR (reference) and from then on (current): the whole table.
 
-    The range on the date column reaches the parquet scan as a pushed filter.
+    The bound on the date column reaches the parquet scan as a pushed filter.
     """
-    rows = table(spark, folder, "lineitem")
+    before, after = halves(table(spark, folder, "lineitem"), "l_shipdate")
     columns = [*NUMERIC, *CATEGORICAL]
-    return in_year(rows, "l_shipdate", 1995).select(columns), in_year(rows, "l_shipdate", 2001).select(columns)
+    return before.select(columns), after.select(columns)
 
 
-def in_year(df: DataFrame, column: str, year: int) -> DataFrame:
-    day = lambda y: F.lit(f"{y}-01-01").cast("timestamp_ntz")
-    return df.filter((F.col(column) >= day(year)) & (F.col(column) < day(year + 1)))
+def halves(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    day = F.lit(f"{SPLIT_YEAR}-01-01").cast("timestamp_ntz")
+    return df.filter(F.col(column) < day), df.filter(F.col(column) >= day)
 
 
 def injected(current: DataFrame) -> DataFrame:
@@ -48,12 +47,10 @@ def order_panel(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def scored_lines(spark: SparkSession, folder: str, *years: int) -> DataFrame:
-    """Line items (of some years) with a label, a score, a class and the ship year."""
+def scored_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with a label, a score, a class and the ship year."""
     score = F.col("l_quantity") / 50 + F.when(F.col("l_returnflag") == "R", 0.2).otherwise(0.0)
     lines = table(spark, folder, "lineitem")
-    if years:
-        lines = reduce(DataFrame.unionByName, [in_year(lines, "l_shipdate", y) for y in years])
     return lines.select(
         F.year("l_shipdate").cast("bigint").alias("period"),
         F.when(F.col("l_returnflag") == "R", "Yes").otherwise("No").alias("label"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.bindings import (
-    CATEGORICAL, NUMERIC, event_rows, in_year, injected, line_years, order_panel, rounded, scored_lines, table, typed,
+    CATEGORICAL, NUMERIC, SPLIT_YEAR, event_rows, halves, injected, line_years, order_panel, rounded, scored_lines, table, typed,
 )
 from tidemark.operators import drift as D
 from tidemark.operators.shape import edge_period
@@ -32,15 +32,16 @@ def two_sample_ks(spark, d):
 
 def ks_pvalue(spark, d):
     orders = table(spark, d, "orders")
-    ref, cur = in_year(orders, "o_orderdate", 1995), in_year(orders, "o_orderdate", 2001)
-    found = D.numeric_drift(ref, cur, ["o_totalprice", "o_custkey"], pvalue="asymptotic")
+    ref, cur = halves(orders, "o_orderdate")
+    found = D.numeric_drift(ref, cur, ["o_totalprice", "o_custkey"])
     return rounded(found.select("feature", "ks_statistic", "ks_pvalue"), 5)
 
 
 def ks_pvalue_exact(spark, d):
-    """Yearly order prices against 1995: exact p-values for years of at most 10,000 orders."""
-    panel = order_panel(spark, d)
-    found = D.numeric_drift(panel.filter("period = 1995"), panel.filter("period > 1995"), ["o_totalprice"], period="period")
+    """Account balances of each nation's customers against the suppliers': exact p-values, one per nation."""
+    suppliers = table(spark, d, "supplier").select(F.col("s_acctbal").alias("balance"))
+    customers = table(spark, d, "customer").select(F.col("c_acctbal").alias("balance"), F.col("c_nationkey").cast("bigint").alias("period"))
+    found = D.numeric_drift_by_period(suppliers, customers, "period", ["balance"], pvalue="exact")
     return rounded(found.select("period", "feature", "ks_statistic", "ks_pvalue"), 5)
 
 
@@ -54,13 +55,13 @@ def wasserstein_distance(spark, d):
 
 def numeric_severity(spark, d):
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=[], pvalue="asymptotic")
+    found = D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=[])
     return found.select("feature", "severity", "alert")
 
 
 def side_moments(spark, d):
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=[], pvalue="asymptotic")
+    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=[])
     return found.select("feature", "mean_reference", "mean_current", "std_reference", "std_current")
 
 
@@ -78,52 +79,53 @@ def category_shares(spark, d):
 
 def category_severity(spark, d):
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, injected(cur), numeric=[], categorical=CATEGORICAL, pvalue="asymptotic")
+    found = D.covariate_shift(ref, injected(cur), numeric=[], categorical=CATEGORICAL)
     return found.select("feature", "max_proportion_change", "severity", "alert")
 
 
 def covariate_shift(spark, d):
     ref, cur = line_years(spark, d)
-    return D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
+    return D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL)
 
 
 def covariate_shift_injected(spark, d):
     ref, cur = line_years(spark, d)
-    return D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
+    return D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL)
 
 
 def concept_drift(spark, d):
-    ref, cur = scored_lines(spark, d, 1995), scored_lines(spark, d, 2001)
+    lines = scored_lines(spark, d)
+    ref, cur = lines.filter(F.col("period") < SPLIT_YEAR), lines.filter(F.col("period") >= SPLIT_YEAR)
     return R.concept_drift(ref, cur, "label", "score", "prediction")
 
 
 def drift_summary(spark, d):
     ref, cur = line_years(spark, d)
     cur = injected(cur)
-    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
+    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL)
     return typed(R.drift_summary(found, ref, cur))
 
 
 def top_drifted(spark, d):
     ref, cur = line_years(spark, d)
-    return D.top_drifted(D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic"), 3)
+    return D.top_drifted(D.covariate_shift(ref, injected(cur), numeric=NUMERIC, categorical=CATEGORICAL), 3)
 
 
 def first_last_drift(spark, d):
     panel = order_panel(spark, d).select("period", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    return R.first_last_drift(panel, "period", pvalue="asymptotic")
+    return R.first_last_drift(panel, "period")
 
 
 def drift_timeline(spark, d):
     lines = table(spark, d, "lineitem").withColumn("period", F.year("l_shipdate").cast("bigint"))
-    ref = in_year(lines, "l_shipdate", 1995)
+    ref = lines.filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
     cur = lines.filter(F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
     late = F.col("period") >= 1999
     cur = cur.withColumns({
         "l_extendedprice": F.when(late, F.col("l_extendedprice") * 1.5).otherwise(F.col("l_extendedprice")),
         "l_returnflag": F.when(late & (F.col("l_quantity") > 15), "R").otherwise(F.col("l_returnflag")),
     })
-    return typed(R.drift_timeline(ref, cur, "period", numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic"))
+    return typed(R.drift_timeline(ref, cur, "period", numeric=NUMERIC, categorical=CATEGORICAL))
 
 
 def monitor_report(spark, d):
@@ -131,7 +133,7 @@ def monitor_report(spark, d):
     panel = order_panel(spark, d)
     ref, cur = edge_period(panel, "period"), edge_period(panel, "period", last=True)
     saved, _ = R.monitor(
-        ref, cur, new_path(spark, "report"), target="urgent", drop=["period", "o_orderkey", "o_custkey"], pvalue="asymptotic",
+        ref, cur, new_path(spark, "report"), target="urgent", drop=["period", "o_orderkey", "o_custkey"],
     )
     return saved
 
@@ -139,23 +141,23 @@ def monitor_report(spark, d):
 def report_text(spark, d):
     """The report as one JSON document."""
     ref, cur = line_years(spark, d)
-    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL, pvalue="asymptotic")
+    found = D.covariate_shift(ref, cur, numeric=NUMERIC, categorical=CATEGORICAL)
     return report_document(found, R.drift_summary(found, ref, cur))
 
 
 # ---------------------------------------------------------------- SQL
 
 LINES = """
- rows_ AS (SELECT CASE WHEN year(l_shipdate) = 1995 THEN 'r' ELSE 'c' END AS side,
+ rows_ AS (SELECT CASE WHEN year(l_shipdate) < 1998 THEN 'r' ELSE 'c' END AS side,
    CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
    CAST(l_discount AS DOUBLE) AS l_discount, CAST(l_tax AS DOUBLE) AS l_tax, l_returnflag, l_linestatus
-  FROM lineitem WHERE year(l_shipdate) IN (1995, 2001))"""
+  FROM lineitem)"""
 SHIFTED_LINES = """
- rows_ AS (SELECT CASE WHEN year(l_shipdate) = 1995 THEN 'r' ELSE 'c' END AS side, CAST(l_quantity AS DOUBLE) AS l_quantity,
-   CASE WHEN year(l_shipdate) = 1995 THEN l_extendedprice ELSE l_extendedprice * 1.5::DOUBLE END AS l_extendedprice,
-   CASE WHEN year(l_shipdate) = 1995 THEN l_discount ELSE l_discount + 0.05::DOUBLE END AS l_discount, l_tax,
-   CASE WHEN year(l_shipdate) = 2001 AND l_quantity > 15 THEN 'R' ELSE l_returnflag END AS l_returnflag, l_linestatus
-  FROM lineitem WHERE year(l_shipdate) IN (1995, 2001))"""
+ rows_ AS (SELECT CASE WHEN year(l_shipdate) < 1998 THEN 'r' ELSE 'c' END AS side, CAST(l_quantity AS DOUBLE) AS l_quantity,
+   CASE WHEN year(l_shipdate) < 1998 THEN l_extendedprice ELSE l_extendedprice * 1.5::DOUBLE END AS l_extendedprice,
+   CASE WHEN year(l_shipdate) < 1998 THEN l_discount ELSE l_discount + 0.05::DOUBLE END AS l_discount, l_tax,
+   CASE WHEN year(l_shipdate) >= 1998 AND l_quantity > 15 THEN 'R' ELSE l_returnflag END AS l_returnflag, l_linestatus
+  FROM lineitem)"""
 
 
 def long_sql(features: list[str], keys: str = "side") -> str:
@@ -241,7 +243,7 @@ def metrics_sql(source: str, key: str) -> str:
    coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)::DOUBLE AS f1 FROM counts c JOIN areas a ON a.{key} = c.{key})"""
 
 
-CONCEPT_SQL = f"""WITH {SCORED_SQL}, two AS (SELECT CASE WHEN period = 1995 THEN 'r' ELSE 'c' END AS side, y, s, yhat FROM scored WHERE period IN (1995, 2001)),
+CONCEPT_SQL = f"""WITH {SCORED_SQL}, two AS (SELECT CASE WHEN period < 1998 THEN 'r' ELSE 'c' END AS side, y, s, yhat FROM scored),
  {metrics_sql("two", "side")},
  pair AS (SELECT r.auc AS ra, r.f1 AS rf, r.prec AS rp, r.rec AS rr, c.auc AS ca, c.f1 AS cf, c.prec AS cp, c.rec AS cr
    FROM metrics_ r JOIN metrics_ c ON r.side = 'r' AND c.side = 'c'),
@@ -293,8 +295,7 @@ SQL = {
     "population_stability": f"WITH {LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, round(psi, 6) AS psi FROM psi_",
     "population_stability_shifted": f"WITH {SHIFTED_LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, round(psi, 6) AS psi FROM psi_",
     "two_sample_ks": f"WITH {SHIFTED_LINES}, {long_sql(NUMERIC)}, {CDF} SELECT feature, nr AS rows_ref, nc AS rows_cur, round(d, 6) AS ks_statistic FROM dist",
-    "ks_pvalue": f"""WITH rows_ AS (SELECT CASE WHEN year(o_orderdate) = 1995 THEN 'r' ELSE 'c' END AS side, o_totalprice, o_custkey FROM orders
-        WHERE year(o_orderdate) IN (1995, 2001)), {long_sql(["o_totalprice", "o_custkey"])}, {CDF}
+    "ks_pvalue": f"""WITH rows_ AS (SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'r' ELSE 'c' END AS side, o_totalprice, o_custkey FROM orders), {long_sql(["o_totalprice", "o_custkey"])}, {CDF}
         SELECT feature, round(d, 5) AS ks_statistic, round(p, 5) AS ks_pvalue FROM dist""",
     "wasserstein_distance": f"""WITH rows_ AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'r' ELSE 'c' END AS side, value, user_id FROM events),
         {long_sql(["value", "user_id"])}, {CDF} SELECT feature, round(w, 5) AS wasserstein_distance FROM dist""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.bindings import rounded, scored_lines, table, typed
+from tidemark.catalog.bindings import SPLIT_YEAR, rounded, scored_lines, table, typed
 from tidemark.catalog.drift import SCORED_SQL, metrics_sql
 from tidemark.operators import metrics as M
 
@@ -34,8 +34,8 @@ def classification_report(spark, d):
 
 
 def metric_decay(spark, d):
-    scored = scored_lines(spark, d, 1995, 2000).withColumn(
-        "side", F.when(F.col("period") == 1995, "reference").otherwise("current")
+    scored = scored_lines(spark, d).withColumn(
+        "side", F.when(F.col("period") < SPLIT_YEAR, "reference").otherwise("current")
     )
     found = M.decay_of_sides(M.classification_metrics(scored, ["side"], "label", "score", "prediction"), [])
     return rounded(found.select(*[F.round(F.col(f"decay_{m}") * 100, 4).alias(m) for m in M.METRICS],
@@ -65,9 +65,9 @@ SQL = {
         a AS (SELECT * FROM c UNION ALL SELECT 'accuracy', (tp + tn) / (tn + fp + fn + tp), (tp + tn) / (tn + fp + fn + tp), (tp + tn) / (tn + fp + fn + tp), tn + fp + fn + tp FROM t
          UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(n) FROM c UNION ALL SELECT 'weighted avg', sum(p * n) / sum(n), sum(r * n) / sum(n), sum(f * n) / sum(n), sum(n) FROM c)
         SELECT class, round(p, 6) AS "precision", round(r, 6) AS recall, round(f, 6) AS f1_score, CAST(n AS BIGINT) AS support FROM a""",
-    "metric_decay": f"""WITH {SCORED_SQL}, two AS (SELECT * FROM scored WHERE period IN (1995, 2000)), {metrics_sql("two", "period")},
+    "metric_decay": f"""WITH {SCORED_SQL}, two AS (SELECT CASE WHEN period < 1998 THEN 'r' ELSE 'c' END AS side, y, s, yhat FROM scored), {metrics_sql("two", "side")},
         d AS (SELECT (o.auc - n.auc) / o.auc AS a, (o.f1 - n.f1) / o.f1 AS f, (o.prec - n.prec) / o.prec AS p, (o.rec - n.rec) / o.rec AS r
-          FROM metrics_ o JOIN metrics_ n ON o.period = 1995 AND n.period = 2000)
+          FROM metrics_ o JOIN metrics_ n ON o.side = 'r' AND n.side = 'c')
         SELECT round(a * 100, 4) AS roc_auc, round(f * 100, 4) AS f1_score, round(p * 100, 4) AS "precision", round(r * 100, 4) AS recall,
         round(greatest(a, f, p, r) * 100, 4) AS max_decay, CASE WHEN greatest(a, f, p, r) > 0.10 THEN 'HIGH' WHEN greatest(a, f, p, r) > 0.05 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
         greatest(a, f, p, r) > 0.05 AS alert FROM d""",

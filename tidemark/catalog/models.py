@@ -105,7 +105,7 @@ def batch_scoring(spark, d):
 
 def model_concept_drift(spark, d):
     panel = order_panel(spark, d)
-    ref, cur = panel.filter("period = 1995"), panel.filter("period = 2001")
+    ref, cur = panel.filter("period < 1998"), panel.filter("period >= 1998")
     model = M.fit_forest(ref, "urgent", ["o_totalprice", "o_custkey"], ["o_orderstatus"], trees=10, depth=6)
     return R.concept_drift_of_model(model, ref, cur, "urgent")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.bindings import event_rows, in_year, injected, line_years, order_panel, rounded, table, typed
+from tidemark.catalog.bindings import event_rows, halves, injected, line_years, order_panel, rounded, table, typed
 from tidemark.operators import profile as P
 
 
@@ -26,8 +26,10 @@ def compare_columns(spark, d):
 
 def aligned_distribution(spark, d):
     orders = table(spark, d, "orders")
-    ref = in_year(orders, "o_orderdate", 1995).filter("o_orderpriority <> '5-LOW'")
-    cur = in_year(orders, "o_orderdate", 2001).filter("o_orderpriority <> '1-URGENT'")
+    ref, cur = halves(orders, "o_orderdate")
+    # Each side lacks a category of the other.
+    ref = ref.replace("5-LOW", "4-NOT SPECIFIED", ["o_orderpriority"])
+    cur = cur.replace("1-URGENT", "2-HIGH", ["o_orderpriority"])
     return rounded(P.aligned_distribution(ref, cur, "o_orderpriority"))
 
 
@@ -61,7 +63,7 @@ def baseline_deviation(spark, d):
 
 def density_curve(spark, d):
     orders = table(spark, d, "orders")
-    ref, cur = in_year(orders, "o_orderdate", 1995), in_year(orders, "o_orderdate", 2001)
+    ref, cur = halves(orders, "o_orderdate")
     found = P.density_curve(ref, cur, "o_totalprice")
     return typed(found.select("side", "point", F.round("x", 2).alias("x"), F.round(F.col("density") * 1e6, 5).alias("density_ppm")))
 
@@ -85,9 +87,9 @@ QUERIES = {
     "distinct_periods": distinct_periods,
 }
 
-_LINES = """WITH r AS (SELECT * FROM lineitem WHERE year(l_shipdate) = 1995),
+_LINES = """WITH r AS (SELECT * FROM lineitem WHERE year(l_shipdate) < 1998),
  c AS (SELECT * REPLACE (l_extendedprice * 1.5::DOUBLE AS l_extendedprice, l_discount + 0.05::DOUBLE AS l_discount,
-   CASE WHEN l_quantity > 15 THEN 'R' ELSE l_returnflag END AS l_returnflag) FROM lineitem WHERE year(l_shipdate) = 2001)"""
+   CASE WHEN l_quantity > 15 THEN 'R' ELSE l_returnflag END AS l_returnflag) FROM lineitem WHERE year(l_shipdate) >= 1998)"""
 
 
 def _mean(column: str) -> str:
@@ -110,8 +112,8 @@ SQL = {
     "compare_columns": f"""{_LINES}, m AS ({_mean("l_extendedprice")} UNION ALL {_mean("l_quantity")})
         SELECT feature, 'numeric' AS type, NULL AS category, round(a, 4) AS "old", round(b, 4) AS "new", round(CASE WHEN a = 0 THEN 0 ELSE (b - a) / a * 100 END, 4) AS drift_pct FROM m
         UNION ALL {_share("l_returnflag")} UNION ALL {_share("l_linestatus")}""",
-    "aligned_distribution": """WITH r AS (SELECT o_orderpriority AS k FROM orders WHERE year(o_orderdate) = 1995 AND o_orderpriority <> '5-LOW'),
-        c AS (SELECT o_orderpriority AS k FROM orders WHERE year(o_orderdate) = 2001 AND o_orderpriority <> '1-URGENT')
+    "aligned_distribution": """WITH r AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS k FROM orders WHERE year(o_orderdate) < 1998),
+        c AS (SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN '2-HIGH' ELSE o_orderpriority END AS k FROM orders WHERE year(o_orderdate) >= 1998)
         SELECT coalesce(a.k, b.k) AS category, round(a.p, 6) AS base, round(b.p, 6) AS actual FROM
         (SELECT k, count(*) / (SELECT count(*) FROM r) AS p FROM r GROUP BY k) a FULL JOIN (SELECT k, count(*) / (SELECT count(*) FROM c) AS p FROM c GROUP BY k) b ON a.k = b.k""",
     "summary_statistics": f"""{_LINES} SELECT 'old' AS side, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS std, round(min(l_extendedprice), 4) AS min,
@@ -130,7 +132,7 @@ SQL = {
         (SELECT avg(l_extendedprice) FROM r) AS base FROM c)
         SELECT round(m, 4) AS mean, round(s, 4) AS std, round(lo, 4) AS min, round(hi, 4) AS max, round(abs(m - base) / base, 4) AS deviation,
         CASE WHEN abs(m - base) / base < 0.1 THEN 'REALISTIC' ELSE 'UNREALISTIC' END AS interpretation FROM s""",
-    "density_curve": """WITH rows_ AS (SELECT CASE WHEN year(o_orderdate) = 1995 THEN 'old' ELSE 'new' END AS side, o_totalprice AS v FROM orders WHERE year(o_orderdate) IN (1995, 2001)),
+    "density_curve": """WITH rows_ AS (SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'old' ELSE 'new' END AS side, o_totalprice AS v FROM orders),
         s AS (SELECT side, count(*) AS n, min(v) AS lo, max(v) AS hi, pow(count(*), -0.2) * stddev_samp(v) AS w FROM rows_ GROUP BY side),
         g AS (SELECT side, n, w, k, lo - 3 * w + k * (hi - lo + 6 * w) / 199 AS x FROM (SELECT *, unnest(range(0, 200)) AS k FROM s))
         SELECT g.side, g.k AS point, round(any_value(g.x), 2) AS x, round(sum(exp(-0.5 * pow((g.x - r.v) / g.w, 2))) / (any_value(g.w) * sqrt(2 * pi()) * any_value(g.n)) * 1e6, 5) AS density_ppm

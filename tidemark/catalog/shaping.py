@@ -52,16 +52,16 @@ def active_rows(spark, d):
 
 
 def new_entities(spark, d):
-    """Customers who ordered in 2001 but not in 1995."""
+    """Customers who ordered from 1998 on but not before."""
     p = order_panel(spark, d)
-    late, early = (p.filter(F.col("period") == y).select("o_custkey").distinct() for y in (2001, 1995))
+    late, early = (p.filter(c).select("o_custkey").distinct() for c in ("period >= 1998", "period < 1998"))
     return late.join(early, "o_custkey", "left_anti")
 
 
 def shared_entities(spark, d):
-    """Customers who ordered in both 1995 and 2001."""
+    """Customers who ordered both before 1998 and from then on."""
     p = order_panel(spark, d)
-    late, early = (p.filter(F.col("period") == y).select("o_custkey") for y in (2001, 1995))
+    late, early = (p.filter(c).select("o_custkey") for c in ("period >= 1998", "period < 1998"))
     return late.intersect(early)
 
 
@@ -99,8 +99,8 @@ SQL = {
         UNION ALL SELECT o_orderkey, year(o_orderdate), '1998' FROM orders WHERE year(o_orderdate) = 1998""",
     "period_members": "SELECT o_orderkey, year(o_orderdate) AS period FROM orders WHERE year(o_orderdate) IN (1996, 1998)",
     "active_rows": "SELECT o_orderkey, 'No' AS urgent FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')",
-    "new_entities": "SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 2001 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995)",
-    "shared_entities": "SELECT o_custkey FROM orders WHERE year(o_orderdate) = 2001 INTERSECT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995",
+    "new_entities": "SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) >= 1998 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) < 1998)",
+    "shared_entities": "SELECT o_custkey FROM orders WHERE year(o_orderdate) >= 1998 INTERSECT SELECT o_custkey FROM orders WHERE year(o_orderdate) < 1998",
     "panel_union": """SELECT c_custkey AS key, round(c_acctbal, 4) AS balance, c_mktsegment AS segment, NULL::BIGINT AS nation FROM customer
         UNION ALL SELECT s_suppkey, round(s_acctbal, 4), NULL, s_nationkey FROM supplier""",
 }

@@ -10,6 +10,7 @@ NEGATIVE_LABELS = ("no", "0", "0.0", "false")
 
 # The text forms that count as a number, an integer, a boolean, a timestamp.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?)\s*$"
+NAMED_NUMBER_PATTERN = r"(?i)^\s*([+-]?(inf|infinity)|nan)\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 BOOLEAN_PATTERN = r"^(true|false|True|False)$"
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
@@ -49,11 +50,12 @@ def label_flag(column: Column) -> Column:
 
 
 def parse_number(column: Column) -> Column:
-    """Text to DOUBLE, NULL when it is no number.
+    """Text to DOUBLE, NULL when it is no number. 'nan' gives NaN, which is missing but no failure.
 
-    A bare try_cast would accept '1d' and '1f', hence the pattern first.
+    A bare try_cast would accept '1d' and '1f', hence the patterns first.
     """
-    return F.when(column.rlike(NUMBER_PATTERN), F.trim(column).try_cast("double"))
+    fits = column.rlike(NUMBER_PATTERN) | column.rlike(NAMED_NUMBER_PATTERN)
+    return F.when(fits, F.trim(column).try_cast("double"))
 
 
 def lexical_class(column: Column) -> Column:

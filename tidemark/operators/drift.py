@@ -7,11 +7,12 @@ optional `groups` column lets the same plan serve many current tables (periods).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
-from tidemark.functions.ks import EXACT_ROWS, exact_ks_pvalue
+from tidemark.functions.ks import exact_ks_pvalue
 from tidemark.functions.scalars import ratio
 from tidemark.functions.sqltext import name, number, per_feature, text
 from tidemark.operators.order_stats import (
@@ -30,9 +31,6 @@ CRITICAL_ALERTS = 5
 
 MOMENTS = ("mean_reference", "mean_current", "std_reference", "std_current")
 
-# A period column is a coarse time index; more distinct values than this is a wrong column.
-MAX_PERIODS = 10_000
-
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """(numeric, categorical) column names by type; arrays, maps and structs are not monitored."""
@@ -125,8 +123,20 @@ def bin_of_feature(bounds: dict[str, tuple[float, float]], bins: int) -> Column:
     return F.expr(per_feature(found, "CAST(NULL AS INT)"))
 
 
+def finite_bounds(profile: dict[str, Row]) -> dict[str, tuple[float, float]]:
+    """The reference range per feature; without a finite one there are no bins."""
+    found = {f: (r["lo"], r["hi"]) for f, r in profile.items() if r["lo"] is not None}
+    return {f: b for f, b in found.items() if all(map(math.isfinite, b))}
+
+
 def binned(profile: dict[str, Row], bins: int) -> Column:
-    return bin_of_feature({f: (r["lo"], r["hi"]) for f, r in profile.items() if r["lo"] is not None}, bins)
+    return bin_of_feature(finite_bounds(profile), bins)
+
+
+def bounded_psi(profile: dict[str, Row], bins: int) -> Column:
+    """The index, NULL for a feature whose reference range is not finite."""
+    bounded = F.expr(per_feature(dict.fromkeys(finite_bounds(profile), "true"), "false"))
+    return F.when(bounded, psi_of_counts(bins))
 
 
 def bin_counts(bins: int) -> list[Column]:
@@ -161,7 +171,7 @@ def population_stability(reference: DataFrame, current: DataFrame, columns: Sequ
     counted = rows.withColumn("bin", binned(profile, bins)).groupBy("feature").agg(
         F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"), *bin_counts(bins)
     )
-    return counted.select("feature", psi_of_counts(bins).alias("psi"))
+    return counted.select("feature", bounded_psi(profile, bins).alias("psi"))
 
 
 def ks_pvalue(statistic: str, n_ref: str, n_cur: str) -> Column:
@@ -179,47 +189,33 @@ def ks_pvalue(statistic: str, n_ref: str, n_cur: str) -> Column:
     return F.expr(f"CASE WHEN {statistic} IS NOT NULL THEN transform(array({lam}), lam -> {value})[0] END")
 
 
+def _pvalue(measured: DataFrame, groups: Sequence[str], method: str) -> tuple[DataFrame, Column]:
+    """The p-value column of (ks_statistic, rows_ref, rows_cur), and the rows to compute it on."""
+    if method == "asymptotic":
+        return measured, ks_pvalue("ks_statistic", "rows_ref", "rows_cur")
+    if method != "exact":
+        raise ValueError(f"unknown p-value method {method!r}")
+    # A value is costly and the drift table small: deal its rows out before the computation.
+    return measured.repartition(*groups, "feature"), exact_ks_pvalue("ks_statistic", "rows_ref", "rows_cur")
+
+
 def numeric_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, *,
-    bins: int = PSI_BINS, period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True,
-    pvalue: str = "auto",
+    bins: int = PSI_BINS, rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "asymptotic",
 ) -> DataFrame:
     """PSI, KS, Wasserstein and moments of every numeric column, unrounded.
 
-    pvalue: "auto" takes the exact distribution when both samples have at most
-    10,000 rows and the series beyond; "asymptotic" always takes the series.
-    With `period`, each period of `current` is compared with the whole reference;
-    its current moments take one more pass, which period_moments=False saves.
+    pvalue: "asymptotic" takes the Kolmogorov series for every feature, "exact"
+    the exact distribution for every feature. Size decides nothing.
     """
     columns = feature_columns(reference)[0] if columns is None else columns
-    groups = [period] if period else []
-    if period:
-        periods = period_values(current, period)
-        tags = F.explode(F.array(*[F.lit(p) for p in periods]).cast(f"array<{_type_of(current, period)}>"))
-        one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        ref = long_numeric(reference, columns, one.alias("n_ref"), zero.alias("n_cur"))
-        cur = long_numeric(current, columns, F.col(period), zero.alias("n_ref"), one.alias("n_cur"))
-        # Reference values are counted before they are repeated per period.
-        ref_cells = ref.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-        ref_cells = ref_cells.select(tags.alias(period), "*")
-        cells = ref_cells.unionByName(cur).groupBy(period, "feature", "value").agg(
-            F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
-        )
-        rows = ref.unionByName(cur.drop(period))
-        now = cur.groupBy(period, "feature").agg(
-            F.avg("value").alias("mean_current"), F.stddev_samp("value").alias("std_current")
-        )
-    else:
-        rows = _both_sides(reference, current, columns, long_numeric)
-        cells = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-        now = None
-
+    rows = _both_sides(reference, current, columns, long_numeric)
+    cells = rows.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     profile = numeric_profile(rows)
     cuts = cuts_by_feature(rows, {f: r["rows"] for f, r in profile.items()}, rows_per_slice)
     sliced = with_feature_slice(cells.withColumn("bin", binned(profile, bins)), "value", cuts)
-    ordered = running_totals(sliced, [*groups, "feature"], "value", ["n_ref", "n_cur"])
-
-    measured = ordered.groupBy(*groups, "feature").agg(
+    ordered = running_totals(sliced, ["feature"], "value", ["n_ref", "n_cur"])
+    measured = ordered.groupBy("feature").agg(
         *[F.expr(e) for e in (
             "max(total_n_ref) AS rows_ref", "max(total_n_cur) AS rows_cur",
             "max(abs(try_divide(cum_n_ref, total_n_ref) - try_divide(cum_n_cur, total_n_cur))) AS ks_statistic",
@@ -227,25 +223,56 @@ def numeric_drift(
         )],
         *bin_counts(bins),
     )
-    measured = measured.filter("rows_ref > 0 AND rows_cur > 0")
-    if period and period_moments:
-        # One row per period and feature on both sides.
-        measured = measured.join(now, [period, "feature"])
-    elif period:
-        measured = measured.select("*", *[F.expr(f"CAST(NULL AS DOUBLE) AS {c}") for c in ("mean_current", "std_current")])
-    moments = ["mean_reference", "std_reference"] + ([] if period else ["mean_current", "std_current"])
-    p = ks_pvalue("ks_statistic", "rows_ref", "rows_cur")
-    if pvalue == "auto" and any(0 < r["rows_reference"] <= EXACT_ROWS for r in profile.values()):
-        p = F.coalesce(exact_ks_pvalue("ks_statistic", "rows_ref", "rows_cur"), p)
-    elif pvalue not in ("auto", "asymptotic"):
-        raise ValueError(f"unknown p-value method {pvalue!r}")
+    measured, p = _pvalue(measured.filter("rows_ref > 0 AND rows_cur > 0"), [], pvalue)
     span = f"({looked_up(profile, 'hi')} - {looked_up(profile, 'lo')})"
     return measured.select(
-        *groups, "feature", "rows_ref", "rows_cur", psi_of_counts(bins).alias("psi"), "ks_statistic",
+        "feature", "rows_ref", "rows_cur", bounded_psi(profile, bins).alias("psi"), "ks_statistic",
         p.alias("ks_pvalue"),
         F.expr(f"if({span} > 0, area / {span}, 0D) AS wasserstein_distance"),
-        *[F.expr(f"{looked_up(profile, m)} AS {m}") for m in moments],
-        *(["mean_current", "std_current"] if period else []),
+        *[F.expr(f"{looked_up(profile, m)} AS {m}") for m in MOMENTS],
+    )
+
+
+def numeric_drift_by_period(
+    reference: DataFrame, current: DataFrame, period: str, columns: Sequence[str] | None = None, *,
+    bins: int = PSI_BINS, rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "asymptotic",
+) -> DataFrame:
+    """(period, feature, rows_ref, rows_cur, psi, ks_statistic, ks_pvalue): every period of current against the whole reference.
+
+    The reference is never repeated per period. Between two values of a period
+    its distribution is flat and the reference's rises, so the largest distance
+    lies at a value of the period, on one side of it or the other. One running
+    total of the reference over all values, joined to the running totals of the
+    periods by feature and value, is all it takes. Any number of periods will do.
+    """
+    columns = feature_columns(reference, [period])[0] if columns is None else columns
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    ref = long_numeric(reference, columns, one.alias("n_ref"), zero.alias("n_cur"))
+    cur = long_numeric(current, columns, F.col(period).alias("period"), one.alias("n_cur")).filter("period IS NOT NULL")
+    profile = numeric_profile(ref)
+    counts = {f: r["rows"] for f, r in profile.items()}
+    cuts = cuts_by_feature(ref, counts, rows_per_slice)
+    by_period = with_feature_slice(cur.groupBy("period", "feature", "value").agg(F.sum("n_cur").alias("n_cur")), "value", cuts)
+    values = by_period.select("feature", "value", F.lit(0).cast("bigint").alias("n_ref"))
+    known = ref.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")).unionByName(values)
+    known = with_feature_slice(known.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")), "value", cuts)
+    known = running_totals(known.withColumn("bin", binned(profile, bins)), ["feature"], "value", ["n_ref"])
+    here = running_totals(by_period, ["period", "feature"], "value", ["n_cur"]).select("period", "feature", "value", "n_cur", "cum_n_cur", "total_n_cur")
+    both = here.join(known.select("feature", "value", "bin", "n_ref", "cum_n_ref", "total_n_ref"), ["feature", "value"])
+    counted = lambda side: [F.expr(f"coalesce(sum(n_{side}) FILTER (WHERE bin = {k}), 0) AS {side}_{k}") for k in range(bins)]
+    measured = both.groupBy("period", "feature").agg(
+        *[F.expr(e) for e in (
+            "max(total_n_ref) AS rows_ref", "max(total_n_cur) AS rows_cur",
+            "max(greatest(abs(try_divide(cum_n_ref, total_n_ref) - cum_n_cur / total_n_cur), "
+            "abs(try_divide(cum_n_ref - n_ref, total_n_ref) - (cum_n_cur - n_cur) / total_n_cur))) AS ks_statistic",
+        )],
+        *counted("cur"),
+    ).filter("rows_ref > 0 AND rows_cur > 0")
+    # One row per monitored column.
+    measured = measured.join(F.broadcast(known.groupBy("feature").agg(*counted("ref"))), "feature")
+    measured, p = _pvalue(measured, ["period"], pvalue)
+    return measured.select(
+        F.col("period").alias(period), "feature", "rows_ref", "rows_cur", bounded_psi(profile, bins).alias("psi"), "ks_statistic", p.alias("ks_pvalue"),
     )
 
 
@@ -259,83 +286,101 @@ def category_severity(change: Column) -> Column:
     return F.when(change > CATEGORY_HIGH, "HIGH").when(change > CATEGORY_MEDIUM, "MEDIUM").otherwise("LOW")
 
 
-def category_shares(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, *, period: str | None = None,
-) -> DataFrame:
+def category_shares(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Both distributions aligned per (feature, category); an unseen category has share 0."""
     columns = columns if columns is not None else feature_columns(reference)[1]
-    counts = [F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")]
-    if period:
-        one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        tags = F.explode(
-            F.array(*[F.lit(p) for p in period_values(current, period)]).cast(f"array<{_type_of(current, period)}>")
-        )
-        ref = long_categorical(reference, columns, one.alias("n_ref"), zero.alias("n_cur"))
-        cur = long_categorical(current, columns, F.col(period), zero.alias("n_ref"), one.alias("n_cur"))
-        ref_cells = ref.groupBy("feature", "category").agg(*counts).select(tags.alias(period), "*")
-        keys = [period, "feature"]
-        cells = ref_cells.unionByName(cur).groupBy(*keys, "category").agg(*counts)
-    else:
-        keys = ["feature"]
-        rows = _both_sides(reference, current, columns, long_categorical)
-        cells = rows.groupBy(*keys, "category").agg(*counts)
-    totals = cells.groupBy(*keys).agg(F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"))
-    # One row per monitored column (and period), both counted when planning.
-    joined = cells.join(F.broadcast(totals), keys)
+    rows = _both_sides(reference, current, columns, long_categorical)
+    cells = rows.groupBy("feature", "category").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    totals = cells.groupBy("feature").agg(F.sum("n_ref").alias("rows_ref"), F.sum("n_cur").alias("rows_cur"))
+    # One row per monitored column.
+    joined = cells.join(F.broadcast(totals), "feature")
     return joined.select(
-        *keys, "category", "n_ref", "n_cur", "rows_ref", "rows_cur",
+        "feature", "category", "n_ref", "n_cur", "rows_ref", "rows_cur",
         ratio(F.col("n_ref"), F.col("rows_ref")).alias("share_reference"),
         ratio(F.col("n_cur"), F.col("rows_cur")).alias("share_current"),
     )
 
 
-def categorical_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, *, period: str | None = None,
-) -> DataFrame:
+def categorical_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Largest change of a category's share per feature, unrounded."""
-    shares = category_shares(reference, current, columns, period=period).filter("rows_ref > 0 AND rows_cur > 0")
-    groups = [period] if period else []
-    return shares.groupBy(*groups, "feature").agg(
+    shares = category_shares(reference, current, columns).filter("rows_ref > 0 AND rows_cur > 0")
+    return shares.groupBy("feature").agg(
         F.max(F.abs(F.col("share_current") - F.col("share_reference"))).alias("max_proportion_change"),
         F.max("rows_ref").alias("rows_ref"),
         F.max("rows_cur").alias("rows_cur"),
     )
 
 
+def categorical_drift_by_period(reference: DataFrame, current: DataFrame, period: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """(period, feature, max_proportion_change, rows_ref, rows_cur): every period of current against the whole reference.
+
+    Categories of the reference that a period lacks matter by their own share
+    only, and of those the largest counts. Reference categories are ranked by
+    share; the first rank that a period does not hold names it. So no period is
+    paired with all categories.
+    """
+    columns = columns if columns is not None else feature_columns(reference, [period])[1]
+    ref = long_categorical(reference, columns).groupBy("feature", "category").agg(F.count("*").alias("n_ref"))
+    whole = Window.partitionBy("feature")
+    ref = ref.withColumn("rows_ref", F.sum("n_ref").over(whole)).withColumn(
+        "place", F.row_number().over(whole.orderBy(F.desc("n_ref"), "category"))
+    )
+    cur = long_categorical(current, columns, F.col(period).alias("period")).filter("period IS NOT NULL")
+    cur = cur.groupBy("period", "feature", "category").agg(F.count("*").alias("n_cur"))
+    sizes = cur.groupBy("period", "feature").agg(F.sum("n_cur").alias("rows_cur"))
+    cells = cur.join(ref.select("feature", "category", "n_ref", "place"), ["feature", "category"], "left").join(sizes, ["period", "feature"])
+    cells = cells.join(F.broadcast(ref.groupBy("feature").agg(F.max("rows_ref").alias("rows_ref"))), "feature")
+    held = F.row_number().over(Window.partitionBy("period", "feature").orderBy(F.col("place").asc_nulls_last()))
+    cells = cells.withColumn("held", held)
+    change = F.abs(ratio(F.col("n_cur"), F.col("rows_cur")) - ratio(F.coalesce("n_ref", F.lit(0)), F.col("rows_ref")))
+    found = cells.groupBy("period", "feature").agg(
+        F.max(change).alias("present"), F.max("rows_ref").alias("rows_ref"), F.max("rows_cur").alias("rows_cur"),
+        F.coalesce(F.min(F.when(F.col("place") > F.col("held"), F.col("held"))), F.count("place") + 1).alias("place"),
+    )
+    lacking = ref.select("feature", "place", ratio(F.col("n_ref"), F.col("rows_ref")).alias("lacking"))
+    found = found.join(lacking, ["feature", "place"], "left")
+    return found.select(
+        F.col("period").alias(period), "feature", F.greatest("present", F.coalesce("lacking", F.lit(0.0))).alias("max_proportion_change"), "rows_ref", "rows_cur",
+    )
+
+
 def covariate_shift(
     reference: DataFrame, current: DataFrame, *,
     numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
     exclude: Sequence[str] = (), threshold_psi: float = PSI_ALERT, threshold_ks: float = KS_ALERT,
-    period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, period_moments: bool = True, pvalue: str = "auto",
+    period: str | None = None, rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "asymptotic",
 ) -> DataFrame:
-    """The drift table: one row per feature present in both tables, rounded for reporting."""
+    """The drift table: one row per feature present in both tables, rounded for reporting.
+
+    With `period` each period of `current` is compared with the whole reference,
+    one row per period and feature; areas and moments are then left out.
+    """
     skip = [*exclude, *([period] if period else [])]
     auto_numeric, auto_categorical = feature_columns(reference, skip)
     shared = set(current.columns)
     numeric = [c for c in (auto_numeric if numeric is None else numeric) if c in shared]
     categorical = [c for c in (auto_categorical if categorical is None else categorical) if c in shared]
     groups = [F.col(period)] if period else []
+    shown = [] if period else [("wasserstein_distance", 4), *((m, 2) for m in MOMENTS)]
     parts = []
     if numeric or not categorical:
-        found = numeric_drift(reference, current, numeric, period=period, rows_per_slice=rows_per_slice,
-                              period_moments=period_moments, pvalue=pvalue)
+        options = {"rows_per_slice": rows_per_slice, "pvalue": pvalue}
+        found = numeric_drift_by_period(reference, current, period, numeric, **options) if period else numeric_drift(reference, current, numeric, **options)
         severity = numeric_severity(F.col("psi"), F.col("ks_pvalue"), threshold_psi, threshold_ks)
         parts.append(found.select(
             *groups, "feature", *[F.expr(e) for e in (
                 "'numeric' AS type", "bround(psi, 4) AS psi", "bround(ks_statistic, 4) AS ks_statistic",
-                "bround(ks_pvalue, 4) AS ks_pvalue", "bround(wasserstein_distance, 4) AS wasserstein_distance",
-                "CAST(NULL AS DOUBLE) AS max_proportion_change",
-                *[f"bround({c}, 2) AS {c}" for c in MOMENTS],
+                "bround(ks_pvalue, 4) AS ks_pvalue", *[f"bround({c}, {n}) AS {c}" for c, n in shown[:1]],
+                "CAST(NULL AS DOUBLE) AS max_proportion_change", *[f"bround({c}, {n}) AS {c}" for c, n in shown[1:]],
             )], severity.alias("severity"),
         ))
     if categorical:
-        found = categorical_drift(reference, current, categorical, period=period)
+        found = categorical_drift_by_period(reference, current, period, categorical) if period else categorical_drift(reference, current, categorical)
         parts.append(found.select(
             *groups, "feature", *[F.expr(e) for e in (
                 "'categorical' AS type",
-                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in ("psi", "ks_statistic", "ks_pvalue", "wasserstein_distance")],
-                "bround(max_proportion_change, 4) AS max_proportion_change",
-                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in MOMENTS],
+                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in ("psi", "ks_statistic", "ks_pvalue", *[c for c, _ in shown[:1]])],
+                "bround(max_proportion_change, 4) AS max_proportion_change", *[f"CAST(NULL AS DOUBLE) AS {c}" for c, _ in shown[1:]],
             )], category_severity(F.col("max_proportion_change")).alias("severity"),
         ))
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -360,12 +405,5 @@ def status_of(alerts: Column, concept_alert: Column) -> Column:
 
 
 def period_values(df: DataFrame, period: str) -> list:
-    """Sorted distinct periods. The list is a time index, checked to be small."""
-    found = [r[0] for r in df.select(period).distinct().filter(F.col(period).isNotNull()).limit(MAX_PERIODS + 1).collect()]
-    if len(found) > MAX_PERIODS:
-        raise ValueError(f"{period} has more than {MAX_PERIODS} distinct values and is no period column")
-    return sorted(found)
-
-
-def _type_of(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
+    """Sorted distinct periods, for jobs that fit one model per period and so visit them one by one."""
+    return sorted(r[0] for r in df.select(period).distinct().filter(F.col(period).isNotNull()).collect())

@@ -17,13 +17,13 @@ DECAY_HIGH = 0.10
 
 
 def scored_rows(df: DataFrame, keys: Sequence[str], label: str, score: str, prediction: str) -> DataFrame:
-    """(keys, label 0/1, score, prediction 0/1); rows without a usable label are dropped."""
+    """(keys, label 0/1, score, prediction 0/1); rows without a usable label, score (NaN too) or prediction are dropped."""
     return df.select(
         *keys,
         label_flag(F.col(label)).alias("label"),
         F.col(score).cast("double").alias("score"),
         label_flag(F.col(prediction)).alias("prediction"),
-    ).filter("label IS NOT NULL")
+    ).filter("label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score) AND prediction IS NOT NULL")
 
 
 def confusion_counts(df: DataFrame, keys: Sequence[str], label: str, prediction: str) -> DataFrame:

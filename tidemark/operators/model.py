@@ -18,7 +18,7 @@ from tidemark.functions.scalars import as_double, hash_hex, hash_uniform, label_
 from tidemark.functions.sqltext import name, number, text
 from tidemark.operators.drift import long_categorical, long_numeric
 from tidemark.operators.order_stats import (
-    ROWS_PER_SLICE, cuts_by_feature, looks_small, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
+    ROWS_PER_SLICE, cuts_by_feature, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
 )
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.shape import align_features
@@ -39,9 +39,7 @@ def numeric_fill(df: DataFrame, columns: Sequence[str], rows_per_slice: int = RO
     """(feature, median, mean, std_pop, n_missing): exact median, and moments after filling with it."""
     long = long_numeric(df, columns)
     cells = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    counts = {}
-    if rows_per_slice != ROWS_PER_SLICE or not looks_small(df):
-        counts = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    counts = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
     cells = with_feature_slice(cells, "value", cuts_by_feature(long, counts, rows_per_slice))
     medians = quantiles_of_cells(running_totals(cells, ["feature"], "value", ["n"]), ["feature"], {"median": 0.5})
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -83,6 +81,8 @@ def with_weights(df: DataFrame, label: str) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE, seed: str | int = SEED) -> tuple[DataFrame, DataFrame]:
     """(train, test) with exactly floor(n * share) test rows of each class, by key hash.
 
+    A NULL label is a class of its own. Rows that repeat a key stay on one side.
+
     Both are filters on the table: no row is shuffled or joined to another.
     """
     marked = with_split(df, label, key, test_share, seed)
@@ -97,7 +97,10 @@ def with_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHA
 
 
 def with_folds(df: DataFrame, label: str, key: str, folds: int = FOLDS, seed: str | int = SEED) -> DataFrame:
-    """Stratified fold number 0..folds-1: equal stretches of each class in hash order."""
+    """Stratified fold number 0..folds-1: equal stretches of each class in hash order.
+
+    A NULL label is a class of its own. Rows that repeat a key share a fold.
+    """
     wanted = [F.floor(F.col("group_rows") * F.lit(k) / folds) for k in range(1, folds)]
     placed = with_cutoffs(df, [label], hash_hex(F.col(key), seed=seed), [key], wanted)
     passed = F.lit(0)

@@ -60,7 +60,7 @@ def categorical_column(column: Column, dtype: T.DataType, na_value: str | None =
 def numeric_column(column: Column, dtype: T.DataType) -> Column:
     """DOUBLE form of a column; text that is no number becomes NULL."""
     if isinstance(dtype, T.StringType):
-        return parse_number(column)
+        return nan_to_null(parse_number(column), T.DoubleType())
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return as_double(column, dtype)
     return F.lit(None).cast("double")

@@ -13,56 +13,55 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Most slices one sorted column is cut into, and the rows one slice should hold.
-MAX_SLICES = 8192
+# The rows one slice of a sorted column, or one slice of a hash order, should hold.
 ROWS_PER_SLICE = 1_000_000
+ROWS_PER_LEAD = 100_000
 
-# Rows drawn per slice to place the cuts, and the plan size that needs no cuts.
+# Rows drawn per slice to place the cuts.
 SAMPLE_PER_SLICE = 2_000
-SMALL_BYTES = 64 << 20
-
-# Most rows of a cut-off table that is broadcast.
-MAX_BROADCAST_ROWS = 1 << 16
-
-
-def looks_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    """True when Catalyst's size estimate for the plan is at most `limit` bytes.
-
-    The estimate comes from file sizes; plans it cannot bound count as large.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
-    except AttributeError:
-        return False
 
 
 def cuts_by_feature(rows: DataFrame, counts: dict[str, int], rows_per_slice: int = ROWS_PER_SLICE) -> dict[str, list[float]]:
     """Ascending cut points per feature of (feature, value) rows, {} if one slice will do.
 
     Any cut points give the same result, they only balance the work, so they may
-    come from a sample. At most MAX_SLICES - 1 doubles per feature are returned.
+    come from a sample. The number of slices follows the counted rows.
     """
     largest = max(counts.values(), default=0)
     if largest <= rows_per_slice:
         return {}
-    slices = min(MAX_SLICES, -(-largest // rows_per_slice))
+    slices = -(-largest // rows_per_slice)
     fraction = min(1.0, slices * SAMPLE_PER_SLICE / largest)
     sampled = rows if fraction == 1.0 else rows.sample(fraction, seed=17)
     points = _doubles([k / slices for k in range(1, slices)])
     found = sampled.groupBy("feature").agg(
-        F.array_distinct(F.percentile_approx("value", points, 10 * MAX_SLICES)).alias("cuts")
+        F.array_distinct(F.percentile_approx("value", points, 10 * slices)).alias("cuts")
     )
     return {r["feature"]: list(r["cuts"]) for r in found.collect() if counts.get(r["feature"], 0) > rows_per_slice}
 
 
 def column_cuts(df: DataFrame, value: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
-    """Cut points of one column; no job at all when the plan is known to be small."""
-    if rows_per_slice == ROWS_PER_SLICE and looks_small(df):
-        return []
+    """Cut points of one column, decided on its counted rows."""
     rows = df.select(F.lit("value").alias("feature"), F.col(value).cast("double").alias("value")).filter("value IS NOT NULL")
     return cuts_by_feature(rows, {"value": rows.count()}, rows_per_slice).get("value", [])
 
 
+def lead_digits(rows: int) -> int:
+    """Leading hex digits that cut a hash order into slices of at most about ROWS_PER_LEAD rows."""
+    digits = 0
+    while rows > ROWS_PER_LEAD * 16**digits:
+        digits += 1
+    return digits
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", plain: Sequence[str] = ()) -> DataFrame:
+    """Join on keys, where NULL equals NULL, and on plain columns that hold no NULL. Key columns come from the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, *plain]})
+    on = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys] + [left[k] == renamed[f"_right_{k}"] for k in plain]
+    joined = left.join(renamed, on, how) if on else left.crossJoin(renamed)
+    return joined.drop(*[f"_right_{k}" for k in [*keys, *plain]])
+
+
 def _doubles(values: Sequence[float]) -> Column:
     """A constant array; one text literal keeps the plan small."""
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
@@ -108,7 +107,7 @@ def running_totals(cells: DataFrame, keys: Sequence[str], value: str, measures:
     sums = [F.sum(m).alias(m) for m in measures] + [F.max(c).alias(c) for c in carried]
     slices = cells.groupBy(*keys, "slice").agg(*sums, F.max(value).alias("top"))
 
-    # At most MAX_SLICES rows per key combination reach this window.
+    # One row per slice of a key combination reaches this window.
     before = Window.partitionBy(*keys).orderBy("slice")
     whole = Window.partitionBy(*keys)
     heads = slices.select(
@@ -188,13 +187,14 @@ def quantiles_of_cells(ranked: DataFrame, keys: Sequence[str], fractions: dict[s
     )
 
 
-def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], digits: int = 3) -> DataFrame:
+def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], digits: int | None = None) -> DataFrame:
     """Exact 1-based rank inside `keys` by an evenly spread hex text such as an md5.
 
-    Adds `rank` and `group_rows`. Rows are sorted per (keys, leading hex digits),
-    so no task holds more than its 1/16**digits share of a group.
+    Adds `rank` and `group_rows`. Rows are sorted per (keys, leading hex digits);
+    the number of digits follows the counted rows. NULL keys are one group.
     """
     keys = list(keys)
+    digits = lead_digits(df.count()) if digits is None else digits
     tagged = df.withColumn("_hex", order).withColumn("_lead", F.substring("_hex", 1, digits))
     leads = tagged.groupBy(*keys, "_lead").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_lead")
@@ -207,21 +207,23 @@ def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence
     local = Window.partitionBy(*keys, "_lead").orderBy("_hex", *tie)
     numbered = tagged.withColumn("_local", F.row_number().over(local))
     return (
-        numbered.join(offsets, [*keys, "_lead"])
+        _null_safe(numbered, offsets, keys, plain=["_lead"])
         .withColumn("rank", (F.col("_offset") + F.col("_local")).cast("bigint"))
         .drop("_hex", "_lead", "_local", "_offset")
     )
 
 
-def hash_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int = 3) -> DataFrame:
+def hash_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int | None = None) -> DataFrame:
     """Per key the position (hex, tie) of its wanted-th row by an evenly spread hex text.
 
     Columns cut_0, cut_1, ... hold structs, NULL where less than one row is
-    wanted. `wanted` may use `group_rows`. Rows are counted per leading hex
-    digits first; only the slices that a cut falls into are sorted, and of
-    those only the key columns.
+    wanted; take_0, take_1, ... tell how many of the rows at that very position
+    belong to the wanted ones. `wanted` may use `group_rows`. Rows are counted per
+    leading hex digits first; only the slices that a cut falls into are sorted,
+    and of those only the key columns. NULL keys are one group.
     """
     keys, tie = list(keys), list(tie)
+    digits = lead_digits(df.count()) if digits is None else digits
     place = F.struct(F.col("_hex").alias("hex"), *tie)
     narrow = df.select(*keys, *[t for t in tie if t not in keys], order.alias("_hex")).withColumn(
         "_lead", F.substring("_hex", 1, digits)
@@ -239,35 +241,46 @@ def hash_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequenc
     )
     # One row per cut (and group).
     cut_slices = owed.select(*keys, "_lead").distinct()
+    cells = _null_safe(narrow, cut_slices, keys, "left_semi", ["_lead"])
+    # Equal positions are one cell, so a key that very many rows repeat is sorted once.
+    cells = cells.groupBy(*keys, "_lead", "_hex", *[t for t in tie if t not in keys]).agg(F.count("*").alias("_rows"))
     local = Window.partitionBy(*keys, "_lead").orderBy("_hex", *tie)
-    placed = narrow.join(F.broadcast(cut_slices) if not keys else cut_slices, [*keys, "_lead"], "left_semi").withColumn(
-        "_owed", F.row_number().over(local).cast("bigint")
-    )
-    found = placed.join(owed, [*keys, "_lead", "_owed"])
-    cuts = [F.max(F.when(F.col("_cut") == i, place)).alias(f"cut_{i}") for i in range(len(wanted))]
+    placed = cells.withColumn("_upto", F.sum("_rows").over(local))
+    found = _null_safe(placed, owed, keys, plain=["_lead"]).filter("_upto - _rows < _owed AND _owed <= _upto")
+    cuts = []
+    for i in range(len(wanted)):
+        here = F.col("_cut") == i
+        cuts += [F.max(F.when(here, place)).alias(f"cut_{i}"), F.max(F.when(here, F.col("_owed") - F.col("_upto") + F.col("_rows"))).alias(f"take_{i}")]
     return found.groupBy(*keys).agg(*cuts)
 
 
-def with_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int = 3) -> DataFrame:
-    """Add cut_i of the row's key and `place`, the row's own position. Rows are not shuffled.
+def with_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int | None = None) -> DataFrame:
+    """Add cut_i and take_i of the row's key and `place`, the row's own position.
 
     The cut-offs are one row per key combination: a scalar subquery without
-    keys, else a join whose small side is broadcast when its rows are counted
-    to be few.
+    keys, else a join, NULL keys included, that Spark broadcasts when the
+    cut-offs turn out to be small.
     """
     keys = list(keys)
     cuts = hash_cutoffs(df, keys, order, tie, wanted, digits)
-    names = [f"cut_{i}" for i in range(len(wanted))]
+    names = [f"{n}_{i}" for i in range(len(wanted)) for n in ("cut", "take")]
     placed = df.withColumn("_hex", order).withColumn("place", F.struct(F.col("_hex").alias("hex"), *tie)).drop("_hex")
     if not keys:
         return placed.withColumn("_cuts", cuts.select(F.struct(*names)).scalar()).select(
             *placed.columns, *[F.col(f"_cuts.{n}").alias(n) for n in names]
         )
-    few = df.select(*keys).distinct().limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return placed.join(F.broadcast(cuts) if few else cuts, keys, "left")
+    return _null_safe(placed, cuts, keys, "left")
 
 
-def hash_first(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Column, digits: int = 3) -> DataFrame:
-    """The first `wanted` rows of each key by an evenly spread hex text, exactly."""
+def hash_first(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Column, digits: int | None = None) -> DataFrame:
+    """The first `wanted` rows of each key by an evenly spread hex text, exactly.
+
+    Of several rows at the last position, those first by their other columns are taken.
+    """
+    keys = list(keys)
     placed = with_cutoffs(df, keys, order, tie, [wanted], digits)
-    return placed.filter(F.col("place") <= F.col("cut_0")).select(*df.columns)
+    below = placed.filter(F.col("place") < F.col("cut_0")).select(*df.columns)
+    rest = placed.filter(F.col("place") == F.col("cut_0"))
+    among = Window.partitionBy(*keys, "place").orderBy(F.xxhash64(*df.columns))
+    last = rest.withColumn("_nth", F.row_number().over(among)).filter(F.col("_nth") <= F.col("take_0"))
+    return below.unionByName(last.select(*df.columns))

@@ -76,8 +76,7 @@ def cohort_movement(df: DataFrame, entity: str, period: Column) -> DataFrame:
     """
     check_periods(df, period, 1)
     periods = period_index(df, period)
-    # At most MAX_PERIODS rows, just checked.
-    placed = df.select(F.col(entity).alias("entity"), period.alias("period")).join(F.broadcast(periods), "period")
+    placed = df.select(F.col(entity).alias("entity"), period.alias("period")).join(periods, "period")
     both = F.explode(F.array(
         F.struct(F.col("idx"), F.lit(1).alias("here"), F.lit(0).alias("was")),
         F.struct((F.col("idx") + 1).alias("idx"), F.lit(0).alias("here"), F.lit(1).alias("was")),

@@ -66,7 +66,7 @@ def drift_summary(table: DataFrame, reference: DataFrame, current: DataFrame, co
 def monitor(
     reference: DataFrame, current: DataFrame, path: str | None = None, *, target: str | None = None,
     drop: Sequence[str] = (), normalize: bool = True, concept: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "auto",
+    rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "asymptotic",
 ) -> tuple[DataFrame, DataFrame]:
     """(drift table, summary): drop period and id columns, normalize both sides, compare, save."""
     ref, cur = drop_present(reference, drop), drop_present(current, drop)
@@ -84,7 +84,7 @@ def monitor(
     return table, drift_summary(table, ref, cur, concept)
 
 
-def first_last_drift(df: DataFrame, period: str, exclude: Sequence[str] = (), pvalue: str = "auto") -> DataFrame:
+def first_last_drift(df: DataFrame, period: str, exclude: Sequence[str] = (), pvalue: str = "asymptotic") -> DataFrame:
     """Drift table of the last period of a panel against its first."""
     first, last = edge_period(df, period), edge_period(df, period, last=True)
     return covariate_shift(first.drop(period), last.drop(period), exclude=exclude, pvalue=pvalue)
@@ -93,7 +93,7 @@ def first_last_drift(df: DataFrame, period: str, exclude: Sequence[str] = (), pv
 def drift_timeline(
     reference: DataFrame, current: DataFrame, period: str, *, numeric: Sequence[str] | None = None,
     categorical: Sequence[str] | None = None, exclude: Sequence[str] = (), concept: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "auto",
+    rows_per_slice: int = ROWS_PER_SLICE, pvalue: str = "asymptotic",
 ) -> DataFrame:
     """Status of every period against a fixed reference, with a retrain flag; one job for all periods.
 
@@ -101,7 +101,7 @@ def drift_timeline(
     """
     table = covariate_shift(
         reference, current, numeric=numeric, categorical=categorical, exclude=exclude, period=period,
-        rows_per_slice=rows_per_slice, period_moments=False, pvalue=pvalue,
+        rows_per_slice=rows_per_slice, pvalue=pvalue,
     )
     counted = table.groupBy(period).agg(
         F.count("*").alias("features"), F.count_if("alert").alias("covariate_alerts"),

@@ -6,18 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# The scoring request's required whole-number and text fields,
-# and the fields that take a default.
-REQUIRED_INTEGERS = (
-    "Age", "DailyRate", "DistanceFromHome", "JobLevel", "NumCompaniesWorked", "PercentSalaryHike",
-    "StockOptionLevel", "TotalWorkingYears", "TrainingTimesLastYear", "YearsAtCompany", "MonthlyIncome",
-)
-REQUIRED_TEXTS = (
-    "Education", "EnvironmentSatisfaction", "JobInvolvement", "JobSatisfaction", "PerformanceRating",
-    "RelationshipSatisfaction", "WorkLifeBalance", "BusinessTravel", "Department", "EducationField",
-    "Gender", "JobRole", "MaritalStatus", "OverTime",
-)
-OPTIONAL_FIELDS = {"Batch_ID": None, "EmployeeCount": 1, "EmployeeNumber": 0, "Over18": "Y", "StandardHours": 80}
+# The scoring request's fields, their types and the defaults of those that may be absent.
+REQUEST_FIELDS = {
+    "Age": "bigint", "DailyRate": "bigint", "DistanceFromHome": "bigint", "Education": "string",
+    "EnvironmentSatisfaction": "string", "JobInvolvement": "string", "JobLevel": "bigint", "JobSatisfaction": "string",
+    "NumCompaniesWorked": "bigint", "PercentSalaryHike": "bigint", "PerformanceRating": "string",
+    "RelationshipSatisfaction": "string", "StockOptionLevel": "bigint", "TotalWorkingYears": "bigint",
+    "TrainingTimesLastYear": "bigint", "WorkLifeBalance": "string", "YearsAtCompany": "bigint", "MonthlyIncome": "bigint",
+    "BusinessTravel": "string", "Department": "string", "EducationField": "string", "Gender": "string",
+    "JobRole": "string", "MaritalStatus": "string", "OverTime": "string", "Batch_ID": "bigint",
+    "EmployeeCount": "bigint", "EmployeeNumber": "bigint", "Over18": "string", "StandardHours": "bigint",
+}
+REQUEST_DEFAULTS = {"Batch_ID": None, "EmployeeCount": 1, "EmployeeNumber": 0, "Over18": "Y", "StandardHours": 80}
 
 
 class RecordContract:
@@ -58,10 +58,8 @@ class RecordContract:
 
 
 def scoring_request() -> RecordContract:
-    fields = {f: T.LongType() for f in REQUIRED_INTEGERS} | {f: T.StringType() for f in REQUIRED_TEXTS}
-    for name, default in OPTIONAL_FIELDS.items():
-        fields[name] = T.StringType() if isinstance(default, str) else T.LongType()
-    return RecordContract(fields, OPTIONAL_FIELDS)
+    types = {"bigint": T.LongType(), "string": T.StringType()}
+    return RecordContract({f: types[t] for f, t in REQUEST_FIELDS.items()}, REQUEST_DEFAULTS)
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
