@@ -55,6 +55,14 @@ def test_layers_map_to_their_place():
         assert (4, 4 + len(token.rstrip("=")) + token.count("="), "assign") in spans(f"see {token}")
 
 
+def test_token_in_a_path_and_packed_url():
+    token = base64.b64encode(b"secret=abcdefghij").decode().rstrip("=")
+    text = f"https://host.example/long/path/{token}/x"
+    assert [s[2] for s in spans(text)] == ["assign"] and text.index(token) <= spans(text)[0][0]
+    packed = "".join(f"%{b:02x}" for b in gzip.compress(b"secret=abcdefghij and so on"))
+    assert (2, 2 + len(packed), "assign") in spans(f"a {packed} b")
+
+
 def test_nested_to_the_fixpoint():
     text = f"key {KEY} end"
     for n in range(6):

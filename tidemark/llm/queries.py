@@ -72,4 +72,37 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {}
+_WEIGHED = """WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, md5(doc_id::VARCHAR) AS h FROM documents),
+ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source),
+ w AS (SELECT *, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight, 2.0::DOUBLE * n AS cap FROM s),
+ o AS (SELECT *, cap / weight AS ratio, (1.5::DOUBLE * sum(n) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+   / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS own FROM w),
+ t AS (SELECT source, n, weight, least(cap, coalesce((SELECT max(own) FROM o WHERE own <= ratio) * weight, cap)) AS target FROM o),
+ p AS (SELECT d.*, n, weight, target, CASE WHEN n > 0 THEN floor(target / n) ELSE 1 END AS whole,
+   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+   FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+ c AS (SELECT *, whole + CASE WHEN size > 0 AND 2 * start + size <= 2 * (target - whole * n) THEN 1 ELSE 0 END AS copies,
+   CASE WHEN target > 0 THEN least(start / target, 1) ELSE 0 END AS u FROM p)"""
+
+
+def _arrival_sql() -> str:
+    """The inverse of each schedule's integral, piece by piece."""
+    cases = []
+    for weight, knots in curriculum.SCHEDULES.items():
+        total = sum((a + b) / 2 * (t1 - t0) for (t0, a), (t1, b) in zip(knots, knots[1:]))
+        done, pieces = 0.0, []
+        for (t0, a), (t1, b) in zip(knots, knots[1:]):
+            rest = f"(u * {total!r}::DOUBLE - {done!r}::DOUBLE)"
+            pieces.append(f"WHEN {rest} >= 0 THEN {t0!r}::DOUBLE + 2 * {rest} / ({a!r}::DOUBLE + sqrt(greatest({a * a!r}::DOUBLE + {2 * (b - a) / (t1 - t0)!r}::DOUBLE * {rest}, 0)))")
+            done += (a + b) / 2 * (t1 - t0)
+        cases.append(f"WHEN weight = {weight} THEN CASE {' '.join(reversed(pieces))} END")
+    return f"least(greatest(CASE {' '.join(cases)} END, 0), 1)"
+
+
+SQL: dict[str, str] = {
+    "op1_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages), f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM f""",
+    "op4_curriculum": f"""{_WEIGHED} SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, round(target, 6) AS target, CAST(size * copies AS BIGINT) AS taken,
+        CASE WHEN copies > 0 THEN round({_arrival_sql()}, 6) END AS first_position FROM c""",
+}

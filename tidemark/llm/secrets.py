@@ -29,6 +29,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 _TEXT_BYTES = bytes(range(32, 127)) + b"\t\n\r\f\v"
 
 
@@ -156,34 +157,59 @@ def _readable(data: bytes) -> str | None:
     return text if text and sum(c < " " for c in text) <= 0.1 * len(text) + text.count("\n") + text.count("\t") else None
 
 
-def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        token = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(token) % 4 == 1:
-            token = token[:-1]
-        try:
-            data = base64.b64decode(token + "=" * (-len(token) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        packed = False
-        while (inner := _expanded(data, limit)) is not None and inner != data:
-            data, packed = inner, True
-        text = _readable(data)
-        if text is None:
-            continue
-        if packed:
+def _unpacked(data: bytes, limit: int) -> tuple[str | None, bool]:
+    """The text of some bytes, through any compression around it, and whether there was one."""
+    seen = {data}
+    while (inner := _expanded(data, limit)) is not None and inner not in seen:
+        data = inner
+        seen.add(data)
+    return _readable(data), len(seen) > 1
+
+
+def _packed_url_layers(layer: Layer, limit: int) -> Iterator[Layer]:
+    """Percent-encoded compressed data."""
+    for m in _URL.finditer(layer.text):
+        text, packed = _unpacked(bytes.fromhex(m[0].replace("%", "")), limit)
+        if packed and text is not None:
             low, high = layer.span(m.start(), m.end())
             yield Layer(text, low=low, high=high, depth=layer.depth + 1)
-            continue
-        # Byte b of the data stems from the characters 4b/3 to 4(b+1)/3 of the token.
-        starts, ends, at = [], [], 0
-        for char in text:
-            after = at + len(char.encode())
-            a, b = layer.span(m.start() + at * 4 // 3, min(m.end(), m.start() - (-after * 4 // 3)))
-            starts.append(a)
-            ends.append(b)
-            at = after
-        yield Layer(text, starts, ends, depth=layer.depth + 1)
+
+
+def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
+    """Each run of base64 letters; where it is none as a whole, its parts between the letters that paths use too."""
+    for whole in _BASE64.finditer(layer.text):
+        found = list(_decoded_token(layer, whole, limit))
+        if not found:
+            for part in _BASE64_PART.finditer(layer.text, whole.start(), whole.end()):
+                if part.span() != whole.span():
+                    found += _decoded_token(layer, part, limit)
+        yield from found
+
+
+def _decoded_token(layer: Layer, m: re.Match, limit: int) -> Iterator[Layer]:
+    token = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    if len(token) % 4 == 1:
+        token = token[:-1]
+    try:
+        data = base64.b64decode(token + "=" * (-len(token) % 4))
+    except (binascii.Error, ValueError):
+        return
+    text, packed = _unpacked(data, limit)
+    if text is None:
+        return
+    if packed:
+        low, high = layer.span(m.start(), m.end())
+        yield Layer(text, low=low, high=high, depth=layer.depth + 1)
+        return
+    # Byte b of the data stems from the characters 4b/3 to 4(b+1)/3 of the token.
+    starts, ends, at = [], [], 0
+    for char in text:
+        after = at + len(char.encode())
+        a, b = layer.span(m.start() + at * 4 // 3, min(m.end(), m.start() - (-after * 4 // 3)))
+        starts.append(a)
+        ends.append(b)
+        at = after
+    yield Layer(text, starts, ends, depth=layer.depth + 1)
 
 
 def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:
@@ -205,6 +231,7 @@ def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], l
         after = []
         if "%" in layer.text:
             after.append(_substituted(layer, _URL, _url_pieces))
+            after += _packed_url_layers(layer, limit)
         if "\\" in layer.text or "&#" in layer.text:
             after.append(_substituted(layer, _UNICODE, _unicode_pieces))
         after += _base64_layers(layer, limit)
