@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.bindings import order_panel, rounded, table, typed
+from tidemark.catalog.drift import shift_sql
 from tidemark.catalog.panels import draw, order_of
 from tidemark.operators import model as M
 from tidemark.operators.metrics import classification_metrics
@@ -120,6 +121,27 @@ def batch_scoring(spark, d):
     return typed(M.score_aligned(model, rows.drop("extra"), "c_custkey", ["extra"], ["band"]))
 
 
+def batch_inference(spark, d):
+    """The scoring job on all customers."""
+    rows = banded_customers(spark, d)
+    model = M.fit_forest(rows, "label", [], ["band"], trees=10, depth=5)
+    return typed(T.batch_inference(model, rows, "c_custkey", [], ["band"], new_path(spark, "predictions")))
+
+
+def full_report(spark, d):
+    """The saved report of orders before and after the split, with a model's part."""
+    panel = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low"))
+    panel = panel.select("period", "o_totalprice", "o_orderstatus", "band", "urgent")
+    ref, cur = panel.filter("period < 1998"), panel.filter("period >= 1998")
+    model = M.fit_forest(ref, "urgent", [], ["band"], trees=10, depth=6)
+    found = R.full_report(ref, cur, new_path(spark, "report"), target="urgent", model=model, drop=["period"])
+    feature = F.explode("covariate_shift").alias("f")
+    return typed(found.select(
+        "reference_size", "current_size", "total_features_monitored", "covariate_alerts", "concept_drift_detected", "overall_status",
+        F.col("concept_drift.max_decay").alias("max_decay"), F.col("timestamp").isNotNull().alias("stamped"), feature,
+    ).select("*", "f.feature", "f.type", "f.psi", "f.ks_statistic", "f.max_proportion_change", "f.severity").drop("f"))
+
+
 def model_concept_drift(spark, d):
     panel = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low"))
     ref, cur = panel.filter("period < 1998"), panel.filter("period >= 1998")
@@ -165,6 +187,8 @@ QUERIES = {
     "training_run": training_run,
     "random_split_evaluation": random_split_evaluation,
     "batch_scoring": batch_scoring,
+    "batch_inference": batch_inference,
+    "full_report": full_report,
     "model_concept_drift": model_concept_drift,
     "random_sample": random_sample,
     "perturbed_sample": perturbed_sample,
@@ -183,6 +207,9 @@ def _fill(column: str) -> str:
 
 _RANKED = f"""r AS (SELECT c_custkey, label, row_number() OVER (PARTITION BY label ORDER BY {order_of("c_custkey", "42")}, c_custkey) AS k, count(*) OVER (PARTITION BY label) AS n FROM c)"""
 
+_SPLIT_ORDERS = """
+ rows_ AS (SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'r' ELSE 'c' END AS side, o_totalprice, o_orderstatus,
+   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high' ELSE 'low' END AS band FROM orders)"""
 _HELD = "(SELECT y, CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT) AS n FROM l GROUP BY y)"
 _CELLS = f"""CAST(coalesce((SELECT n FROM {_HELD} WHERE NOT y), 0) AS BIGINT) AS tn, 0::BIGINT AS fp, 0::BIGINT AS fn, CAST(coalesce((SELECT n FROM {_HELD} WHERE y), 0) AS BIGINT) AS tp"""
 _ENGLISH = "WITH l AS (SELECT doc_id, lang = 'en' AS y FROM documents JOIN labels USING (doc_id))"
@@ -194,6 +221,11 @@ SQL = {
     "random_split_evaluation": f"""WITH l AS (SELECT c_mktsegment = 'BUILDING' AS y FROM customer), c AS (SELECT {_CELLS})
         SELECT tn + tp AS n_samples, 1.0::DOUBLE AS roc_auc, 1.0::DOUBLE AS f1_score, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, tn, fp, fn, tp FROM c""",
     "batch_scoring": "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1::BIGINT ELSE 0 END AS prediction, CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::DOUBLE ELSE 0 END AS probability FROM customer",
+    "batch_inference": "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1::BIGINT ELSE 0 END AS prediction, CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::DOUBLE ELSE 0 END AS probability FROM customer",
+    "full_report": f"""{shift_sql(_SPLIT_ORDERS, ["o_totalprice"], ["o_orderstatus", "band"])}, one AS (SELECT count(*) AS total_features_monitored, count(*) FILTER (alert) AS covariate_alerts FROM shift_)
+        SELECT (SELECT count(*) FROM rows_ WHERE side = 'r') AS reference_size, (SELECT count(*) FROM rows_ WHERE side = 'c') AS current_size, one.*, FALSE AS concept_drift_detected,
+        CASE WHEN covariate_alerts > 5 THEN 'CRITICAL' WHEN covariate_alerts > 0 THEN 'WARNING' ELSE 'STABLE' END AS overall_status, 0.0::DOUBLE AS max_decay, TRUE AS stamped,
+        feature, type, psi, ks_statistic, max_proportion_change, severity FROM shift_, one""",
     "model_concept_drift": "SELECT " + ", ".join(f"1.0::DOUBLE AS {m}_{s}" for s in ("reference", "current") for m in ("roc_auc", "f1_score", "precision", "recall"))
         + ", " + ", ".join(f"0.0::DOUBLE AS decay_{m}" for m in ("roc_auc", "f1_score", "precision", "recall")) + ", 0.0::DOUBLE AS max_decay, 'LOW' AS severity, FALSE AS alert",
     "missing_label_split": f"""WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN CASE WHEN c_mktsegment = 'BUILDING' THEN 'Yes' ELSE 'No' END END AS label FROM customer), {_RANKED}

@@ -31,7 +31,6 @@ TEST_SHARE = 0.2
 FOLDS = 3
 UNLIMITED_DEPTH = 30
 GRID = {"numTrees": [100], "maxDepth": [10, UNLIMITED_DEPTH]}
-WIDE_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, UNLIMITED_DEPTH], "minInstancesPerNode": [1, 5]}
 NOISE = 0.05
 
 

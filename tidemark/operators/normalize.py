@@ -37,12 +37,36 @@ def _class_of(df: DataFrame, column: str) -> Column:
     return F.when(present.isNotNull(), name)
 
 
+def _classes_of(df: DataFrame, column: str) -> tuple[str, ...]:
+    """The classes that values of a column can have."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.StringType):
+        return ("int", "float", "bool", "timestamp", "str")
+    if isinstance(dtype, T.NumericType):
+        return ("int" if isinstance(dtype, _INTEGRAL) else "float",)
+    if isinstance(dtype, T.BooleanType):
+        return ("bool",)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return ("timestamp",)
+    return (dtype.typeName(),)
+
+
+def _tallied(cells: DataFrame, tallies: Sequence[Column]) -> DataFrame:
+    """One row per struct of aggregates: a single aggregate row is unpivoted, so no cell of the table is ever a row."""
+    if not tallies:
+        raise ValueError("no columns to describe")
+    return cells.agg(F.array(*tallies).alias("t")).select(F.explode("t").alias("t")).select("t.*")
+
+
 def value_classes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, class, n): how many values of each class every column holds."""
     columns = list(df.columns if columns is None else columns)
-    pairs = [F.struct(F.lit(c).alias("column"), _class_of(df, c).alias("class")) for c in columns]
-    cells = df.select(F.explode(F.array(*pairs)).alias("c")).select("c.*").filter("class IS NOT NULL")
-    return cells.groupBy("column", "class").agg(F.count("*").alias("n"))
+    cells = df.select(*[_class_of(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    tallies = [
+        F.struct(F.lit(c).alias("column"), F.lit(k).alias("class"), F.count_if(F.col(f"c{i}") == k).alias("n"))
+        for i, c in enumerate(columns) for k in _classes_of(df, c)
+    ]
+    return _tallied(cells, tallies).filter("n > 0")
 
 
 def detect_mixed_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -87,26 +111,16 @@ def column_types(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[l
 def column_type_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The same classification as a table: column, kind, values, values that do not parse."""
     columns = list(df.columns if columns is None else columns)
-    pairs = []
+    tallies = []
     for c in columns:
         dtype = df.schema[c].dataType
         present = nan_to_null(F.col(c), dtype).isNotNull()
-        if isinstance(dtype, T.NumericType):
-            fails = F.lit(False)
-        elif isinstance(dtype, T.StringType):
-            fails = present & parse_number(F.col(c)).isNull()
-        else:
-            fails = F.lit(True)
-        pairs.append(F.struct(F.lit(c).alias("column"), present.alias("present"), fails.alias("fails"),
-                              F.lit(not isinstance(dtype, (T.NumericType, T.StringType))).alias("other")))
-    cells = df.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
-    found = cells.groupBy("column").agg(
-        F.count_if("present").alias("n_values"),
-        F.expr("count_if(present AND fails)").alias("n_unparsed"),
-        F.max("other").alias("other"),
-    )
-    kind = F.when((F.col("n_unparsed") == 0) & ~F.col("other"), "numeric").otherwise("categorical")
-    return found.select("column", kind.alias("kind"), "n_values", "n_unparsed")
+        text, number = isinstance(dtype, T.StringType), isinstance(dtype, T.NumericType)
+        fails = present & parse_number(F.col(c)).isNull() if text else present & F.lit(not number)
+        unparsed = F.count_if(fails)
+        kind = F.when(unparsed == 0, "numeric").otherwise("categorical") if text else F.lit("numeric" if number else "categorical")
+        tallies.append(F.struct(F.lit(c).alias("column"), kind.alias("kind"), F.count_if(present).alias("n_values"), unparsed.alias("n_unparsed")))
+    return _tallied(df, tallies)
 
 
 def fill_numeric(df: DataFrame, columns: Sequence[str], strategy: str) -> DataFrame:
@@ -187,27 +201,21 @@ def consistency_issues(first: DataFrame, second: DataFrame, check_columns: bool
 def normalization_report(original: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """What normalizing does per column: types before and after, values kept, changed and lost."""
     categorical, numeric = column_types(original, [c for c in original.columns if c not in exclude])
-    cells = []
-    for c in original.columns:
-        if c in exclude:
-            continue
+    cells, tallies = [], []
+    for i, c in enumerate(c for c in original.columns if c not in exclude):
         dtype = original.schema[c].dataType
         present = nan_to_null(F.col(c), dtype).isNotNull()
         integral = isinstance(dtype, _INTEGRAL)
         after = F.col(c) if c in numeric and integral else (
             numeric_column(F.col(c), dtype) if c in numeric else categorical_column(F.col(c), dtype)
         )
-        before_text = F.col(c).cast("string")
-        changed = present & after.isNotNull() & (after.cast("string") != before_text)
+        changed = present & after.isNotNull() & (after.cast("string") != F.col(c).cast("string"))
+        cells += [present.alias(f"present{i}"), changed.alias(f"changed{i}"), (present & after.isNull()).alias(f"lost{i}"), _class_of(original, c).alias(f"class{i}")]
         new_type = ("bigint" if integral else "double") if c in numeric else "string"
-        cells.append(F.struct(
+        held = [F.coalesce(F.max((F.col(f"class{i}") == k).cast("int")), F.lit(0)) for k in _classes_of(original, c)]
+        tallies.append(F.struct(
             F.lit(c).alias("column"), F.lit(dtype.simpleString()).alias("type_before"), F.lit(new_type).alias("type_after"),
-            present.alias("present"), changed.alias("changed"), (present & after.isNull()).alias("lost"),
-            _class_of(original, c).alias("class"),
+            *[F.count_if(f"{n}{i}").alias(f"n_{m}") for n, m in (("present", "values"), ("changed", "changed"), ("lost", "lost"))],
+            (sum(held[1:], held[0]) > 1).alias("was_mixed"),
         ))
-    rows = original.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    found = rows.groupBy("column", "type_before", "type_after").agg(
-        F.count_if("present").alias("n_values"), F.count_if("changed").alias("n_changed"), F.count_if("lost").alias("n_lost"),
-        (F.count_distinct("class") > 1).alias("was_mixed"),
-    )
-    return found.withColumn("type_changed", F.col("type_before") != F.col("type_after"))
+    return _tallied(original.select(*cells), tallies).withColumn("type_changed", F.col("type_before") != F.col("type_after"))

@@ -33,9 +33,7 @@ SCENARIO_FACTOR = {
     "Competitor Headhunting": 2.2,
 }
 TOXIC_JOB_SATISFACTION = {1: 0.6, 2: 0.4}
-TOXIC_ENVIRONMENT_SATISFACTION = {1: 0.7, 2: 0.3}
 RESIGNATION_OVERTIME = {"Yes": 0.8, "No": 0.2}
-RESIGNATION_BALANCE = {1: 0.5, 2: 0.5}
 RECESSION_HIKE_BELOW = 5
 RECESSION_INCOME_FACTOR = 0.8
 

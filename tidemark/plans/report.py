@@ -11,7 +11,7 @@ from tidemark.functions.scalars import round_even
 from tidemark.operators.drift import covariate_shift, status_of
 from tidemark.operators.metrics import DECAY_ALERT, METRICS, classification_metrics, decay_of_sides
 from tidemark.operators.model import score
-from tidemark.operators.normalize import normalize_frame
+from tidemark.operators.normalize import column_types, normalize_frame
 from tidemark.operators.order_stats import ROWS_PER_SLICE
 from tidemark.operators.shape import drop_present, edge_period
 from tidemark.sources.sinks import write_report
@@ -43,11 +43,16 @@ def concept_drift(
     return rounded.filter("max_decay IS NOT NULL")
 
 
+def normalized_pair(reference: DataFrame, current: DataFrame, exclude: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Both tables normalized by the reference's column roles."""
+    categorical, numeric = column_types(reference, [c for c in reference.columns if c not in exclude])
+    return tuple(normalize_frame(t, categorical, numeric, exclude) for t in (reference, current))
+
+
 def concept_drift_of_model(model: Model, reference: DataFrame, current: DataFrame, label: str, threshold: float = DECAY_ALERT) -> DataFrame:
-    """The same for a model: both tables are scored once and written, then measured."""
-    scored = [
-        materialized(score(model, df, [label]), "scored") for df in (reference, current)
-    ]
+    """The same for a model: both tables are normalized, scored once and written, then measured."""
+    pair = normalized_pair(reference, current, [label])
+    scored = [materialized(score(model, df, [label]), "scored") for df in pair]
     return concept_drift(scored[0], scored[1], label, "probability", "prediction", threshold)
 
 
@@ -72,11 +77,7 @@ def monitor(
     ref, cur = drop_present(reference, drop), drop_present(current, drop)
     exclude = [target] if target else []
     if normalize:
-        # Both tables take the reference's column roles.
-        from tidemark.operators.normalize import column_types
-
-        categorical, numeric = column_types(ref, [c for c in ref.columns if c not in exclude])
-        ref, cur = (normalize_frame(t, categorical, numeric, exclude) for t in (ref, cur))
+        ref, cur = normalized_pair(ref, cur, exclude)
     table = covariate_shift(ref, cur, exclude=exclude, rows_per_slice=rows_per_slice, pvalue=pvalue)
     if path:
         write_report(table, path)
@@ -84,10 +85,35 @@ def monitor(
     return table, drift_summary(table, ref, cur, concept)
 
 
+def full_report(
+    reference: DataFrame, current: DataFrame, path: str, *, target: str | None = None, model: Model | None = None,
+    drop: Sequence[str] = (), pvalue: str = "asymptotic",
+) -> DataFrame:
+    """The whole report as one JSON document, written to path and read back.
+
+    Fields: timestamp, both sizes, the features (covariate_shift), the model's
+    metric loss (concept_drift, if a model and a target are given), and the summary.
+    """
+    concept = None
+    if model is not None and target:
+        concept = materialized(concept_drift_of_model(model, drop_present(reference, drop), drop_present(current, drop), target), "concept")
+    table, summary = monitor(reference, current, target=target, drop=drop, concept=concept, pvalue=pvalue)
+    table = materialized(table, "features")
+    entries = F.array_sort(F.collect_list(F.struct("feature", *[c for c in table.columns if c != "feature"])))
+    document = drift_summary(table, reference, current, concept).withColumns({
+        "timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"),
+        "covariate_shift": table.agg(entries.alias("f")).scalar(),
+    })
+    if concept is not None:
+        document = document.withColumn("concept_drift", concept.select(F.struct(*concept.columns)).scalar())
+    document.write.mode("overwrite").json(path)
+    return document.sparkSession.read.schema(document.schema).json(path)
+
+
 def first_last_drift(df: DataFrame, period: str, exclude: Sequence[str] = (), pvalue: str = "asymptotic") -> DataFrame:
-    """Drift table of the last period of a panel against its first."""
-    first, last = edge_period(df, period), edge_period(df, period, last=True)
-    return covariate_shift(first.drop(period), last.drop(period), exclude=exclude, pvalue=pvalue)
+    """Drift table of the last period of a panel against its first, both normalized by the first's column roles."""
+    first, last = normalized_pair(edge_period(df, period).drop(period), edge_period(df, period, last=True).drop(period), exclude)
+    return covariate_shift(first, last, exclude=exclude, pvalue=pvalue)
 
 
 def drift_timeline(

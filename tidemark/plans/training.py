@@ -10,10 +10,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.metrics import classification_metrics, classification_report, confusion_counts
-from tidemark.operators.model import fit_forest, grid_search, score, stratified_split
+from tidemark.operators.model import fit_forest, grid_search, random_rows, score, score_aligned, stratified_split
 from tidemark.operators.normalize import normalize_frame
 from tidemark.operators.shape import labelled_rows
+from tidemark.sources.contract import missing_columns
 from tidemark.sources.runs import append_run
+from tidemark.sources.sinks import write_predictions
 from tidemark.sources.tables import materialized
 
 
@@ -69,3 +71,20 @@ def train_and_record(
     record = run_record(scored, label, dataset, found.params)
     append_run(record, runs_path)
     return scored
+
+
+def batch_inference(
+    model: PipelineModel, rows: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], path: str, *,
+    required: Sequence[str] | None = None, sample: int | None = None, seed: str | int = "",
+) -> DataFrame:
+    """The scoring job: check the columns, sample if asked, score, overwrite the prediction table, and read it back.
+
+    A table that lacks a required column (by default the key and all features) is refused.
+    """
+    lacking = missing_columns(rows, [key, *numeric, *categorical] if required is None else required)
+    if lacking:
+        raise ValueError(f"required columns are missing: {', '.join(lacking)}")
+    if sample is not None:
+        rows = random_rows(rows, sample, key, seed=seed)
+    write_predictions(score_aligned(model, rows, key, numeric, categorical), key, path, "parquet")
+    return rows.sparkSession.read.parquet(path)

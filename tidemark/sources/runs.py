@@ -39,11 +39,6 @@ def latest_run(runs: DataFrame) -> DataFrame:
     return runs.agg(F.max_by(whole, F.struct("timestamp", "run_id")).alias("r")).select("r.*")
 
 
-def write_documents(runs: DataFrame, path: str) -> None:
-    """Run records as JSON documents, one line each."""
-    runs.write.mode("overwrite").json(path)
-
-
 def read_history(spark: SparkSession, folder: str) -> DataFrame:
     """Run documents (one JSON object per file, spread over lines) with their file name."""
     read = spark.read.schema(DOCUMENT_SCHEMA).option("multiLine", True).json(folder)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.scalars import ratio, round_even
 from tidemark.functions.sqltext import per_feature
@@ -72,19 +72,25 @@ def windowed_categories(events: DataFrame, columns: Sequence[str], time: str, le
 def category_shift_of_windows(counts: DataFrame, reference_shares: DataFrame) -> DataFrame:
     """Largest share change per window and feature against (feature, category, proportion) rows.
 
-    Reference categories that a window lacks count with share 0: their largest
-    share is found by anti join over the window's own categories.
+    Reference categories that a window lacks count with their own share, of which
+    the largest matters. Ranked by share, the first rank that the window does not
+    hold names it, so no window meets all categories, and the counts are read once.
     """
-    totals = counts.groupBy("window_start", "feature").agg(F.sum("n_cur").alias("n_rows"))
-    shares = counts.join(totals, ["window_start", "feature"]).select(
-        "window_start", "feature", "category", "n_rows", ratio(F.col("n_cur"), F.col("n_rows")).alias("now")
+    ranked = reference_shares.select("feature", "category", "proportion").withColumn(
+        "place", F.row_number().over(Window.partitionBy("feature").orderBy(F.desc("proportion"), "category"))
     )
-    expected = totals.join(reference_shares.select("feature", "category", "proportion"), "feature")
-    both = shares.select("window_start", "feature", "category", "now").join(
-        expected.select("window_start", "feature", "category", "proportion"), ["window_start", "feature", "category"], "full_outer"
+    whole = Window.partitionBy("window_start", "feature")
+    cells = counts.join(ranked, ["feature", "category"], "left").withColumns({
+        "n_rows": F.sum("n_cur").over(whole), "held": F.row_number().over(whole.orderBy(F.col("place").asc_nulls_last())),
+    })
+    change = F.abs(ratio(F.col("n_cur"), F.col("n_rows")) - F.coalesce("proportion", F.lit(0.0)))
+    worst = cells.groupBy("window_start", "feature").agg(
+        F.max(change).alias("present"), F.coalesce(F.min(F.when(F.col("place") > F.col("held"), F.col("held"))), F.count("place") + 1).alias("place"),
+    )
+    lacking = ranked.select("feature", "place", F.col("proportion").alias("lacking"))
+    worst = worst.join(lacking, ["feature", "place"], "left").withColumn(
+        "max_proportion_change", F.greatest("present", F.coalesce("lacking", F.lit(0.0)))
     )
-    change = F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("proportion", F.lit(0.0)))
-    worst = both.groupBy("window_start", "feature").agg(F.max(change).alias("max_proportion_change"))
     return worst.select(
         "window_start", "feature", round_even(F.col("max_proportion_change"), 4).alias("max_proportion_change"),
         category_severity(F.col("max_proportion_change")).alias("severity"),
