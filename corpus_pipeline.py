@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import curriculum, packing, quality, secrets, simhash
-from tidemark.llm.queries import TOKENIZER
+from tidemark.llm.queries import tokenizer
 from tidemark.sources.tables import materialized, read_table
 
 
@@ -31,7 +31,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all rows and their places in training sequences."""
-    return packing.packed(docs, TOKENIZER)
+    return packing.packed(docs, tokenizer())
 
 
 STAGES = [

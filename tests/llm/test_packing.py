@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing
-from tidemark.llm.queries import TOKENIZER
+from tidemark.llm.queries import tokenizer
 
+TOKENIZER = tokenizer()
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ODD = [
     "don't stop it's 'quoted' ÀÉÎ œuvre ßtraße µm ª 12ab3 a1,b2;;c <|endoftext|>X <|ENDOFTEXT|> İstanbul ΣΑΣ naïve \x1c\x1d y\x85z 日本語 😀!!",

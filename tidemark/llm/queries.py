@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import ann, curriculum, ngram, packing, quality, secrets, shards, simhash, sketch, warc
 from tidemark.sources.tables import read_table
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+def tokenizer() -> str:
+    """The place of the vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +49,7 @@ def op7_sketch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(read_table(spark, folder, "documents"), TOKENIZER)
+    return packing.packed(read_table(spark, folder, "documents"), tokenizer())
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
