@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -34,14 +35,33 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array of numbers with the bytes of one place side by side, compressed: small numbers cost little."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).ravel()
+
+
+def _joined(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+
+
+def _split(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(b"\n")
+
+
 _BLOCK = "block bigint, doc_ids array<bigint>, training array<boolean>, sizes array<int>, ids binary, words binary, counts binary"
 
 
-def blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
+def blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     """One row per block of about block_tokens tokens: its documents as word numbers, its words, their training counts.
 
-    Words are numbered by bucket, so that each bucket's words are a run of numbers.
-    Every text ends with END. A document is never split.
+    Words are numbered as they come, so frequent ones have small numbers. Every
+    text ends with END. A document is never split.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,15 +69,11 @@ def blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
 
         def row():
             words = list(vocabulary)
-            bucket = _word_hashes(words) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            number = np.empty(len(words), np.int32)
-            number[order] = np.arange(len(words), dtype=np.int32)
-            ids = number[np.concatenate(held)]
+            ids = np.concatenate(held)
             sizes = [len(x) for x in held]
             counts = np.bincount(ids[np.repeat(training, sizes)], minlength=len(words)).astype(np.int32)
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary())
-            values = (base + made, doc_ids, training, sizes, ids.tobytes(), b"\n".join(words[i] for i in order), counts.tobytes())
+            values = (base + made, doc_ids, training, sizes, packed(ids), _joined(words), packed(counts))
             return pa.record_batch([pa.array([v], t) for v, t in zip(values, kinds)], ["block", "doc_ids", "training", "sizes", "ids", "words", "counts"])
 
         def fresh():
@@ -89,9 +105,8 @@ class Block:
     """The n-grams of a block. Arrays of order n hold one entry per distinct n-gram of the block."""
 
     def __init__(self, row: dict, order: int):
-        self.words = row["words"].split(b"\n")
-        self.counts = np.frombuffer(row["counts"], np.int32)
-        self.ids = np.frombuffer(row["ids"], np.int32).astype(np.int64)
+        self.words = _split(row["words"])
+        self.ids = unpacked(row["ids"], np.int32).astype(np.int64)
         self.sizes = np.array(row["sizes"], np.int64)
         self.training = np.array(row["training"], bool)
         self.doc_ids = row["doc_ids"]
@@ -103,8 +118,8 @@ class Block:
         real[starts - 1] = False
         stream[real] = self.ids
         learned = np.repeat(self.training, self.sizes + 1)
-        self.end, self.grams, hashes = end, [], _word_hashes(self.words)
-        index, valid, own = stream, np.ones(len(stream), bool), hashes
+        self.end, self.grams, self.hashes = end, [], _word_hashes(self.words)
+        index, valid, own = stream, np.ones(len(stream), bool), self.hashes
         first = ~real
         for n in range(2, order + 1):
             # An n-gram ends at i if an (n-1)-gram ends at i-1 and i does not begin a document.
@@ -114,7 +129,7 @@ class Block:
             prefix, word = keys // size, keys % size
             suffix = np.empty(len(keys), np.int64)
             suffix[back] = index[at]
-            own = _mixed(own[prefix] * _BASE + hashes[word])
+            own = _mixed(own[prefix] * _BASE + self.hashes[word])
             counts = np.bincount(back[learned[at]], minlength=len(keys))
             self.grams.append({"prefix": prefix, "word": word, "suffix": suffix, "hash": own, "counts": counts})
             index = np.full(len(stream), -1, np.int64)
@@ -129,34 +144,41 @@ def _rows(names: list[str], kinds: tuple, rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds], names)
 
 
+def _places(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """56-bit keys, their order by bucket and key, and where each bucket ends."""
+    keys = hashes >> np.uint64(8)
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    return keys, np.lexsort((keys, bucket)), np.cumsum(np.bincount(bucket, minlength=buckets))
+
+
+def _requests(block: int, ends: np.ndarray, keys, counts: np.ndarray) -> pa.RecordBatch:
+    """A row per bucket that the block asks; keys(a, b) packs the keys at places a to b."""
+    rows = [(b, block, keys(e - k, e), packed(counts[e - k : e])) for b, (e, k) in enumerate(zip(ends.tolist(), np.diff(ends, prepend=0).tolist())) if k]
+    return _rows(["bucket", "block", "keys", "counts"], (pa.int32(), pa.int64(), pa.binary(), pa.binary()), rows)
+
+
 def _word_requests(stored: DataFrame, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.select(["block", "words", "counts"]).to_pylist():
-                words, counts = row["words"].split(b"\n"), np.frombuffer(row["counts"], np.int32)
-                ends = np.cumsum(np.bincount((_word_hashes(words) % np.uint64(buckets)).astype(np.int64), minlength=buckets))
-                rows = [(b, row["block"], b"\n".join(words[e - k : e]), counts[e - k : e].tobytes()) for b, (e, k) in enumerate(zip(ends, np.diff(ends, prepend=0))) if k]
-                yield _rows(["bucket", "block", "keys", "counts"], (pa.int32(), pa.int64(), pa.binary(), pa.binary()), rows)
+            for row in batch.to_pylist():
+                words = _split(row["words"])
+                _, order, ends = _places(_word_hashes(words), buckets)
+                words = [words[i] for i in order]
+                yield _requests(row["block"], ends, lambda a, b: _joined(words[a:b]), unpacked(row["counts"], np.int32)[order])
 
     return stored.select("block", "words", "counts").mapInArrow(work, _REQUEST)
 
 
-def _gram_places(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of n-grams by bucket and hash, and where each bucket ends."""
-    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-    return np.lexsort((hashes, bucket)), np.cumsum(np.bincount(bucket, minlength=buckets))
-
-
 def _gram_requests(stored: DataFrame, n: int, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 gram = Block(row, n).grams[-1]
-                order, ends = _gram_places(gram["hash"], buckets)
-                keys, counts = gram["hash"][order], gram["counts"][order].astype(np.int32)
-                rows = [(b, row["block"], keys[e - k : e].tobytes(), counts[e - k : e].tobytes()) for b, (e, k) in enumerate(zip(ends, np.diff(ends, prepend=0))) if k]
-                yield _rows(["bucket", "block", "keys", "counts"], (pa.int32(), pa.int64(), pa.binary(), pa.binary()), rows)
+                keys, order, ends = _places(gram["hash"], buckets)
+                keys = keys[order]
+                # Sorted keys are sent as their differences.
+                yield _requests(row["block"], ends, lambda a, b: packed(np.diff(keys[a:b], prepend=np.uint64(0))), gram["counts"][order].astype(np.int32))
 
     return stored.mapInArrow(work, _REQUEST)
 
@@ -167,23 +189,23 @@ def _answered(requests: DataFrame, n: int) -> DataFrame:
     def words(table: pa.Table) -> pa.Table:
         total: dict[bytes, int] = {}
         rows = table.to_pylist()
-        split = [(r["keys"].split(b"\n"), np.frombuffer(r["counts"], np.int32).tolist()) for r in rows]
+        split = [(_split(r["keys"]), unpacked(r["counts"], np.int32).tolist()) for r in rows]
         for keys, counts in split:
             for k, c in zip(keys, counts):
                 total[k] = total.get(k, 0) + c
-        out = [(n, r["bucket"], r["block"], np.array([total[k] for k in keys], np.int64).tobytes()) for r, (keys, _) in zip(rows, split)]
+        out = [(n, r["bucket"], r["block"], packed(np.array([total[k] for k in keys], np.int64))) for r, (keys, _) in zip(rows, split)]
         known = [c for c in total.values() if c]
-        out.append((n, rows[0]["bucket"], -1, np.array([sum(known), len(known)], np.int64).tobytes()))
+        out.append((n, rows[0]["bucket"], -1, packed(np.array([sum(known), len(known)], np.int64))))
         return reply(out)
 
     def grams(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+        keys = [np.cumsum(unpacked(r["keys"], np.uint64)) for r in rows]
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-        own = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows])
+        own = np.concatenate([unpacked(r["counts"], np.int32) for r in rows])
         total = np.bincount(back, weights=own, minlength=len(distinct)).astype(np.int64)[back]
         ends = np.cumsum([len(k) for k in keys])
-        return reply([(n, r["bucket"], r["block"], total[e - len(k) : e].tobytes()) for r, k, e in zip(rows, keys, ends)])
+        return reply([(n, r["bucket"], r["block"], packed(total[e - len(k) : e])) for r, k, e in zip(rows, keys, ends)])
 
     def reply(rows: list[tuple]) -> pa.Table:
         return pa.Table.from_batches([_rows(["n", "bucket", "block", "counts"], (pa.int32(), pa.int32(), pa.int64(), pa.binary()), rows)])
@@ -274,16 +296,16 @@ def scored(docs: DataFrame, order: int = 2, mu: float = 500.0, block_tokens: int
     and answers every block with the totals of what it asked for. The block then
     builds the part of the automaton that its own texts can reach and walks
     through them. Sizes of buckets and blocks are bounds on memory and change no
-    result. Words are counted exactly; longer n-grams by 64-bit hash.
+    result. Words are counted exactly; longer n-grams by 56-bit hash.
 
     Repeated rows count as often as they are given. With no training text every
     token is unknown. An empty table gives an empty table.
     """
     total = documents(docs).agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
     buckets = max(1, -(-total // bucket_bytes))
-    stored = materialized(blocks(docs, buckets, block_tokens), "blocks")
+    stored = materialized(blocks(docs, block_tokens), "blocks")
     words = materialized(_answered(_word_requests(stored, buckets), 1), "word-counts")
-    sums = [np.frombuffer(r[0], np.int64) for r in words.filter("block = -1").select("counts").collect()]
+    sums = [unpacked(r[0], np.int64) for r in words.filter("block = -1").select("counts").collect()]
     n_tokens, n_words = (int(sum(s[i] for s in sums)) for i in (0, 1))
     replies = words.filter("block >= 0")
     for n in range(2, order + 1):
@@ -295,12 +317,11 @@ def scored(docs: DataFrame, order: int = 2, mu: float = 500.0, block_tokens: int
         answers = sorted(right.select(["n", "bucket", "counts"]).to_pylist(), key=lambda r: (r["n"], r["bucket"]))
         totals = []
         for n in range(1, order + 1):
-            got = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in answers if r["n"] == n])
-            if n > 1:
-                places, _ = _gram_places(block.grams[n - 2]["hash"], buckets)
-                got, back = np.empty_like(got), got
-                got[places] = back
-            totals.append(got)
+            got = np.concatenate([unpacked(r["counts"], np.int64) for r in answers if r["n"] == n])
+            _, order_, _ = _places(block.hashes if n == 1 else block.grams[n - 2]["hash"], buckets)
+            total = np.empty_like(got)
+            total[order_] = got
+            totals.append(total)
         automaton = Automaton(block, totals, n_tokens, n_words, mu)
         ends = np.cumsum(block.sizes)
         known = np.add.reduceat(totals[0][block.ids] > 0, ends - block.sizes, dtype=np.int64)
