@@ -9,7 +9,7 @@ from tidemark.plans import report as R
 from tidemark.sources import contract as C, runs, sinks as K
 from tidemark.sources.tables import new_path, shared_folder
 
-REQUEST = {f: 1 for f in C.REQUIRED_INTEGERS} | {f: "x" for f in C.REQUIRED_TEXTS}
+REQUEST = {f: 1 if t == "bigint" else "x" for f, t in C.REQUEST_FIELDS.items() if f not in C.REQUEST_DEFAULTS}
 
 
 def test_scoring_request_contract(spark):
