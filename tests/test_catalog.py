@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, tiny, duck, name):
     assert status == "ok", note
 
 
-@pytest.mark.parametrize("name", ["stream_scoring", "report_text", "ks_pvalue_exact"])
+@pytest.mark.parametrize("name", ["report_text", "ks_pvalue_exact"])
 def test_query_without_sql_returns_rows(spark, tiny, name):
     assert QUERIES[name](spark, tiny).count() > 0
 

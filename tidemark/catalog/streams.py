@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from tidemark.catalog.bindings import table, typed
-from tidemark.catalog.models import CATEGORICAL, NUMERIC, customer_rows
+from tidemark.catalog.models import banded_customers
 from tidemark.operators.model import fit_forest
 from tidemark.operators.profile import category_distribution
 from tidemark.sources.contract import RecordContract
@@ -15,9 +15,9 @@ from tidemark.streaming import scoring as S
 
 FIELDS = {
     "c_custkey": T.LongType(), "balance": T.DoubleType(), "n_orders": T.LongType(), "total_price": T.DoubleType(),
-    "largest": T.DoubleType(), "nation": T.StringType(),
+    "largest": T.DoubleType(), "nation": T.StringType(), "band": T.StringType(),
 }
-CUSTOMER_CONTRACT = RecordContract(FIELDS, {"n_orders": 0, "total_price": 0.0, "largest": 0.0, "nation": "Unknown"})
+CUSTOMER_CONTRACT = RecordContract(FIELDS, {"n_orders": 0, "total_price": 0.0, "largest": 0.0, "nation": "Unknown", "band": "o"})
 REFERENCE_END = "2024-01-08"
 
 
@@ -38,15 +38,15 @@ def finish(query):
 
 def stream_scoring(spark, d):
     """Customer records arrive as JSON text; good ones are scored and appended."""
-    rows = customer_rows(spark, d)
-    model = fit_forest(rows, "label", NUMERIC, CATEGORICAL, trees=10, depth=5)
+    rows = banded_customers(spark, d)
+    model = fit_forest(rows, "label", [], ["band"], trees=10, depth=5)
     inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "scored", "checkpoint"))
     text = F.to_json(F.struct(*FIELDS))
     rows.select(F.when(F.col("c_custkey") % 50 == 0, "{broken").otherwise(text).alias("value")).write.text(inbox)
     records = spark.readStream.schema("value string").text(inbox)
-    scored, _ = S.scored_stream(records, "value", CUSTOMER_CONTRACT, model, "c_custkey", NUMERIC, CATEGORICAL)
+    scored, _ = S.scored_stream(records, "value", CUSTOMER_CONTRACT, model, "c_custkey", [], ["band"])
     finish(S.append_stream(scored, out, checkpoint, available_now=True))
-    return spark.read.schema(scored.schema).parquet(out)
+    return typed(spark.read.schema(scored.schema).parquet(out))
 
 
 def stream_quarantine(spark, d):
@@ -101,6 +101,8 @@ def _psi(column: str) -> str:
 
 
 SQL = {
+    "stream_scoring": """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1::BIGINT ELSE 0 END AS prediction,
+        CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::DOUBLE ELSE 0 END AS probability FROM customer WHERE c_custkey % 50 <> 0""",
     "stream_quarantine": """SELECT CASE WHEN c_custkey % 50 = 0 THEN 'not decodable' ELSE 'missing c_custkey' END AS reason, count(*) AS n FROM customer WHERE c_custkey % 50 = 0 OR c_custkey % 7 = 0 GROUP BY 1""",
     "stream_psi": f"""WITH {_DAYS}, p AS ({_psi("value")} UNION ALL {_psi("user_id")})
         SELECT strftime(day, '%Y-%m-%d') AS window_start, feature, n_rows, round_even(psi, 4) AS psi, CASE WHEN psi >= 0.5 THEN 'HIGH' WHEN psi >= 0.25 THEN 'MEDIUM' ELSE 'LOW' END AS severity FROM p""",
