@@ -55,7 +55,10 @@ def directory(source: pa.NativeFile) -> list[Member]:
     """The central directory, through its end record and, where that overflows, the ZIP64 end record."""
     size = source.size()
     tail = source.read_at(min(size, 65_557), max(0, size - 65_557))
+    # The end record is the last one whose comment reaches to the end of the file.
     end = tail.rfind(b"PK\x05\x06")
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
+        end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("not a ZIP package: no end of central directory")
     count, length, start = struct.unpack_from("<HII", tail, end + 10)
@@ -221,12 +224,14 @@ def _ranges(uri: str, span: int) -> Iterator[tuple[int, int, list[int]]]:
                 yield start, at - start, lengths
 
 
-def read_archives(packages: DataFrame, span: int = 2 << 20) -> DataFrame:
-    """The records of all packages named in column uri.
+def read_archives(packages: DataFrame, span: int = 2 << 20, task_bytes: int = 8 << 20) -> DataFrame:
+    """The records of all packages named in column uri, of the sizes in column bytes.
 
     One step reads directories and indexes only and lists runs of records of about
-    span bytes; these are dealt out evenly, and each task range-reads its runs. So
-    one large package is read by many tasks, and nothing is extracted to disk.
+    span bytes. The list is small whatever it points to, so the number of tasks
+    that share it follows the packages' sizes, about task_bytes each; every task
+    range-reads its runs. So one large package is read by many tasks, and nothing
+    is extracted to disk.
     Columns: page_id, url, payload_bytes, payload_digest (of the payload read; of
     a revisit the stated one), record_type, refers_to, payload (null for revisits).
     """
@@ -253,7 +258,8 @@ def read_archives(packages: DataFrame, span: int = 2 << 20) -> DataFrame:
 
     found = packages.select("uri").mapInArrow(locate, "uri string, start bigint, length bigint, lengths array<bigint>")
     schema = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
-    return found.repartition(F.xxhash64("uri", "start")).mapInArrow(read, schema)
+    total = packages.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    return found.repartition(max(1, -(-total // task_bytes)), "uri", "start").mapInArrow(read, schema)
 
 
 def archived(pages: DataFrame, least: int = 100) -> DataFrame:
