@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
+
 
 from tidemark.operators import model as M
 from tidemark.plans import comparison as X, training as T, validation as V

@@ -58,8 +58,7 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     """Join on keys, where NULL equals NULL, and on plain columns that hold no NULL. Key columns come from the left."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, *plain]})
     on = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys] + [left[k] == renamed[f"_right_{k}"] for k in plain]
-    joined = left.join(renamed, on, how) if on else left.crossJoin(renamed)
-    return joined.drop(*[f"_right_{k}" for k in [*keys, *plain]])
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in [*keys, *plain]])
 
 
 def _doubles(values: Sequence[float]) -> Column:
