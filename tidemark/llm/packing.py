@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,47 +27,62 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Kept(dict):
+    """Answers kept for the next time, in two generations: when the young one is full, it becomes the old one.
+
+    What is asked for again moves back into the young one, so frequent keys stay.
+    """
+
+    def __init__(self, answer, room: int):
+        super().__init__()
+        self.answer, self.room, self.old = answer, room, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.answer(key)
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Tokens:
     """Token ids of whole texts, white space cut first; a chunk met again is looked up.
 
     White space never lies inside a token of this vocabulary, so the ids of a text
-    are those of its chunks. The table of chunks is emptied when it is full.
+    are those of its chunks. Ids are unsigned 32-bit little-endian numbers throughout.
     """
 
-    def __init__(self, path: str, room: int = 200_000):
+    def __init__(self, path: str, room: int = 400_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model, self.letters, self.room = self.whole.model, byte_letters(), room
-        self.chunks: dict[bytes, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
-
-    def piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.room:
-                self.pieces.clear()
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(letters)]
-        return ids
-
-    def chunk(self, chunk: bytes) -> list[int]:
+        self.letters = byte_letters()
+        # A run of lower-case letters, a digit or a run of other characters is a chunk of one piece.
+        self.chunks = Kept(self._chunk, room)
+
+    def _piece(self, piece: bytes) -> bytes:
+        letters = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.letters)
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found]) if (found := self.whole.model.tokenize(letters)) else b""
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():
+            return self._piece(chunk) if chunk.islower() else self.chunks[chunk.lower()]
+        if chunk[-1:] in (b",", b".") and chunk[:-1].isalpha():
+            return self.chunks[chunk[:-1].lower()] + self.chunks[chunk[-1:]]
         text = chunk.decode()
         lower = text.lower()
         if "<|" in text or not _PLAIN.fullmatch(lower) or len(lower) != len(text):
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        else:
-            ids = [i for p in _PIECES.findall(lower) for i in self.piece(p)]
-        if len(self.chunks) >= self.room:
-            self.chunks.clear()
-        self.chunks[chunk] = ids
-        return ids
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        pieces = _PIECES.findall(lower)
+        if len(pieces) == 1 and lower == text:
+            return self._piece(chunk)
+        return b"".join([self.chunks[p.encode()] for p in pieces])
 
-    def ids(self, text: bytes) -> list[int]:
-        get, chunk, out = self.chunks.get, self.chunk, []
-        for c in text.split():
-            out += get(c) or chunk(c)
-        return out
+    def ids(self, text: bytes) -> bytes:
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 _LOADED: dict[str, Tokens] = {}
@@ -86,14 +102,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1)
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = loaded(tokenizer)
+        tokens, last = loaded(tokenizer), struct.pack("<I", end)
         for batch in sliced(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text"))):
-                ids = np.array([*tokens.ids(text), end], "<u4")
-                for i, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity]
-                    rows.append((doc_id, i, start, len(part), zlib.crc32(part.tobytes())))
+                ids = tokens.ids(text) + last
+                for i, start in enumerate(range(0, len(ids) // 4, capacity)):
+                    part = ids[4 * start : 4 * (start + capacity)]
+                    rows.append((doc_id, i, start, len(part) // 4, zlib.crc32(part)))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return documents(docs).mapInArrow(work, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
