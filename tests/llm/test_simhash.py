@@ -91,3 +91,16 @@ def test_edge_cases(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 3, None, 6], key=str)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.kept_documents(docs.limit(0)).count() == 0
+
+
+def test_kept_rows_are_told_apart_without_ids(spark):
+    """Unrelated texts stay though they lack a doc_id or share one; near copies go, with or without an id."""
+    line = lambda name, n=60: " ".join(f"{name}{i * i % 97}" for i in range(n))
+    rows = [(None, line("a"), "en", "s", 1), (None, line("b"), "en", "s", 1), (None, line("c"), "en", "s", 1), (None, line("c"), "en", "s", 1),
+            (7, line("d"), "en", "s", 1), (7, line("e"), "en", "s", 1), (8, line("b"), "en", "s", 1), (9, line("a").upper(), "en", "s", 1), (7, line("d"), "fr", "s", 1)]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    kept = simhash.kept_documents(docs).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("8", line("b")), ("9", line("a").upper()), ("None", line("c")), ("7", line("d")), ("7", line("e"))])
+    copies = spark.range(500).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id % 5, ' w', id % 5 * 31, ' x y z') as text")
+    prints = {fp for (fp,) in simhash.fingerprints(copies).select("fp").distinct().collect()}
+    assert len(prints) == 5 and len(set(grouped({p: p % 2**64 for p in prints}).values())) == simhash.kept_documents(copies).count() == 5

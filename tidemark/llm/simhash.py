@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.text import documents, raw, sliced
@@ -38,15 +38,17 @@ def fingerprint(text: bytes, width: int = 4) -> int:
     return int(np.packbits(2 * ones.ravel() > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp): one row per document; the whole text counts."""
+def fingerprints(docs: DataFrame, width: int = 4, row: str | None = None) -> DataFrame:
+    """(doc_id, fp), and the binary column row if one is named: one row per document; the whole text counts."""
+    more = [row] if row else []
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             found = np.array([fingerprint(x, width) for x in raw(batch.column("text"))], np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            kept = [batch.column(c) for c in more]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64)), *kept], ["doc_id", "fp", *more])
 
-    return documents(docs).mapInArrow(work, "doc_id bigint, fp bigint")
+    return documents(docs, *more).mapInArrow(work, ", ".join(["doc_id bigint", "fp bigint", *(f"`{c}` binary" for c in more)]))
 
 
 def pivots(fps: DataFrame, count: int) -> np.ndarray:
@@ -158,6 +160,13 @@ def _forest(pairs: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndar
     return root[nodes], nodes
 
 
+def _rooted(classes: DataFrame, radius: int, pivot_count: int) -> DataFrame:
+    """(fp, first, root): each class of equal fingerprints with the fingerprint that stands for its component."""
+    edges = near_links(classes.select("fp"), radius, pivot_count)
+    roots = components(edges).select(F.col("node").alias("fp"), "root")
+    return classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, pivot_count: int = 32) -> DataFrame:
     """(doc_id, fp, component_id): each document with the smallest doc_id it reaches over links.
 
@@ -170,19 +179,35 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, pivot_coun
     """
     prints = materialized(fingerprints(docs, width), "simhash")
     classes = materialized(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    edges = near_links(classes.select("fp"), radius, pivot_count)
-    roots = components(edges).select(F.col("node").alias("fp"), "root")
-    rooted = classes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(classes, radius, pivot_count)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs without all but the document of the smallest doc_id of each group.
+def _row_key(docs: DataFrame) -> Column:
+    """A digest of the whole row: rows have one key only if they are equal, whatever doc_id they lack or share."""
+    text = F.col("text").cast("string")
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(known, F.lit("|"), rest, F.coalesce(F.concat(F.lit("|"), text), F.lit(""))), 256))
+
+
+def kept_documents(docs: DataFrame, width: int = 4, radius: int = 4, pivot_count: int = 32) -> DataFrame:
+    """docs with one row of each group of near duplicates: that of the smallest doc_id, null ids last.
 
-    A doc_id names a document: rows that repeat it are kept once. Of a group
-    without any doc_id one row stays.
+    Groups are those of near_duplicates, but rows are told apart by all they hold
+    and not by doc_id: different texts without a doc_id, or under the same one,
+    each stay if their groups differ. Rows that a group's smallest doc_id shares
+    are taken by the smallest digest of the row, so reruns keep the same. Equal
+    rows are first made one, task by task, so a row repeated any number of times
+    is no load on one task.
     """
-    kept = near_duplicates(docs, **options).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    row = "simhash_row"
+    keyed = docs.withColumn(row, _row_key(docs))
+    prints = fingerprints(keyed, width, row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", row)).alias("first")
+    classes = materialized(prints.groupBy("fp").agg(first), "simhash-classes")
+    kept = _rooted(classes, radius, pivot_count).groupBy("root").agg(F.min("first").alias("first")).select(F.col(f"first.{row}").alias(row))
+    return keyed.dropDuplicates([row]).join(kept, row, "left_semi").select(docs.columns)
