@@ -91,3 +91,33 @@ def test_table(spark):
     assert sorted((str(r.doc_id), r.text) for r in clean if r.doc_id != 5) == sorted([("1", None), ("2", ""), ("3", "[SECRET] é"), ("3", "[SECRET] é"), ("None", "[SECRET]")], key=str)
     assert {r.doc_id: r.n_chars for r in clean}[3] == 10
     assert secrets.find_secrets(docs.limit(0)).count() == 0 and secrets.redacted(docs.limit(0)).count() == 0
+
+
+def test_wrapped_glued_and_binary_base64():
+    plain = "some words before the password=hunter2abcdefgh and some words behind it, so that lines break inside"
+    hidden = lambda text: any(k == "assign" for _, _, k in spans(text))
+    for width in (10, 64, 76):
+        for end in ("\n", "\r\n", "\n    ", "\\n"):
+            for data in (plain.encode(), gzip.compress(plain.encode() + bytes(range(256)))):
+                for shift in range(3):
+                    token = base64.b64encode(b"x" * shift + data if data[:1] != b"\x1f" else data).decode()
+                    lines = [token[i : i + width] for i in range(0, len(token), width)]
+                    text = "Body:\n\n" + end.join(lines) + "\n\nbye"
+                    (low, high, _), *_ = [s for s in spans(text) if s[2] == "assign"]
+                    assert text.index(lines[0]) <= low < high <= text.index("\n\nbye")
+    # The place is that of the letters, across the line end.
+    token = base64.b64encode(b"0123456789ab password=hunter2abc").decode()
+    text = token[:24] + "\n" + token[24:]
+    assert spans(text) == [(13 * 4 // 3, len(text) - 1, "assign")]
+    # Tokens that hold the letters of paths themselves, behind prefixes of any length.
+    slashed = base64.b64encode("\u00ff\u00bf? ~~~??? secret=abcdefghij ~~~???>>>".encode()).decode().rstrip("=")
+    assert "/" in slashed and "+" in slashed
+    for prefix in ("/path/", "key_", "a-b/cd_", "/p/"):
+        for token in (slashed, slashed.replace("+", "-").replace("/", "_"), base64.b64encode(gzip.compress(b"secret=abcdefghij and so on")).decode()):
+            text = f"see {prefix}{token} end"
+            assert hidden(text) and all(4 + len(prefix) - 1 <= a < b <= len(text) - 4 for a, b, k in spans(text) if k == "assign")
+    # One byte that is no UTF-8, and a key inside binary data, also compressed.
+    for data in ("Stra\u00dfe token=abcdefgh".encode("latin-1"), bytes(range(128, 256)) + b" token=abcdefgh " + bytes(range(200))):
+        for packed in (data, gzip.compress(data)):
+            assert hidden(base64.b64encode(packed).decode())
+    assert secrets.scan(base64.b64encode(bytes(range(128, 256))).decode())[1:] == ([], 0)

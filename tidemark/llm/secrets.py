@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -28,8 +29,15 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_LETTER = "[A-Za-z0-9+/_-]"
+_LINE_END = re.compile(r"[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t]*+")
+_BASE64 = re.compile(_LETTER + "{16,}={0,2}")
 _BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
+#: Runs of base64 letters that only line ends break, also those written as escapes; short ones are left out later.
+_BASE64_RUN = re.compile(rf"(?<!{_LETTER})(?:{_LETTER}{{16,}}+|{_LETTER}{{1,15}}+(?={_LINE_END.pattern}{_LETTER}))(?:{_LINE_END.pattern}{_LETTER}++)*+={{0,2}}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+#: Bytes that are no text are read on only if they hold the beginning of a secret or of a further layer.
+_HINT = re.compile(rb"passw|secret|token|api_?key|akia[a-z0-9]{16}|[0-9a-f]{24}|%[0-9a-f]{2}|\\[ux][0-9a-f]|&#x?[0-9a-f]|[a-z0-9+/_-]{8}", re.I)
 _TEXT_BYTES = bytes(range(32, 127)) + b"\t\n\r\f\v"
 
 
@@ -47,57 +55,124 @@ def matches(text: str) -> list[tuple[int, int, str]]:
 
 @dataclass
 class Layer:
-    """A decoded text. starts[i] and ends[i] bound the part of the document that character i stems from.
-
-    Without them the whole layer stems from document[low:high], or, in the document itself, from its own place.
-    """
+    """A text and the layer it was decoded from; the document itself has none. Not all layers are readable: some are bytes as Latin-1."""
 
     text: str
-    starts: list[int] | None = None
-    ends: list[int] | None = None
+    parent: Layer | None = None
+    readable: bool = True
+
+    def above(self, start: int, end: int) -> tuple[int, int]:
+        """The part of the parent's text that characters start to end - 1 stem from."""
+        raise NotImplementedError
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        """The part of the document that these characters stem from."""
+        layer = self
+        while layer.parent is not None:
+            start, end = layer.above(start, end)
+            layer = layer.parent
+        return start, end
+
+
+@dataclass
+class Unpacked(Layer):
+    """All of it stems from one part of the parent."""
+
     low: int = 0
     high: int = 0
-    depth: int = 0
 
-    def span(self, start: int, end: int) -> tuple[int, int]:
-        if self.depth == 0:
-            return start, end
-        if self.starts is None:
-            return self.low, self.high
-        return min(self.starts[start:end]), max(self.ends[start:end])
+    def above(self, start: int, end: int) -> tuple[int, int]:
+        return self.low, self.high
+
+
+@dataclass
+class Substituted(Layer):
+    """Pieces of the parent: from at[i] on, characters stem from lows[i] to highs[i] as a whole, or one by one where highs[i] is None."""
+
+    at: list[int] = field(default_factory=list)
+    lows: list[int] = field(default_factory=list)
+    highs: list[int | None] = field(default_factory=list)
+
+    def above(self, start: int, end: int) -> tuple[int, int]:
+        i, j = bisect_right(self.at, start) - 1, bisect_right(self.at, max(start, end - 1)) - 1
+        low = self.lows[i] + (start - self.at[i] if self.highs[i] is None else 0)
+        return low, self.lows[j] + end - self.at[j] if self.highs[j] is None else self.highs[j]
+
+
+@dataclass
+class Decoded(Layer):
+    """Base64 letters of a run from letter first on: byte b stems from its letters 4b/3 to 4(b+1)/3."""
+
+    run: Run | None = None
+    first: int = 0
+    sizes: list[int] | None = None
+
+    def above(self, start: int, end: int) -> tuple[int, int]:
+        if self.readable and not self.text.isascii():
+            if self.sizes is None:
+                self.sizes = [0, *accumulate(len(c.encode()) for c in self.text)]
+            start, end = self.sizes[start], self.sizes[end]
+        return self.run.place(self.first + start * 4 // 3, self.first - (-end * 4 // 3))
+
+
+@dataclass
+class Run:
+    """The base64 letters of text[low:high] without line ends, and where each line begins: its first letter and its place."""
+
+    letters: str
+    at: list[int]
+    places: list[int]
+    high: int
+
+    @classmethod
+    def of(cls, text: str, low: int, high: int) -> Run:
+        parts, at, places, n = [], [], [], 0
+        for m in [*_LINE_END.finditer(text, low, high), None]:
+            part = text[low : m.start() if m else high]
+            parts.append(part)
+            at.append(n)
+            places.append(low)
+            n += len(part)
+            low = m.end() if m else high
+        return cls("".join(parts).rstrip("=").replace("-", "+").replace("_", "/"), at, places, high)
+
+    def place(self, first: int, after: int) -> tuple[int, int]:
+        """The part of the text that holds letters first to after - 1."""
+        i, j = bisect_right(self.at, first) - 1, bisect_right(self.at, max(first, after - 1)) - 1
+        return self.places[i] + first - self.at[i], min(self.high, self.places[j] + after - self.at[j])
+
+    def data(self, first: int = 0) -> bytes:
+        token = self.letters[first:]
+        if len(token) % 4 == 1:
+            token = token[:-1]
+        return base64.b64decode(token + "=" * (-len(token) % 4))
 
 
 def _substituted(layer: Layer, pattern: re.Pattern, decoded) -> Layer | None:
-    """The layer with every match decoded; every character keeps its place in the document."""
-    parts, starts, ends, at = [], [], [], 0
-
-    def keep(low: int, high: int) -> None:
-        parts.append(layer.text[low:high])
-        if layer.depth == 0:
-            starts.extend(range(low, high))
-            ends.extend(range(low + 1, high + 1))
-        elif layer.starts is None:
-            starts.extend([layer.low] * (high - low))
-            ends.extend([layer.high] * (high - low))
-        else:
-            starts.extend(layer.starts[low:high])
-            ends.extend(layer.ends[low:high])
+    """The layer with every match decoded; every character keeps its place."""
+    parts, starts, lows, highs, at, n = [], [], [], [], 0, 0
+
+    def put(text: str, low: int, high: int | None) -> None:
+        nonlocal n
+        if text:
+            parts.append(text)
+            starts.append(n)
+            lows.append(low)
+            highs.append(high)
+            n += len(text)
 
     for m in pattern.finditer(layer.text):
         pieces = decoded(m)
         if pieces is None:
             continue
-        keep(at, m.start())
+        put(layer.text[at : m.start()], at, None)
         for low, high, char in pieces:
-            parts.append(char)
-            a, b = layer.span(low, high)
-            starts.extend([a] * len(char))
-            ends.extend([b] * len(char))
+            put(char, low, high)
         at = m.end()
     if not at:
         return None
-    keep(at, len(layer.text))
-    return Layer("".join(parts), starts, ends, depth=layer.depth + 1)
+    put(layer.text[at:], at, None)
+    return Substituted("".join(parts), layer, layer.readable, starts, lows, highs)
 
 
 def _url_pieces(m: re.Match) -> list[tuple[int, int, str]]:
@@ -125,7 +200,7 @@ def _unicode_pieces(m: re.Match) -> list[tuple[int, int, str]] | None:
     return [(m.start(), m.end(), chr(code))]
 
 
-def _expanded(data: bytes, limit: int) -> bytes | None:
+def _expanded(data: bytes | memoryview, limit: int) -> bytes | None:
     """Decompressed data, None if it is not compressed, broken, or larger than limit."""
     try:
         if data[:2] == b"\x1f\x8b":
@@ -141,7 +216,7 @@ def _expanded(data: bytes, limit: int) -> bytes | None:
     return None
 
 
-def _inflated(stream, data: bytes, limit: int) -> bytes | None:
+def _inflated(stream, data: bytes | memoryview, limit: int) -> bytes | None:
     out = stream.decompress(data, limit + 1)
     return out if len(out) <= limit else None
 
@@ -157,63 +232,88 @@ def _readable(data: bytes) -> str | None:
     return text if text and sum(c < " " for c in text) <= 0.1 * len(text) + text.count("\n") + text.count("\t") else None
 
 
-def _unpacked(data: bytes, limit: int) -> tuple[str | None, bool]:
-    """The text of some bytes, through any compression around it, and whether there was one."""
-    seen = {data}
+def _text(data: bytes) -> tuple[str, bool] | None:
+    """Bytes as text, and whether they are readable. Others are Latin-1, None if nothing in them may be a secret or lead to one."""
+    text = _readable(data)
+    if text is not None:
+        return text, True
+    return (data.decode("latin-1"), False) if _HINT.search(data) else None
+
+
+def _unpacked(data: bytes | memoryview, limit: int) -> tuple[bytes, bool]:
+    """Some bytes without any compression around them, and whether there was one."""
+    seen = set()
     while (inner := _expanded(data, limit)) is not None and inner not in seen:
         data = inner
         seen.add(data)
-    return _readable(data), len(seen) > 1
+    return data, bool(seen)
 
 
 def _packed_url_layers(layer: Layer, limit: int) -> Iterator[Layer]:
     """Percent-encoded compressed data."""
     for m in _URL.finditer(layer.text):
-        text, packed = _unpacked(bytes.fromhex(m[0].replace("%", "")), limit)
-        if packed and text is not None:
-            low, high = layer.span(m.start(), m.end())
-            yield Layer(text, low=low, high=high, depth=layer.depth + 1)
+        data, packed = _unpacked(bytes.fromhex(m[0].replace("%", "")), limit)
+        if packed and (found := _text(data)):
+            yield Unpacked(found[0], layer, found[1], m.start(), m.end())
 
 
 def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
-    """Each run of base64 letters; where it is none as a whole, its parts between the letters that paths use too."""
-    for whole in _BASE64.finditer(layer.text):
-        found = list(_decoded_token(layer, whole, limit))
-        if not found:
-            for part in _BASE64_PART.finditer(layer.text, whole.start(), whole.end()):
-                if part.span() != whole.span():
-                    found += _decoded_token(layer, part, limit)
-        yield from found
-
-
-def _decoded_token(layer: Layer, m: re.Match, limit: int) -> Iterator[Layer]:
-    token = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-    if len(token) % 4 == 1:
-        token = token[:-1]
-    try:
-        data = base64.b64decode(token + "=" * (-len(token) % 4))
-    except (binascii.Error, ValueError):
-        return
-    text, packed = _unpacked(data, limit)
-    if text is None:
-        return
+    """What each run of base64 letters decodes to.
+
+    A run that is text as a whole is one layer. Of others, lines and the parts
+    between the letters that paths use too are taken where they are text, and the
+    run is read at its four alignments, one of which fits any token in it; these
+    need not be text, and compressed data may begin at any byte of them.
+    """
+    for m in _BASE64_RUN.finditer(layer.text):
+        run = Run.of(layer.text, *m.span())
+        if len(run.letters) < 16:
+            continue
+        whole = _whole(layer, m.span(), limit)
+        if whole is not None:
+            yield whole
+            if isinstance(whole, Decoded):
+                continue
+        else:
+            for line in _BASE64.finditer(layer.text, *m.span()):
+                found = _whole(layer, line.span(), limit) if line.span() != m.span() else None
+                if found is not None:
+                    yield found
+                    continue
+                for part in _BASE64_PART.finditer(layer.text, *line.span()):
+                    found = _whole(layer, part.span(), limit) if part.span() != line.span() else None
+                    if found is not None:
+                        yield found
+        for first in range(min(4, len(run.letters) - 1)):
+            yield from _aligned(layer, run, first, limit)
+
+
+def _whole(layer: Layer, span: tuple[int, int], limit: int) -> Layer | None:
+    """The layer of one token if it holds text or compressed data."""
+    run = Run.of(layer.text, *span)
+    raw = run.data()
+    data, packed = _unpacked(raw, limit)
     if packed:
-        low, high = layer.span(m.start(), m.end())
-        yield Layer(text, low=low, high=high, depth=layer.depth + 1)
-        return
-    # Byte b of the data stems from the characters 4b/3 to 4(b+1)/3 of the token.
-    starts, ends, at = [], [], 0
-    for char in text:
-        after = at + len(char.encode())
-        a, b = layer.span(m.start() + at * 4 // 3, min(m.end(), m.start() - (-after * 4 // 3)))
-        starts.append(a)
-        ends.append(b)
-        at = after
-    yield Layer(text, starts, ends, depth=layer.depth + 1)
+        found = _text(data)
+        return Unpacked(found[0], layer, found[1], *span) if found else None
+    text = _readable(raw)
+    return None if text is None else Decoded(text, layer, True, run)
+
+
+def _aligned(layer: Layer, run: Run, first: int, limit: int) -> Iterator[Layer]:
+    """A run read from letter first on, whatever its bytes are, and the compressed data in it."""
+    raw = run.data(first)
+    if found := _text(raw):
+        yield Decoded(found[0], layer, found[1], run, first)
+    for m in _MAGIC.finditer(raw):
+        if first or m.start():
+            data, packed = _unpacked(memoryview(raw)[m.start() :], limit)
+            if packed and (found := _text(data)):
+                yield Unpacked(found[0], layer, found[1], *run.place(first + m.start() * 4 // 3, len(run.letters)))
 
 
 def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:
-    """Base spans, all spans, and the number of decoded layers of one document.
+    """Base spans, all spans, and the number of decoded layers of one document: those that are text or hold a secret.
 
     A worklist holds the layers still to be read. Each is scanned, its spans are
     mapped to the document, and what decodes in it joins the list, until nothing
@@ -226,8 +326,10 @@ def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], l
     work, seen = deque([Layer(text)]), set()
     while work:
         layer = work.popleft()
-        if layer.depth:
-            spans.update((*layer.span(a, b), kind) for a, b, kind in matches(layer.text))
+        if layer.parent is not None:
+            found = matches(layer.text)
+            spans.update((*layer.span(a, b), kind) for a, b, kind in found)
+            layers += layer.readable or bool(found)
         after = []
         if "%" in layer.text:
             after.append(_substituted(layer, _URL, _url_pieces))
@@ -242,7 +344,6 @@ def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], l
             mark = (place, hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
             if mark not in seen:
                 seen.add(mark)
-                layers += 1
                 work.append(inner)
     order = lambda s: (s[0], KINDS.index(s[2]), s[1])
     return sorted(base, key=order), sorted(spans, key=order), layers
