@@ -121,3 +121,20 @@ def test_wrapped_glued_and_binary_base64():
         for packed in (data, gzip.compress(data)):
             assert hidden(base64.b64encode(packed).decode())
     assert secrets.scan(base64.b64encode(bytes(range(128, 256))).decode())[1:] == ([], 0)
+
+
+def test_all_members_and_large_pieces():
+    import lzma
+
+    key = b"now secret=abcdefghij comes"
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        token = base64.b64encode(pack(b"first member ") + pack(b"") + pack(key)).decode()
+        assert {s[2] for s in spans(f"see {token}")} == {"assign"}
+        # Beyond the limit, also across two chunks and in compressed data within.
+        large = b"a b " * (1 << 18)
+        for data in (large[:-12] + key + large, pack(large + key), pack(large) + pack(key)):
+            token = base64.b64encode(pack(data)).decode()
+            base, found, layers = secrets.scan(f"see {token}", limit=1000)
+            assert "assign" in {k for _, _, k in found} and (4, 4 + len(token), "assign") in found and layers == 0
+    two = [base64.b64encode(gzip.compress(b"x y " * 1000 + key + bytes([65 + i]))).decode() for i in range(2)]
+    assert len(secrets.scan(" ".join(two), limit=1000)[1]) == 2

@@ -12,7 +12,7 @@ from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -38,6 +38,9 @@ _BASE64_RUN = re.compile(rf"(?<!{_LETTER})(?:{_LETTER}{{16,}}+|{_LETTER}{{1,15}}
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
 #: Bytes that are no text are read on only if they hold the beginning of a secret or of a further layer.
 _HINT = re.compile(rb"passw|secret|token|api_?key|akia[a-z0-9]{16}|[0-9a-f]{24}|%[0-9a-f]{2}|\\[ux][0-9a-f]|&#x?[0-9a-f]|[a-z0-9+/_-]{8}", re.I)
+#: Streamed chunks, what neighbours share, and how often compressed data in compressed data is streamed.
+_CHUNK, _OVERLAP, _LEVELS = 1 << 20, 1 << 16, 64
+_BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError)
 _TEXT_BYTES = bytes(range(32, 127)) + b"\t\n\r\f\v"
 
 
@@ -76,10 +79,11 @@ class Layer:
 
 @dataclass
 class Unpacked(Layer):
-    """All of it stems from one part of the parent."""
+    """All of it stems from one part of the parent. Of data too large to be held there is no text, only the kinds found in it."""
 
     low: int = 0
     high: int = 0
+    kinds: frozenset[str] = frozenset()
 
     def above(self, start: int, end: int) -> tuple[int, int]:
         return self.low, self.high
@@ -200,25 +204,52 @@ def _unicode_pieces(m: re.Match) -> list[tuple[int, int, str]] | None:
     return [(m.start(), m.end(), chr(code))]
 
 
-def _expanded(data: bytes | memoryview, limit: int) -> bytes | None:
-    """Decompressed data, None if it is not compressed, broken, or larger than limit."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return _inflated(zlib.decompressobj(31), data, limit)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            return _inflated(zlib.decompressobj(15), data, limit)
-        if data[:3] == b"BZh":
-            return _inflated(bz2.BZ2Decompressor(), data, limit)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return _inflated(lzma.LZMADecompressor(), data, limit)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+def _opened(data: bytes | memoryview):
+    """A decompressor for data that begins with a compressed member."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
-def _inflated(stream, data: bytes | memoryview, limit: int) -> bytes | None:
-    out = stream.decompress(data, limit + 1)
-    return out if len(out) <= limit else None
+def _chunks(packed: Iterator[bytes | memoryview]) -> Iterator[bytes]:
+    """What compressed data expands to, member after member, as chunks; fails where the data is broken."""
+    held = next(packed, b"")
+    while True:
+        while len(held) < 6 and (more := next(packed, None)) is not None:
+            held = bytes(held) + more
+        stream = _opened(held)
+        if stream is None:
+            return
+        while True:
+            out = stream.decompress(held, _CHUNK)
+            held = getattr(stream, "unconsumed_tail", b"")
+            if out:
+                yield out
+            if stream.eof:
+                break
+            if getattr(stream, "needs_input", not held and len(out) < _CHUNK) and (held := next(packed, None)) is None:
+                return
+        held = stream.unused_data.lstrip(b"\0")
+
+
+def _expanded(data: bytes | memoryview, limit: int) -> tuple[bytes, bool] | None:
+    """Decompressed data up to a broken place, and whether there is more than limit of it; None if there is none."""
+    out, size = [], 0
+    try:
+        for chunk in _chunks(iter([data])):
+            out.append(chunk)
+            size += len(chunk)
+            if size > limit:
+                return b"", True
+    except _BROKEN:
+        pass
+    return (b"".join(out), False) if out else None
 
 
 def _readable(data: bytes) -> str | None:
@@ -240,21 +271,51 @@ def _text(data: bytes) -> tuple[str, bool] | None:
     return (data.decode("latin-1"), False) if _HINT.search(data) else None
 
 
-def _unpacked(data: bytes | memoryview, limit: int) -> tuple[bytes, bool]:
-    """Some bytes without any compression around them, and whether there was one."""
+def _unpacked(layer: Layer, data: bytes | memoryview, low: int, high: int, limit: int) -> Layer | None:
+    """The layer of compressed data that stands in text[low:high], through any further compression in it."""
     seen = set()
-    while (inner := _expanded(data, limit)) is not None and inner not in seen:
-        data = inner
+    while (inner := _expanded(data, limit)) is not None:
+        if inner[1]:
+            return Unpacked("", layer, False, low, high, _streamed(data, limit))
+        if inner[0] in seen:
+            break
+        data = inner[0]
         seen.add(data)
-    return data, bool(seen)
+    found = _text(data) if seen else None
+    return Unpacked(found[0], layer, found[1], low, high) if found else None
+
+
+def _streamed(data: bytes | memoryview, limit: int) -> frozenset[str]:
+    """The kinds of secrets in what data expands to, read as overlapping chunks; equal ones are read once."""
+    kinds, seen, chunks, tail = set(), set(), _chunks(iter([data])), b""
+    try:
+        for _ in range(_LEVELS):
+            first = next(chunks, b"")
+            chunks = chain([first], chunks)
+            if _expanded(first, 0) is None:
+                break
+            chunks = _chunks(chunks)
+        for chunk in chunks:
+            window = tail + chunk
+            tail = window[-_OVERLAP:]
+            mark = hashlib.blake2b(window, digest_size=16).digest()
+            if mark not in seen:
+                seen.add(mark)
+                if found := _text(window):
+                    kinds.update(kind for _, _, kind in scan(found[0], limit)[1])
+            if len(kinds) == len(KINDS):
+                break
+    except _BROKEN:
+        pass
+    return frozenset(kinds)
 
 
 def _packed_url_layers(layer: Layer, limit: int) -> Iterator[Layer]:
     """Percent-encoded compressed data."""
     for m in _URL.finditer(layer.text):
-        data, packed = _unpacked(bytes.fromhex(m[0].replace("%", "")), limit)
-        if packed and (found := _text(data)):
-            yield Unpacked(found[0], layer, found[1], m.start(), m.end())
+        found = _unpacked(layer, bytes.fromhex(m[0].replace("%", "")), *m.span(), limit)
+        if found is not None:
+            yield found
 
 
 def _base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
@@ -292,10 +353,9 @@ def _whole(layer: Layer, span: tuple[int, int], limit: int) -> Layer | None:
     """The layer of one token if it holds text or compressed data."""
     run = Run.of(layer.text, *span)
     raw = run.data()
-    data, packed = _unpacked(raw, limit)
-    if packed:
-        found = _text(data)
-        return Unpacked(found[0], layer, found[1], *span) if found else None
+    found = _unpacked(layer, raw, *span, limit)
+    if found is not None:
+        return found
     text = _readable(raw)
     return None if text is None else Decoded(text, layer, True, run)
 
@@ -307,9 +367,9 @@ def _aligned(layer: Layer, run: Run, first: int, limit: int) -> Iterator[Layer]:
         yield Decoded(found[0], layer, found[1], run, first)
     for m in _MAGIC.finditer(raw):
         if first or m.start():
-            data, packed = _unpacked(memoryview(raw)[m.start() :], limit)
-            if packed and (found := _text(data)):
-                yield Unpacked(found[0], layer, found[1], *run.place(first + m.start() * 4 // 3, len(run.letters)))
+            inner = _unpacked(layer, memoryview(raw)[m.start() :], *run.place(first + m.start() * 4 // 3, len(run.letters)), limit)
+            if inner is not None:
+                yield inner
 
 
 def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int]:
@@ -319,7 +379,8 @@ def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], l
     mapped to the document, and what decodes in it joins the list, until nothing
     new appears. A layer whose text was seen at the same place before is left
     out, so cycles end. limit bounds the bytes that one compressed piece may
-    expand to, against decompression bombs; a larger one is not entered.
+    expand to and be held; a larger one is read as a stream of overlapping chunks
+    and is no layer. Its secrets span the whole piece.
     """
     base = matches(text)
     spans, layers = set(base), 0
@@ -330,6 +391,8 @@ def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], l
             found = matches(layer.text)
             spans.update((*layer.span(a, b), kind) for a, b, kind in found)
             layers += layer.readable or bool(found)
+            if isinstance(layer, Unpacked):
+                spans.update((*layer.span(0, 0), kind) for kind in layer.kinds)
         after = []
         if "%" in layer.text:
             after.append(_substituted(layer, _URL, _url_pieces))
@@ -340,7 +403,7 @@ def scan(text: str, limit: int = 1 << 26) -> tuple[list[tuple[int, int, str]], l
         for inner in after:
             if inner is None:
                 continue
-            place = inner.span(0, len(inner.text)) if inner.text else (0, 0)
+            place = inner.span(0, len(inner.text)) if inner.text or isinstance(inner, Unpacked) else (0, 0)
             mark = (place, hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
             if mark not in seen:
                 seen.add(mark)
