@@ -78,3 +78,11 @@ def test_edge_cases(spark):
     assert 0 <= one.near_edited <= 1 and one.near_next == 1.0
     assert sketch.edited_pairs(docs.limit(0)).count() == 0
     assert sketch.fingerprints(docs).count() == 6
+
+
+def test_short_text_against_an_unrelated_long_one():
+    words = sketch.Words()
+    long = sketch.sketch(sketch.shingle_hashes(" ".join(f"l{i}" for i in range(50_000)), words))
+    found = [sketch.containment(sketch.sketch(sketch.shingle_hashes(" ".join(f"s{k}x{i}" for i in range(20)), words)), long) for k in range(200)]
+    assert set(found) == {None, 0.0} and found.count(None) > 20
+    assert sketch.containment(sketch.sketch(sketch.shingle_hashes(" ", words)), long) == 1.0

@@ -97,11 +97,16 @@ def likeness(a: Sketch, b: Sketch) -> float:
     return both / union if union else 1.0
 
 
-def containment(a: Sketch, b: Sketch) -> float:
-    """Estimated part of a's shingles that b holds, however unequal their sizes. A text without words is in any other."""
+def containment(a: Sketch, b: Sketch) -> float | None:
+    """Estimated part of a's shingles that b holds, however unequal their sizes. A text without words is in any other.
+
+    None where a has words but none of its hashes lies below the common bound: nothing can be said then.
+    """
     bound = min(a.bound, b.bound)
     x = a.below(bound)
-    return len(np.intersect1d(x, b.below(bound), assume_unique=True)) / len(x) if len(x) else 1.0
+    if not len(x):
+        return None if len(a.hashes) else 1.0
+    return len(np.intersect1d(x, b.below(bound), assume_unique=True)) / len(x)
 
 
 def fingerprints(docs: DataFrame, fraction: float = 1 / 16, width: int = 5) -> DataFrame:
@@ -128,7 +133,7 @@ def edited_pairs(docs: DataFrame, fraction: float = 1 / 16, width: int = 5, slic
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, contained_edited (the part of the edited text's
-    shingles that the document holds).
+    shingles that the document holds, null where the sketches cannot tell).
 
     The table is dealt once, into ranges of doc_id. A range's first document also
     goes to the range before it, where it follows the last one, so neighbours are
