@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ann, curriculum, ngram, packing, quality, secrets, shards, simhash, sketch, warc
+from tidemark.llm import alignment, ann, curriculum, manifest, ngram, packing, pieces, quality, secrets, shards, simhash, sketch, warc
 from tidemark.sources.tables import read_table
 
 
-def tokenizer() -> str:
-    """The place of the vocabulary file, the same on every machine."""
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """The place of a vocabulary file, the same on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,6 +63,18 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(read_table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(read_table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.manifest(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_ann": op2_ann,
@@ -74,6 +86,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_pieces": op11_pieces,
+    "op12_alignment": op12_alignment,
+    "op13_manifest": op13_manifest,
 }
 
 _WEIGHED = """WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, md5(doc_id::VARCHAR) AS h FROM documents),
