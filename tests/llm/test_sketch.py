@@ -23,10 +23,36 @@ def test_threshold_keeps_every_hash_below():
     hashes = sketch.shingle_hashes(text, sketch.Words())
     assert len(hashes) == 4996
     s = sketch.sketch(hashes)
-    assert s.bound == 2**60 and (s.hashes == hashes[hashes <= 2**60]).all()
+    assert s.bound == 2**62 and (s.hashes == hashes[hashes <= 2**62]).all()
     assert sketch.Sketch.parse(str(s)).bound == s.bound and (sketch.Sketch.parse(str(s)).hashes == s.hashes).all()
-    short = made("one two three four five six")
-    assert len(short.hashes) == 2 and short.bound == 2**64 - 1
+
+
+def test_one_bound_for_texts_of_any_size(spark, tiny):
+    found = sketch.edited_pairs(spark.read.parquet(f"{tiny}/documents.parquet")).collect()
+    assert {sketch.Sketch.parse(f).bound for r in found for f in (r.fingerprint, r.edited_fingerprint)} == {2**62}
+
+
+def test_error_by_text_size():
+    """Mean absolute errors stay below those of the README."""
+    draw, words = np.random.default_rng(5), sketch.Words()
+    for n, most in ((30, 0.13), (100, 0.075), (400, 0.04), (2000, 0.02)):
+        errors = []
+        for _ in range(300):
+            a = [f"w{i}" for i in draw.integers(0, 10**6, n)]
+            cut = int(draw.integers(0, n))
+            b = a[:cut] + [f"x{i}" for i in draw.integers(0, 10**6, n - cut)]
+            x, y = shingles(" ".join(a)), shingles(" ".join(b))
+            errors.append(abs(sketch.likeness(made(" ".join(a)), made(" ".join(b))) - len(x & y) / len(x | y)))
+        assert np.mean(errors) < most
+
+
+def test_pairs_without_a_kept_hash():
+    bare = [t for t in (f"a{i} b" for i in range(100)) if not len(made(t).hashes)]
+    assert sketch.likeness(made(bare[0]), made(bare[0])) == 1.0 and sketch.likeness(made(bare[0]), made(bare[1])) == 0.0
+    assert sketch.likeness(made(bare[0]), made("")) == 0.0 and sketch.likeness(made(" "), made("")) == 1.0
+    merged = sketch.merge(made(bare[0]), made(bare[1]))
+    assert sketch.likeness(merged, merged) == 0.0 and sketch.containment(merged, merged) is None
+    assert sketch.Sketch.parse(str(merged)).whole is None
 
 
 def test_estimates_follow_the_exact_values():
@@ -83,6 +109,6 @@ def test_edge_cases(spark):
 def test_short_text_against_an_unrelated_long_one():
     words = sketch.Words()
     long = sketch.sketch(sketch.shingle_hashes(" ".join(f"l{i}" for i in range(50_000)), words))
-    found = [sketch.containment(sketch.sketch(sketch.shingle_hashes(" ".join(f"s{k}x{i}" for i in range(20)), words)), long) for k in range(200)]
+    found = [sketch.containment(sketch.sketch(sketch.shingle_hashes(" ".join(f"s{k}x{i}" for i in range(10)), words)), long) for k in range(200)]
     assert set(found) == {None, 0.0} and found.count(None) > 20
     assert sketch.containment(sketch.sketch(sketch.shingle_hashes(" ", words)), long) == 1.0

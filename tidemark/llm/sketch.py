@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from base64 import b64decode, b64encode
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,46 +56,52 @@ def shingle_hashes(text: str, words: Words, width: int = 5) -> np.ndarray:
 
 @dataclass
 class Sketch:
-    """All shingle hashes of a document up to bound."""
+    """All shingle hashes of a document up to bound, and the sum of all its hashes, which tells equal from unequal sets.
+
+    A document without words has the sum 0. The sum of a merged sketch is not known.
+    """
 
     bound: int
     hashes: np.ndarray
+    whole: int | None = None
 
     def __str__(self) -> str:
-        return f"{self.bound:016x}:{self.hashes.astype('>u8').tobytes().hex()}"
+        whole = "" if self.whole is None else f"{self.whole:x}"
+        return f"{self.bound:x}:{whole}:{b64encode(self.hashes.astype('>u8').tobytes()).decode()}"
 
     @classmethod
     def parse(cls, text: str) -> Sketch:
-        bound, _, rest = text.partition(":")
-        return cls(int(bound, 16), np.frombuffer(bytes.fromhex(rest), ">u8").astype(np.uint64))
+        bound, whole, rest = text.split(":")
+        return cls(int(bound, 16), np.frombuffer(b64decode(rest), ">u8").astype(np.uint64), int(whole, 16) if whole else None)
 
     def below(self, bound: int) -> np.ndarray:
         return self.hashes if bound >= self.bound else self.hashes[self.hashes <= np.uint64(bound)]
 
 
-def sketch(hashes: np.ndarray, fraction: float = 1 / 16, least: int = 64) -> Sketch:
-    """Every hash below the fraction of all; the bound rises for a short text until least hashes are in, or all."""
+def sketch(hashes: np.ndarray, fraction: float = 1 / 4) -> Sketch:
+    """Every hash below the fraction of all, whatever the number of hashes."""
     bound = min(int(fraction * 2**64), _TOP)
-    kept = hashes[hashes <= np.uint64(bound)]
-    if len(kept) < least:
-        kept = hashes[:least]
-        bound = _TOP if len(hashes) <= least else int(kept[-1])
-    return Sketch(bound, kept)
+    return Sketch(bound, hashes[hashes <= np.uint64(bound)], int(hashes.sum(dtype=np.uint64)))
 
 
 def merge(a: Sketch, b: Sketch) -> Sketch:
     """The sketch of both documents' shingles together."""
     bound = min(a.bound, b.bound)
-    return Sketch(bound, np.union1d(a.below(bound), b.below(bound)))
+    return Sketch(bound, np.union1d(a.below(bound), b.below(bound)), a.whole if a.whole == b.whole else None)
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
-    """Estimated share of common shingles (Jaccard). Two texts without words are alike."""
+    """Estimated share of common shingles (Jaccard).
+
+    Where neither has a hash below the common bound, which happens to texts of few
+    words, it is 1 if the sums of all hashes are known and equal, as of two texts
+    without words or of equal short ones, else 0.
+    """
     bound = min(a.bound, b.bound)
     x, y = a.below(bound), b.below(bound)
     both = len(np.intersect1d(x, y, assume_unique=True))
     union = len(x) + len(y) - both
-    return both / union if union else 1.0
+    return both / union if union else float(a.whole is not None and a.whole == b.whole)
 
 
 def containment(a: Sketch, b: Sketch) -> float | None:
@@ -105,11 +112,11 @@ def containment(a: Sketch, b: Sketch) -> float | None:
     bound = min(a.bound, b.bound)
     x = a.below(bound)
     if not len(x):
-        return None if len(a.hashes) else 1.0
+        return 1.0 if a.whole == 0 else None
     return len(np.intersect1d(x, b.below(bound), assume_unique=True)) / len(x)
 
 
-def fingerprints(docs: DataFrame, fraction: float = 1 / 16, width: int = 5) -> DataFrame:
+def fingerprints(docs: DataFrame, fraction: float = 1 / 4, width: int = 5) -> DataFrame:
     """(doc_id, fingerprint) of every whole text (null: empty). Equal texts have equal fingerprints."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +135,7 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - part] + following[:part]
 
 
-def edited_pairs(docs: DataFrame, fraction: float = 1 / 16, width: int = 5, slice_bytes: int = 8 << 20) -> DataFrame:
+def edited_pairs(docs: DataFrame, fraction: float = 1 / 4, width: int = 5, slice_bytes: int = 8 << 20) -> DataFrame:
     """Each document beside its edited text and the next document by ascending doc_id; the last one's next is the first.
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
