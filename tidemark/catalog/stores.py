@@ -8,6 +8,7 @@ from tidemark.catalog.bindings import rounded, scored_lines, table, typed
 from tidemark.catalog.drift import SCORED_SQL, metrics_sql
 from tidemark.operators import metrics as M
 from tidemark.sources import contract as C
+from tidemark.sources import inference as I
 from tidemark.sources import runs as R
 from tidemark.sources import sinks as K
 from tidemark.sources.tables import new_path, read_csv
@@ -20,6 +21,38 @@ def csv_scan(spark, d):
     return rounded(read_csv(spark, path, schema), 4)
 
 
+def _order_lines(spark, d):
+    """Orders as delimited lines: some totals are no numbers, some lines have a cell too few or too many."""
+    path, key = new_path(spark, "order-lines"), F.col("o_orderkey")
+    total = F.when(key % 101 == 0, "on request").when(key % 53 == 0, "NA").otherwise(F.col("o_totalprice").cast("string"))
+    day, urgent = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("string")
+    cells = [key.cast("string"), F.col("o_custkey").cast("string"), total, day, urgent]
+    whole = F.concat_ws(",", *cells, F.col("o_orderstatus"))
+    line = F.when(key % 97 == 0, F.concat_ws(",", *cells)).when(key % 89 == 0, F.concat(whole, F.lit(",?"))).otherwise(whole)
+    table(spark, d, "orders").select(line.alias("value")).write.text(path)
+    return I.read_inferred(spark, path, ["orderkey", "custkey", "total", "day", "urgent", "status"], tolerance=0.05)
+
+
+def csv_inferred(spark, d):
+    """Orders read back with inferred types; the cells that are missing are null."""
+    return rounded(_order_lines(spark, d).rows.withColumn("day", F.date_format("day", "yyyy-MM-dd")), 4)
+
+
+def csv_rejected(spark, d):
+    """The lines that do not fit, with their reasons."""
+    found = _order_lines(spark, d).rejected
+    key = F.coalesce(F.col("cells.orderkey"), F.substring_index("line", ",", 1)).try_cast("bigint")
+    return found.select(key.alias("orderkey"), F.concat_ws("; ", "reasons").alias("reasons"))
+
+
+def csv_types(spark, d):
+    """The type found for every column of the customer table written with its header."""
+    path = new_path(spark, "customer-csv")
+    table(spark, d, "customer").write.csv(path, header=True)
+    kinds = I.infer(I.read_cells(spark, path))
+    return spark.createDataFrame([(c, I.TYPES[kind].simpleString()) for c, kind in kinds.items()], "column_name string, kind string")
+
+
 def _runs(spark, d):
     """One run per ship year, as a run table would hold them."""
     found = M.classification_metrics(scored_lines(spark, d), ["period"], "label", "score", "prediction")
@@ -117,6 +150,9 @@ def dataset_versions(spark, d):
 
 QUERIES = {
     "csv_scan": csv_scan,
+    "csv_inferred": csv_inferred,
+    "csv_rejected": csv_rejected,
+    "csv_types": csv_types,
     "run_history": run_history,
     "run_records": run_records,
     "run_comparison": run_comparison,
@@ -132,6 +168,11 @@ _FOUR = 'round(auc, 6) AS roc_auc, round(f1, 6) AS f1_score, round(prec, 6) AS "
 
 SQL = {
     "csv_scan": "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktsegment FROM customer",
+    "csv_inferred": """SELECT o_orderkey AS orderkey, o_custkey AS custkey, CASE WHEN o_orderkey % 53 <> 0 THEN round(o_totalprice, 4) END AS total, strftime(o_orderdate, '%Y-%m-%d') AS day,
+        o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent, o_orderstatus AS status FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0 AND o_orderkey % 101 <> 0""",
+    "csv_rejected": """SELECT o_orderkey AS orderkey, CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 THEN 'wrong number of cells' ELSE 'total is no double: on request' END AS reasons
+        FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 101 = 0""",
+    "csv_types": "SELECT column_name, CASE WHEN column_type IN ('BIGINT', 'INTEGER') THEN 'bigint' WHEN column_type = 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS kind FROM (DESCRIBE customer)",
     "run_history": f"{_METRICS} SELECT 'lines-' || period AS dataset_version, period || '-12-31 00:00:00' AS timestamp, {_FOUR} FROM metrics_",
     "run_records": f"{_METRICS} SELECT 'run-' || period AS run_id, 'lines-' || period AS dataset_version, {_FOUR} FROM metrics_ ORDER BY period DESC LIMIT 1",
     "run_comparison": f"""{_METRICS}, l AS (SELECT * FROM metrics_ ORDER BY period DESC LIMIT 1), o AS (SELECT * FROM metrics_ WHERE period = 1997)
