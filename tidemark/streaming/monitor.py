@@ -9,23 +9,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.scalars import ratio, round_even
 from tidemark.functions.sqltext import per_feature
 from tidemark.operators.drift import (
-    PSI_BINS, bin_counts, bin_of_feature, category_severity, long_categorical, long_numeric,
+    PSI_BINS, bin_counts, bin_of_feature, category_severity, finite_bounds, long_categorical, long_numeric,
     numeric_severity, psi_of_counts,
 )
+from tidemark.streaming.windows import TIME, Measure, WindowStore, stamped
 
 
 class ReferenceSketch:
-    """Bounds, bin counts and category shares of a reference table.
+    """Bounds and bin counts of a reference table.
 
     Built by two aggregations; per monitored column it keeps `bins` counts, so
-    it stays a handful of numbers whatever the size of the reference.
+    it stays a handful of numbers whatever the size of the reference. A column
+    whose range is not finite has no bins and no index.
     """
 
     def __init__(self, reference: DataFrame, numeric: Sequence[str], bins: int = PSI_BINS):
         self.numeric, self.bins = list(numeric), bins
         long = long_numeric(reference, self.numeric)
         bounds = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
-        self.bounds = {r["feature"]: (r["lo"], r["hi"]) for r in bounds}
+        self.bounds = finite_bounds({r["feature"]: r for r in bounds})
         counted = long.withColumn("bin", self.bin()).groupBy("feature").agg(
             F.count("*").alias("n"), *[F.count_if(F.col("bin") == k).alias(f"b{k}") for k in range(bins)]
         )
@@ -34,6 +36,15 @@ class ReferenceSketch:
     def bin(self) -> Column:
         return bin_of_feature(self.bounds, self.bins)
 
+    def psi(self) -> Column:
+        """The index from cur_k and rows_cur, NULL for a feature without a finite range."""
+        return F.when(F.expr(per_feature(dict.fromkeys(self.bounds, "true"), "false")), psi_of_counts(self.bins))
+
+    def with_reference(self, counted: DataFrame) -> DataFrame:
+        """counted, rows with a feature, beside the reference's counts rows_ref and ref_k."""
+        reference = {f"ref_{k}": self.constant(lambda e, k=k: e[1][k]) for k in range(self.bins)}
+        return counted.withColumns(reference | {"rows_ref": self.constant(lambda e: e[0])})
+
     def constant(self, pick) -> Column:
         return F.expr(per_feature({f: f"{pick(entry)}L" for f, entry in self.counts.items()}, "0L"))
 
@@ -49,14 +60,25 @@ def windowed_psi(events: DataFrame, sketch: ReferenceSketch, time: str, length:
     summed = counted.groupBy(F.window("_time", length).alias("window"), "feature").agg(
         F.sum("n_cur").alias("rows_cur"), *bin_counts(sketch.bins)
     )
-    reference = {"rows_ref": sketch.constant(lambda e: e[0])}
-    for k in range(sketch.bins):
-        reference[f"ref_{k}"] = sketch.constant(lambda e, k=k: e[1][k])
-    judged = summed.withColumns(reference).withColumn("psi", psi_of_counts(sketch.bins))
+    return judged_windows(summed.withColumns({"window_start": F.col("window.start"), "n_rows": F.col("rows_cur")}), sketch)
+
+
+def psi_store(path: str, sketch: ReferenceSketch, length: str = "1 day", lateness: str = "1 day") -> WindowStore:
+    """Windows that keep the bin counts of each feature. Feed it `binned_events`, read it with `judged_windows`."""
+    measures = {f"cur_{k}": Measure(F.count_if(F.col("bin") == k)) for k in range(sketch.bins)}
+    return WindowStore(path, ["feature"], {"rows_cur": Measure(F.count("*"))} | measures, length, lateness)
+
+
+def binned_events(events: DataFrame, sketch: ReferenceSketch, time: str) -> DataFrame:
+    return long_numeric(stamped(events, time), sketch.numeric, F.col(TIME)).withColumn("bin", sketch.bin())
+
+
+def judged_windows(windows: DataFrame, sketch: ReferenceSketch) -> DataFrame:
+    """(window_start, feature, n_rows, psi, severity) of windows with bin counts."""
+    judged = sketch.with_reference(windows).withColumn("psi", sketch.psi())
     return judged.select(
-        F.col("window.start").alias("window_start"), "feature", F.col("rows_cur").alias("n_rows"),
-        round_even(F.col("psi"), 4).alias("psi"),
-        numeric_severity(F.col("psi"), F.lit(None).cast("double")).alias("severity"),
+        "window_start", "feature", "n_rows", round_even(F.col("psi"), 4).alias("psi"),
+        F.when(F.col("psi").isNotNull(), numeric_severity(F.col("psi"), F.lit(None).cast("double"))).alias("severity"),
     )
 
 
