@@ -1,7 +1,10 @@
 """Drift measures against NumPy, their properties, and edge cases."""
 
+import glob
 import itertools
 import math
+import os
+import random
 
 import numpy as np
 import pandas as pd
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.ks import share_at_least
 from tidemark.operators import drift as D
 from tidemark.plans import report as R
+from tidemark.plans.timeline import DriftTimeline
+from tidemark.sources.tables import new_path
 
 
 def table(seed, n=260, moved=False):
@@ -271,3 +276,69 @@ def test_infinite_reference_has_no_index(spark):
     cur = spark.range(50).selectExpr("cast(id + 9000 as double) as x")
     assert D.population_stability(ref, cur, ["x"]).first().psi is None
     assert D.numeric_drift(ref, cur, ["x"]).first().psi is None
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 100])
+def test_first_lacking_place(spark, block):
+    held = {"a": [1, 2, 3], "b": [2, 3], "c": [1, 2, 4, 5], "d": [1], "e": [1, 2, 3, 4, 7], "f": [9], "g": list(range(1, 13)) + [14]}
+    df = spark.createDataFrame([(k, p) for k, places in held.items() for p in places], "k string, place long")
+    found = {r["k"]: r["place"] for r in D.first_lacking(df, ["k"], block).collect()}
+    assert found == {k: min(set(range(1, 20)) - set(places)) for k, places in held.items()}
+
+
+def test_ranked_categories_number_every_category_once(spark):
+    rows = [(f"c{i % 700}" if i % 3 else f"id{i}",) for i in range(6000)]
+    found = D.ranked_categories(spark.createDataFrame(rows, "c string"), ["c"]).orderBy("place").collect()
+    assert [r["place"] for r in found] == list(range(1, len(found) + 1))
+    counts = [r["n_ref"] for r in found]
+    assert counts == sorted(counts, reverse=True) and {r["rows_ref"] for r in found} == {6000} and len({r["category"] for r in found}) == len(found)
+
+
+def panel_rows(spark, periods):
+    draw = random.Random(4)
+    rows = [(p, draw.gauss(0, 1) + p / 3, float(draw.randint(0, 5)) if draw.random() < 0.9 else None, draw.choice("abcd" if p < 3 else "bcde")) for p in periods for _ in range(300)]
+    return spark.createDataFrame(rows, "p int, x double, n double, c string")
+
+
+@pytest.mark.parametrize("rows_per_slice", [50, 10**6])
+def test_grown_timeline_equals_the_batch_one(spark, rows_per_slice):
+    reference, current = panel_rows(spark, [0]), panel_rows(spark, [1, 2, 3, 4])
+    grown = DriftTimeline(new_path(spark, "grown"), "p").start(reference, rows_per_slice=rows_per_slice)
+    for chosen in ("p = 2", "p = 1 AND x > 0", "p IN (3, 4)", "p = 1"):
+        grown.add(current.filter(chosen))
+    columns = ["features", "covariate_alerts", "max_psi", "max_share_change", "concept_alert", "overall_status", "retrain"]
+    want = {str(r["p"]): [r[c] for c in columns] for r in R.drift_timeline(reference, current, "p", rows_per_slice=rows_per_slice).collect()}
+    assert {r["p"]: [r[c] for c in columns] for r in grown.status(spark).collect()} == want
+    table = D.covariate_shift(reference, current, period="p", rows_per_slice=rows_per_slice)
+    names = [c for c in table.columns if c != "p"]
+    rows = lambda df: sorted((str(r["p"]), *(str(r[c]) for c in names)) for r in df.collect())
+    assert rows(grown.table(spark)) == rows(table)
+
+
+def test_adding_a_period_reads_no_other_one(spark):
+    """Periods added before and the reference table may be gone; a period that comes again replaces its own files only."""
+    reference, current = panel_rows(spark, [0]), panel_rows(spark, [1, 2])
+    path = new_path(spark, "grown")
+    grown = DriftTimeline(path, "p").start(reference)
+    grown.add(current.filter("p = 1"))
+    files = lambda p: {f: os.path.getmtime(f) for f in glob.glob(f"{path}/periods/*/period={p}/*")}
+    before = files(1)
+    for name in glob.glob(f"{path}/periods/counts/period=1/*.parquet"):
+        with open(name, "wb") as file:
+            file.write(b"not parquet")
+    kept = files(1)
+    grown.add(current.filter("p = 2"))
+    grown.add(current.filter("p = 2"))
+    assert files(1) == kept and set(kept) == set(before)
+    assert {r["p"] for r in grown.status(spark).collect()} == {"1", "2"}
+
+
+def test_concept_by_period_equals_the_two_table_form(spark):
+    draw = random.Random(5)
+    rows = [(p, int((s := draw.random()) + draw.gauss(0, 0.1 * p) > 0.5), s, int(s > 0.5)) for p in range(4) for _ in range(400)]
+    scored = spark.createDataFrame(rows, "p int, y int, s double, yhat int")
+    first = scored.filter("p = 0")
+    found = {r["p"]: r for r in R.concept_by_period(first, scored.filter("p > 0"), "p", "y", "s", "yhat").collect()}
+    for p in (1, 2, 3):
+        want = R.concept_drift(first, scored.filter(F.col("p") == p), "y", "s", "yhat").first()
+        assert (round(found[p]["max_decay"] * 100, 2), found[p]["severity"], found[p]["alert"]) == (want["max_decay"], want["severity"], want["alert"])

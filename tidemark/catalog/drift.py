@@ -10,6 +10,7 @@ from tidemark.catalog.bindings import (
 from tidemark.operators import drift as D
 from tidemark.operators.shape import edge_period
 from tidemark.plans import report as R
+from tidemark.plans import timeline as T
 from tidemark.sources.sinks import report_document
 from tidemark.sources.tables import new_path
 
@@ -123,18 +124,51 @@ def first_last_drift(spark, d):
     return R.first_last_drift(panel, "period")
 
 
-def drift_timeline(spark, d):
+def _yearly_lines(spark, d):
+    """Lines of 1995 as reference; later ones with dearer and more returned lines from 1999 on."""
     lines = table(spark, d, "lineitem").withColumn("period", F.year("l_shipdate").cast("bigint"))
     ref = lines.filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
     cur = lines.filter(F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
     late = F.col("period") >= 1999
-    cur = cur.withColumns({
+    return ref, cur.withColumns({
         "l_extendedprice": F.when(late, F.col("l_extendedprice") * 1.5).otherwise(F.col("l_extendedprice")),
         "l_returnflag": F.when(late & (F.col("l_quantity") > 15), "R").otherwise(F.col("l_returnflag")),
     })
+
+
+def drift_timeline(spark, d):
+    ref, cur = _yearly_lines(spark, d)
     return typed(R.drift_timeline(ref, cur, "period", numeric=NUMERIC, categorical=CATEGORICAL))
 
 
+def _yearly_scores(spark, d):
+    """Scored lines whose score says nothing any more from 1999 on."""
+    lines = table(spark, d, "lineitem").withColumn("period", F.year("l_shipdate").cast("bigint"))
+    good = F.col("l_quantity") / 50 + F.when(F.col("l_returnflag") == "R", 0.2).otherwise(0.0)
+    score = F.when(F.col("period") >= 1999, F.col("l_discount") * 10).otherwise(good)
+    scored = lines.select("period", F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"), score.alias("score"))
+    return scored.withColumn("prediction", (F.col("score") >= 0.6).cast("int"))
+
+
+def drift_timeline_grown(spark, d):
+    """The timeline grown from stored counts, one year coming twice, with the metric loss of a model per year."""
+    ref, cur = _yearly_lines(spark, d)
+    grown = T.DriftTimeline(new_path(spark, "timeline"), "period").start(ref.drop("period"), NUMERIC, CATEGORICAL)
+    year = F.col("period")
+    grown.add(cur.filter((year == 1997) & (F.col("l_quantity") > 40)))
+    for chosen in (year == 1996, year == 1997, year >= 1998):
+        grown.add(cur.filter(chosen))
+    scored = _yearly_scores(spark, d)
+    concept = R.concept_by_period(scored.filter(year < 1996), scored.filter(year >= 1996), "period", "label", "score", "prediction")
+    found = grown.status(spark, concept.withColumn("period", year.cast("string")))
+    return typed(found.withColumn("period", year.cast("bigint")))
+
+
+def concept_by_year(spark, d):
+    scored = _yearly_scores(spark, d)
+    return rounded(R.concept_by_period(scored.filter(F.col("period") < 1996), scored.filter(F.col("period") >= 1996), "period", "label", "score", "prediction"))
+
+
 def monitor_report(spark, d):
     """Drop ids, normalize, compare, save as JSON and read the saved report back."""
     panel = order_panel(spark, d)
@@ -295,11 +329,24 @@ QUERIES = {
     "top_drifted": top_drifted,
     "first_last_drift": first_last_drift,
     "drift_timeline": drift_timeline,
+    "drift_timeline_grown": drift_timeline_grown,
+    "concept_by_year": concept_by_year,
     "monitor_report": monitor_report,
     "report_text": report_text,
 }
 
+_YEARLY = f"""scored AS (SELECT *, CASE WHEN s >= 0.6 THEN 1 ELSE 0 END AS yhat FROM (SELECT year(l_shipdate) AS year_, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
+   CASE WHEN year(l_shipdate) >= 1999 THEN l_discount * 10 ELSE l_quantity / 50 + CASE WHEN l_returnflag = 'R' THEN 0.2::DOUBLE ELSE 0 END END AS s FROM lineitem)),
+ {metrics_sql("scored", "year_")},
+ decays AS (SELECT m.year_, greatest({", ".join(f"CASE WHEN o.{n} > 0 THEN (o.{n} - m.{n}) / o.{n} ELSE 0 END" for n in ("auc", "f1", "prec", "rec"))}) AS max_decay
+   FROM metrics_ m JOIN metrics_ o ON o.year_ = 1995 AND m.year_ > 1995)"""
+
 SQL = {
+    "drift_timeline_grown": f"""{TIMELINE_SQL}, {_YEARLY} SELECT agg.*, max_decay > 0.05 AS concept_alert,
+        CASE WHEN covariate_alerts > 5 OR max_decay > 0.05 THEN 'CRITICAL' WHEN covariate_alerts > 0 THEN 'WARNING' ELSE 'STABLE' END AS overall_status,
+        covariate_alerts > 5 OR max_decay > 0.05 AS retrain FROM agg JOIN decays ON decays.year_ = agg.period""",
+    "concept_by_year": f"""WITH {_YEARLY} SELECT year_ AS period, round(max_decay, 6) AS max_decay, CASE WHEN max_decay > 0.1 THEN 'HIGH' WHEN max_decay > 0.05 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+        max_decay > 0.05 AS alert FROM decays""",
     "population_stability": f"WITH {LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, round(psi, 6) AS psi FROM psi_",
     "population_stability_shifted": f"WITH {SHIFTED_LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, round(psi, 6) AS psi FROM psi_",
     "population_stability_unbounded": f"WITH {LINES}, {long_sql(NUMERIC)}, {PSI} SELECT feature, CASE WHEN feature <> 'l_tax' THEN round(psi, 6) END AS psi FROM psi_",

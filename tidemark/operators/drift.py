@@ -246,15 +246,27 @@ def numeric_drift_by_period(
     periods by feature and value, is all it takes. Any number of periods will do.
     """
     columns = feature_columns(reference, [period])[0] if columns is None else columns
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    ref = long_numeric(reference, columns, one.alias("n_ref"), zero.alias("n_cur"))
-    cur = long_numeric(current, columns, F.col(period).alias("period"), one.alias("n_cur")).filter("period IS NOT NULL")
+    ref = long_numeric(reference, columns, F.lit(1).cast("bigint").alias("n_ref"), F.lit(0).cast("bigint").alias("n_cur"))
     profile = numeric_profile(ref)
-    counts = {f: r["rows"] for f, r in profile.items()}
-    cuts = cuts_by_feature(ref, counts, rows_per_slice)
-    by_period = with_feature_slice(cur.groupBy("period", "feature", "value").agg(F.sum("n_cur").alias("n_cur")), "value", cuts)
+    cuts = cuts_by_feature(ref, {f: r["rows"] for f, r in profile.items()}, rows_per_slice)
+    known = ref.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"))
+    found = numeric_drift_of_counts(known, numeric_counts(current, columns, period), profile, cuts, bins, pvalue)
+    return found.withColumnRenamed("period", period)
+
+
+def numeric_counts(df: DataFrame, columns: Sequence[str], period: str) -> DataFrame:
+    """(period, feature, value, n_cur): what drift needs to know of the numeric columns."""
+    cells = long_numeric(df, columns, F.col(period).alias("period")).filter("period IS NOT NULL")
+    return cells.groupBy("period", "feature", "value").agg(F.count("*").alias("n_cur"))
+
+
+def numeric_drift_of_counts(
+    known: DataFrame, by_period: DataFrame, profile: dict[str, Row], cuts: dict[str, list[float]], bins: int = PSI_BINS, pvalue: str = "asymptotic",
+) -> DataFrame:
+    """numeric_drift_by_period from the counts (feature, value, n_ref) and (period, feature, value, n_cur)."""
+    by_period = with_feature_slice(by_period, "value", cuts)
     values = by_period.select("feature", "value", F.lit(0).cast("bigint").alias("n_ref"))
-    known = ref.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")).unionByName(values)
+    known = known.select("feature", "value", "n_ref").unionByName(values)
     known = with_feature_slice(known.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")), "value", cuts)
     known = running_totals(known.withColumn("bin", binned(profile, bins)), ["feature"], "value", ["n_ref"])
     here = running_totals(by_period, ["period", "feature"], "value", ["n_cur"]).select("period", "feature", "value", "n_cur", "cum_n_cur", "total_n_cur")
@@ -271,9 +283,7 @@ def numeric_drift_by_period(
     # One row per monitored column.
     measured = measured.join(F.broadcast(known.groupBy("feature").agg(*counted("ref"))), "feature")
     measured, p = _pvalue(measured, ["period"], pvalue)
-    return measured.select(
-        F.col("period").alias(period), "feature", "rows_ref", "rows_cur", bounded_psi(profile, bins).alias("psi"), "ks_statistic", p.alias("ks_pvalue"),
-    )
+    return measured.select("period", "feature", "rows_ref", "rows_cur", bounded_psi(profile, bins).alias("psi"), "ks_statistic", p.alias("ks_pvalue"))
 
 
 def numeric_severity(psi: Column, ks_p: Column, threshold_psi: float = PSI_ALERT, threshold_ks: float = KS_ALERT) -> Column:
@@ -320,27 +330,91 @@ def categorical_drift_by_period(reference: DataFrame, current: DataFrame, period
     paired with all categories.
     """
     columns = columns if columns is not None else feature_columns(reference, [period])[1]
+    found = categorical_drift_of_counts(ranked_categories(reference, columns), category_counts(current, columns, period))
+    return found.withColumnRenamed("period", period)
+
+
+def ranked_categories(reference: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, category, n_ref, rows_ref, place): the reference's categories, place 1 being the most frequent.
+
+    Categories of one count are told apart by hash slices, numbered slice by slice,
+    so a column of as many categories as rows is not ranked in one task.
+    """
     ref = long_categorical(reference, columns).groupBy("feature", "category").agg(F.count("*").alias("n_ref"))
-    whole = Window.partitionBy("feature")
-    ref = ref.withColumn("rows_ref", F.sum("n_ref").over(whole)).withColumn(
-        "place", F.row_number().over(whole.orderBy(F.desc("n_ref"), "category"))
-    )
-    cur = long_categorical(current, columns, F.col(period).alias("period")).filter("period IS NOT NULL")
-    cur = cur.groupBy("period", "feature", "category").agg(F.count("*").alias("n_cur"))
+    slices = int(reference.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ref = ref.withColumn("slice", F.pmod(F.xxhash64("category"), F.lit(slices)))
+    sizes = ref.groupBy("feature", "n_ref", "slice").agg(F.count("*").alias("here"))
+    before = Window.partitionBy("feature").orderBy(F.desc("n_ref"), "slice").rowsBetween(Window.unboundedPreceding, -1)
+    rows = F.sum(F.col("here") * F.col("n_ref")).over(Window.partitionBy("feature"))
+    sizes = sizes.select("feature", "n_ref", "slice", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("ahead"), rows.alias("rows_ref"))
+    inside = F.row_number().over(Window.partitionBy("feature", "n_ref", "slice").orderBy("category"))
+    placed = ref.withColumn("inside", inside).join(sizes, ["feature", "n_ref", "slice"])
+    return placed.select("feature", "category", "n_ref", "rows_ref", (F.col("ahead") + F.col("inside")).alias("place"))
+
+
+def category_counts(df: DataFrame, columns: Sequence[str], period: str) -> DataFrame:
+    """(period, feature, category, n_cur): what drift needs to know of the categorical columns."""
+    cells = long_categorical(df, columns, F.col(period).alias("period")).filter("period IS NOT NULL")
+    return cells.groupBy("period", "feature", "category").agg(F.count("*").alias("n_cur"))
+
+
+def first_lacking(held: DataFrame, keys: Sequence[str], block: int = 10_000) -> DataFrame:
+    """(keys, place): the first place from 1 on that the rows (keys, place) of a key do not hold.
+
+    Places are counted in blocks first; only the first block with a gap is looked
+    through, so no task sees more than a block and one row per block.
+    """
+    keys = list(keys)
+    blocked = held.withColumn("block", F.floor((F.col("place") - 1) / block))
+    sizes = blocked.groupBy(*keys, "block").agg(F.count("*").alias("here"))
+    along = Window.partitionBy(*keys).orderBy("block")
+    # Before the first gap, the blocks are full and their numbers are their ranks.
+    whole = (F.col("here") == block) & (F.col("block") == F.row_number().over(along) - 1)
+    sizes = sizes.withColumn("broken", F.max(F.when(~whole, 1).otherwise(0)).over(along))
+    gaps = sizes.groupBy(*keys).agg(F.count_if(F.col("broken") == 0).alias("gap"))
+    inside = blocked.join(gaps, keys).filter("block = gap")
+    inside = inside.withColumn("next", F.col("gap") * block + F.row_number().over(Window.partitionBy(*keys).orderBy("place")))
+    found = inside.groupBy(*keys).agg(F.min(F.when(F.col("place") > F.col("next"), F.col("next"))).alias("missed"), (F.max("next") + 1).alias("after"))
+    return gaps.join(found, keys, "left").select(*keys, F.coalesce("missed", "after", F.col("gap") * block + 1).alias("place"))
+
+
+def categorical_drift_of_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """categorical_drift_by_period from ranked_categories and category_counts."""
     sizes = cur.groupBy("period", "feature").agg(F.sum("n_cur").alias("rows_cur"))
     cells = cur.join(ref.select("feature", "category", "n_ref", "place"), ["feature", "category"], "left").join(sizes, ["period", "feature"])
     cells = cells.join(F.broadcast(ref.groupBy("feature").agg(F.max("rows_ref").alias("rows_ref"))), "feature")
-    held = F.row_number().over(Window.partitionBy("period", "feature").orderBy(F.col("place").asc_nulls_last()))
-    cells = cells.withColumn("held", held)
     change = F.abs(ratio(F.col("n_cur"), F.col("rows_cur")) - ratio(F.coalesce("n_ref", F.lit(0)), F.col("rows_ref")))
     found = cells.groupBy("period", "feature").agg(
         F.max(change).alias("present"), F.max("rows_ref").alias("rows_ref"), F.max("rows_cur").alias("rows_cur"),
-        F.coalesce(F.min(F.when(F.col("place") > F.col("held"), F.col("held"))), F.count("place") + 1).alias("place"),
     )
+    held = cells.filter("place IS NOT NULL").select("period", "feature", "place")
+    found = found.join(first_lacking(held, ["period", "feature"]), ["period", "feature"], "left").fillna({"place": 1})
     lacking = ref.select("feature", "place", ratio(F.col("n_ref"), F.col("rows_ref")).alias("lacking"))
     found = found.join(lacking, ["feature", "place"], "left")
     return found.select(
-        F.col("period").alias(period), "feature", F.greatest("present", F.coalesce("lacking", F.lit(0.0))).alias("max_proportion_change"), "rows_ref", "rows_cur",
+        "period", "feature", F.greatest("present", F.coalesce("lacking", F.lit(0.0))).alias("max_proportion_change"), "rows_ref", "rows_cur",
+    )
+
+
+def reported_numeric(found: DataFrame, groups: Sequence[Column], shown: Sequence[tuple[str, int]], threshold_psi: float = PSI_ALERT, threshold_ks: float = KS_ALERT) -> DataFrame:
+    """Rows of the drift table, rounded; shown are the columns beside psi and KS with their digits."""
+    severity = numeric_severity(F.col("psi"), F.col("ks_pvalue"), threshold_psi, threshold_ks)
+    return found.select(
+        *groups, "feature", *[F.expr(e) for e in (
+            "'numeric' AS type", "bround(psi, 4) AS psi", "bround(ks_statistic, 4) AS ks_statistic",
+            "bround(ks_pvalue, 4) AS ks_pvalue", *[f"bround({c}, {n}) AS {c}" for c, n in shown[:1]],
+            "CAST(NULL AS DOUBLE) AS max_proportion_change", *[f"bround({c}, {n}) AS {c}" for c, n in shown[1:]],
+        )], severity.alias("severity"),
+    )
+
+
+def reported_categorical(found: DataFrame, groups: Sequence[Column], shown: Sequence[tuple[str, int]]) -> DataFrame:
+    return found.select(
+        *groups, "feature", *[F.expr(e) for e in (
+            "'categorical' AS type",
+            *[f"CAST(NULL AS DOUBLE) AS {c}" for c in ("psi", "ks_statistic", "ks_pvalue", *[c for c, _ in shown[:1]])],
+            "bround(max_proportion_change, 4) AS max_proportion_change", *[f"CAST(NULL AS DOUBLE) AS {c}" for c, _ in shown[1:]],
+        )], category_severity(F.col("max_proportion_change")).alias("severity"),
     )
 
 
@@ -366,23 +440,10 @@ def covariate_shift(
     if numeric or not categorical:
         options = {"rows_per_slice": rows_per_slice, "pvalue": pvalue}
         found = numeric_drift_by_period(reference, current, period, numeric, **options) if period else numeric_drift(reference, current, numeric, **options)
-        severity = numeric_severity(F.col("psi"), F.col("ks_pvalue"), threshold_psi, threshold_ks)
-        parts.append(found.select(
-            *groups, "feature", *[F.expr(e) for e in (
-                "'numeric' AS type", "bround(psi, 4) AS psi", "bround(ks_statistic, 4) AS ks_statistic",
-                "bround(ks_pvalue, 4) AS ks_pvalue", *[f"bround({c}, {n}) AS {c}" for c, n in shown[:1]],
-                "CAST(NULL AS DOUBLE) AS max_proportion_change", *[f"bround({c}, {n}) AS {c}" for c, n in shown[1:]],
-            )], severity.alias("severity"),
-        ))
+        parts.append(reported_numeric(found, groups, shown, threshold_psi, threshold_ks))
     if categorical:
         found = categorical_drift_by_period(reference, current, period, categorical) if period else categorical_drift(reference, current, categorical)
-        parts.append(found.select(
-            *groups, "feature", *[F.expr(e) for e in (
-                "'categorical' AS type",
-                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in ("psi", "ks_statistic", "ks_pvalue", *[c for c, _ in shown[:1]])],
-                "bround(max_proportion_change, 4) AS max_proportion_change", *[f"CAST(NULL AS DOUBLE) AS {c}" for c, _ in shown[1:]],
-            )], category_severity(F.col("max_proportion_change")).alias("severity"),
-        ))
+        parts.append(reported_categorical(found, groups, shown))
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return table.withColumn("alert", F.col("severity") != "LOW")
 

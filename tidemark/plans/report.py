@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.scalars import round_even
 from tidemark.operators.drift import covariate_shift, status_of
-from tidemark.operators.metrics import DECAY_ALERT, METRICS, classification_metrics, decay_of_sides
+from tidemark.operators.metrics import DECAY_ALERT, METRICS, classification_metrics, decay_of_sides, decay_severity, metric_decay
 from tidemark.operators.model import score
 from tidemark.operators.normalize import column_types, normalize_frame
 from tidemark.operators.order_stats import ROWS_PER_SLICE
@@ -43,6 +43,23 @@ def concept_drift(
     return rounded.filter("max_decay IS NOT NULL")
 
 
+def concept_by_period(
+    reference: DataFrame, current: DataFrame, period: str, label: str, score_column: str, prediction: str,
+    threshold: float = DECAY_ALERT, rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """(period, max_decay, severity, alert): the metric loss of every period of a scored table against a scored reference.
+
+    Feeds `concept` of a timeline. The reference is one more group of the same aggregation.
+    """
+    keep = [label, score_column, prediction]
+    both = current.filter(F.col(period).isNotNull()).select(period, *keep).unionByName(reference.select(F.lit(None).alias(period), *keep))
+    found = classification_metrics(both, [period], label, score_column, prediction, rows_per_slice)
+    first = found.filter(F.col(period).isNull()).select(F.struct(*METRICS).alias("first")).scalar()
+    wide = found.filter(F.col(period).isNotNull()).withColumn("first", first)
+    wide = wide.withColumn("max_decay", F.greatest(*[metric_decay(F.col(f"first.{m}"), F.col(m)) for m in METRICS]))
+    return wide.select(period, "max_decay", decay_severity(F.col("max_decay"), threshold).alias("severity"), F.coalesce(F.col("max_decay") > threshold, F.lit(False)).alias("alert"))
+
+
 def normalized_pair(reference: DataFrame, current: DataFrame, exclude: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Both tables normalized by the reference's column roles."""
     categorical, numeric = column_types(reference, [c for c in reference.columns if c not in exclude])
@@ -129,6 +146,11 @@ def drift_timeline(
         reference, current, numeric=numeric, categorical=categorical, exclude=exclude, period=period,
         rows_per_slice=rows_per_slice, pvalue=pvalue,
     )
+    return timeline_status(table, period, concept)
+
+
+def timeline_status(table: DataFrame, period: str, concept: DataFrame | None = None) -> DataFrame:
+    """One row per period from its rows of the drift table."""
     counted = table.groupBy(period).agg(
         F.count("*").alias("features"), F.count_if("alert").alias("covariate_alerts"),
         F.max("psi").alias("max_psi"), F.max("max_proportion_change").alias("max_share_change"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.scalars import ratio, round_even
 from tidemark.functions.sqltext import per_feature
 from tidemark.operators.drift import (
-    PSI_BINS, bin_counts, bin_of_feature, category_severity, finite_bounds, long_categorical, long_numeric,
+    PSI_BINS, bin_counts, bin_of_feature, category_severity, finite_bounds, first_lacking, long_categorical, long_numeric,
     numeric_severity, psi_of_counts,
 )
 from tidemark.streaming.windows import TIME, Measure, WindowStore, stamped
@@ -96,19 +96,17 @@ def category_shift_of_windows(counts: DataFrame, reference_shares: DataFrame) ->
 
     Reference categories that a window lacks count with their own share, of which
     the largest matters. Ranked by share, the first rank that the window does not
-    hold names it, so no window meets all categories, and the counts are read once.
+    hold names it, so no window meets all categories.
     """
     ranked = reference_shares.select("feature", "category", "proportion").withColumn(
         "place", F.row_number().over(Window.partitionBy("feature").orderBy(F.desc("proportion"), "category"))
     )
-    whole = Window.partitionBy("window_start", "feature")
-    cells = counts.join(ranked, ["feature", "category"], "left").withColumns({
-        "n_rows": F.sum("n_cur").over(whole), "held": F.row_number().over(whole.orderBy(F.col("place").asc_nulls_last())),
-    })
+    keys = ["window_start", "feature"]
+    sizes = counts.groupBy(*keys).agg(F.sum("n_cur").alias("n_rows"))
+    cells = counts.join(ranked, ["feature", "category"], "left").join(sizes, keys)
     change = F.abs(ratio(F.col("n_cur"), F.col("n_rows")) - F.coalesce("proportion", F.lit(0.0)))
-    worst = cells.groupBy("window_start", "feature").agg(
-        F.max(change).alias("present"), F.coalesce(F.min(F.when(F.col("place") > F.col("held"), F.col("held"))), F.count("place") + 1).alias("place"),
-    )
+    worst = cells.groupBy(*keys).agg(F.max(change).alias("present"))
+    worst = worst.join(first_lacking(cells.filter("place IS NOT NULL").select(*keys, "place"), keys), keys, "left").fillna({"place": 1})
     lacking = ranked.select("feature", "place", F.col("proportion").alias("lacking"))
     worst = worst.join(lacking, ["feature", "place"], "left").withColumn(
         "max_proportion_change", F.greatest("present", F.coalesce("lacking", F.lit(0.0)))
