@@ -1,15 +1,19 @@
 """Fits and their preparation: exact parts by value, forests by invariants."""
 
+import glob
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 
 from tidemark.operators import model as M
 from tidemark.plans import comparison as X, training as T, validation as V
 from tidemark.sources import runs
-from tidemark.sources.tables import new_path
+from tidemark.sources.tables import new_path, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +135,76 @@ def test_samples(people):
     noisy = {r["k"]: r["income"] for r in M.perturbed_rows(df.dropna(), 20, "k", ["income"], seed=4).collect()}
     base = {r["k"]: r["income"] for r in M.random_rows(df.dropna(), 20, "k", seed=4).collect()}
     assert set(noisy) == set(base) and all(abs(noisy[k] - base[k]) < 5 for k in base)
+
+
+def monthly(spark, months=7, n=1400):
+    """Rows by month with missing values, a rare category, and a label that numbers and categories decide together with noise."""
+    draw = np.random.default_rng(11)
+    rows = []
+    for i in range(n):
+        age, pay, team = float(draw.integers(18, 65)), draw.lognormal(3, 0.5), str(draw.choice(["a", "b", "c"], p=[0.6, 0.3, 0.1]))
+        odds = (age < 30) * 1.5 + (pay < 18) * 1.2 + (team == "c") * 1.5 - 1.6
+        left = "yes" if draw.random() < 1 / (1 + np.exp(-odds)) else "no"
+        rows.append((i, i % months, None if draw.random() < 0.1 else age, float(pay), None if draw.random() < 0.05 else team, None if draw.random() < 0.03 else left))
+    return spark.createDataFrame(rows, "id long, month int, age double, pay double, team string, left string")
+
+
+def test_store_fills_equal_those_of_each_training_part(spark):
+    df = monthly(spark)
+    store = M.TrainingStore(df, "month", "left", ["age", "pay", "team"])
+    groups = {1: [0, 1], 2: [3], 3: list(range(7))}
+    for rows_per_slice in (40, 10**6):
+        found = store.fills(groups, ["age", "pay"], ["team"], rows_per_slice)
+        for g, parts in groups.items():
+            rows = df.filter(F.col("month").isin(parts)).filter("left IS NOT NULL")
+            want = M.fills_of(rows, ["age", "pay"], ["team"])
+            assert found[g].modes == want.modes
+            for c in ("age", "pay"):
+                assert found[g].numbers[c] == pytest.approx(want.numbers[c])
+    weights = {r["label"]: r["weight"] for r in store.training([0, 1]).select("label", "weight").distinct().collect()}
+    want = {r["label"]: r["weight"] for r in M.class_weights(df.filter("month < 2"), "left").collect()}
+    assert weights == pytest.approx(want)
+    assert store.rows([2, 5]).count() == df.filter("month IN (2, 5)").count()
+
+
+def files_of(spark, prefix):
+    root = shared_folder(spark).removeprefix("file:")
+    return sorted((name, os.path.getsize(name)) for name in glob.glob(f"{root}/{prefix}-*/**/*.parquet", recursive=True))
+
+
+def test_what_is_written_does_not_grow_with_the_splits(spark):
+    df, fit = monthly(spark).coalesce(1), V.forest_fit("left", ["age", "pay"], ["team"], 3, 3)
+    sizes = []
+    for n in (1, 3, 6):
+        before = set(files_of(spark, "training") + files_of(spark, "vectors") + files_of(spark, "folds"))
+        V.walk_forward(df, "month", "left", fit, n).collect()
+        written = set(files_of(spark, "training") + files_of(spark, "vectors") + files_of(spark, "folds")) - before
+        sizes.append((len(written), sum(size for _, size in written)))
+    assert len(set(sizes)) == 1
+    before = set(files_of(spark, "training"))
+    V.compare_strategies(df, "month", "left", "id", fit, 3).collect()
+    # One table by period for both walks, one by fold.
+    assert len({os.path.dirname(os.path.dirname(name)) for name, _ in set(files_of(spark, "training")) - before}) == 2
+
+
+def test_splits_read_their_own_partitions(spark):
+    store = M.TrainingStore(monthly(spark), "month", "left", ["age"])
+    names = {name.split("_part=")[1].split("/")[0] for name in store.training([1, 2]).inputFiles()}
+    plan = store.training([1, 2])._jdf.queryExecution().executedPlan().toString()
+    assert "_part" in plan.split("PartitionFilters:")[1].split("]")[0] and {"1", "2"} <= names
+
+
+def test_walk_equals_fits_of_its_own_splits(spark):
+    """Metrics on scores that are neither 0 nor 1, recomputed with NumPy from fits on filtered tables."""
+    df = monthly(spark)
+    fit = V.forest_fit("left", ["age", "pay"], ["team"], 8, 4)
+    found = {r["test_period"]: r for r in V.walk_forward(df, "month", "left", fit, 3, "expanding").collect()}
+    for test, row in found.items():
+        model = fit(df.filter(F.col("month") < int(test)))
+        scored = M.score(model, df.filter((F.col("month") == int(test)) & F.col("left").isNotNull()), ["id", "left"]).collect()
+        y, p = np.array([r["left"] == "yes" for r in scored]), np.array([r["probability"] for r in scored])
+        assert 0.05 < p.min() and p.max() < 0.95 and len(set(p.round(9))) > 20
+        area = (np.sign(p[y][:, None] - p[~y][None, :]) + 1).mean() / 2
+        # The fits differ in the order of their rows only.
+        assert row["roc_auc"] == pytest.approx(area, abs=0.08) and 0.5 < row["roc_auc"] < 0.95
+        assert row["train_size"] == df.filter(F.col("month") < int(test)).count()

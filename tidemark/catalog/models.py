@@ -1,4 +1,9 @@
-"""Model queries and their SQL. Fits are bound to a label that one two-level feature decides, so any sound fit gives the same answer."""
+"""Model queries and their SQL.
+
+Fits are bound to real features and one more that decides the label. All features
+are tried at each node, so any sound fit finds that one and its scores follow in
+SQL, whatever the numbers and categories beside it hold.
+"""
 
 from __future__ import annotations
 
@@ -70,7 +75,10 @@ def stratified_folds(spark, d):
 
 def english_rows(spark, d):
     """Labelled documents with the label english and the feature that decides it."""
-    return document_rows(spark, d).select("doc_id", "n_chars", *english())
+    return document_rows(spark, d).select(*DOCUMENT_COLUMNS, *english())
+
+
+DOCUMENT_COLUMNS = ["doc_id", "n_chars", "source"]
 
 
 def english():
@@ -80,12 +88,12 @@ def english():
 
 def forest_scores(spark, d):
     """Fit on labelled documents and score all documents."""
-    model = M.fit_forest(english_rows(spark, d), "english", [], ["tongue"], trees=20, depth=6)
-    return typed(M.score(model, table(spark, d, "documents").select("doc_id", *english()), ["doc_id"]))
+    model = M.fit_forest(english_rows(spark, d), "english", ["n_chars"], ["source", "tongue"], trees=20, depth=6, tried="all")
+    return typed(M.score(model, table(spark, d, "documents").select(*DOCUMENT_COLUMNS, *english()), ["doc_id"]))
 
 
 def grid_search(spark, d):
-    found = M.grid_search(english_rows(spark, d), "english", "doc_id", [], ["tongue"], {"numTrees": [5], "maxDepth": [3, 6]})
+    found = M.grid_search(english_rows(spark, d), "english", "doc_id", ["n_chars"], ["source", "tongue"], {"numTrees": [5], "maxDepth": [3, 6], "featureSubsetStrategy": ["all"]})
     rows = [(p["maxDepth"], float(area)) for p, area in found.candidates]
     return spark.createDataFrame(rows, "max_depth bigint, mean_roc_auc double")
 
@@ -94,8 +102,8 @@ def training_run(spark, d):
     """Clean, normalize, split, search, evaluate, save the model, append the run and read it back."""
     path = new_path(spark, "runs")
     T.train_and_record(
-        english_rows(spark, d), "english", "doc_id", [], ["tongue"], dataset="documents",
-        runs_path=path, model_path=new_path(spark, "model"), grid={"numTrees": [5], "maxDepth": [5]}, folds=3,
+        english_rows(spark, d), "english", "doc_id", ["n_chars"], ["source", "tongue"], dataset="documents",
+        runs_path=path, model_path=new_path(spark, "model"), grid={"numTrees": [5], "maxDepth": [5], "featureSubsetStrategy": ["all"]}, folds=3,
     )
     run = runs.latest_run(runs.read_runs(spark, path))
     cell = lambda i, j, n: F.col("confusion_matrix")[i][j].cast("bigint").alias(n)
@@ -110,22 +118,22 @@ def banded_customers(spark, d):
 
 
 def random_split_evaluation(spark, d):
-    scored, _ = T.random_split_evaluation(banded_customers(spark, d), "label", "c_custkey", [], ["band"], 10, 5)
+    scored, _ = T.random_split_evaluation(banded_customers(spark, d), "label", "c_custkey", NUMERIC, [*CATEGORICAL, "band"], 10, 5, "all")
     return classification_metrics(scored, [], "label", "probability", "prediction")
 
 
 def batch_scoring(spark, d):
     """Score every customer, with one required feature absent and filled in."""
     rows = banded_customers(spark, d).withColumn("extra", F.lit(1))
-    model = M.fit_forest(rows, "label", ["extra"], ["band"], trees=10, depth=5)
-    return typed(M.score_aligned(model, rows.drop("extra"), "c_custkey", ["extra"], ["band"]))
+    model = M.fit_forest(rows, "label", [*NUMERIC, "extra"], [*CATEGORICAL, "band"], trees=10, depth=5, tried="all")
+    return typed(M.score_aligned(model, rows.drop("extra"), "c_custkey", [*NUMERIC, "extra"], [*CATEGORICAL, "band"]))
 
 
 def batch_inference(spark, d):
     """The scoring job on all customers."""
     rows = banded_customers(spark, d)
-    model = M.fit_forest(rows, "label", [], ["band"], trees=10, depth=5)
-    return typed(T.batch_inference(model, rows, "c_custkey", [], ["band"], new_path(spark, "predictions")))
+    model = M.fit_forest(rows, "label", NUMERIC, [*CATEGORICAL, "band"], trees=10, depth=5, tried="all")
+    return typed(T.batch_inference(model, rows, "c_custkey", NUMERIC, [*CATEGORICAL, "band"], new_path(spark, "predictions")))
 
 
 def full_report(spark, d):
@@ -133,7 +141,7 @@ def full_report(spark, d):
     panel = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low"))
     panel = panel.select("period", "o_totalprice", "o_orderstatus", "band", "urgent")
     ref, cur = panel.filter("period < 1998"), panel.filter("period >= 1998")
-    model = M.fit_forest(ref, "urgent", [], ["band"], trees=10, depth=6)
+    model = M.fit_forest(ref, "urgent", ["o_totalprice"], ["o_orderstatus", "band"], trees=10, depth=6, tried="all")
     found = R.full_report(ref, cur, new_path(spark, "report"), target="urgent", model=model, drop=["period"])
     feature = F.explode("covariate_shift").alias("f")
     return typed(found.select(
@@ -145,7 +153,7 @@ def full_report(spark, d):
 def model_concept_drift(spark, d):
     panel = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low"))
     ref, cur = panel.filter("period < 1998"), panel.filter("period >= 1998")
-    model = M.fit_forest(ref, "urgent", [], ["band"], trees=10, depth=6)
+    model = M.fit_forest(ref, "urgent", ["o_totalprice"], ["o_orderstatus", "band"], trees=10, depth=6, tried="all")
     return R.concept_drift_of_model(model, ref, cur, "urgent")
 
 
@@ -167,11 +175,12 @@ def perturbed_sample(spark, d):
 def panel_comparison(spark, d):
     """The order panel without and with its customers as entities, over all its periods."""
     rows = order_panel(spark, d).withColumn("band", F.when(F.col("urgent") == "Yes", "high").otherwise("low")).drop("o_orderpriority")
-    shape = dict(period="period", label="urgent", key="o_orderkey", numeric=[], categorical=["band"], measure="o_totalprice")
-    a = X.Panel("original", rows, entity=None, most_splits=6, **shape)
+    shape = dict(period="period", label="urgent", key="o_orderkey", numeric=["o_totalprice"], categorical=["o_orderstatus", "band"], measure="o_totalprice")
+    a = X.Panel("original", rows.filter("period < 2000"), entity=None, most_splits=6, **shape)
     b = X.Panel("continuous", rows, entity="o_custkey", most_splits=6, **shape)
-    facts, card = X.compare_panels(a, b, table(spark, d, "orders"), trees=5, depth=4)
-    return typed(card)
+    facts, card = X.compare_panels(a, b, table(spark, d, "orders"), trees=5, depth=4, tried="all")
+    shown = facts.select("panel", "random_auc", "temporal_auc", "covariate_alerts", "label_cv", "measure_deviation", "continuity", "leakage_gap", "leakage")
+    return rounded(typed(shown.join(F.broadcast(card))))
 
 
 QUERIES = {
@@ -207,6 +216,14 @@ def _fill(column: str) -> str:
 
 _RANKED = f"""r AS (SELECT c_custkey, label, row_number() OVER (PARTITION BY label ORDER BY {order_of("c_custkey", "42")}, c_custkey) AS k, count(*) OVER (PARTITION BY label) AS n FROM c)"""
 
+def _edge_alerts(chosen: str) -> str:
+    """How many features of the panel's last year differ from its first."""
+    rows = f"""
+ edge AS (SELECT min(period) AS lo, max(period) AS hi FROM rows_all WHERE {chosen}),
+ rows_ AS (SELECT CASE WHEN period = lo THEN 'r' ELSE 'c' END AS side, o_totalprice, o_orderstatus, CASE WHEN urgent THEN 'high' ELSE 'low' END AS band FROM rows_all, edge WHERE {chosen} AND period IN (lo, hi))"""
+    return f"{shift_sql(rows, ['o_totalprice'], ['o_orderstatus', 'band'])} SELECT count(*) FILTER (alert) FROM shift_"
+
+
 _SPLIT_ORDERS = """
  rows_ AS (SELECT CASE WHEN year(o_orderdate) < 1998 THEN 'r' ELSE 'c' END AS side, o_totalprice, o_orderstatus,
    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high' ELSE 'low' END AS band FROM orders)"""
@@ -230,7 +247,18 @@ SQL = {
         + ", " + ", ".join(f"0.0::DOUBLE AS decay_{m}" for m in ("roc_auc", "f1_score", "precision", "recall")) + ", 0.0::DOUBLE AS max_decay, 'LOW' AS severity, FALSE AS alert",
     "missing_label_split": f"""WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN CASE WHEN c_mktsegment = 'BUILDING' THEN 'Yes' ELSE 'No' END END AS label FROM customer), {_RANKED}
         SELECT c_custkey, label, k <= floor(n * 0.2::DOUBLE) AS is_test, CASE WHEN k <= floor(n / 3) THEN 0::BIGINT WHEN k <= floor(n * 2 / 3) THEN 1 ELSE 2 END AS fold FROM r""",
-    "panel_comparison": "SELECT 5::BIGINT AS score_first, 2::BIGINT AS score_second, 'original' AS winner",
+    "panel_comparison": f"""WITH rows_all AS (SELECT year(o_orderdate) AS period, o_totalprice, o_orderstatus, o_custkey, o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent FROM orders),
+        panels AS (SELECT 'original' AS panel, * FROM rows_all WHERE period < 2000 UNION ALL SELECT 'continuous', * FROM rows_all),
+        rates AS (SELECT panel, period, avg(urgent::INT) AS rate FROM panels GROUP BY 1, 2), cv AS (SELECT panel, stddev_samp(rate) / avg(rate) AS label_cv FROM rates GROUP BY 1),
+        dev AS (SELECT panel, abs(avg(o_totalprice) - (SELECT avg(o_totalprice) FROM orders)) / (SELECT avg(o_totalprice) FROM orders) AS measure_deviation FROM panels GROUP BY 1),
+        t AS (SELECT panel, count(DISTINCT o_custkey) AS u, count(*) AS n, count(DISTINCT period) AS p FROM panels GROUP BY 1),
+        ends AS (SELECT panel, min(period) AS lo, max(period) AS hi FROM panels GROUP BY 1),
+        alerts AS (SELECT 'original' AS panel, ({_edge_alerts("period < 2000")}) AS covariate_alerts UNION ALL SELECT 'continuous', ({_edge_alerts("true")})),
+        c AS (SELECT (SELECT label_cv FROM cv WHERE panel = 'continuous') < (SELECT label_cv FROM cv WHERE panel = 'original') AS steadier),
+        k AS (SELECT CASE WHEN steadier THEN 4 ELSE 5 END::BIGINT AS score_first, CASE WHEN steadier THEN 3 ELSE 2 END::BIGINT AS score_second FROM c)
+        SELECT panel, 1.0::DOUBLE AS random_auc, 1.0::DOUBLE AS temporal_auc, covariate_alerts, round(label_cv, 6) AS label_cv, round(measure_deviation, 6) AS measure_deviation,
+        CASE WHEN panel = 'continuous' THEN round(greatest(0, least(1, 1 - (u - n / p) / nullif(n - n / p, 0))), 6) END AS continuity, 0.0::DOUBLE AS leakage_gap, FALSE AS leakage,
+        score_first, score_second, CASE WHEN score_second > score_first THEN 'continuous' ELSE 'original' END AS winner FROM cv JOIN dev USING (panel) JOIN t USING (panel) JOIN alerts USING (panel), k""",
     "numeric_fill": f"""{_CUSTOMERS}, f AS ({" UNION ALL ".join(_fill(c) for c in NUMERIC)})
         SELECT feature, round(median, 4) AS median, round(mean, 4) AS mean, round(std_pop, 4) AS std_pop, n_missing FROM f""",
     "category_fill": f"""{_CUSTOMERS} SELECT 'nation' AS feature, nation AS mode, count(*) AS n FROM c WHERE nation IS NOT NULL GROUP BY nation ORDER BY n DESC, mode LIMIT 1""",

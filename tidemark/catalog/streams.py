@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from tidemark.catalog.bindings import rounded, table, typed
-from tidemark.catalog.models import banded_customers
+from tidemark.catalog.models import NUMERIC, banded_customers
 from tidemark.operators.drift import numeric_drift_by_period
 from tidemark.operators.model import fit_forest
 from tidemark.operators.profile import category_distribution
@@ -42,12 +42,12 @@ def finish(query):
 def stream_scoring(spark, d):
     """Customer records arrive as JSON text; good ones are scored and appended."""
     rows = banded_customers(spark, d)
-    model = fit_forest(rows, "label", [], ["band"], trees=10, depth=5)
+    model = fit_forest(rows, "label", NUMERIC, ["nation", "band"], trees=10, depth=5, tried="all")
     inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "scored", "checkpoint"))
     text = F.to_json(F.struct(*FIELDS))
     rows.select(F.when(F.col("c_custkey") % 50 == 0, "{broken").otherwise(text).alias("value")).write.text(inbox)
     records = spark.readStream.schema("value string").text(inbox)
-    scored, _ = S.scored_stream(records, "value", CUSTOMER_CONTRACT, model, "c_custkey", [], ["band"])
+    scored, _ = S.scored_stream(records, "value", CUSTOMER_CONTRACT, model, "c_custkey", NUMERIC, ["nation", "band"])
     finish(S.append_stream(scored, out, checkpoint, available_now=True))
     return typed(spark.read.schema(scored.schema).parquet(out))
 

@@ -29,7 +29,7 @@ def split_sizes(spark, d):
 def metric_summary(spark, d):
     scored = scored_lines(spark, d)
     found = classification_metrics(scored, ["period"], "label", "score", "prediction")
-    return rounded(T.metric_summary(found.filter("period > 1995")))
+    return rounded(T.metric_summary(found))
 
 
 def performance_by_period(spark, d):
@@ -54,7 +54,7 @@ def banded_panel(spark, d):
 
 
 def _fit():
-    return V.forest_fit("urgent", [], ["band"], 5, 4)
+    return V.forest_fit("urgent", ["o_totalprice"], ["o_orderstatus", "band"], 5, 4, "all")
 
 
 def walk_forward(spark, d):
@@ -125,7 +125,7 @@ SQL = {
         FROM plan JOIN orders o ON year(o.o_orderdate) = plan.period GROUP BY split, role""",
     "metric_summary": f"""WITH {SCORED_SQL}, {metrics_sql("scored", "period")} SELECT count(*) AS n_splits, round(avg(auc), 6) AS mean_roc_auc, round(avg(f1), 6) AS mean_f1_score,
         round(avg(prec), 6) AS mean_precision, round(avg(rec), 6) AS mean_recall, round(stddev_pop(auc), 6) AS std_roc_auc, round(stddev_pop(f1), 6) AS std_f1_score,
-        round(stddev_pop(prec), 6) AS std_precision, round(stddev_pop(rec), 6) AS std_recall FROM metrics_ WHERE period > 1995""",
+        round(stddev_pop(prec), 6) AS std_precision, round(stddev_pop(rec), 6) AS std_recall FROM metrics_""",
     "performance_by_period": f"""WITH {SCORED_SQL}, {metrics_sql("scored", "period")} SELECT period, row_number() OVER (ORDER BY period) - 1 AS period_index, n AS n_samples,
         round(auc, 5) AS roc_auc, round(f1, 5) AS f1_score, round(prec, 5) AS "precision", round(rec, 5) AS recall,
         round((first_value(auc) OVER (ORDER BY period) - auc) / first_value(auc) OVER (ORDER BY period) * 100, 5) AS auc_decay_pct FROM metrics_""",

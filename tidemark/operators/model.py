@@ -22,7 +22,7 @@ from tidemark.operators.order_stats import (
 )
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.shape import align_features
-from tidemark.sources.tables import materialized
+from tidemark.sources.tables import materialized, new_path
 
 # The classifier's settings and the parameter grids.
 TREES = 100
@@ -108,23 +108,32 @@ def with_folds(df: DataFrame, label: str, key: str, folds: int = FOLDS, seed: st
     return placed.withColumn("fold", passed).select(*df.columns, "fold")
 
 
-def feature_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
+@dataclass(frozen=True)
+class Fills:
+    """What features need to know of the training rows: (median, mean, deviation) per number, the mode per category."""
+
+    numbers: dict[str, tuple[float | None, float | None, float | None]]
+    modes: dict[str, str]
+
+
+def fills_of(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Fills:
+    numbers = {r["feature"]: (r["median"], r["mean"], r["std_pop"]) for r in numeric_fill(train, numeric).collect()} if numeric else {}
+    modes = {r["feature"]: r["mode"] for r in category_fill(train, categorical).collect()} if categorical else {}
+    return Fills(numbers, modes)
+
+
+def feature_stages(fills: Fills, numeric: Sequence[str], categorical: Sequence[str]) -> list:
     """Median fill + standardization of numbers, mode fill + one-hot of categories.
 
-    Fills and scales are constants found by two aggregations over the training
-    rows. A category unseen in training becomes the all-zero vector.
+    Fills and scales are constants. A category unseen in training becomes the all-zero vector.
     """
     columns, parts = [], []
-    if numeric:
-        found = {r["feature"]: r for r in numeric_fill(train, numeric).collect()}
-        for c in numeric:
-            r = found.get(c)
-            fill, mean, std = (r["median"], r["mean"], r["std_pop"]) if r else (0.0, 0.0, 1.0)
-            columns.append(f"(coalesce(nanvl(cast({name(c)} AS double), NULL), {number(fill)}) - {number(mean)}) / {number(std or 1.0)} AS {name(c + '_scaled')}")
-        parts += [f"{c}_scaled" for c in numeric]
+    for c in numeric:
+        fill, mean, std = fills.numbers.get(c, (0.0, 0.0, 1.0))
+        columns.append(f"(coalesce(nanvl(cast({name(c)} AS double), NULL), {number(fill)}) - {number(mean)}) / {number(std or 1.0)} AS {name(c + '_scaled')}")
+        parts.append(f"{c}_scaled")
     if categorical:
-        modes = {r["feature"]: r["mode"] for r in category_fill(train, categorical).collect()}
-        columns += [f"coalesce(cast({name(c)} AS string), {text(modes.get(c, 'Unknown'))}) AS {name(c + '_text')}" for c in categorical]
+        columns += [f"coalesce(cast({name(c)} AS string), {text(fills.modes.get(c, 'Unknown'))}) AS {name(c + '_text')}" for c in categorical]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")]
     if categorical:
         stages += [
@@ -135,10 +144,11 @@ def feature_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequen
     return stages + [VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep")]
 
 
-def forest(trees: int = TREES, depth: int = UNLIMITED_DEPTH, min_rows: int = 1, seed: int = SEED) -> RandomForestClassifier:
+def forest(trees: int = TREES, depth: int = UNLIMITED_DEPTH, min_rows: int = 1, seed: int = SEED, tried: str = "auto") -> RandomForestClassifier:
+    """tried: the features tried at each node, "auto" for the square root of their number, "all" for every one."""
     return RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth,
-        minInstancesPerNode=min_rows, seed=seed,
+        minInstancesPerNode=min_rows, seed=seed, featureSubsetStrategy=tried,
     )
 
 
@@ -154,10 +164,81 @@ def training_rows(df: DataFrame, label: str, keep: Sequence[str]) -> DataFrame:
 
 def fit_forest(
     train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str],
-    trees: int = TREES, depth: int = 10, seed: int = SEED,
+    trees: int = TREES, depth: int = 10, seed: int = SEED, tried: str = "auto",
 ) -> PipelineModel:
     rows = training_rows(train, label, [*numeric, *categorical])
-    return Pipeline(stages=[*feature_stages(rows, numeric, categorical), forest(trees, depth, seed=seed)]).fit(rows)
+    stages = feature_stages(fills_of(rows, numeric, categorical), numeric, categorical)
+    return Pipeline(stages=[*stages, forest(trees, depth, seed=seed, tried=tried)]).fit(rows)
+
+
+class TrainingStore:
+    """Rows that many fits share, written once in one folder per part (a period or a fold).
+
+    A split is a set of parts: its rows are a partition-pruned read of the same
+    files, its class weights follow from counts per part, and the fills and scales
+    of all splits come from counts per part and value in one job each. Nothing is
+    written per split, so many splits cost no more disk than one.
+    """
+
+    def __init__(self, df: DataFrame, part: str, label: str, columns: Sequence[str] | None = None):
+        self.label, path = label, new_path(df.sparkSession, "training")
+        kept = df.select(*dict.fromkeys([part, label, *(df.columns if columns is None else columns)]), F.col(part).cast("string").alias("_part"))
+        kept.write.partitionBy("_part").parquet(path)
+        self.stored = df.sparkSession.read.schema(kept.schema).parquet(path)
+        counts = self.labelled().groupBy("_part", "label").agg(F.count("*").alias("n")).collect()
+        self.classes = {(r["_part"], r["label"]): r["n"] for r in counts}
+
+    def rows(self, parts: Sequence) -> DataFrame:
+        return self.stored.filter(F.col("_part").isin(*[str(p) for p in parts])).drop("_part")
+
+    def labelled(self) -> DataFrame:
+        return self.stored.withColumn("label", label_flag(F.col(self.label)).cast("double")).filter("label IS NOT NULL")
+
+    def training(self, parts: Sequence) -> DataFrame:
+        """Labelled rows of the parts with columns label and weight, balanced over these parts."""
+        wanted = {str(p) for p in parts}
+        sizes: dict[float, int] = {}
+        for (part, flag), n in self.classes.items():
+            if part in wanted:
+                sizes[flag] = sizes.get(flag, 0) + n
+        weight: Column = F.lit(1.0)
+        for flag, n in sizes.items():
+            weight = F.when(F.col("label") == flag, sum(sizes.values()) / (len(sizes) * n)).otherwise(weight)
+        return self.labelled().filter(F.col("_part").isin(*wanted)).withColumn("weight", weight)
+
+    def fills(self, groups: dict[int, Sequence], numeric: Sequence[str], categorical: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> dict[int, Fills]:
+        """The fills of several sets of parts, from counts that are made once."""
+        spark, rows, part = self.stored.sparkSession, self.labelled(), F.col("_part").alias("part")
+        pairs = [(g, str(p)) for g, parts in groups.items() for p in parts]
+        # One row per set and part.
+        plan = F.broadcast(spark.createDataFrame(pairs, "group int, part string"))
+        sizes = {g: sum(n for (p, _), n in self.classes.items() if p in {str(x) for x in parts}) for g, parts in groups.items()}
+        numbers: dict[int, dict] = {g: {} for g in groups}
+        modes: dict[int, dict] = {g: {} for g in groups}
+        if numeric:
+            counted = materialized(long_numeric(rows, numeric, part).groupBy("part", "feature", "value").agg(F.count("*").alias("n")), "value-counts")
+            totals = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+            cells = counted.join(plan, "part").groupBy("group", "feature", "value").agg(F.sum("n").alias("n"))
+            cells = with_feature_slice(cells, "value", cuts_by_feature(counted, totals, rows_per_slice))
+            medians = quantiles_of_cells(running_totals(cells, ["group", "feature"], "value", ["n"]), ["group", "feature"], {"median": 0.5})
+            held = cells.groupBy("group", "feature").agg(F.sum("n").alias("held"), F.sum(F.col("n") * F.col("value")).alias("total")).join(medians, ["group", "feature"])
+            size = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, n)])[F.col("group")]
+            held = materialized(held.withColumn("rows", size).withColumn("mean", (F.col("total") + F.col("median") * (F.col("rows") - F.col("held"))) / F.col("rows")), "moments")
+            away = lambda x: (x - F.col("mean")) * (x - F.col("mean"))
+            # One row per set and column.
+            spread = cells.join(F.broadcast(held), ["group", "feature"]).groupBy("group", "feature").agg(F.sum(F.col("n") * away(F.col("value"))).alias("spread"))
+            found = held.join(spread, ["group", "feature"]).withColumn("std", F.sqrt((F.col("spread") + (F.col("rows") - F.col("held")) * away(F.col("median"))) / F.col("rows")))
+            for r in found.collect():
+                numbers[r["group"]][r["feature"]] = (r["median"], r["mean"], r["std"])
+            for g, c in product(groups, numeric):
+                numbers[g].setdefault(c, (None, None, None))
+        if categorical:
+            counted = long_categorical(rows, categorical, part).groupBy("part", "feature", "category").agg(F.count("*").alias("n"))
+            cells = counted.join(plan, "part").groupBy("group", "feature", "category").agg(F.sum("n").alias("n"))
+            best = F.min_by("category", F.struct((-F.col("n")).alias("a"), F.col("category").alias("b")))
+            for r in cells.groupBy("group", "feature").agg(best.alias("mode")).collect():
+                modes[r["group"]][r["feature"]] = r["mode"]
+        return {g: Fills(numbers[g], modes[g]) for g in groups}
 
 
 @dataclass
@@ -175,41 +256,33 @@ def grid_search(
 ) -> GridResult:
     """Stratified k-fold search on exact ROC-AUC, then a fit of the best on all rows.
 
-    Fills, scales and category codes are fitted on each fold's training part
-    once; all candidates of a fold then share its written vectors. All held-out
-    scores are measured in one job.
+    The rows are written once by fold; fills, scales and category codes are those
+    of each fold's training part. All held-out scores are measured in one job.
     """
-    keep = [key, *numeric, *categorical]
-    rows = materialized(with_folds(training_rows(train, label, keep), "label", key, folds), "folds")
+    placed = with_folds(df=train.filter(label_flag(F.col(label)).isNotNull()), label=label, key=key, folds=folds)
+    store = TrainingStore(placed, "fold", label, [key, *numeric, *categorical])
     names = list(grid or GRID)
     candidates = [dict(zip(names, values)) for values in product(*(grid or GRID).values())]
+    groups = {k: [i for i in range(folds) if i != k] for k in range(folds)} | {folds: list(range(folds))}
+    fills = store.fills(groups, numeric, categorical)
 
-    def vectors(k: int) -> tuple[DataFrame, DataFrame]:
-        part = rows.filter(F.col("fold") != k)
-        features = Pipeline(stages=feature_stages(part, numeric, categorical)).fit(part)
-        fitted, held = (
-            materialized(features.transform(r).select("label", "weight", "features"), "vectors")
-            for r in (part, rows.filter(F.col("fold") == k))
-        )
-        return fitted, held
+    def fitted(k: int, params: dict[str, object]) -> PipelineModel:
+        stages = [*feature_stages(fills[k], numeric, categorical), forest().setParams(**params)]
+        return Pipeline(stages=stages).fit(store.training(groups[k]))
 
     def scored_candidate(k: int, i: int) -> DataFrame:
-        fitted, held = prepared[k]
-        model = forest().setParams(**candidates[i]).fit(fitted)
-        return score(model, held, ["label"]).withColumns({"fold": F.lit(k), "candidate": F.lit(i)})
+        return score(fitted(k, candidates[i]), store.rows([k]), [label]).withColumns({"fold": F.lit(k), "candidate": F.lit(i)})
 
-    prepared = run_all([partial(vectors, k) for k in range(folds)])
     scored = run_all([partial(scored_candidate, k, i) for k in range(folds) for i in range(len(candidates))])
     found = classification_metrics(
-        reduce(DataFrame.unionByName, scored), ["fold", "candidate"], "label", "probability", "prediction"
+        reduce(DataFrame.unionByName, scored), ["fold", "candidate"], label, "probability", "prediction"
     )
     areas: list[list[float]] = [[] for _ in candidates]
     for r in found.select("candidate", "roc_auc").collect():
         areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)
     means = [sum(a) / len(a) if a else 0.0 for a in areas]
     best = candidates[max(range(len(candidates)), key=means.__getitem__)]
-    stages = [*feature_stages(rows, numeric, categorical), forest().setParams(**best)]
-    return GridResult(Pipeline(stages=stages).fit(rows), best, list(zip(candidates, means)))
+    return GridResult(fitted(folds, best), best, list(zip(candidates, means)))
 
 
 def score(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -41,18 +41,19 @@ class Panel:
     most_splits: int = 4
 
 
-def panel_facts(panel: Panel, baseline: DataFrame, trees: int = 100, depth: int = 10) -> DataFrame:
+def panel_facts(panel: Panel, baseline: DataFrame, trees: int = 100, depth: int = 10, tried: str = "auto") -> DataFrame:
     """One row with everything the scorecard needs."""
     used = [panel.key, panel.label, panel.period, *panel.numeric, *panel.categorical]
     rows = panel.rows
-    held_out, _ = random_split_evaluation(rows, panel.label, panel.key, panel.numeric, panel.categorical, trees, depth)
+    held_out, _ = random_split_evaluation(rows, panel.label, panel.key, panel.numeric, panel.categorical, trees, depth, tried)
     random = classification_metrics(held_out, [], panel.label, "probability", "prediction")
     splits = min(panel.most_splits, len(period_values(rows, panel.period)) - 1)
-    fit = forest_fit(panel.label, panel.numeric, panel.categorical, trees, depth)
+    fit = forest_fit(panel.label, panel.numeric, panel.categorical, trees, depth, tried)
     walked = metric_summary(walk_forward(rows.select(*used), panel.period, panel.label, fit, splits))
     drift = first_last_drift(rows.select(panel.period, *panel.numeric, *panel.categorical), panel.period)
     stability = label_stability(rows, F.col(panel.period), panel.label)
-    deviation = baseline_deviation(rows, baseline, panel.measure)
+    # Written first: the optimizer cannot merge this one's inner scalar with the others below.
+    deviation = materialized(baseline_deviation(rows, baseline, panel.measure), "deviation")
     facts = {
         "random_auc": random.select("roc_auc").scalar(), "random_f1": random.select("f1_score").scalar(),
         "temporal_auc": walked.select("mean_roc_auc").scalar(), "temporal_f1": walked.select("mean_f1_score").scalar(),
@@ -88,8 +89,8 @@ def scorecard(facts: DataFrame, first: str, second: str) -> DataFrame:
     )
 
 
-def compare_panels(a: Panel, b: Panel, baseline: DataFrame, trees: int = 100, depth: int = 10) -> tuple[DataFrame, DataFrame]:
+def compare_panels(a: Panel, b: Panel, baseline: DataFrame, trees: int = 100, depth: int = 10, tried: str = "auto") -> tuple[DataFrame, DataFrame]:
     """(facts per panel, scorecard)."""
-    facts = run_all([partial(panel_facts, p, baseline, trees, depth) for p in (a, b)])
+    facts = run_all([partial(panel_facts, p, baseline, trees, depth, tried) for p in (a, b)])
     facts = materialized(facts[0].unionByName(facts[1]), "facts")
     return facts, scorecard(facts, a.name, b.name)

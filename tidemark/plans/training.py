@@ -48,11 +48,11 @@ def run_record(scored: DataFrame, label: str, dataset: str, params: dict[str, ob
 
 def random_split_evaluation(
     df: DataFrame, label: str, key: str, numeric: Sequence[str], categorical: Sequence[str],
-    trees: int = 100, depth: int = 10,
+    trees: int = 100, depth: int = 10, tried: str = "auto",
 ) -> tuple[DataFrame, PipelineModel]:
     """(scored held-out rows, model): stratified 80/20 split, one forest."""
     train, test = stratified_split(df, label, key)
-    model = fit_forest(train, label, numeric, categorical, trees, depth)
+    model = fit_forest(train, label, numeric, categorical, trees, depth, tried=tried)
     return materialized(score(model, test, [key, label]), "held-out"), model
 
 

@@ -3,41 +3,80 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.ml import Model
+from pyspark.ml import Model, Pipeline
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.concurrent import run_all
 from tidemark.functions.scalars import label_flag
 from tidemark.operators.drift import period_values
 from tidemark.operators.metrics import classification_metrics
-from tidemark.operators.model import fit_forest, score, with_folds
+from tidemark.operators.model import TrainingStore, feature_stages, fit_forest, forest, score, with_folds
 from tidemark.operators.temporal import LEAKAGE_GAP, metric_summary, performance_by_period, split_plan
 from tidemark.sources.tables import materialized
 
 Fit = Callable[[DataFrame], Model]
 
 
-def forest_fit(label: str, numeric: Sequence[str], categorical: Sequence[str], trees: int = 100, depth: int = 10) -> Fit:
-    """A fitting function for the validators: any callable from rows to a model will do."""
-    return lambda train: fit_forest(train, label, numeric, categorical, trees, depth)
+@dataclass(frozen=True)
+class ForestFit:
+    """A fitting function for the validators, which take any callable from rows to a model.
+
+    Over several splits of one store it shares what the splits have in common.
+    """
+
+    label: str
+    numeric: Sequence[str]
+    categorical: Sequence[str]
+    trees: int = 100
+    depth: int = 10
+    tried: str = "auto"
+
+    def __call__(self, train: DataFrame) -> Model:
+        return fit_forest(train, self.label, self.numeric, self.categorical, self.trees, self.depth, tried=self.tried)
+
+    def over(self, store: TrainingStore, groups: dict[int, Sequence]) -> Callable[[int], Model]:
+        """The model of each group of parts; fills of all groups are found together."""
+        fills = store.fills(groups, self.numeric, self.categorical)
+
+        def fitted(group: int) -> Model:
+            stages = feature_stages(fills[group], self.numeric, self.categorical)
+            return Pipeline(stages=[*stages, forest(self.trees, self.depth, tried=self.tried)]).fit(store.training(groups[group]))
+
+        return fitted
+
+
+def forest_fit(label: str, numeric: Sequence[str], categorical: Sequence[str], trees: int = 100, depth: int = 10, tried: str = "auto") -> ForestFit:
+    return ForestFit(label, numeric, categorical, trees, depth, tried)
+
+
+def _store(df: DataFrame, part: str, label: str, fit: Fit) -> TrainingStore:
+    return TrainingStore(df, part, label, [*fit.numeric, *fit.categorical] if isinstance(fit, ForestFit) else None)
+
+
+def _models(store: TrainingStore, groups: dict[int, Sequence], fit: Fit) -> Callable[[int], Model]:
+    return fit.over(store, groups) if isinstance(fit, ForestFit) else lambda group: fit(store.rows(groups[group]))
 
 
-def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int = 5, strategy: str = "expanding") -> DataFrame:
+def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int = 5, strategy: str = "expanding", store: TrainingStore | None = None) -> DataFrame:
     """One row per split: train periods and sizes, the test period, and the four metrics.
 
-    The few splits are independent, so their fits are submitted side by side.
-    Scored test rows are written once and measured together in one job.
+    The rows are written once by period, or given as a store; splits are pruned
+    reads of the same files. The few splits are independent, so their fits are
+    submitted side by side. Scored test rows are written once and measured together
+    in one job.
     """
+    store = store or _store(df, period, label, fit)
     plan: dict[int, dict[str, list]] = {}
-    for r in split_plan(df, F.col(period), n_splits, strategy).collect():
+    for r in split_plan(store.stored, F.col(period), n_splits, strategy).collect():
         plan.setdefault(r["split"], {"train": [], "test": []})[r["role"]].append(r["period"])
-    sizes = {r[0]: r[1] for r in df.groupBy(period).count().collect()}
+    sizes = {r[0]: r[1] for r in store.stored.groupBy(period).count().collect()}
+    model = _models(store, {split: roles["train"] for split, roles in plan.items()}, fit)
 
     def scored_split(split: int, train: list, test: list) -> DataFrame:
-        model = fit(df.filter(F.col(period).isin(*train)))
-        tested = score(model, df.filter(F.col(period).isin(*test)), [period, label])
+        tested = score(model(split), store.rows(test), [period, label])
         return tested.withColumns({
             "split": F.lit(split), "train_periods": F.lit(len(train)), "train_period_list": F.lit(",".join(map(str, sorted(train)))),
             "train_size": F.lit(sum(sizes[p] for p in train)).cast("bigint"),
@@ -57,11 +96,11 @@ def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int
 def fold_metrics(df: DataFrame, label: str, key: str, fit: Fit, folds: int) -> DataFrame:
     """The random-split baseline: stratified folds, metrics per fold."""
     usable = df.filter(label_flag(F.col(label)).isNotNull())
-    placed = materialized(with_folds(usable, label, key, folds), "folds")
+    store = _store(with_folds(usable, label, key, folds), "fold", label, fit)
+    model = _models(store, {k: [i for i in range(folds) if i != k] for k in range(folds)}, fit)
 
     def scored_fold(k: int) -> DataFrame:
-        model = fit(placed.filter(F.col("fold") != k))
-        return score(model, placed.filter(F.col("fold") == k), ["fold", label])
+        return score(model(k), store.rows([k]), ["fold", label])
 
     scored = reduce(DataFrame.unionByName, run_all([partial(scored_fold, k) for k in range(folds)]))
     return classification_metrics(materialized(scored, "fold-scores"), ["fold"], label, "probability", "prediction")
@@ -69,8 +108,9 @@ def fold_metrics(df: DataFrame, label: str, key: str, fit: Fit, folds: int) -> D
 
 def compare_strategies(df: DataFrame, period: str, label: str, key: str, fit: Fit, n_splits: int = 5) -> DataFrame:
     """Summary per strategy (expanding, rolling, random) and the leakage flag."""
+    store = _store(df, period, label, fit)
     parts = [
-        metric_summary(walk_forward(df, period, label, fit, n_splits, s)).withColumn("strategy", F.lit(s))
+        metric_summary(walk_forward(df, period, label, fit, n_splits, s, store)).withColumn("strategy", F.lit(s))
         for s in ("expanding", "rolling")
     ]
     random = metric_summary(fold_metrics(df, label, key, fit, n_splits)).withColumn("strategy", F.lit("random"))
