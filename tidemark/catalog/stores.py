@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F, types as T
 
 from tidemark.catalog.bindings import rounded, scored_lines, table, typed
 from tidemark.catalog.drift import SCORED_SQL, metrics_sql
+from tidemark.functions.concurrent import run_all
 from tidemark.operators import metrics as M
+from tidemark.sources import commits as L
 from tidemark.sources import contract as C
 from tidemark.sources import inference as I
 from tidemark.sources import runs as R
@@ -148,7 +152,20 @@ def dataset_versions(spark, d):
     return typed(stored.groupBy("version").agg(F.count("*").alias("n_rows")))
 
 
+def committed_versions(spark, d):
+    """Three writers at once, one that never commits, and all versions read back through the log."""
+    path = new_path(spark, "commits")
+    orders = table(spark, d, "orders")
+    years = [(F.year("o_orderdate") < 1997, "early"), (F.year("o_orderdate").between(1997, 1998), "middle"), (F.year("o_orderdate") > 1998, "late")]
+    orders.write.parquet(f"{path}/data/claim=abandoned")
+    run_all([partial(L.CommitLog(spark, path).write, orders.filter(chosen), note) for chosen, note in years])
+    log = L.CommitLog(spark, path)
+    counts = log.read_all().groupBy("version").agg(F.count("*").alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return counts.join(log.manifests(), "version").select("note", "n_rows", "total", F.col("version").between(1, 3).alias("numbered"))
+
+
 QUERIES = {
+    "committed_versions": committed_versions,
     "csv_scan": csv_scan,
     "csv_inferred": csv_inferred,
     "csv_rejected": csv_rejected,
@@ -167,6 +184,8 @@ _METRICS = f"WITH {SCORED_SQL}, {metrics_sql('scored', 'period')}"
 _FOUR = 'round(auc, 6) AS roc_auc, round(f1, 6) AS f1_score, round(prec, 6) AS "precision", round(rec, 6) AS recall'
 
 SQL = {
+    "committed_versions": """SELECT CASE WHEN year(o_orderdate) < 1997 THEN 'early' WHEN year(o_orderdate) <= 1998 THEN 'middle' ELSE 'late' END AS note,
+        count(*) AS n_rows, round(sum(o_totalprice), 2) AS total, true AS numbered FROM orders GROUP BY 1""",
     "csv_scan": "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktsegment FROM customer",
     "csv_inferred": """SELECT o_orderkey AS orderkey, o_custkey AS custkey, CASE WHEN o_orderkey % 53 <> 0 THEN round(o_totalprice, 4) END AS total, strftime(o_orderdate, '%Y-%m-%d') AS day,
         o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent, o_orderstatus AS status FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0 AND o_orderkey % 101 <> 0""",
