@@ -9,13 +9,14 @@ from itertools import product
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.concurrent import run_all
 from tidemark.functions.scalars import as_double, hash_hex, hash_uniform, label_flag
 from tidemark.functions.sqltext import name, number, text
+from tidemark.operators.categories import CategoryCodes, category_codes
 from tidemark.operators.drift import long_categorical, long_numeric
 from tidemark.operators.order_stats import (
     ROWS_PER_SLICE, cuts_by_feature, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
@@ -122,8 +123,8 @@ def fills_of(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     return Fills(numbers, modes)
 
 
-def feature_stages(fills: Fills, numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Median fill + standardization of numbers, mode fill + one-hot of categories.
+def feature_stages(fills: Fills, numeric: Sequence[str], categorical: Sequence[str], codes: CategoryCodes | None = None) -> list:
+    """Median fill + standardization of numbers, mode fill + one-hot of categories by their codes.
 
     Fills and scales are constants. A category unseen in training becomes the all-zero vector.
     """
@@ -137,8 +138,8 @@ def feature_stages(fills: Fills, numeric: Sequence[str], categorical: Sequence[s
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")]
     if categorical:
         stages += [
-            StringIndexer(inputCols=[f"{c}_text" for c in categorical], outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_vector" for c in categorical], dropLast=True),
+            codes,
+            OneHotEncoder(inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_vector" for c in categorical], handleInvalid="keep", dropLast=True),
         ]
         parts += [f"{c}_vector" for c in categorical]
     return stages + [VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep")]
@@ -167,7 +168,8 @@ def fit_forest(
     trees: int = TREES, depth: int = 10, seed: int = SEED, tried: str = "auto",
 ) -> PipelineModel:
     rows = training_rows(train, label, [*numeric, *categorical])
-    stages = feature_stages(fills_of(rows, numeric, categorical), numeric, categorical)
+    codes = category_codes(rows, categorical) if categorical else None
+    stages = feature_stages(fills_of(rows, numeric, categorical), numeric, categorical, codes)
     return Pipeline(stages=[*stages, forest(trees, depth, seed=seed, tried=tried)]).fit(rows)
 
 
@@ -176,8 +178,10 @@ class TrainingStore:
 
     A split is a set of parts: its rows are a partition-pruned read of the same
     files, its class weights follow from counts per part, and the fills and scales
-    of all splits come from counts per part and value in one job each. Nothing is
-    written per split, so many splits cost no more disk than one.
+    of all splits come from counts per part and value in one job each. The places
+    of categories are those of all parts: one that a training part lacks is a
+    column of zeros there, which no fit can use. Nothing is written per split, so
+    many splits cost no more disk than one.
     """
 
     def __init__(self, df: DataFrame, part: str, label: str, columns: Sequence[str] | None = None):
@@ -206,6 +210,9 @@ class TrainingStore:
             weight = F.when(F.col("label") == flag, sum(sizes.values()) / (len(sizes) * n)).otherwise(weight)
         return self.labelled().filter(F.col("_part").isin(*wanted)).withColumn("weight", weight)
 
+    def codes(self, categorical: Sequence[str]) -> CategoryCodes | None:
+        return category_codes(self.labelled(), categorical) if categorical else None
+
     def fills(self, groups: dict[int, Sequence], numeric: Sequence[str], categorical: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> dict[int, Fills]:
         """The fills of several sets of parts, from counts that are made once."""
         spark, rows, part = self.stored.sparkSession, self.labelled(), F.col("_part").alias("part")
@@ -264,10 +271,10 @@ def grid_search(
     names = list(grid or GRID)
     candidates = [dict(zip(names, values)) for values in product(*(grid or GRID).values())]
     groups = {k: [i for i in range(folds) if i != k] for k in range(folds)} | {folds: list(range(folds))}
-    fills = store.fills(groups, numeric, categorical)
+    fills, codes = store.fills(groups, numeric, categorical), store.codes(categorical)
 
     def fitted(k: int, params: dict[str, object]) -> PipelineModel:
-        stages = [*feature_stages(fills[k], numeric, categorical), forest().setParams(**params)]
+        stages = [*feature_stages(fills[k], numeric, categorical, codes), forest().setParams(**params)]
         return Pipeline(stages=stages).fit(store.training(groups[k]))
 
     def scored_candidate(k: int, i: int) -> DataFrame:

@@ -39,10 +39,10 @@ class ForestFit:
 
     def over(self, store: TrainingStore, groups: dict[int, Sequence]) -> Callable[[int], Model]:
         """The model of each group of parts; fills of all groups are found together."""
-        fills = store.fills(groups, self.numeric, self.categorical)
+        fills, codes = store.fills(groups, self.numeric, self.categorical), store.codes(self.categorical)
 
         def fitted(group: int) -> Model:
-            stages = feature_stages(fills[group], self.numeric, self.categorical)
+            stages = feature_stages(fills[group], self.numeric, self.categorical, codes)
             return Pipeline(stages=[*stages, forest(self.trees, self.depth, tried=self.tried)]).fit(store.training(groups[group]))
 
         return fitted
