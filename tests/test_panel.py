@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import panel as P, profile as Q, temporal as T, whatif as W
+from tidemark.operators import panel as P, profile as Q, temporal as T, whatif as W, set_sketches as Z
 from tidemark.operators.shape import ORDINAL_LABELS, align_features, code_label
 
 
@@ -129,6 +129,44 @@ def test_density_integrates_to_one(spark):
         assert len(part) == 200 and np.trapezoid(part["density"], part["x"]) == pytest.approx(1, abs=0.01)
 
 
+@pytest.mark.parametrize("shape", ["normal", "outlier", "ties"])
+def test_density_equals_the_plain_sum(spark, shape):
+    rng = np.random.default_rng(6)
+    x = {"normal": rng.normal(50, 9, 900), "outlier": np.append(rng.normal(0, 1, 500), [400.0, -90.0]), "ties": rng.integers(0, 4, 700).astype(float)}[shape]
+    got = Q.density_curve(spark.createDataFrame(pd.DataFrame({"x": x})), spark.createDataFrame([(1.0,), (None,)], "x double"), "x").toPandas()
+    got = got.sort_values("point")
+    width = len(x) ** -0.2 * x.std(ddof=1)
+    grid = np.linspace(x.min() - 3 * width, x.max() + 3 * width, 200)
+    plain = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / width) ** 2).sum(1) / (width * np.sqrt(2 * np.pi) * len(x))
+    assert set(got["side"]) == {"old"} and np.allclose(got["x"], grid, rtol=1e-12, atol=1e-9)
+    assert np.abs(got["density"] - plain).max() < 1e-9 * plain.max() and (got["density"] >= 0).all()
+
+
+def test_sketched_movement_within_its_bound(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(p), int(e)) for p in range(4) for e in rng.choice(20_000, 8_000 + 1_500 * p, replace=False)] + [(9, 1), (9, None), (None, 3)]
+    df = spark.createDataFrame(rows, "p int, e long").repartition(6)
+    held = {p: {e for q, e in rows if q == p and e is not None} for p in (0, 1, 2, 3, 9)}
+    exact = lambda a, b: (len(held[a] & held[b]), len(held[b] - held[a]), len(held[a] - held[b]), len(held[b]), len(held[a] | held[b]))
+    for digits, most in ((9, 0.15), (12, 0.05), (15, 1e-9)):
+        found = Z.sketched_movement(Z.period_sketches(df, "e", F.col("p"), digits), digits=digits).collect()
+        assert {(r["earlier"], r["later"]) for r in found} == {(a, b) for a in held for b in held if a < b}
+        for r in found:
+            a, b = r["earlier"], r["later"]
+            for name, n in zip(("retained", "joined", "departed", "head_count", "together"), exact(a, b)):
+                assert abs(r[name] - n) <= r["bound"] + 1e-9 and abs(r[name] - n) <= most * len(held[a] | held[b]) + 1e-9
+
+
+def test_sketches_merge_and_pairs_may_be_named(spark):
+    df = spark.createDataFrame([(p, e) for p in range(6) for e in range(p * 10, p * 10 + 40)], "p int, e long")
+    months = Z.period_sketches(df, "e", F.col("p"))
+    pairs = spark.createDataFrame([(5, 0), (1, 1)], "earlier int, later int")
+    found = {(r["earlier"], r["later"]): (r["retained"], r["joined"], r["departed"]) for r in Z.sketched_movement(months, pairs).collect()}
+    assert found == {(5, 0): (0, 40, 40), (1, 1): (40, 0, 0)}
+    halves = Z.merged_sketches(months, F.floor(F.col("period") / 3))
+    assert {r["period"]: r["n"] for r in halves.selectExpr("period", "theta_sketch_estimate(sketch) AS n").collect()} == {0: 60, 1: 60}
+
+
 def test_alignment_and_codes(spark):
     df = spark.createDataFrame([(1, "x")], "a long, c string")
     got = align_features(df, ["b", "a"], ["c", "d"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.bindings import event_rows, order_panel, rounded, table, typed
 from tidemark.operators import panel as P
+from tidemark.operators import set_sketches as Z
 from tidemark.operators import whatif as W
 
 STEPS = {"1-URGENT": "2-HIGH", "2-HIGH": "3-MEDIUM", "3-MEDIUM": "4-NOT SPECIFIED", "4-NOT SPECIFIED": "5-LOW", "5-LOW": "5-LOW"}
@@ -59,6 +60,12 @@ def cohort_movement(spark, d):
     return rounded(typed(P.cohort_movement(table(spark, d, "orders"), "o_custkey", F.year("o_orderdate"))))
 
 
+def cohort_movement_pairs(spark, d):
+    """Customers kept, won and lost between any two years, from one sketch a year."""
+    found = Z.sketched_movement(Z.period_sketches(table(spark, d, "orders"), "o_custkey", F.year("o_orderdate").cast("bigint")))
+    return found.drop("bound")
+
+
 def cohort_movement_daily(spark, d):
     return rounded(typed(P.cohort_movement(event_rows(spark, d), "user_id", F.col("day"))))
 
@@ -138,6 +145,7 @@ QUERIES = {
     "ensure_keys": ensure_keys,
     "cohort_movement": cohort_movement,
     "cohort_movement_daily": cohort_movement_daily,
+    "cohort_movement_pairs": cohort_movement_pairs,
     "mixed_sample": mixed_sample,
     "scale_numeric": scale_numeric,
     "lower_ordinal": lower_ordinal,
@@ -184,6 +192,10 @@ SQL = {
     "next_keys": f"SELECT s_suppkey, (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY {order_of('s_suppkey')}, s_suppkey) AS key FROM supplier",
     "ensure_keys": f"SELECT c_name, row_number() OVER (ORDER BY {order_of('c_name')}, c_name) AS key FROM customer",
     "cohort_movement": movement_sql("orders", "o_custkey", "year(o_orderdate)"),
+    "cohort_movement_pairs": """WITH h AS (SELECT DISTINCT year(o_orderdate) AS p, o_custkey AS e FROM orders), y AS (SELECT DISTINCT p FROM h), pairs AS (SELECT a.p AS earlier, b.p AS later FROM y a JOIN y b ON a.p < b.p),
+        s AS (SELECT earlier, later, e, max(CASE WHEN h.p = earlier THEN 1 ELSE 0 END) AS was, max(CASE WHEN h.p = later THEN 1 ELSE 0 END) AS here FROM pairs JOIN h ON h.p IN (earlier, later) GROUP BY 1, 2, 3)
+        SELECT earlier, later, count(*) FILTER (was = 1 AND here = 1) AS retained, count(*) FILTER (was = 0) AS joined, count(*) FILTER (here = 0) AS departed, count(*) FILTER (here = 1) AS head_count, count(*) AS together
+        FROM s GROUP BY 1, 2""",
     "cohort_movement_daily": movement_sql("events", "user_id", "CAST(ts AS DATE)"),
     "mixed_sample": f"""WITH x AS (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY {order_of("c_custkey", "3")}, c_custkey) AS k, count(*) OVER () AS n FROM customer)
         SELECT s_suppkey AS key, round(s_acctbal, 4) AS balance, 'real' AS origin FROM supplier

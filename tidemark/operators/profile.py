@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -19,6 +20,8 @@ REALISTIC_DEVIATION = 0.1
 DENSITY_POINTS = 200
 DENSITY_CUT = 3.0
 DENSITY_REACH = 39
+# Moments per cell of the density's expansion.
+DENSITY_TERMS = 18
 
 
 def category_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -99,10 +102,13 @@ def summary_statistics(old: DataFrame, new: DataFrame, column: str, rows_per_sli
 def density_curve(old: DataFrame, new: DataFrame, column: str, points: int = DENSITY_POINTS) -> DataFrame:
     """Gaussian kernel density of one column in two tables on an even grid.
 
-    Rows are counted per distinct value first, so the grid meets values and not
-    rows, and a value meets only the grid points within DENSITY_REACH bandwidths,
-    beyond which its kernel is below the smallest double. Bandwidth n**(-1/5) *
-    std, and the grid reaches three bandwidths beyond the data.
+    A fast Gauss transform: rows are summed up to moments per cell, one bandwidth
+    wide, and the kernel is expanded about the middle of each cell, so the grid
+    meets cells and neither rows nor values. With values at most half a bandwidth
+    from the middle, DENSITY_TERMS moments leave an error below 1e-11 of a kernel's
+    peak. A cell meets only the grid points within DENSITY_REACH bandwidths, beyond
+    which its kernels are below the smallest double. Bandwidth n**(-1/5) * std, and
+    the grid reaches three bandwidths beyond the data.
     """
     one = lambda df, side: df.select(
         F.lit(side).alias("side"), as_double(F.col(column), df.schema[column].dataType).alias("value")
@@ -113,20 +119,31 @@ def density_curve(old: DataFrame, new: DataFrame, column: str, points: int = DEN
         (F.pow(F.count("*").cast("double"), F.lit(-0.2)) * F.stddev_samp("value")).alias("width"),
     ).filter("width > 0")
     # Two rows, one per table.
-    values = rows.groupBy("side", "value").agg(F.count("*").alias("times"))
-    joined = values.join(F.broadcast(shape), "side")
+    shape = F.broadcast(shape)
+    cell = F.floor((F.col("value") - F.col("lo")) / F.col("width"))
+    away = (F.col("value") - F.col("lo")) / F.col("width") - F.col("cell") - 0.5
+    placed = rows.join(shape, "side").withColumn("cell", cell).select("side", "cell", away.alias("away"))
+    moments = [F.sum(F.pow("away", F.lit(float(p))) / math.factorial(p)).alias(f"m{p}") for p in range(DENSITY_TERMS)]
+    cells = placed.groupBy("side", "cell").agg(*moments).join(shape, "side")
     low = F.col("lo") - DENSITY_CUT * F.col("width")
     step = (F.col("hi") - F.col("lo") + 2 * DENSITY_CUT * F.col("width")) / (points - 1)
+    middle = F.col("lo") + (F.col("cell") + 0.5) * F.col("width")
     at = lambda value: ((value - low) / step).cast("int")
-    reach = DENSITY_REACH * F.col("width")
-    near = F.sequence(F.greatest(at(F.col("value") - reach), F.lit(0)), F.least(at(F.col("value") + reach) + 1, F.lit(points - 1)))
-    spread = joined.select("side", "value", "times", "n", "width", low.alias("low"), step.alias("step"), F.explode(near).alias("point"))
+    reach = (DENSITY_REACH + 0.5) * F.col("width")
+    near = F.sequence(F.greatest(at(middle - reach), F.lit(0)), F.least(at(middle + reach) + 1, F.lit(points - 1)))
+    spread = cells.select("side", "n", "width", low.alias("low"), step.alias("step"), middle.alias("middle"), F.array(*[f"m{p}" for p in range(DENSITY_TERMS)]).alias("m"), F.explode(near).alias("point"))
     x = F.col("low") + F.col("point") * F.col("step")
-    z = (x - F.col("value")) / F.col("width")
-    kernel = F.exp(-0.5 * z * z) / (F.col("width") * (2 * 3.141592653589793) ** 0.5)
-    return spread.select("side", "point", x.alias("x"), (kernel * F.col("times") / F.col("n")).alias("k")).groupBy("side", "point").agg(
-        F.max("x").alias("x"), F.sum("k").alias("density")
-    )
+    spread = spread.withColumns({"x": x, "t": (x - F.col("middle")) / F.col("width")})
+    # The sum of moments times Hermite polynomials, each from the two before.
+    start = F.struct(F.lit(0.0).alias("before"), F.lit(1.0).alias("he"), F.lit(0).alias("p"), F.lit(0.0).alias("total"))
+
+    def term(held, moment):
+        following = F.col("t") * held["he"] - held["p"] * held["before"]
+        return F.struct(held["he"].alias("before"), following.alias("he"), (held["p"] + 1).alias("p"), (held["total"] + moment * held["he"]).alias("total"))
+
+    summed = F.aggregate("m", start, term, lambda held: held["total"])
+    kernel = F.exp(-0.5 * F.col("t") * F.col("t")) * summed / (F.col("width") * (2 * math.pi) ** 0.5 * F.col("n"))
+    return spread.select("side", "point", "x", kernel.alias("k")).groupBy("side", "point").agg(F.max("x").alias("x"), F.greatest(F.sum("k"), F.lit(0.0)).alias("density"))
 
 
 def period_summary(df: DataFrame, period: Column, entity: str, label: str, measure: str, low_share: Column) -> DataFrame:
