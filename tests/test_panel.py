@@ -61,6 +61,25 @@ def test_keys(spark):
     assert P.ensure_keys(old, "k", "k") is old
 
 
+def test_numbering_in_place(spark):
+    """Null and repeated values on many partitions, some of them empty: keys without gaps, rows unchanged, nothing exchanged."""
+    rows = [(i, None if i % 3 else "same", "x" * 50) for i in range(1000)]
+    df = spark.createDataFrame(rows, "i int, name string, wide string").repartitionByRange(7, "i").filter("i < 100 OR i > 700").withColumn("_keep", F.lit(1))
+    found = P.numbered(df, "k", 40)
+    got = found.collect()
+    assert sorted(r["k"] for r in got) == list(range(41, 41 + df.count())) and found.columns == ["i", "name", "wide", "_keep", "k"]
+    assert sorted((r["i"], r["name"]) for r in got if r["name"]) == sorted((i, n) for i, n, _ in rows if n and (i < 100 or i > 700))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line and "wide" in line]
+    assert len(scans) == 1 and all("wide" not in line for line in exchanged)
+    again = P.next_keys(df.withColumn("k", F.lit(None).cast("long")), spark.createDataFrame([(5,), (None,)], "k long"), "k").select("k").collect()
+    assert sorted(r["k"] for r in again) == list(range(6, 6 + len(got)))
+    assert P.ensure_keys(df, "i") is df and sorted(r["n"] for r in P.ensure_keys(df, "n").collect()) == list(range(1, 1 + len(got)))
+    assert P.numbered(df.limit(0), "k").count() == 0
+
+
 def test_mixed_sample(spark):
     real = spark.range(100).select(F.col("id").alias("k"))
     extra = spark.range(1000, 1500).select(F.col("id").alias("k"))

@@ -52,6 +52,16 @@ def next_keys(spark, d):
     return P.next_keys(s.withColumn("key", F.lit(None).cast("bigint")), c, "key", "s_suppkey").select("s_suppkey", "key")
 
 
+def keys_in_place(spark, d):
+    """Keys for all line items behind those of the orders: one each, without gaps, on rows that stay as they are."""
+    top = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"))
+    found = P.next_keys(table(spark, d, "lineitem"), top, "key")
+    return rounded(found.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("key").alias("n_keys"), F.min("key").alias("low"), F.max("key").alias("high"),
+        F.sum("l_extendedprice").alias("total"),
+    ), 2)
+
+
 def ensure_keys(spark, d):
     return P.ensure_keys(table(spark, d, "customer").select("c_name"), "key", "c_name")
 
@@ -143,6 +153,7 @@ QUERIES = {
     "period_stamp": period_stamp,
     "next_keys": next_keys,
     "ensure_keys": ensure_keys,
+    "keys_in_place": keys_in_place,
     "cohort_movement": cohort_movement,
     "cohort_movement_daily": cohort_movement_daily,
     "cohort_movement_pairs": cohort_movement_pairs,
@@ -190,6 +201,8 @@ SQL = {
         SELECT p_partkey, round(tenure, 4) AS tenure, round(CASE WHEN ir IS NULL THEN greatest(tenure, 0) ELSE greatest(least(ir, tenure), 0) END, 4) AS in_role, age::BIGINT AS age FROM r""",
     "period_stamp": "SELECT DISTINCT year(o_orderdate) AS period, CAST(DATE '2024-01-01' + CAST(30 * (year(o_orderdate) - 1995) AS INT) AS DATE) AS stamp FROM orders",
     "next_keys": f"SELECT s_suppkey, (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY {order_of('s_suppkey')}, s_suppkey) AS key FROM supplier",
+    "keys_in_place": """SELECT count(*) AS n_rows, count(*) AS n_keys, (SELECT max(o_orderkey) FROM orders) + 1 AS low, (SELECT max(o_orderkey) FROM orders) + count(*) AS high,
+        round(sum(l_extendedprice), 2) AS total FROM lineitem""",
     "ensure_keys": f"SELECT c_name, row_number() OVER (ORDER BY {order_of('c_name')}, c_name) AS key FROM customer",
     "cohort_movement": movement_sql("orders", "o_custkey", "year(o_orderdate)"),
     "cohort_movement_pairs": """WITH h AS (SELECT DISTINCT year(o_orderdate) AS p, o_custkey AS e FROM orders), y AS (SELECT DISTINCT p FROM h), pairs AS (SELECT a.p AS earlier, b.p AS later FROM y a JOIN y b ON a.p < b.p),

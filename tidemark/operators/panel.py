@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.scalars import clip, hash_hex, ratio, round_even
 from tidemark.operators.order_stats import hash_first, hash_ranked
 from tidemark.operators.shape import active_rows, union_rows
 from tidemark.operators.temporal import check_periods, period_index
+from tidemark.sources.tables import materialized
 
 # Scenario bounds of the retention rate, the monthly tenure step, the mix cap.
 SCENARIOS = ("normal", "recession", "growth")
@@ -98,17 +99,44 @@ def cohort_movement(df: DataFrame, entity: str, period: Column) -> DataFrame:
     )
 
 
-def next_keys(df: DataFrame, existing: DataFrame, key: str, order: str) -> DataFrame:
-    """New surrogate keys max(key)+1, +2, ... for the rows of df, in hash order of `order`."""
-    top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("m")).scalar()
+def numbered(df: DataFrame, key: str, after: int = 0) -> DataFrame:
+    """df with keys after + 1, after + 2, ... without gaps, in the order in which its rows lie.
+
+    The rows are written once with their place in their partition, which is all
+    that the numbering needs: a count per partition, and the counts of the
+    partitions before. No row is exchanged or sorted, so null, repeated or missing
+    order keys are no matter. A partition that is written again is numbered as
+    before only if its rows come in the same order, but the keys read are those of
+    the files that were kept.
+    """
+    if key in df.columns:
+        df = df.drop(key)
+    laid = materialized(df.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition written.
+    heads = laid.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    heads = heads.select("_part", (F.lit(after + 1) + F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return laid.join(F.broadcast(heads), "_part").select(*df.columns, (F.col("_at") + F.col("_shift")).alias(key))
+
+
+def next_keys(df: DataFrame, existing: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """New surrogate keys max(key)+1, +2, ... for the rows of df.
+
+    In hash order of `order`, which gives the same keys on every run, or as the rows lie.
+    """
+    top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("m"))
+    if order is None:
+        return numbered(df, key, top.first()["m"])
     ranked = hash_ranked(df.drop(key), [], hash_hex(F.col(order)), [order])
-    return ranked.withColumn(key, F.col("rank") + top).drop("rank", "group_rows")
+    return ranked.withColumn(key, F.col("rank") + top.scalar()).drop("rank", "group_rows")
 
 
-def ensure_keys(df: DataFrame, key: str, order: str) -> DataFrame:
+def ensure_keys(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Keys 1..n when the table has none."""
     if key in df.columns:
         return df
+    if order is None:
+        return numbered(df, key)
     return hash_ranked(df, [], hash_hex(F.col(order)), [order]).withColumnRenamed("rank", key).drop("group_rows")
 
 
