@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.text import WORD
+from tidemark.llm.text import WORD, apart
 from tidemark.sources.tables import materialized
 
 #: Weights of the sources in code point order, repeated.
@@ -138,6 +138,7 @@ def mixture(docs: DataFrame) -> DataFrame:
     return found.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
+@apart
 def drawn(docs: DataFrame) -> DataFrame:
     """The documents that the mix takes, whole, each as often as it is taken, in training order."""
     return training_order(mixed(sized(docs), materialized(sized(docs).select("mix_source", "mix_size", "mix_order"), "sizes")), docs.columns)

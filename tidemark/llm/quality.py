@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.text import documents, raw, sliced
+from tidemark.llm.text import apart, documents, raw, sliced
 
 _CLASSES = np.zeros(256, np.int64)
 for _n, _bytes in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" ", b"\n", b"\t\r\v\f", bytes(range(128, 256)))):
@@ -159,6 +159,7 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return plain.mapInArrow(work, schema)
 
 
+@apart
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose text scores at least threshold, with their columns."""
     name = "quality_score"

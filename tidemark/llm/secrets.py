@@ -17,7 +17,7 @@ from itertools import accumulate, chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.text import documents, sliced
+from tidemark.llm.text import apart, documents, sliced
 
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex")
@@ -453,12 +453,13 @@ def digest_columns(found: DataFrame) -> DataFrame:
     )
 
 
+@apart
 def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """docs with every span found, overlapping ones merged, replaced by mask; n_chars follows.
 
-    All rows and columns stay. Texts without a span, null ones too, stay as they are.
+    All rows and columns stay. Rows whose text has no span, null texts too, stay as they are.
     """
-    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    others = [c for c in docs.columns if c != "text"]
 
     def clean(text: str | None) -> str | None:
         spans = scan(text)[1] if text else []
@@ -474,10 +475,14 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             at = batch.schema.get_field_index("text")
-            texts = [clean(t) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, pa.field("text", pa.string()), pa.array(texts, pa.string()))
+            before = batch.column(at).to_pylist()
+            texts = [clean(t) for t in before]
+            masked = pa.array([a != b for a, b in zip(before, texts)], pa.bool_())
+            yield batch.set_column(at, pa.field("text", pa.string()), pa.array(texts, pa.string())).append_column("masked", masked)
 
-    done = docs.select(*others, F.col("text").cast("string").alias("text")).mapInArrow(work, docs.select(*others, F.col("text").cast("string")).schema)
+    rows = docs.select(*others, F.col("text").cast("string").alias("text"))
+    done = rows.mapInArrow(work, rows.withColumn("masked", F.lit(True)).schema)
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        done = done.withColumn("n_chars", F.when(F.col("masked"), length).otherwise(F.col("n_chars")))
     return done.select(docs.columns)

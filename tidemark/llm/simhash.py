@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.text import documents, raw, sliced
+from tidemark.llm.text import apart, documents, raw, sliced
 from tidemark.sources.tables import materialized
 
 #: Set bits of each byte value, lowest bit first.
@@ -194,6 +194,7 @@ def _row_key(docs: DataFrame) -> Column:
     return F.unhex(F.sha2(F.concat(known, F.lit("|"), rest, F.coalesce(F.concat(F.lit("|"), text), F.lit(""))), 256))
 
 
+@apart
 def kept_documents(docs: DataFrame, width: int = 4, radius: int = 4, pivot_count: int = 32) -> DataFrame:
     """docs with one row of each group of near duplicates: that of the smallest doc_id, null ids last.
 
