@@ -13,7 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges: columns a, b. Alternates two star steps (Kiveris et al. 2014): each
     node hands its larger neighbours, then all its neighbours, to the smallest
     one. Rounds are written to the shared folder, so a lost executor costs one
-    round; minima are summed up before the shuffle, so a hub is no hot key.
+    round. Minima are summed up before the shuffle; the join that hands them out meets
+    all edges of a hub under its key, which is left to Spark's splitting of skewed joins.
     """
     stars = materialized(_oriented(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "stars")
     before = None

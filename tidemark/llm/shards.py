@@ -26,8 +26,8 @@ def write_shards(docs: DataFrame, path: str, shards: int = 24, seed: int = 17, b
     A written row holds the given row as record, so column names cannot clash, and
     slot, gapless from 0 in its shard. Only the bucket counts, one row per bucket,
     meet in one task. Null ids and texts and repeated rows are rows like any other;
-    rows equal in both doc_id and text share a bucket. An empty table writes an
-    empty one.
+    rows equal in both doc_id and text share a bucket. The order follows from the
+    seed and the number of shuffle partitions. An empty table writes an empty one.
     """
     key = F.xxhash64(F.lit(seed), "doc_id", "text")
     total, rows = docs.agg(F.coalesce(F.sum(record_bytes()), F.lit(0)), F.count("*")).first()
