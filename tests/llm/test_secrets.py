@@ -2,10 +2,12 @@ import base64
 import bz2
 import gzip
 import hashlib
+import random
 import re
 import zlib
 from urllib.parse import quote
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import secrets
@@ -138,3 +140,32 @@ def test_all_members_and_large_pieces():
             assert "assign" in {k for _, _, k in found} and (4, 4 + len(token), "assign") in found and layers == 0
     two = [base64.b64encode(gzip.compress(b"x y " * 1000 + key + bytes([65 + i]))).decode() for i in range(2)]
     assert len(secrets.scan(" ".join(two), limit=1000)[1]) == 2
+
+
+LAYERS = {
+    "url": lambda s: "".join(f"%{b:02X}" for b in s.encode()),
+    "unicode": lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+    "base64": lambda s: base64.b64encode(s.encode()).decode(),
+    "gzip": lambda s: base64.b64encode(gzip.compress(s.encode(), mtime=0)).decode(),
+    "zlib": lambda s: base64.b64encode(zlib.compress(s.encode())).decode(),
+}
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_random_nests_are_found_where_they_lie(seed):
+    """Up to four random layers around a text with or without a secret, between plain words: spans lie inside the nests that hold one, and nowhere else."""
+    draw = random.Random(seed)
+    out, at, wanted = [], 0, []
+    for k in range(6):
+        secret = draw.random() < 0.6
+        core = f"password = hunter{draw.randrange(10**6, 10**7)}x" if secret else f"nothing {draw.randrange(1000)} to see here, only words"
+        for layer in draw.choices(list(LAYERS), k=draw.randint(0, 4)):
+            core = LAYERS[layer](core)
+        for part, holds in ((f" word{k} and more\n", False), (core, secret)):
+            if holds:
+                wanted.append((at, at + len(part)))
+            out.append(part)
+            at += len(part)
+    spans = secrets.scan("".join(out) + " end")[1]
+    assert all(any(a <= start and end <= b for a, b in wanted) for start, end, *_ in spans)
+    assert all(any(a <= start and end <= b for start, end, *_ in spans) for a, b in wanted)
