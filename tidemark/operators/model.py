@@ -173,6 +173,13 @@ def fit_forest(
     return Pipeline(stages=[*stages, forest(trees, depth, seed=seed, tried=tried)]).fit(rows)
 
 
+def merged_moments(parts: Sequence[tuple[int, float, float]]) -> tuple[float, float]:
+    """Mean and population deviation of rows given by parts as (rows, mean, sum of squared deviations)."""
+    rows = sum(n for n, _, _ in parts)
+    mean = sum(n * m for n, m, _ in parts) / rows
+    return mean, (sum(away + n * (m - mean) ** 2 for n, m, away in parts) / rows) ** 0.5
+
+
 class TrainingStore:
     """Rows that many fits share, written once in one folder per part (a period or a fold).
 
@@ -228,15 +235,13 @@ class TrainingStore:
             cells = counted.join(plan, "part").groupBy("group", "feature", "value").agg(F.sum("n").alias("n"))
             cells = with_feature_slice(cells, "value", cuts_by_feature(counted, totals, rows_per_slice))
             medians = quantiles_of_cells(running_totals(cells, ["group", "feature"], "value", ["n"]), ["group", "feature"], {"median": 0.5})
-            held = cells.groupBy("group", "feature").agg(F.sum("n").alias("held"), F.sum(F.col("n") * F.col("value")).alias("total")).join(medians, ["group", "feature"])
-            size = F.create_map(*[F.lit(x) for g, n in sizes.items() for x in (g, n)])[F.col("group")]
-            held = materialized(held.withColumn("rows", size).withColumn("mean", (F.col("total") + F.col("median") * (F.col("rows") - F.col("held"))) / F.col("rows")), "moments")
-            away = lambda x: (x - F.col("mean")) * (x - F.col("mean"))
-            # One row per set and column.
-            spread = cells.join(F.broadcast(held), ["group", "feature"]).groupBy("group", "feature").agg(F.sum(F.col("n") * away(F.col("value"))).alias("spread"))
-            found = held.join(spread, ["group", "feature"]).withColumn("std", F.sqrt((F.col("spread") + (F.col("rows") - F.col("held")) * away(F.col("median"))) / F.col("rows")))
-            for r in found.collect():
-                numbers[r["group"]][r["feature"]] = (r["median"], r["mean"], r["std"])
+            # One row per part and column: size, mean and squared deviations, which merge into those of any set of parts.
+            per_part = long_numeric(rows, numeric, part).groupBy("part", "feature").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
+            moments = {(r["part"], r["feature"]): (r["n"], r["mean"], r["n"] * r["var"]) for r in per_part.collect()}
+            for r in medians.collect():
+                held = [moments[key] for p in groups[r["group"]] if (key := (str(p), r["feature"])) in moments]
+                missing = sizes[r["group"]] - sum(n for n, _, _ in held)
+                numbers[r["group"]][r["feature"]] = (r["median"], *merged_moments([*held, (missing, r["median"], 0.0)]))
             for g, c in product(groups, numeric):
                 numbers[g].setdefault(c, (None, None, None))
         if categorical:
