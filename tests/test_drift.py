@@ -315,6 +315,20 @@ def test_grown_timeline_equals_the_batch_one(spark, rows_per_slice):
     assert rows(grown.table(spark)) == rows(table)
 
 
+def test_a_period_is_read_once_when_added(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    once = lambda p: panel_rows(spark, [p]).withColumn("x", F.udf(seen, "double").asNondeterministic()("x"))
+    grown = DriftTimeline(new_path(spark, "grown"), "p").start(once(0), ["x", "n"], [])
+    assert made.value == 300
+    grown.add(once(1))
+    assert made.value == 600
+
+
 def test_adding_a_period_reads_no_other_one(spark):
     """Periods added before and the reference table may be gone; a period that comes again replaces its own files only."""
     reference, current = panel_rows(spark, [0]), panel_rows(spark, [1, 2])

@@ -95,3 +95,19 @@ def test_decay_by_period(scored):
     got = T.performance_by_period(df, "g", "y", "s", "yhat").orderBy("period").collect()
     assert got[0]["auc_decay_pct"] == 0 and [r["period_index"] for r in got] == [0, 1, 2]
     assert got[1]["auc_decay_pct"] == pytest.approx((got[0]["roc_auc"] - got[1]["roc_auc"]) / got[0]["roc_auc"] * 100)
+
+
+def test_scored_rows_are_read_once(spark):
+    """The cut points come from the counts per score, not from the rows again."""
+    draw = np.random.default_rng(8)
+    y, s = draw.integers(0, 2, 400), draw.integers(0, 90, 400) / 90
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    df = spark.createDataFrame([(int(a), float(b), int(b > 0.5)) for a, b in zip(y, s)], "y int, s double, yhat int")
+    df = df.withColumn("s", F.udf(seen, "double").asNondeterministic()("s"))
+    got = M.classification_metrics(df, [], "y", "s", "yhat", rows_per_slice=20).first()
+    assert got["roc_auc"] == pytest.approx(auc(y, s)) and made.value == 400

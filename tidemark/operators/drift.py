@@ -55,18 +55,19 @@ def long_numeric(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFr
     return out.filter("value IS NOT NULL")
 
 
+def _category_text(c: str, dtype: T.DataType) -> str:
+    """A column as the text of its category, as SQL; booleans read True/False."""
+    if isinstance(dtype, T.BooleanType):
+        return f"CASE WHEN {name(c)} THEN 'True' WHEN NOT {name(c)} THEN 'False' END"
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return f"CAST(nanvl({name(c)}, NULL) AS STRING)"
+    return f"CAST({name(c)} AS STRING)"
+
+
 def long_categorical(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
     """Unpivot columns as text to (feature, category); booleans read True/False."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-
-    def shown(c: str) -> str:
-        if isinstance(kinds[c], T.BooleanType):
-            return f"CASE WHEN {name(c)} THEN 'True' WHEN NOT {name(c)} THEN 'False' END"
-        if isinstance(kinds[c], (T.DoubleType, T.FloatType)):
-            return f"CAST(nanvl({name(c)}, NULL) AS STRING)"
-        return f"CAST({name(c)} AS STRING)"
-
-    cells = [f"named_struct('feature', {text(c)}, 'category', {shown(c)})" for c in columns]
+    cells = [f"named_struct('feature', {text(c)}, 'category', {_category_text(c, kinds[c])})" for c in columns]
     listed = f"array({', '.join(cells)})" if cells else "CAST(array() AS array<struct<feature:string,category:string>>)"
     out = df.select(*keep, F.expr(f"inline({listed})"))
     return out.filter("category IS NOT NULL")
@@ -242,8 +243,8 @@ def numeric_drift_by_period(
     The reference is never repeated per period. Between two values of a period
     its distribution is flat and the reference's rises, so the largest distance
     lies at a value of the period, on one side of it or the other. One running
-    total of the reference over all values, joined to the running totals of the
-    periods by feature and value, is all it takes. Any number of periods will do.
+    total of the reference over all values, and one of each period, both along the
+    same sorted cells, is all it takes. Any number of periods will do.
     """
     columns = feature_columns(reference, [period])[0] if columns is None else columns
     ref = long_numeric(reference, columns, F.lit(1).cast("bigint").alias("n_ref"), F.lit(0).cast("bigint").alias("n_cur"))
@@ -260,17 +261,42 @@ def numeric_counts(df: DataFrame, columns: Sequence[str], period: str) -> DataFr
     return cells.groupBy("period", "feature", "value").agg(F.count("*").alias("n_cur"))
 
 
+def period_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], period: str) -> DataFrame:
+    """(period, feature, value, category, n_cur): numeric_counts and category_counts of one pass; one of value and category is NULL."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    number_of = lambda c: f"CAST({f'nanvl({name(c)}, NULL)' if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else name(c)} AS DOUBLE)"
+    cells = [f"named_struct('feature', {text(c)}, 'value', {number_of(c)}, 'category', CAST(NULL AS STRING))" for c in numeric]
+    cells += [f"named_struct('feature', {text(c)}, 'value', CAST(NULL AS DOUBLE), 'category', {_category_text(c, kinds[c])})" for c in categorical]
+    listed = f"array({', '.join(cells)})" if cells else "CAST(array() AS array<struct<feature:string,value:double,category:string>>)"
+    long = df.select(F.col(period).alias("period"), F.expr(f"inline({listed})"))
+    long = long.filter("period IS NOT NULL AND (value IS NOT NULL OR category IS NOT NULL)")
+    return long.groupBy("period", "feature", "value", "category").agg(F.count("*").alias("n_cur"))
+
+
 def numeric_drift_of_counts(
     known: DataFrame, by_period: DataFrame, profile: dict[str, Row], cuts: dict[str, list[float]], bins: int = PSI_BINS, pvalue: str = "asymptotic",
 ) -> DataFrame:
     """numeric_drift_by_period from the counts (feature, value, n_ref) and (period, feature, value, n_cur)."""
-    by_period = with_feature_slice(by_period, "value", cuts)
-    values = by_period.select("feature", "value", F.lit(0).cast("bigint").alias("n_ref"))
-    known = known.select("feature", "value", "n_ref").unionByName(values)
-    known = with_feature_slice(known.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref")), "value", cuts)
-    known = running_totals(known.withColumn("bin", binned(profile, bins)), ["feature"], "value", ["n_ref"])
-    here = running_totals(by_period, ["period", "feature"], "value", ["n_cur"]).select("period", "feature", "value", "n_cur", "cum_n_cur", "total_n_cur")
-    both = here.join(known.select("feature", "value", "bin", "n_ref", "cum_n_ref", "total_n_ref"), ["feature", "value"])
+    none, zero = F.lit(None).cast(by_period.schema["period"].dataType), F.lit(0).cast("bigint")
+    cells = known.select(none.alias("period"), "feature", "value", "n_ref", zero.alias("n_cur")).unionByName(
+        by_period.select("period", "feature", "value", zero.alias("n_ref"), "n_cur")
+    )
+    cells = with_feature_slice(cells.withColumn("slice", F.lit(0)), "value", cuts)
+    # One row per period, feature and slice, the reference being the period NULL: what lies before the slice, and in all.
+    sizes = cells.groupBy("period", "feature", "slice").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    of_feature, of_period = Window.partitionBy("feature"), Window.partitionBy("feature", "period")
+    before = lambda along: along.orderBy("slice").rangeBetween(Window.unboundedPreceding, -1)
+    heads = sizes.select(
+        "period", "feature", "slice", F.sum("n_ref").over(of_feature).alias("total_n_ref"), F.sum("n_cur").over(of_period).alias("total_n_cur"),
+        F.coalesce(F.sum("n_ref").over(before(of_feature)), zero).alias("ahead_ref"), F.coalesce(F.sum("n_cur").over(before(of_period)), zero).alias("ahead_cur"),
+    ).filter("period IS NOT NULL")
+    # The cells move once, by feature and slice; every window below is sorted where they then lie.
+    inside = cells.withColumn("cum_n_ref", F.sum("n_ref").over(Window.partitionBy("feature", "slice").orderBy("value")))
+    inside = inside.withColumn("n_ref", F.sum("n_ref").over(Window.partitionBy("feature", "slice", "value"))).filter("period IS NOT NULL")
+    inside = inside.withColumn("cum_n_cur", F.sum("n_cur").over(Window.partitionBy("feature", "slice", "period").orderBy("value")))
+    both = inside.join(F.broadcast(heads), ["period", "feature", "slice"]).withColumns({
+        "cum_n_ref": F.col("cum_n_ref") + F.col("ahead_ref"), "cum_n_cur": F.col("cum_n_cur") + F.col("ahead_cur"), "bin": binned(profile, bins),
+    })
     counted = lambda side: [F.expr(f"coalesce(sum(n_{side}) FILTER (WHERE bin = {k}), 0) AS {side}_{k}") for k in range(bins)]
     measured = both.groupBy("period", "feature").agg(
         *[F.expr(e) for e in (
@@ -281,7 +307,7 @@ def numeric_drift_of_counts(
         *counted("cur"),
     ).filter("rows_ref > 0 AND rows_cur > 0")
     # One row per monitored column.
-    measured = measured.join(F.broadcast(known.groupBy("feature").agg(*counted("ref"))), "feature")
+    measured = measured.join(F.broadcast(known.withColumn("bin", binned(profile, bins)).groupBy("feature").agg(*counted("ref"))), "feature")
     measured, p = _pvalue(measured, ["period"], pvalue)
     return measured.select("period", "feature", "rows_ref", "rows_cur", bounded_psi(profile, bins).alias("psi"), "ks_statistic", p.alias("ks_pvalue"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import label_flag, ratio
 from tidemark.operators.order_stats import ROWS_PER_SLICE, column_cuts, running_totals, with_slice
+from tidemark.sources.tables import materialized
 
 METRICS = ("roc_auc", "f1_score", "precision", "recall")
 
@@ -72,7 +73,9 @@ def classification_metrics(
     cells = rows.groupBy(*keys, "score").agg(
         F.expr("count(CASE WHEN label = 1 THEN 1 END) AS pos"), F.expr("count(CASE WHEN label = 0 THEN 1 END) AS neg"), *_confusion()
     )
-    cells = with_slice(cells, "score", column_cuts(rows, "score", rows_per_slice))
+    # Written once: the cut points and the running totals read the counts, not the rows again.
+    cells = materialized(cells, "score-counts")
+    cells = with_slice(cells, "score", column_cuts(cells, "score", rows_per_slice))
     ranked = running_totals(cells, keys, "score", ["pos", "neg"])
     below = F.col("cum_neg").cast("double") - F.col("neg") / 2.0
     summed = ranked.groupBy(*keys).agg(
