@@ -2,6 +2,8 @@
 
 import glob
 import os
+import threading
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -9,7 +11,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-
+from tidemark.functions.concurrent import run_all
 from tidemark.operators import model as M
 from tidemark.plans import comparison as X, training as T, validation as V
 from tidemark.sources import runs
@@ -208,3 +210,52 @@ def test_walk_equals_fits_of_its_own_splits(spark):
         # The fits differ in the order of their rows only.
         assert row["roc_auc"] == pytest.approx(area, abs=0.08) and 0.5 < row["roc_auc"] < 0.95
         assert row["train_size"] == df.filter(F.col("month") < int(test)).count()
+
+
+def counting(spark, df, column):
+    """df whose column counts how often its rows are made, and the count."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    kind = next(f.dataType for f in df.schema.fields if f.name == column)
+    return df.withColumn(column, F.udf(seen, kind).asNondeterministic()(column)), made
+
+
+def test_a_fit_prepares_its_rows_once(spark):
+    df = monthly(spark, n=300)
+    rows, made = counting(spark, M.training_rows(df, "left", ["age", "pay"]), "pay")
+    stages = M.feature_stages(M.fills_of(M.training_rows(df, "left", ["age", "pay"]), ["age", "pay"], []), ["age", "pay"], [])
+    model = M.fitted(stages, M.forest(3, 3), rows)
+    assert made.value == df.filter("left IS NOT NULL").count() and model.stages[-1].getNumTrees == 3
+
+
+def test_fills_of_a_store_keep_no_counts_per_value(spark):
+    """Only the values around the medians are sorted; ties, missing values and a part without numbers included."""
+    rows = [(p, float(v) if p < 3 else None, "yes" if v % 2 else "no") for p in range(4) for v in [*range(25 * (p + 1)), *[7] * 30]]
+    df = spark.createDataFrame(rows, "part int, x double, left string")
+    before = set(files_of(spark, "value-counts"))
+    groups = {1: [0], 2: [0, 1, 2, 3], 3: [1, 2], 4: [3]}
+    store = M.TrainingStore(df, "part", "left", ["x"])
+    for rows_per_slice in (1, 9, 10**6):
+        found = store.fills(groups, ["x"], [], rows_per_slice)
+        for g, parts in groups.items():
+            values = [x for p, x, _ in rows if p in parts and x is not None]
+            want = float(np.median(values)) if values else None
+            assert found[g].numbers["x"][0] == want
+    assert set(files_of(spark, "value-counts")) == before
+
+
+def test_jobs_side_by_side_have_properties_of_their_own(spark):
+    """Jobs that shared them ended each other's query ids."""
+    met, context = threading.Barrier(3), spark.sparkContext
+
+    def job(i):
+        met.wait(60)
+        context.setLocalProperty("tidemark.job", str(i))
+        met.wait(60)
+        return context.getLocalProperty("tidemark.job")
+
+    assert run_all([partial(job, i) for i in range(3)]) == ["0", "1", "2"]

@@ -15,6 +15,8 @@ def run_all(jobs: Sequence[Callable[[], object]], parallelism: int = PARALLELISM
     """Results of the jobs in order. The threads only wait; the work is on the executors."""
     if len(jobs) < 2 or parallelism < 2:
         return [job() for job in jobs]
-    inherit = inheritable_thread_target(SparkSession.active())
+    session = SparkSession.active()
+    # Wrapped one by one: each job has local properties of its own, else one job's query would end another's execution id.
+    wrapped = [inheritable_thread_target(session)(job) for job in jobs]
     with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(lambda job: inherit(job)(), list(jobs), chunksize=1)
+        return pool.map(lambda job: job(), wrapped, chunksize=1)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import partial, reduce
 from itertools import product
 
+from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
@@ -19,7 +20,7 @@ from tidemark.functions.sqltext import name, number, text
 from tidemark.operators.categories import CategoryCodes, category_codes
 from tidemark.operators.drift import long_categorical, long_numeric
 from tidemark.operators.order_stats import (
-    ROWS_PER_SLICE, cuts_by_feature, quantiles_of_cells, running_totals, with_cutoffs, with_feature_slice,
+    ROWS_PER_SLICE, cuts_by_feature, quantiles_of_slices, with_cutoffs, with_feature_slice,
 )
 from tidemark.operators.metrics import classification_metrics
 from tidemark.operators.shape import align_features
@@ -38,10 +39,10 @@ NOISE = 0.05
 def numeric_fill(df: DataFrame, columns: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """(feature, median, mean, std_pop, n_missing): exact median, and moments after filling with it."""
     long = long_numeric(df, columns)
-    cells = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
     counts = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    cells = long.select("*", F.lit(1).cast("bigint").alias("n"), F.lit(0).alias("slice"))
     cells = with_feature_slice(cells, "value", cuts_by_feature(long, counts, rows_per_slice))
-    medians = quantiles_of_cells(running_totals(cells, ["feature"], "value", ["n"]), ["feature"], {"median": 0.5})
+    medians = quantiles_of_slices(cells, ["feature"], {"median": 0.5})
     fields = {f.name: f.dataType for f in df.schema.fields}
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), as_double(F.col(c), fields[c]).alias("value")) for c in columns])
     rows = df.select(F.explode(pairs).alias("c")).select("c.*")
@@ -153,6 +154,20 @@ def forest(trees: int = TREES, depth: int = UNLIMITED_DEPTH, min_rows: int = 1,
     )
 
 
+def fitted(stages: Sequence, estimator: RandomForestClassifier, rows: DataFrame) -> PipelineModel:
+    """The stages and the estimator fitted on rows, in one pipeline.
+
+    A forest passes over its rows three times before it keeps them. The vectors
+    are kept on the executors' disks meanwhile, so that the stages run once.
+    """
+    prepared = Pipeline(stages=list(stages)).fit(rows)
+    vectors = prepared.transform(rows).select("features", "label", "weight").persist(StorageLevel.DISK_ONLY)
+    try:
+        return PipelineModel([*prepared.stages, estimator.fit(vectors)])
+    finally:
+        vectors.unpersist()
+
+
 def training_rows(df: DataFrame, label: str, keep: Sequence[str]) -> DataFrame:
     """Labelled rows with columns `label` and `weight`, written once.
 
@@ -170,7 +185,7 @@ def fit_forest(
     rows = training_rows(train, label, [*numeric, *categorical])
     codes = category_codes(rows, categorical) if categorical else None
     stages = feature_stages(fills_of(rows, numeric, categorical), numeric, categorical, codes)
-    return Pipeline(stages=[*stages, forest(trees, depth, seed=seed, tried=tried)]).fit(rows)
+    return fitted(stages, forest(trees, depth, seed=seed, tried=tried), rows)
 
 
 def merged_moments(parts: Sequence[tuple[int, float, float]]) -> tuple[float, float]:
@@ -185,7 +200,8 @@ class TrainingStore:
 
     A split is a set of parts: its rows are a partition-pruned read of the same
     files, its class weights follow from counts per part, and the fills and scales
-    of all splits come from counts per part and value in one job each. The places
+    of all splits come from counts and moments per part, and from the few values
+    around the medians. The places
     of categories are those of all parts: one that a training part lacks is a
     column of zeros there, which no fit can use. Nothing is written per split, so
     many splits cost no more disk than one.
@@ -230,14 +246,14 @@ class TrainingStore:
         numbers: dict[int, dict] = {g: {} for g in groups}
         modes: dict[int, dict] = {g: {} for g in groups}
         if numeric:
-            counted = materialized(long_numeric(rows, numeric, part).groupBy("part", "feature", "value").agg(F.count("*").alias("n")), "value-counts")
-            totals = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
-            cells = counted.join(plan, "part").groupBy("group", "feature", "value").agg(F.sum("n").alias("n"))
-            cells = with_feature_slice(cells, "value", cuts_by_feature(counted, totals, rows_per_slice))
-            medians = quantiles_of_cells(running_totals(cells, ["group", "feature"], "value", ["n"]), ["group", "feature"], {"median": 0.5})
+            long = long_numeric(rows, numeric, part)
             # One row per part and column: size, mean and squared deviations, which merge into those of any set of parts.
-            per_part = long_numeric(rows, numeric, part).groupBy("part", "feature").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
+            per_part = long.groupBy("part", "feature").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
             moments = {(r["part"], r["feature"]): (r["n"], r["mean"], r["n"] * r["var"]) for r in per_part.collect()}
+            totals = {c: sum(n for (_, f), (n, _, _) in moments.items() if f == c) for c in numeric}
+            cells = long.select("*", F.lit(1).cast("bigint").alias("n"), F.lit(0).alias("slice"))
+            cells = with_feature_slice(cells, "value", cuts_by_feature(long, totals, rows_per_slice))
+            medians = quantiles_of_slices(cells, ["group", "feature"], {"median": 0.5}, plan)
             for r in medians.collect():
                 held = [moments[key] for p in groups[r["group"]] if (key := (str(p), r["feature"])) in moments]
                 missing = sizes[r["group"]] - sum(n for n, _, _ in held)
@@ -278,12 +294,11 @@ def grid_search(
     groups = {k: [i for i in range(folds) if i != k] for k in range(folds)} | {folds: list(range(folds))}
     fills, codes = store.fills(groups, numeric, categorical), store.codes(categorical)
 
-    def fitted(k: int, params: dict[str, object]) -> PipelineModel:
-        stages = [*feature_stages(fills[k], numeric, categorical, codes), forest().setParams(**params)]
-        return Pipeline(stages=stages).fit(store.training(groups[k]))
+    def of_fold(k: int, params: dict[str, object]) -> PipelineModel:
+        return fitted(feature_stages(fills[k], numeric, categorical, codes), forest().setParams(**params), store.training(groups[k]))
 
     def scored_candidate(k: int, i: int) -> DataFrame:
-        return score(fitted(k, candidates[i]), store.rows([k]), [label]).withColumns({"fold": F.lit(k), "candidate": F.lit(i)})
+        return score(of_fold(k, candidates[i]), store.rows([k]), [label]).withColumns({"fold": F.lit(k), "candidate": F.lit(i)})
 
     scored = run_all([partial(scored_candidate, k, i) for k in range(folds) for i in range(len(candidates))])
     found = classification_metrics(
@@ -294,7 +309,7 @@ def grid_search(
         areas[r["candidate"]].append(r["roc_auc"] if r["roc_auc"] is not None else 0.5)
     means = [sum(a) / len(a) if a else 0.0 for a in areas]
     best = candidates[max(range(len(candidates)), key=means.__getitem__)]
-    return GridResult(fitted(folds, best), best, list(zip(candidates, means)))
+    return GridResult(of_fold(folds, best), best, list(zip(candidates, means)))
 
 
 def score(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -186,6 +186,41 @@ def quantiles_of_cells(ranked: DataFrame, keys: Sequence[str], fractions: dict[s
     )
 
 
+def quantiles_of_slices(cells: DataFrame, keys: Sequence[str], fractions: dict[str, float], sets: DataFrame | None = None) -> DataFrame:
+    """quantiles_of_cells of (keys, value, n) rows with a `slice` column, of which only the slices that hold a wanted rank are sorted.
+
+    Rows are counted per slice first. With `sets`, (group, part) pairs without
+    NULL, the cells are those of parts and the keys hold `group`: a set has the
+    cells of all its parts, and only those of the wanted slices are dealt out to sets.
+    """
+    keys = list(keys)
+    own = keys if sets is None else ["part", *[k for k in keys if k != "group"]]
+    sizes = cells.groupBy(*own, "slice").agg(F.sum("n").alias("n"))
+    if sets is not None:
+        sizes = sizes.join(F.broadcast(sets), "part").groupBy(*keys, "slice").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy(*keys).orderBy("slice")
+    sizes = sizes.select(
+        *keys, "slice", "n", (F.sum("n").over(before) - F.col("n")).alias("ahead"), F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
+    )
+    position = {name: F.lit(fraction) * (F.col("total") - 1) for name, fraction in fractions.items()}
+    asked = F.explode(F.array(*[
+        F.struct(F.lit(f"{name}_{side}").alias("what"), (at + 1).cast("bigint").alias("rank"), (p - F.floor(p)).alias("part_way"))
+        for name, p in position.items() for side, at in (("lo", F.floor(p)), ("hi", F.ceil(p)))
+    ])).alias("asked")
+    wanted = sizes.select(*keys, "slice", "n", "ahead", asked).select("*", "asked.*").filter("ahead < rank AND rank <= ahead + n")
+    wanted = wanted.select(*keys, "slice", "what", (F.col("rank") - F.col("ahead")).alias("rank"), "part_way")
+    # One row or two per key and fraction.
+    needed = wanted.select(*keys, "slice").distinct()
+    needed = needed if sets is None else needed.join(F.broadcast(sets), "group")
+    inside = cells.join(F.broadcast(needed), [*own, "slice"]).groupBy(*keys, "slice", "value").agg(F.sum("n").alias("n"))
+    ranked = inside.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "slice").orderBy("value")))
+    found = ranked.join(F.broadcast(wanted), [*keys, "slice"]).filter("upto - n < rank AND rank <= upto")
+    picked = lambda what, c: F.max(F.when(F.col("what") == what, F.col(c)))
+    return found.groupBy(*keys).agg(*[
+        (picked(f"{n}_lo", "value") + (picked(f"{n}_hi", "value") - picked(f"{n}_lo", "value")) * picked(f"{n}_lo", "part_way")).alias(n) for n in fractions
+    ])
+
+
 def hash_ranked(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], digits: int | None = None) -> DataFrame:
     """Exact 1-based rank inside `keys` by an evenly spread hex text such as an md5.
 

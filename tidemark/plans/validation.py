@@ -6,14 +6,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Model
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.concurrent import run_all
 from tidemark.functions.scalars import label_flag
 from tidemark.operators.drift import period_values
 from tidemark.operators.metrics import classification_metrics
-from tidemark.operators.model import TrainingStore, feature_stages, fit_forest, forest, score, with_folds
+from tidemark.operators.model import TrainingStore, feature_stages, fit_forest, fitted, forest, score, with_folds
 from tidemark.operators.temporal import LEAKAGE_GAP, metric_summary, performance_by_period, split_plan
 from tidemark.sources.tables import materialized
 
@@ -41,11 +41,11 @@ class ForestFit:
         """The model of each group of parts; fills of all groups are found together."""
         fills, codes = store.fills(groups, self.numeric, self.categorical), store.codes(self.categorical)
 
-        def fitted(group: int) -> Model:
+        def of_group(group: int) -> Model:
             stages = feature_stages(fills[group], self.numeric, self.categorical, codes)
-            return Pipeline(stages=[*stages, forest(self.trees, self.depth, tried=self.tried)]).fit(store.training(groups[group]))
+            return fitted(stages, forest(self.trees, self.depth, tried=self.tried), store.training(groups[group]))
 
-        return fitted
+        return of_group
 
 
 def forest_fit(label: str, numeric: Sequence[str], categorical: Sequence[str], trees: int = 100, depth: int = 10, tried: str = "auto") -> ForestFit:
