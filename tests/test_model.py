@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.concurrent import run_all
 from tidemark.operators import model as M
-from tidemark.plans import comparison as X, training as T, validation as V
+from tidemark.operators import profile as Q
+from tidemark.plans import comparison as X, report as R, training as T, validation as V
 from tidemark.sources import runs
 from tidemark.sources.tables import new_path, shared_folder
 
@@ -130,6 +131,19 @@ def test_scorecard(spark):
     assert (got["score_first"], got["score_second"], got["winner"]) == (5, 0, "b")
 
 
+def test_facts_read_the_edges_of_a_panel_only(people):
+    """Drift and label rates come from the rows written by period; the drift table is that of the first and the last period."""
+    _, df = people
+    panel = X.Panel("p", df, "m", "left", "k", None, ["income"], ["kind"], "income", most_splits=1)
+    facts = X.panel_facts(panel, df, 2, 2, "all")
+    plan = facts._jdf.queryExecution().toString()
+    assert "_part" in plan and "IN (0,4)" in plan.replace(", ", ",")
+    drift = R.first_last_drift(df.select("m", "income", "kind"), "m")
+    got = facts.first()
+    assert got["covariate_alerts"] == drift.filter("alert").count()
+    assert got["label_cv"] == pytest.approx(Q.label_stability(df, F.col("m"), "left").first()["cv"])
+
+
 def test_samples(people):
     _, df = people
     a, b = (M.random_rows(x, 20, "k", seed=4).select("k").collect() for x in (df, df.repartition(9)))

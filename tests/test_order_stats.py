@@ -108,3 +108,18 @@ def test_null_groups_and_repeated_keys_are_drawn_exactly(spark):
 
 def test_lead_digits_follow_the_rows():
     assert [O.lead_digits(n) for n in (0, 100_000, 100_001, 1_600_001, 10**12)] == [0, 0, 1, 2, 6]
+
+
+def test_rows_of_few_keys_stay_where_they_lie(spark):
+    """Marking by cut-offs joins a written table of known size: the rows are not dealt to one task per key."""
+    rows = spark.range(0, 30000, 1, 6).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 2).alias("g"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        placed = O.with_cutoffs(rows, ["g"], hash_hex(F.col("id")), ["id"], [F.floor(F.col("group_rows") * 0.2)])
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        marked = placed.groupBy("g").agg(F.count_if(F.col("place") <= F.col("cut_0")).alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r["g"]: r["n"] for r in marked} == {None: 2000, 0: 2000, 1: 2000}

@@ -139,6 +139,18 @@ def test_continuity(spark):
     assert Q.entity_continuity(same.filter("m = 0"), "e", F.col("m")).first()["continuity_score"] is None
 
 
+def test_continuity_passes_each_row_on_once(spark):
+    rows = [(1, 1), (1, 2), (2, 2), (None, 2), (2, None)]
+    df = spark.createDataFrame(rows, "e int, p int")
+    found = Q.entity_continuity(df, "e", F.col("p"))
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    r = found.first()
+    # 1 - (2 - 5/2) / (5 - 5/2) = 1.2, at most 1.
+    assert (r["unique_entities"], r["total_rows"], r["periods"], r["continuity_score"]) == (2, 5, 2, 1.0)
+    r = Q.entity_continuity(df.limit(0), "e", F.col("p")).first()
+    assert (r["unique_entities"], r["total_rows"], r["periods"], r["continuity_score"]) == (0, 0, 0, None)
+
+
 def test_density_integrates_to_one(spark):
     rng = np.random.default_rng(2)
     old, new = (spark.createDataFrame(pd.DataFrame({"x": rng.normal(m, 1, 300)})) for m in (0, 2))

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.sources.tables import materialized
+
 # The rows one slice of a sorted column, or one slice of a hash order, should hold.
 ROWS_PER_SLICE = 1_000_000
 ROWS_PER_LEAD = 100_000
@@ -273,7 +275,8 @@ def hash_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequenc
     owed = counted.select("*", asked).filter("_offset < _wanted AND _wanted <= _offset + _n").select(
         *keys, "_lead", "_cut", (F.col("_wanted") - F.col("_offset")).alias("_owed")
     )
-    # One row per cut (and group).
+    # One row per cut (and group), written first: with its size known, Spark broadcasts a small one and the rows stay where they lie.
+    owed = materialized(owed, "cut-slices")
     cut_slices = owed.select(*keys, "_lead").distinct()
     cells = _null_safe(narrow, cut_slices, keys, "left_semi", ["_lead"])
     # Equal positions are one cell, so a key that very many rows repeat is sorted once.
@@ -291,12 +294,13 @@ def hash_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequenc
 def with_cutoffs(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str], wanted: Sequence[Column], digits: int | None = None) -> DataFrame:
     """Add cut_i and take_i of the row's key and `place`, the row's own position.
 
-    The cut-offs are one row per key combination: a scalar subquery without
-    keys, else a join, NULL keys included, that Spark broadcasts when the
-    cut-offs turn out to be small.
+    The cut-offs are one row per key combination and written once: a scalar
+    subquery without keys, else a join, NULL keys included. Spark knows the size
+    of the written rows and broadcasts them if it is small, so that the rows of a
+    few large keys are not dealt to as few tasks.
     """
     keys = list(keys)
-    cuts = hash_cutoffs(df, keys, order, tie, wanted, digits)
+    cuts = materialized(hash_cutoffs(df, keys, order, tie, wanted, digits), "cuts")
     names = [f"{n}_{i}" for i in range(len(wanted)) for n in ("cut", "take")]
     placed = df.withColumn("_hex", order).withColumn("place", F.struct(F.col("_hex").alias("hex"), *tie)).drop("_hex")
     if not keys:

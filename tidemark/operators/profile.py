@@ -157,12 +157,17 @@ def period_summary(df: DataFrame, period: Column, entity: str, label: str, measu
 
 
 def entity_continuity(df: DataFrame, entity: str, period: Column) -> DataFrame:
-    """How far the same entities reappear: 1 when all do, 0 when none does."""
+    """How far the same entities reappear: 1 when all do, 0 when none does.
+
+    Rows are counted per entity, and periods on their own: two distinct counts of
+    one aggregate would pass every row on three times.
+    """
     t = df.select(F.col(entity).alias("entity"), period.alias("period"))
-    counted = t.agg(
-        F.count_distinct("entity").alias("unique_entities"), F.count("*").alias("total_rows"),
-        F.count_distinct("period").alias("periods"),
+    entities = t.groupBy("entity").agg(F.count("*").alias("n")).agg(
+        F.count("entity").alias("unique_entities"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
     )
+    # One row on either side.
+    counted = entities.crossJoin(F.broadcast(t.select("period").distinct().agg(F.count("period").alias("periods"))))
     steady = ratio(F.col("total_rows"), F.col("periods"))
     raw = 1 - F.try_divide(F.col("unique_entities") - steady, F.col("total_rows") - steady)
     return counted.withColumn("raw", raw).select(

@@ -15,7 +15,7 @@ from tidemark.operators.temporal import LEAKAGE_GAP, metric_summary
 from tidemark.operators.drift import period_values
 from tidemark.plans.report import first_last_drift
 from tidemark.plans.training import random_split_evaluation
-from tidemark.plans.validation import forest_fit, walk_forward
+from tidemark.plans.validation import forest_fit, training_store, walk_forward
 from tidemark.sources.tables import materialized
 
 # Points per criterion of the scorecard.
@@ -42,16 +42,21 @@ class Panel:
 
 
 def panel_facts(panel: Panel, baseline: DataFrame, trees: int = 100, depth: int = 10, tried: str = "auto") -> DataFrame:
-    """One row with everything the scorecard needs."""
-    used = [panel.key, panel.label, panel.period, *panel.numeric, *panel.categorical]
+    """One row with everything the scorecard needs.
+
+    The rows are written once by period: the walk, the label rates and the drift
+    between the first and the last period read the files of their own periods.
+    """
     rows = panel.rows
     held_out, _ = random_split_evaluation(rows, panel.label, panel.key, panel.numeric, panel.categorical, trees, depth, tried)
     random = classification_metrics(held_out, [], panel.label, "probability", "prediction")
-    splits = min(panel.most_splits, len(period_values(rows, panel.period)) - 1)
     fit = forest_fit(panel.label, panel.numeric, panel.categorical, trees, depth, tried)
-    walked = metric_summary(walk_forward(rows.select(*used), panel.period, panel.label, fit, splits))
-    drift = first_last_drift(rows.select(panel.period, *panel.numeric, *panel.categorical), panel.period)
-    stability = label_stability(rows, F.col(panel.period), panel.label)
+    store = training_store(rows, panel.period, panel.label, fit)
+    periods = period_values(store.stored, panel.period)
+    splits = min(panel.most_splits, len(periods) - 1)
+    walked = metric_summary(walk_forward(rows, panel.period, panel.label, fit, splits, store=store))
+    drift = first_last_drift(store.rows(sorted({*periods[:1], *periods[-1:]})).select(panel.period, *panel.numeric, *panel.categorical), panel.period)
+    stability = label_stability(store.stored, F.col(panel.period), panel.label)
     # Written first: the optimizer cannot merge this one's inner scalar with the others below.
     deviation = materialized(baseline_deviation(rows, baseline, panel.measure), "deviation")
     facts = {

@@ -52,7 +52,7 @@ def forest_fit(label: str, numeric: Sequence[str], categorical: Sequence[str], t
     return ForestFit(label, numeric, categorical, trees, depth, tried)
 
 
-def _store(df: DataFrame, part: str, label: str, fit: Fit) -> TrainingStore:
+def training_store(df: DataFrame, part: str, label: str, fit: Fit) -> TrainingStore:
     return TrainingStore(df, part, label, [*fit.numeric, *fit.categorical] if isinstance(fit, ForestFit) else None)
 
 
@@ -68,7 +68,7 @@ def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int
     submitted side by side. Scored test rows are written once and measured together
     in one job.
     """
-    store = store or _store(df, period, label, fit)
+    store = store or training_store(df, period, label, fit)
     plan: dict[int, dict[str, list]] = {}
     for r in split_plan(store.stored, F.col(period), n_splits, strategy).collect():
         plan.setdefault(r["split"], {"train": [], "test": []})[r["role"]].append(r["period"])
@@ -96,7 +96,7 @@ def walk_forward(df: DataFrame, period: str, label: str, fit: Fit, n_splits: int
 def fold_metrics(df: DataFrame, label: str, key: str, fit: Fit, folds: int) -> DataFrame:
     """The random-split baseline: stratified folds, metrics per fold."""
     usable = df.filter(label_flag(F.col(label)).isNotNull())
-    store = _store(with_folds(usable, label, key, folds), "fold", label, fit)
+    store = training_store(with_folds(usable, label, key, folds), "fold", label, fit)
     model = _models(store, {k: [i for i in range(folds) if i != k] for k in range(folds)}, fit)
 
     def scored_fold(k: int) -> DataFrame:
@@ -108,7 +108,7 @@ def fold_metrics(df: DataFrame, label: str, key: str, fit: Fit, folds: int) -> D
 
 def compare_strategies(df: DataFrame, period: str, label: str, key: str, fit: Fit, n_splits: int = 5) -> DataFrame:
     """Summary per strategy (expanding, rolling, random) and the leakage flag."""
-    store = _store(df, period, label, fit)
+    store = training_store(df, period, label, fit)
     parts = [
         metric_summary(walk_forward(df, period, label, fit, n_splits, s, store)).withColumn("strategy", F.lit(s))
         for s in ("expanding", "rolling")
