@@ -144,6 +144,19 @@ def test_facts_read_the_edges_of_a_panel_only(people):
     assert got["label_cv"] == pytest.approx(Q.label_stability(df, F.col("m"), "left").first()["cv"])
 
 
+def test_fold_store_has_files_of_every_task(spark):
+    """Two classes in six tasks: the folds are written by all six, so the fits read them side by side."""
+    rows = spark.range(0, 6000, 1, 6).select("id", F.when(F.col("id") % 3 == 0, "Yes").otherwise("No").alias("left"), (F.col("id") % 7).alias("x"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        store = M.TrainingStore(M.with_folds(rows, "left", "id", 3), "fold", "left", ["x"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sum("_part=0" in f for f in store.stored.inputFiles()) == 6
+    assert [store.rows([k]).count() for k in range(3)] == [1999, 2000, 2001]
+
+
 def test_samples(people):
     _, df = people
     a, b = (M.random_rows(x, 20, "k", seed=4).select("k").collect() for x in (df, df.repartition(9)))
