@@ -286,3 +286,65 @@ def test_jobs_side_by_side_have_properties_of_their_own(spark):
         return context.getLocalProperty("tidemark.job")
 
     assert run_all([partial(job, i) for i in range(3)]) == ["0", "1", "2"]
+
+
+def test_places_written_with_the_rows_give_the_vectors_of_the_join(spark):
+    """A missing category takes the mode of its own set of parts, one seen only without a label no place; no fit joins codes or looks for the largest label."""
+    df = monthly(spark, n=300).withColumn("team", F.when(F.col("id") == 7, "odd").otherwise(F.col("team"))).withColumn("left", F.when(F.col("id") != 7, F.col("left")))
+    df = df.withColumn("team", F.when((F.col("month") == 2) & F.col("team").isNotNull(), "c").otherwise(F.col("team")))
+    fit, groups = V.forest_fit("left", ["pay"], ["team"], 3, 3), {1: [0, 1], 2: [2], 3: list(range(7))}
+    store = V.training_store(df, "month", "left", fit)
+    fills = store.fills(groups, ["pay"], ["team"])
+    assert fills[1].modes["team"] == "a" and fills[2].modes["team"] == "c"
+    coded, plain = store.codes(["team"], fills), M.category_codes(store.labelled(), ["team"])
+    for g, parts in groups.items():
+        for rows in (store.training(parts), store.rows(parts)):
+            made = []
+            for codes in (coded[g], plain):
+                stages = M.feature_stages(fills[g], ["pay"], ["team"], codes)
+                out = M.Pipeline(stages=stages).fit(store.training(parts)).transform(rows).select("left", "pay", "team", "features")
+                joins = "Join" in out._jdf.queryExecution().optimizedPlan().toString()
+                assert joins == (codes is plain)
+                made.append(sorted((str(r["left"]), r["pay"], str(r["team"]), tuple(r["features"])) for r in out.collect()))
+            assert made[0] == made[1] and len(made[0]) > 20
+    assert store.training([0, 1]).schema["label"].metadata["ml_attr"]["num_vals"] == 2
+    assert store.rows([0]).filter("team = 'odd'").count() == 1
+    model = fit.over(store, groups)(2)
+    path = new_path(spark, "model")
+    model.write().overwrite().save(path)
+    scores = [sorted((r["id"], r["probability"]) for r in M.score(m, x, ["id"]).collect()) for m, x in ((model, df), (PipelineModel.load(path), df))]
+    assert scores[0] == scores[1]
+
+
+def test_strategies_find_fills_and_codes_once_per_store(spark, monkeypatch):
+    """Both walks share the fills of one call, all three strategies the codes; their fits keep to the slots of one strategy."""
+    calls, running, most, lock = [], [0], [0], threading.Lock()
+
+    def counted(owner, name):
+        plain = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda *a, **b: (calls.append(name), plain(*a, **b))[1])
+
+    def held(*a, plain=V.fitted):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return plain(*a)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    counted(M.TrainingStore, "fills")
+    counted(V, "category_codes")
+    monkeypatch.setattr(V, "fitted", held)
+    df = monthly(spark, n=700)
+    fit = V.forest_fit("left", ["age", "pay"], ["team"], 3, 3)
+    got = {r["strategy"]: r for r in V.compare_strategies(df, "month", "left", "id", fit, 3).collect()}
+    assert sorted(calls) == ["category_codes", "fills", "fills"] and 1 < most[0] <= 4
+    monkeypatch.undo()
+    for s in ("expanding", "rolling"):
+        want = V.metric_summary(V.walk_forward(df, "month", "left", fit, 3, s)).first()
+        # The fits differ in the order of their rows only.
+        assert got[s]["n_splits"] == 3 and got[s]["mean_roc_auc"] == pytest.approx(want["mean_roc_auc"], abs=0.08)
+    want = V.metric_summary(V.fold_metrics(df, "left", "id", fit, 3)).first()
+    assert got["random"]["n_splits"] == 3 and got["random"]["mean_roc_auc"] == pytest.approx(want["mean_roc_auc"], abs=0.08)

@@ -9,7 +9,7 @@ from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.sqltext import name
 from tidemark.operators.drift import ranked_categories
@@ -31,23 +31,53 @@ class CategoryCodes(Transformer, MLReadable, MLWritable):
 
     table = Param(Params._dummy(), "table", "folder of (feature, category, place) rows", TypeConverters.toString)
     sizes = Param(Params._dummy(), "sizes", "vector size by column, as JSON", TypeConverters.toString)
+    fills = Param(Params._dummy(), "fills", "place of a missing value by column, as JSON, for rows written with their places", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, table: str | None = None, sizes: str | None = None):
+    def __init__(self, *, table: str | None = None, sizes: str | None = None, fills: str | None = None):
         super().__init__()
+        self._setDefault(fills="{}")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        codes = df.sparkSession.read.schema("feature string, category string, place bigint").parquet(self.getOrDefault(self.table))
+        fills = json.loads(self.getOrDefault(self.fills))
         for c, size in json.loads(self.getOrDefault(self.sizes)).items():
-            found = codes.filter(F.col("feature") == c).select(F.col("category").alias("_category"), F.col("place").alias("_place"))
-            met = df.join(found, F.col(name(f"{c}_text")) == F.col("_category"), "left")
             # With its size stated, the encoder need not look for the largest place.
             nominal = {"ml_attr": {"type": "nominal", "name": f"{c}_index", "num_vals": size}}
-            place = F.coalesce("_place", F.lit(size)).cast("double").alias(f"{c}_index", metadata=nominal)
-            df = met.select(*[F.col(name(x)) for x in df.columns], place)
+            if c in fills and self.place_column(c) in df.columns:
+                met, place = df, F.coalesce(F.col(name(self.place_column(c))), F.lit(fills[c]))
+            else:
+                met, place = self._met(df, c, F.col(name(f"{c}_text"))), F.coalesce("_place", F.lit(size))
+            df = met.select(*[F.col(name(x)) for x in df.columns], place.cast("double").alias(f"{c}_index", metadata=nominal))
         return df
 
+    def _codes(self, df: DataFrame) -> DataFrame:
+        return df.sparkSession.read.schema("feature string, category string, place bigint").parquet(self.getOrDefault(self.table))
+
+    def _met(self, df: DataFrame, c: str, category: Column) -> DataFrame:
+        """df with _place, the place of its category in column c."""
+        found = self._codes(df).filter(F.col("feature") == c).select(F.col("category").alias("_category"), F.col("place").alias("_place"))
+        return df.join(found, category == F.col("_category"), "left")
+
+    def place_column(self, c: str) -> str:
+        """The column of written places. It names the table, so other codes do not take its places for theirs."""
+        return f"_{c}_in_{self.getOrDefault(self.table).rstrip('/').rsplit('/', 1)[-1]}"
+
+    def with_places(self, df: DataFrame) -> DataFrame:
+        """df with a column of places per column of categories, NULL where the category is: written once, they spare every later pass the join."""
+        for c, size in json.loads(self.getOrDefault(self.sizes)).items():
+            known = F.col(name(c)).cast("string")
+            place = F.when(known.isNotNull(), F.coalesce("_place", F.lit(size))).cast("int").alias(self.place_column(c))
+            df = self._met(df, c, known).select(*[F.col(name(x)) for x in df.columns], place)
+        return df
+
+    def filled(self, df: DataFrame, modes: Sequence[dict[str, str]]) -> list[CategoryCodes]:
+        """These codes once per set of modes, for rows with places; the places of all modes are looked up together."""
+        sizes = json.loads(self.getOrDefault(self.sizes))
+        wanted = sorted({mode for m in modes for mode in m.values()})
+        found = {(r["feature"], r["category"]): r["place"] for r in self._codes(df).filter(F.col("category").isin(wanted)).collect()}
+        return [self.copy({self.fills: json.dumps({c: found.get((c, m[c]), size) for c, size in sizes.items()})}) for m in modes]
+
     def write(self) -> MLWriter:
         return _Writer(self)
 

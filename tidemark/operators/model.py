@@ -117,6 +117,9 @@ class Fills:
     numbers: dict[str, tuple[float | None, float | None, float | None]]
     modes: dict[str, str]
 
+    def mode(self, column: str) -> str:
+        return self.modes.get(column, "Unknown")
+
 
 def fills_of(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Fills:
     numbers = {r["feature"]: (r["median"], r["mean"], r["std_pop"]) for r in numeric_fill(train, numeric).collect()} if numeric else {}
@@ -135,7 +138,7 @@ def feature_stages(fills: Fills, numeric: Sequence[str], categorical: Sequence[s
         columns.append(f"(coalesce(nanvl(cast({name(c)} AS double), NULL), {number(fill)}) - {number(mean)}) / {number(std or 1.0)} AS {name(c + '_scaled')}")
         parts.append(f"{c}_scaled")
     if categorical:
-        columns += [f"coalesce(cast({name(c)} AS string), {text(fills.modes.get(c, 'Unknown'))}) AS {name(c + '_text')}" for c in categorical]
+        columns += [f"coalesce(cast({name(c)} AS string), {text(fills.mode(c))}) AS {name(c + '_text')}" for c in categorical]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")]
     if categorical:
         stages += [
@@ -204,22 +207,28 @@ class TrainingStore:
     around the medians. The places
     of categories are those of all parts: one that a training part lacks is a
     column of zeros there, which no fit can use. Nothing is written per split, so
-    many splits cost no more disk than one.
+    many splits cost no more disk than one. The label's class is written with the
+    rows and, if codes are given, the places of categories: a pass over the rows
+    parses no label and joins no codes.
     """
 
-    def __init__(self, df: DataFrame, part: str, label: str, columns: Sequence[str] | None = None):
-        self.label, path = label, new_path(df.sparkSession, "training")
-        kept = df.select(*dict.fromkeys([part, label, *(df.columns if columns is None else columns)]), F.col(part).cast("string").alias("_part"))
+    def __init__(self, df: DataFrame, part: str, label: str, columns: Sequence[str] | None = None, codes: CategoryCodes | None = None):
+        self.label, self.coded, path = label, codes, new_path(df.sparkSession, "training")
+        kept = df.select(
+            *dict.fromkeys([part, label, *(df.columns if columns is None else columns)]),
+            label_flag(F.col(label)).cast("double").alias("_flag"), F.col(part).cast("string").alias("_part"),
+        )
+        kept = codes.with_places(kept) if codes else kept
         kept.write.partitionBy("_part").parquet(path)
         self.stored = df.sparkSession.read.schema(kept.schema).parquet(path)
         counts = self.labelled().groupBy("_part", "label").agg(F.count("*").alias("n")).collect()
         self.classes = {(r["_part"], r["label"]): r["n"] for r in counts}
 
     def rows(self, parts: Sequence) -> DataFrame:
-        return self.stored.filter(F.col("_part").isin(*[str(p) for p in parts])).drop("_part")
+        return self.stored.filter(F.col("_part").isin(*[str(p) for p in parts])).drop("_part", "_flag")
 
     def labelled(self) -> DataFrame:
-        return self.stored.withColumn("label", label_flag(F.col(self.label)).cast("double")).filter("label IS NOT NULL")
+        return self.stored.withColumn("label", F.col("_flag")).filter("label IS NOT NULL").drop("_flag")
 
     def training(self, parts: Sequence) -> DataFrame:
         """Labelled rows of the parts with columns label and weight, balanced over these parts."""
@@ -231,10 +240,18 @@ class TrainingStore:
         weight: Column = F.lit(1.0)
         for flag, n in sizes.items():
             weight = F.when(F.col("label") == flag, sum(sizes.values()) / (len(sizes) * n)).otherwise(weight)
-        return self.labelled().filter(F.col("_part").isin(*wanted)).withColumn("weight", weight)
-
-    def codes(self, categorical: Sequence[str]) -> CategoryCodes | None:
-        return category_codes(self.labelled(), categorical) if categorical else None
+        rows = self.labelled().filter(F.col("_part").isin(*wanted)).withColumn("weight", weight)
+        if not sizes:
+            return rows
+        # With the classes stated, a forest need not look for the largest label.
+        nominal = {"ml_attr": {"type": "nominal", "name": "label", "num_vals": int(max(sizes)) + 1}}
+        return rows.withColumn("label", F.col("label").alias("label", metadata=nominal))
+
+    def codes(self, categorical: Sequence[str], fills: dict[int, Fills]) -> dict[int, CategoryCodes | None]:
+        """The codes for each set of parts, which know the places of its fills if the rows hold places."""
+        if not categorical or not self.coded:
+            return dict.fromkeys(fills, category_codes(self.labelled(), categorical) if categorical else None)
+        return dict(zip(fills, self.coded.filled(self.stored, [{c: f.mode(c) for c in categorical} for f in fills.values()])))
 
     def fills(self, groups: dict[int, Sequence], numeric: Sequence[str], categorical: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> dict[int, Fills]:
         """The fills of several sets of parts, from counts that are made once."""
@@ -292,10 +309,11 @@ def grid_search(
     names = list(grid or GRID)
     candidates = [dict(zip(names, values)) for values in product(*(grid or GRID).values())]
     groups = {k: [i for i in range(folds) if i != k] for k in range(folds)} | {folds: list(range(folds))}
-    fills, codes = store.fills(groups, numeric, categorical), store.codes(categorical)
+    fills = store.fills(groups, numeric, categorical)
+    codes = store.codes(categorical, fills)
 
     def of_fold(k: int, params: dict[str, object]) -> PipelineModel:
-        return fitted(feature_stages(fills[k], numeric, categorical, codes), forest().setParams(**params), store.training(groups[k]))
+        return fitted(feature_stages(fills[k], numeric, categorical, codes[k]), forest().setParams(**params), store.training(groups[k]))
 
     def scored_candidate(k: int, i: int) -> DataFrame:
         return score(of_fold(k, candidates[i]), store.rows([k]), [label]).withColumns({"fold": F.lit(k), "candidate": F.lit(i)})
